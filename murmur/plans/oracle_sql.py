@@ -81,7 +81,7 @@ def lit_list(words) -> str:
 
 
 def count_in(tokens_expr: str, words) -> str:
-    return f"cast(len(list_filter({tokens_expr}, x -> x IN ({lit_list(words)}))) AS bigint)"
+    return f"cast(len(list_filter({tokens_expr}, lambda x: x IN ({lit_list(words)}))) AS bigint)"
 
 
 def tokens(expr: str) -> str:

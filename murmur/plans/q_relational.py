@@ -388,7 +388,7 @@ def q_prj_label_index(spark, sf):
 
 @query("prj_split_list", with_items(
     f"SELECT id, cast(generate_subscripts(arr, 1) - 1 AS integer) AS item_pos, unnest(arr) AS item FROM ("
-    f"SELECT id, list_filter(list_transform(string_split(title, ','), x -> {sql_strip('x')}), x -> x <> '') AS arr "
+    f"SELECT id, list_filter(list_transform(string_split(title, ','), lambda x: {sql_strip('x')}), lambda x: x <> '') AS arr "
     f"FROM items WHERE type = 'post')"))
 def q_prj_split_list(spark, sf):
     """Post titles read as comma lists (the ticker-list rule)."""
