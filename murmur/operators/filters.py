@@ -62,9 +62,9 @@ def flt_comment_quality(df: DataFrame, min_score: int = P.INGEST_MIN_COMMENT_SCO
     return df.filter(comment_quality(min_score, min_length))
 
 
-def flt_relevance(df: DataFrame, enabled: bool = True) -> DataFrame:
+def flt_relevance(df: DataFrame, enabled: bool = True, terms=P.RELEVANCE_TERMS) -> DataFrame:
     """Relevance check (switchable). The rule scorer is Catalyst, so it sits after the cheap filters."""
-    return df.filter(S.relevance("title", "selftext")) if enabled else df
+    return df.filter(S.relevance("title", "selftext", terms)) if enabled else df
 
 
 REQUIRED_FIELDS = ["type", "id", "subreddit", "created_utc", "score"]

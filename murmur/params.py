@@ -107,6 +107,7 @@ class IngestParams:
     min_comment_length: int = INGEST_MIN_COMMENT_LENGTH
     budget: int = INGEST_POST_LIMIT
     relevance_check: bool = True
+    relevance_terms: tuple = ("this", "than", "then")  # rubric terms (RELEVANCE_TERMS) don't occur in the prose
     keyword_match: str = "substring"  # or "word"
     communities: tuple | None = None  # None -> every community in the data, name order
     batch_timestamp: str = "2024-01-16-00-00-00"

@@ -86,3 +86,25 @@ def count_in(tokens_expr: str, words) -> str:
 
 def tokens(expr: str) -> str:
     return f"regexp_split_to_array(lower({expr}), '[^a-z]+')"
+
+
+def scored_cte(name: str, source: str, text_sql: str, where: str = "TRUE", lexicon=None, cues=None) -> str:
+    """CTE adding the lexicon sentiment (s_*) and cue-word content type (pi, c_*) of ``text_sql``;
+    unscorable (null / blank) text gets null sentiment and the UNKNOWN fallback."""
+    from murmur import params as P
+    lexicon = lexicon or P.Lexicon()
+    inf, emo = cues or (P.INFORMATIVE_CUES, P.EMOTIONAL_CUES)
+    ok = f"(txt IS NOT NULL AND trim(txt) <> '')"
+    return f"""{name} AS (
+  SELECT *,
+    CASE WHEN txt IS NOT NULL THEN CASE WHEN pp = best THEN 'POSITIVE' WHEN nn = best THEN 'NEGATIVE' WHEN mx = best THEN 'MIXED' ELSE 'NEUTRAL' END END AS s_label,
+    CASE WHEN {ok} THEN CASE WHEN pi >= 1.0 - pi THEN 'INFORMATIVE' ELSE 'EMOTIONAL' END ELSE 'UNKNOWN' END AS c_label,
+    CASE WHEN {ok} THEN greatest(pi, 1.0 - pi) ELSE 0.0 END AS c_conf,
+    {ok} AS scorable
+  FROM (SELECT *, greatest(pp, nn, mx, nu) AS best FROM (
+    SELECT *, cast(p - least(p, n) AS double) / (p + n + 1) AS pp, cast(n - least(p, n) AS double) / (p + n + 1) AS nn,
+      cast(2 * least(p, n) AS double) / (p + n + 1) AS mx, 1.0 / (p + n + 1) AS nu,
+      (cast(ci AS double) + 0.5) / cast(ci + ce + 1 AS double) AS pi
+    FROM (SELECT *, {count_in('tk', lexicon.positive)} AS p, {count_in('tk', lexicon.negative)} AS n,
+                 {count_in('tk', inf)} AS ci, {count_in('tk', emo)} AS ce
+          FROM (SELECT *, {text_sql} AS txt, {tokens(text_sql)} AS tk FROM {source} WHERE {where})))))"""

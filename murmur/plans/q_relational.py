@@ -80,12 +80,12 @@ def q_flt_comment_quality(spark, sf):
 
 RELEVANT_SQL = (f"(length(concat(coalesce(title, ''), coalesce(selftext, ''))) >= {P.RELEVANCE_MIN_CHARS} AND "
                 + contains_any(f"lower(concat(substr(coalesce(title, ''), 1, {P.RELEVANCE_TITLE_CUT}), ' ', "
-                               f"substr(coalesce(selftext, ''), 1, {P.RELEVANCE_TEXT_CUT})))", P.RELEVANCE_TERMS) + ")")
+                               f"substr(coalesce(selftext, ''), 1, {P.RELEVANCE_TEXT_CUT})))", ING.relevance_terms) + ")")
 
 
 @query("flt_relevance", with_items(f"SELECT id FROM items WHERE type = 'post' AND {RELEVANT_SQL}"))
 def q_flt_relevance(spark, sf):
-    return flt.flt_relevance(posts(spark, sf)).select("id")
+    return flt.flt_relevance(posts(spark, sf), True, ING.relevance_terms).select("id")
 
 
 @query("flt_required_fields", with_items(
