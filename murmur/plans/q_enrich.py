@@ -1 +1,110 @@
-"""Registered queries (filled in below)."""
+"""Registered queries: scorers, reply parsers, error policies, labeling."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from murmur import params as P
+from murmur.functions import scorers as S
+from murmur.functions.text import py_strip
+from murmur.operators import labeling as L
+from murmur.operators import projections as PR
+from murmur.plans import jobs
+from murmur.plans.catalog import query
+from murmur.plans.oracle_sql import py_strip as sql_strip, scored_cte, with_items
+from murmur.plans.q_relational import (ING, LABELED_SQL, PIPE_TEXT_SQL, RELEVANT_SQL, SEARCH_TEXT_SQL,
+                                       TRAINING_ROWS_SQL, items, labeled, posts)
+from murmur.plans.q_windows import LABEL_SCORED, MERGE_SQL
+from murmur.sources.tables import table
+
+PIPE_SCORED = scored_cte("scored", "items", PIPE_TEXT_SQL)
+
+
+@query("enr_sentiment", with_items(
+    "SELECT id, s_label AS sentiment_type, pp AS positive, nn AS negative, nu AS neutral, mx AS mixed FROM scored "
+    "WHERE txt IS NOT NULL", PIPE_SCORED))
+def q_enr_sentiment(spark, sf):
+    d = items(spark, sf).withColumn("s", S.sentiment(PR.pipeline_text())).filter(F.col("s").isNotNull())
+    return d.select("id", F.col("s.Sentiment").alias("sentiment_type"),
+                    F.col("s.SentimentScore.Positive").alias("positive"),
+                    F.col("s.SentimentScore.Negative").alias("negative"),
+                    F.col("s.SentimentScore.Neutral").alias("neutral"),
+                    F.col("s.SentimentScore.Mixed").alias("mixed"))
+
+
+@query("enr_content_type", with_items(
+    "SELECT id, c_label AS classification, c_conf AS confidence, "
+    "CASE WHEN scorable THEN pi END AS p_informative, CASE WHEN scorable THEN 1.0 - pi END AS p_emotional FROM scored",
+    PIPE_SCORED))
+def q_enr_content_type(spark, sf):
+    d = items(spark, sf).withColumn("c", S.content_type(PR.pipeline_text()))
+    return d.select("id", F.col("c.Classification").alias("classification"), F.col("c.Confidence").alias("confidence"),
+                    F.col("c.Probabilities.Informative").alias("p_informative"),
+                    F.col("c.Probabilities.Emotional").alias("p_emotional"))
+
+
+SEARCH_SCORED = scored_cte("sscored", "items", SEARCH_TEXT_SQL, where=f"{sql_strip(SEARCH_TEXT_SQL)} <> ''")
+
+
+@query("enr_error_passthrough", with_items(
+    "SELECT id, CASE WHEN strlen(txt) > 5000 THEN NULL ELSE s_label END AS sentiment_type, "
+    "CASE WHEN strlen(txt) > 5000 THEN 'TextSizeLimitExceededException' END AS sentiment_error FROM sscored",
+    SEARCH_SCORED))
+def q_enr_error_passthrough(spark, sf):
+    """Search scoring: a text the scorer rejects (over 5,000 UTF-8 bytes) keeps its row, unscored;
+    blank texts are dropped."""
+    s = jobs.search_score(items(spark, sf))
+    return s.select("id", F.col("sentiment.Sentiment").alias("sentiment_type"), "sentiment_error")
+
+
+@query("enr_relevance", with_items(f"SELECT id, coalesce({RELEVANT_SQL}, false) AS relevant FROM items WHERE type = 'post'"))
+def q_enr_relevance(spark, sf):
+    return posts(spark, sf).select("id", S.relevance("title", "selftext", ING.relevance_terms).alias("relevant"))
+
+
+REPLY = sql_strip("text")
+PARSE_SQL = (f"CASE WHEN text IS NULL OR {REPLY} = '' THEN false "
+             f"WHEN starts_with({REPLY}, '{{') AND json_valid({REPLY}) THEN "
+             f"upper(coalesce(json_extract_string({REPLY}, '$.decision'), '')) = 'RELEVANT' ")
+
+
+@query("enr_parse_decision",
+       "SELECT conv_id, turn, " + PARSE_SQL + "ELSE contains(upper(" + REPLY + "), 'RELEVANT') END AS relevant, "
+       + PARSE_SQL + "ELSE regexp_matches(upper(" + REPLY + "), '(^|[^A-Z])RELEVANT') END AS relevant_strict "
+       "FROM conversations WHERE role = 'assistant'")
+def q_enr_parse_decision(spark, sf):
+    """Model replies re-aimed onto the assistant turns of ``conversations``."""
+    v = table(spark, sf, "conversations").filter(F.col("role") == "assistant")
+    r = py_strip("text")
+    return v.select("conv_id", "turn", S.parse_decision(r).alias("relevant"),
+                    S.parse_decision(r, strict=True).alias("relevant_strict"))
+
+
+@query("enr_error_policy",
+       "SELECT conv_id, turn, CASE WHEN contains(text, 'You don''t have access to the model') THEN false "
+       "WHEN contains(text, 'ThrottlingException') OR contains(text, 'Too many requests') THEN true "
+       "WHEN contains(text, 'ValidationException') THEN false ELSE true END AS keep FROM conversations WHERE role = 'system'")
+def q_enr_error_policy(spark, sf):
+    """Error messages re-aimed onto the system turns of ``conversations``."""
+    v = table(spark, sf, "conversations").filter(F.col("role") == "system")
+    return v.select("conv_id", "turn", S.error_policy("text").alias("keep"))
+
+
+@query("lbl_normalize",
+       "SELECT conv_id, turn, CASE WHEN text IS NULL THEN 'error' WHEN contains(lower(text), 'informative') THEN 'informative' "
+       "WHEN contains(lower(text), 'emotional') THEN 'emotional' ELSE 'unknown' END AS label "
+       "FROM conversations WHERE role = 'assistant'")
+def q_lbl_normalize(spark, sf):
+    v = table(spark, sf, "conversations").filter(F.col("role") == "assistant")
+    return v.select("conv_id", "turn", S.normalize_label("text").alias("label"))
+
+
+@query("lbl_ai_label", with_items(
+    MERGE_SQL.replace("SELECT id,", "SELECT id, text, existing_sentiment,", 1),
+    TRAINING_ROWS_SQL, LABELED_SQL, LABEL_SCORED))
+def q_lbl_ai_label(spark, sf):
+    return L.lbl_ai_label(labeled(spark, sf), P.RUN_TIMESTAMP).select(
+        "id", "text", "existing_sentiment", "informative_emotional_label", "labeler", "labeling_notes")
+
+
+__all__ = ["PIPE_TEXT_SQL"]
