@@ -1 +1,156 @@
-"""Registered queries (filled in below)."""
+"""Registered queries for sources and sinks. Each writes what Spark derives from the driver tables
+into a fresh folder under the shared checkpoint directory and reads it back through the source
+under test, so the whole table goes through the file format."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from murmur import params as P
+from murmur.operators import projections as PR
+from murmur.plans import jobs
+from murmur.plans.catalog import query
+from murmur.plans.oracle_sql import with_items
+from murmur.plans.q_enrich import PIPE_SCORED
+from murmur.plans.q_relational import (EXTRACT_WHERE, LABELED_SQL, TRAINING_ROWS_SQL, enriched, items, labeled)
+from murmur.plans.q_windows import INGEST_CTES
+from murmur.schema import RAW_ITEM_FIELDS
+from murmur.session import scratch_path
+from murmur.sources import files, sinks
+
+ING = P.IngestParams()
+ITEM_SQL = "SELECT type, id, post_id, title, selftext, body, url, subreddit, created_utc, score FROM items"
+ITEM_COLS = ["type", "id", "post_id", "title", "selftext", "body", "url", "subreddit", "created_utc", "score"]
+
+
+def _raw_dir(spark, sf):
+    path = scratch_path(spark, "raw-batches")
+    sinks.write_raw_batches(items(spark, sf), path, ING.batch_timestamp, ING.keywords, batch_size=500)
+    return path
+
+
+@query("src_raw_batch", with_items(ITEM_SQL))
+def q_src_raw_batch(spark, sf):
+    """Items written as wrapped batch documents and read back (wrapped and bare arrays both
+    unwrap through the same reader; see tests for the bare form)."""
+    return files.read_raw_batches(spark, _raw_dir(spark, sf), multi_line=False).select(*ITEM_COLS)
+
+
+@query("src_ndjson", with_items(
+    "SELECT id, type, subreddit, created_utc, sentiment_type, CASE WHEN sentiment_type IS NOT NULL THEN positive END AS positive, "
+    "content_type, confidence, p_informative FROM items"))
+def q_src_ndjson(spark, sf):
+    path = scratch_path(spark, "enriched-ndjson")
+    sinks.write_ndjson(enriched(spark, sf), path)
+    e = files.read_enriched(spark, path)
+    return e.select("id", "type", "subreddit", "created_utc", F.col("sentiment.Sentiment").alias("sentiment_type"),
+                    F.col("sentiment.SentimentScore.Positive").alias("positive"),
+                    F.col("content_type.Classification").alias("content_type"),
+                    F.col("content_type.Confidence").alias("confidence"),
+                    F.col("content_type.Probabilities.Informative").alias("p_informative"))
+
+
+@query("src_file_stream", with_items(ITEM_SQL))
+def q_src_file_stream(spark, sf):
+    """The raw-batch folder consumed as a file stream (availableNow, checkpointed), collected by a
+    foreachBatch sink into a table and read back."""
+    from murmur.streaming.files import drain_to_parquet
+    src = _raw_dir(spark, sf)
+    out = drain_to_parquet(files.raw_stream(spark, src, max_files=4), scratch_path(spark, "stream-out"),
+                           scratch_path(spark, "stream-ckpt"))
+    return spark.read.parquet(out).select(*ITEM_COLS)
+
+
+TRAIN_COLS = ["id", "text", "subreddit", "type", "score", "created_utc", "existing_sentiment",
+              "informative_emotional_label", "labeler", "labeling_notes"]
+
+
+@query("src_labeled_csv", with_items("SELECT * FROM labeled", TRAINING_ROWS_SQL, LABELED_SQL))
+def q_src_labeled_csv(spark, sf):
+    path = scratch_path(spark, "labeled-csv")
+    sinks.write_training_csv(labeled(spark, sf).select(*TRAIN_COLS), path)
+    return files.read_training_csv(spark, path)
+
+
+@query("src_schema_evolve", with_items(
+    f"SELECT id, type, created_utc, CASE WHEN created_utc >= {ING.mark} THEN sentiment_type END AS sentiment_type FROM items"))
+def q_src_schema_evolve(spark, sf):
+    """Rows before the mark written by an older writer without the sentiment column, later rows
+    with it; the reader unions the schemas (missing -> null) instead of failing or dropping."""
+    path = scratch_path(spark, "evolving")
+    it = items(spark, sf)
+    old = it.filter(F.col("created_utc") < ING.mark).select("id", "type", "created_utc")
+    new = it.filter(F.col("created_utc") >= ING.mark).select("id", "type", "created_utc", "sentiment_type")
+    sinks.write_evolving(old, path, "1")
+    sinks.write_evolving(new, path, "2")
+    return files.read_evolving_parquet(spark, path).select("id", "type", "created_utc", "sentiment_type")
+
+
+@query("snk_raw_batch", with_items(
+    "SELECT type, id, post_id, subreddit, score, num_comments, content_hash FROM kept_posts UNION ALL "
+    "SELECT type, id, post_id, subreddit, score, cast(NULL AS bigint) AS num_comments, content_hash FROM kept_comments",
+    *INGEST_CTES))
+def q_snk_raw_batch(spark, sf):
+    """The ingest batch written as one document with its manifest, read back."""
+    path = scratch_path(spark, "ingest-batch")
+    batch = jobs.ingest_collect(items(spark, sf), ING)
+    sinks.write_raw_batches(batch, path, ING.batch_timestamp, ING.keywords, batch_size=max(ING.budget * 10, 1000))
+    back = files.read_raw_batches(spark, path, multi_line=False)
+    return back.select("type", "id", "post_id", "subreddit", "score", "num_comments", "content_hash")
+
+
+@query("snk_ndjson", with_items(
+    "SELECT id, type, s_label AS sentiment_type, c_label AS classification, c_conf AS confidence FROM scored "
+    "WHERE coalesce(txt, '') <> ''", PIPE_SCORED))
+def q_snk_ndjson(spark, sf):
+    """Enrichment output written one JSON object per line and read back with the explicit schema."""
+    path = scratch_path(spark, "enrich-out")
+    raw = items(spark, sf).select(*[c for c in RAW_ITEM_FIELDS if c in items(spark, sf).columns])
+    sinks.write_ndjson(jobs.job_enrich(raw), path)
+    e = files.read_enriched(spark, path)
+    return e.select("id", "type", F.col("sentiment.Sentiment").alias("sentiment_type"),
+                    F.col("content_type.Classification").alias("classification"),
+                    F.col("content_type.Confidence").alias("confidence"))
+
+
+TOP_TRAIN_SQL = f"""toptrain AS (
+  SELECT * FROM (SELECT * FROM items WHERE {EXTRACT_WHERE} ORDER BY score DESC, created_utc DESC, id LIMIT 1000))"""
+
+
+@query("snk_csv", with_items(
+    TRAINING_ROWS_SQL.split("AS (", 1)[1].rsplit(")", 1)[0].replace("FROM items WHERE", "FROM toptrain WHERE", 1),
+    TOP_TRAIN_SQL))
+def q_snk_csv(spark, sf):
+    path = scratch_path(spark, "training-csv")
+    sinks.write_training_csv(jobs.job_extract_training(enriched(spark, sf)), path)
+    return files.read_training_csv(spark, path)
+
+
+@query("snk_label_snapshots", with_items(
+    "SELECT 'backup' AS snapshot, count(*) AS n_rows, count(*) FILTER (WHERE informative_emotional_label IN "
+    "('informative', 'emotional')) AS n_labeled FROM labeled UNION ALL "
+    "SELECT 'final', count(*), count(*) FILTER (WHERE scorable OR informative_emotional_label IN ('informative', 'emotional')) "
+    "FROM lab_scored", TRAINING_ROWS_SQL, LABELED_SQL,
+    __import__("murmur.plans.q_windows", fromlist=["LABEL_SCORED"]).LABEL_SCORED))
+def q_snk_label_snapshots(spark, sf):
+    before = labeled(spark, sf).select(*TRAIN_COLS)
+    after = jobs.job_label(before).table.select(*TRAIN_COLS)
+    paths = sinks.write_snapshots(before, after, scratch_path(spark, "label-snapshots"), "20240116_090000")
+    parts = [files.read_training_csv(spark, p).select(F.lit(name).alias("snapshot"), "informative_emotional_label")
+             for name, p in paths.items()]
+    u = parts[0].unionByName(parts[1])
+    return u.groupBy("snapshot").agg(F.count(F.lit(1)).alias("n_rows"),
+                                     F.count_if(F.col("informative_emotional_label").isin(*P.LABELS)).alias("n_labeled"))
+
+
+@query("snk_dashboard_doc")
+def q_snk_dashboard_doc(spark, sf):
+    return jobs.dashboard_doc(jobs.job_dashboard(enriched(spark, sf)))
+
+
+@query("snk_search_doc")
+def q_snk_search_doc(spark, sf):
+    return jobs.search_doc(jobs.job_search(items(spark, sf)))
+
+
+__all__ = ["PR"]
