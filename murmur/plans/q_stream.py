@@ -1 +1,139 @@
-"""Registered queries (filled in below)."""
+"""Registered queries: streams (drained with availableNow and compared with the batch result) and
+monitoring rollups."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from murmur import params as P
+from murmur.operators import monitor as M
+from murmur.plans.catalog import query
+from murmur.plans.oracle_sql import r6, with_items
+from murmur.plans.q_enrich import PIPE_SCORED
+from murmur.plans.q_io import ITEM_COLS, _raw_dir
+from murmur.plans.q_relational import enriched, items
+from murmur.plans.q_windows import request_log
+from murmur.schema import ENRICHED, RAW_ITEM_FIELDS
+from murmur.session import scratch_path
+from murmur.sources import files
+from murmur.sources.tables import table
+from murmur.streaming import jobs as SJ
+
+ING = P.IngestParams()
+N_ARRIVALS = 6
+
+
+def arrivals(df: DataFrame, time_col: str, path: str, fmt: str = "json", n: int = N_ARRIVALS,
+             replay_first: bool = False) -> str:
+    """Write ``df`` as ``n`` files in event-time order, one write per time slice, so a file stream
+    sees them arrive in time order (optionally the first slice again at the end, as late data).
+    Slices come from one min/max aggregate; each slice is one file."""
+    lo, hi = df.agg(F.min(time_col), F.max(time_col)).first()
+    width = (float(hi) - float(lo)) / n + 1e-6 if hi is not None else 1.0
+    sl = F.least(F.floor((F.col(time_col).cast("double") - F.lit(float(lo or 0))) / F.lit(width)), F.lit(n - 1))
+    keyed = df.withColumn("_slice", sl)
+    order = list(range(n)) + ([0] if replay_first else [])
+    for i, s in enumerate(order):
+        part = keyed.filter(F.col("_slice") == s).drop("_slice").coalesce(1)
+        part.write.mode("overwrite").format(fmt).save(f"{path}/arrival={i:04d}")
+    return path
+
+
+def _ts_num(col: str) -> F.Column:
+    return F.unix_micros(F.col(col).cast("timestamp")).cast("double") / 1e6
+
+
+@query("stm_enrich", with_items(
+    "SELECT id, type, s_label AS sentiment_type, c_label AS classification FROM scored WHERE coalesce(txt, '') <> ''",
+    PIPE_SCORED))
+def q_stm_enrich(spark, sf):
+    out = SJ.stm_enrich(files.raw_stream(spark, _raw_dir(spark, sf), max_files=2),
+                        scratch_path(spark, "stm-enrich-out"), scratch_path(spark, "stm-enrich-ckpt"))
+    e = spark.read.parquet(out)
+    return e.select("id", "type", F.col("sentiment.Sentiment").alias("sentiment_type"),
+                    F.col("content_type.Classification").alias("classification"))
+
+
+def _ingest_arrivals(spark: SparkSession, sf: str) -> str:
+    it = items(spark, sf).select(*[c for c in RAW_ITEM_FIELDS if c in items(spark, sf).columns])
+    return arrivals(it, "created_utc", scratch_path(spark, "arrivals-items"), replay_first=True)
+
+
+@query("stm_hwm_late_drop", with_items(f"SELECT {', '.join(ITEM_COLS)} FROM items"))
+def q_stm_hwm_late_drop(spark, sf):
+    """Incremental ingestion over time-ordered arrivals plus a late replay of the first slice:
+    the mark drops the replay, so every item is ingested exactly once."""
+    from murmur.schema import RAW_ITEM
+    src = _ingest_arrivals(spark, sf)
+    stream = spark.readStream.schema(RAW_ITEM).option("maxFilesPerTrigger", 1).json(src)
+    out = SJ.stm_hwm_ingest(stream, scratch_path(spark, "hwm-out"), scratch_path(spark, "hwm-mark"),
+                            scratch_path(spark, "hwm-ckpt"), initial_mark=None)
+    return spark.read.parquet(out).select(*ITEM_COLS)
+
+
+@query("stm_daily_trend", with_items("SELECT post_date, sentiment_type, count(*) AS post_count FROM items GROUP BY 1, 2"))
+def q_stm_daily_trend(spark, sf):
+    src = arrivals(enriched(spark, sf), "created_utc", scratch_path(spark, "arrivals-enriched"))
+    stream = spark.readStream.schema(ENRICHED).option("maxFilesPerTrigger", 1).json(src)
+    out = SJ.drain_update(SJ.stm_daily_trend(stream), scratch_path(spark, "trend-out"), scratch_path(spark, "trend-ckpt"))
+    return SJ.read_upserted(spark, out, ["post_date", "sentiment_type"])
+
+
+def _events_arrivals(spark: SparkSession, sf: str) -> str:
+    e = table(spark, sf, "events").withColumn("ts_s", _ts_num("ts"))
+    return arrivals(e, "ts_s", scratch_path(spark, "arrivals-events"), fmt="parquet")
+
+
+@query("stm_quota")
+def q_stm_quota(spark, sf):
+    """The hourly quota as a stateful stream over time-ordered request arrivals; equals
+    ``win_sliding_quota`` once drained."""
+    src = _events_arrivals(spark, sf)
+    schema = table(spark, sf, "events").schema.add("ts_s", "double")
+    stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src)
+              .select("event_id", "user_id", "ts_s"))
+    out = scratch_path(spark, "quota-out")
+    q = (SJ.stm_quota(stream, P.QUOTA_TEST_LIMIT).writeStream.outputMode("append")
+         .foreachBatch(__import__("murmur.streaming.files", fromlist=["batch_writer"]).batch_writer(out))
+         .option("checkpointLocation", scratch_path(spark, "quota-ckpt")).trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(out).select("event_id", "user_id", "ts_s", "accepted")
+
+
+METRIC_SQL = (f"SELECT event_type AS source, cast(floor(epoch_us(ts) / 300000000) * 300 AS bigint) AS bucket_start, "
+              f"count(*) AS n, {r6('sum(value)')} AS total_value, {r6('avg(value)')} AS avg_value FROM events GROUP BY 1, 2")
+
+
+@query("stm_metric_window", METRIC_SQL)
+def q_stm_metric_window(spark, sf):
+    src = _events_arrivals(spark, sf)
+    schema = table(spark, sf, "events").schema.add("ts_s", "double")
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src)
+    out = SJ.drain_update(SJ.stm_metric_window(stream), scratch_path(spark, "metric-out"),
+                          scratch_path(spark, "metric-ckpt"))
+    return SJ.read_upserted(spark, out, ["source", "bucket_start"])
+
+
+@query("mon_metric_series", METRIC_SQL)
+def q_mon_metric_series(spark, sf):
+    return M.metric_series(table(spark, sf, "events"), "event_type", "ts", "value", P.METRIC_PERIOD_SECONDS)
+
+
+AL = P.ALARM_TEST
+
+
+@query("mon_alarm",
+       f"WITH s AS (SELECT event_type AS source, cast(floor(epoch_us(ts) / 300000000) * 300 AS bigint) AS b, count(*) AS n "
+       f"FROM events WHERE event_type = '{AL['event_type']}' GROUP BY 1, 2), br AS (SELECT * FROM s WHERE n > {AL['threshold']}) "
+       f"SELECT source, b AS alarm_bucket_start FROM br b1 WHERE (SELECT count(*) FROM br b2 WHERE b2.source = b1.source "
+       f"AND b2.b BETWEEN b1.b - {(AL['periods'] - 1) * AL['period']} AND b1.b) = {AL['periods']}")
+def q_mon_alarm(spark, sf):
+    """Error-count alarm: more than 1 error per 300 s for 2 periods in a row (the deployed alarm is
+    Sum > 5 for 2 periods; the driver tables are sparser)."""
+    ev = table(spark, sf, "events").filter(F.col("event_type") == AL["event_type"])
+    series = M.metric_series(ev, "event_type", "ts", "value", AL["period"])
+    return M.alarm(series, "n", AL["threshold"], AL["periods"], AL["period"])
+
+
+__all__ = ["request_log"]
