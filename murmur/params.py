@@ -152,7 +152,7 @@ ALARM_TEST = dict(event_type="error", period=METRIC_PERIOD_SECONDS, threshold=1.
 @dataclass(frozen=True)
 class TrainParams:
     num_features: int = 1 << 18
-    max_iter: int = 30
+    max_iter: int = 15
     reg_param: float = 0.01
     passes: tuple = (1, 2, 3)
     seed: int = SPLIT_SEED

@@ -1 +1,110 @@
-"""Registered queries (filled in below)."""
+"""Registered queries: split, training, prediction, evaluation and metrics."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from murmur import params as P
+from murmur.functions import scorers as S
+from murmur.operators import filters as flt
+from murmur.operators import ml as ML
+from murmur.plans.catalog import query
+from murmur.plans.oracle_sql import r6, scored_cte, with_items
+from murmur.plans.q_relational import LABELED_SQL, TRAINING_ROWS_SQL, labeled
+from murmur.session import scratch_path
+
+LAB = "informative_emotional_label"
+KEEP = f"{LAB} IN ('informative', 'emotional')"
+PRED_CTES = [TRAINING_ROWS_SQL, LABELED_SQL, scored_cte("lscored", "labeled", "text", where=KEEP),
+             f"pred AS (SELECT id, {LAB} AS actual, lower(c_label) AS predicted FROM lscored)",
+             "conf AS (SELECT actual, predicted, count(*) AS n FROM pred GROUP BY 1, 2)",
+             """pc AS (SELECT cls,
+    cast(coalesce((SELECT sum(n) FROM conf WHERE actual = c.cls), 0) AS bigint) AS support,
+    cast(coalesce((SELECT sum(n) FROM conf WHERE predicted = c.cls), 0) AS double) AS npred,
+    cast(coalesce((SELECT sum(n) FROM conf WHERE actual = c.cls AND predicted = c.cls), 0) AS double) AS tp
+  FROM (SELECT actual AS cls FROM conf UNION SELECT predicted FROM conf) c)""",
+             """m AS (SELECT cls, support,
+    CASE WHEN npred = 0 THEN 0.0 ELSE tp / npred END AS precision,
+    CASE WHEN support = 0 THEN 0.0 ELSE tp / cast(support AS double) END AS recall FROM pc)""",
+             "m2 AS (SELECT *, CASE WHEN precision + recall = 0 THEN 0.0 ELSE precision * recall * 2 / (precision + recall) END AS f1 FROM m)"]
+
+
+def labeled_only(spark, sf):
+    return flt.flt_labeled(labeled(spark, sf))
+
+
+def fixed_predictions(spark, sf):
+    """A fixed predictions table: human label vs the cue-word scorer's class on the same text."""
+    d = labeled_only(spark, sf)
+    return d.select("id", F.col(LAB).alias("actual"), S.content_prediction(F.col("text"))["predicted_class"].alias("predicted"))
+
+
+@query("ml_split", with_items(
+    f"SELECT id, {LAB}, CASE WHEN row_number() OVER (PARTITION BY {LAB} ORDER BY md5(concat('{P.SPLIT_SEED}', id)), id) "
+    f"<= round({P.SPLIT_TEST_SIZE} * count(*) OVER (PARTITION BY {LAB})) THEN 'test' ELSE 'train' END AS split "
+    f"FROM labeled WHERE {KEEP}", TRAINING_ROWS_SQL, LABELED_SQL))
+def q_ml_split(spark, sf):
+    return ML.ml_split(labeled_only(spark, sf).select("id", LAB)).select("id", LAB, "split")
+
+
+@query("agg_confusion", with_items("SELECT actual, predicted, n FROM conf", *PRED_CTES[:5]))
+def q_agg_confusion(spark, sf):
+    return ML.agg_confusion(fixed_predictions(spark, sf))
+
+
+@query("agg_accuracy", with_items(
+    f"SELECT {r6('avg(CASE WHEN actual = predicted THEN 1.0 ELSE 0.0 END)')} AS accuracy FROM pred", *PRED_CTES[:4]))
+def q_agg_accuracy(spark, sf):
+    return ML.agg_accuracy(fixed_predictions(spark, sf))
+
+
+WAVG = ", ".join(f"{r6(f'coalesce(sum({m} * support) / cast(sum(support) AS double), 0.0)')} AS {m}"
+                 for m in ("precision", "recall", "f1"))
+
+
+@query("agg_prf_weighted", with_items(f"SELECT {WAVG} FROM m2", *PRED_CTES))
+def q_agg_prf_weighted(spark, sf):
+    return ML.agg_prf_weighted(ML.agg_confusion(fixed_predictions(spark, sf)))
+
+
+@query("agg_class_report", with_items(
+    f"SELECT cls AS class, {r6('precision')} AS precision, {r6('recall')} AS recall, {r6('f1')} AS f1, support FROM m2 "
+    f"UNION ALL SELECT 'macro avg', {r6('avg(precision)')}, {r6('avg(recall)')}, {r6('avg(f1)')}, cast(sum(support) AS bigint) FROM m2 "
+    f"UNION ALL SELECT 'weighted avg', {WAVG.replace(' AS precision', '').replace(' AS recall', '').replace(' AS f1', '')}, "
+    f"cast(sum(support) AS bigint) FROM m2", *PRED_CTES))
+def q_agg_class_report(spark, sf):
+    return ML.agg_class_report(ML.agg_confusion(fixed_predictions(spark, sf)))
+
+
+def _train(spark, sf, save: bool = False):
+    s = ML.ml_split(labeled_only(spark, sf)).persist()  # reused by every pass and the scoring
+    train, test = s.filter(F.col("split") == "train"), s.filter(F.col("split") == "test")
+    model, runs = ML.ml_train(train, test, P.TrainParams(), scratch_path(spark, "model") if save else None)
+    return model, runs, test
+
+
+@query("ml_train")
+def q_ml_train(spark, sf):
+    """Runs table: validation accuracy per pass with the hyperparameters (the model is saved with
+    its label map in the shared folder)."""
+    return _train(spark, sf, save=True)[1]
+
+
+@query("agg_best_epoch")
+def q_agg_best_epoch(spark, sf):
+    return ML.agg_best_epoch(_train(spark, sf)[1])
+
+
+@query("ml_predict")
+def q_ml_predict(spark, sf):
+    model, _, test = _train(spark, sf)
+    p = ML.ml_predict(model, test)
+    return p.select("id", "predicted_class", "confidence", F.col("probabilities.informative").alias("p_informative"),
+                    F.col("probabilities.emotional").alias("p_emotional"))
+
+
+@query("ml_evaluate")
+def q_ml_evaluate(spark, sf):
+    model, _, test = _train(spark, sf)
+    p = ML.ml_predict(model, test).select(F.col(LAB).alias("actual"), F.col("predicted_class").alias("predicted"))
+    return ML.evaluate(p)
