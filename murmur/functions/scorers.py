@@ -66,7 +66,10 @@ def scoring_error(text) -> Column:
 def content_prediction(text, informative=P.INFORMATIVE_CUES, emotional=P.EMOTIONAL_CUES) -> Column:
     """Text -> model-style prediction struct<predicted_class, confidence, probabilities<informative, emotional>>."""
     t = tokens(text)
-    i, e = count_in(t, informative), count_in(t, emotional)
+    return prediction_from_counts(count_in(t, informative), count_in(t, emotional))
+
+
+def prediction_from_counts(i: Column, e: Column) -> Column:
     pi = (i.cast("double") + 0.5) / (i + e + 1).cast("double")
     pe = F.lit(1.0) - pi
     cls = F.when(pi >= pe, F.lit(P.LABELS[0])).otherwise(F.lit(P.LABELS[1]))
@@ -143,3 +146,32 @@ def normalize_label(reply) -> Column:
             .when(F.contains(r, F.lit("informative")), F.lit("informative"))
             .when(F.contains(r, F.lit("emotional")), F.lit("emotional"))
             .otherwise(F.lit("unknown")))
+
+
+def score_columns(df, text: Column, *, sentiment_out: str | None = None, content_out: str | None = None,
+                  prediction_out: str | None = None, lexicon: P.Lexicon = P.Lexicon(),
+                  classifier_enabled: bool = True):
+    """DataFrame form of the scorers, the one to use in jobs: the token array is built once per
+    text and the word counts are materialised in their own columns before the score formulas use
+    them. (The Column forms above repeat the count expression in every branch, and expressions
+    with lambdas are not shared by subexpression elimination: about 2.5x slower.)"""
+    d = df.withColumn("_tk", tokens(text))
+    cols = []
+    if sentiment_out:
+        d = d.withColumn("_sp", count_in(F.col("_tk"), lexicon.positive)).withColumn(
+            "_sn", count_in(F.col("_tk"), lexicon.negative))
+        cols += ["_sp", "_sn"]
+    if content_out or prediction_out:
+        d = d.withColumn("_ci", count_in(F.col("_tk"), P.INFORMATIVE_CUES)).withColumn(
+            "_ce", count_in(F.col("_tk"), P.EMOTIONAL_CUES))
+        cols += ["_ci", "_ce"]
+    d = d.drop("_tk")
+    if sentiment_out:
+        d = d.withColumn(sentiment_out, F.when(text.isNotNull(), sentiment_from_counts(F.col("_sp"), F.col("_sn"))))
+    if content_out or prediction_out:
+        pred = prediction_from_counts(F.col("_ci"), F.col("_ce"))
+        if prediction_out:
+            d = d.withColumn(prediction_out, pred)
+        if content_out:
+            d = d.withColumn(content_out, class_fallback(class_result(pred), scoring_error(text), classifier_enabled))
+    return d.drop(*cols)

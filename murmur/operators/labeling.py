@@ -50,9 +50,10 @@ def labeled_table(rows: DataFrame, labels: DataFrame) -> DataFrame:
 def label_replies(df: DataFrame, text: str = "text") -> DataFrame:
     """The labeler's reply for each row: the content scorer's class on the text cut to 800
     (stand-in for the hosted model), or null when the text cannot be scored."""
-    t = F.substring(F.col(text), 1, P.LABEL_TEXT_CUT)
-    pred = S.content_prediction(t)["predicted_class"]
-    return df.withColumn("reply", F.when(S.scoring_error(t).isNull(), pred))
+    d = S.score_columns(df.withColumn("_lt", F.substring(F.col(text), 1, P.LABEL_TEXT_CUT)), F.col("_lt"),
+                        prediction_out="_pred")
+    return d.withColumn("reply", F.when(S.scoring_error(F.col("_lt")).isNull(), F.col("_pred.predicted_class"))).drop(
+        "_lt", "_pred")
 
 
 def lbl_ai_label(table_df: DataFrame, run_timestamp: str = P.RUN_TIMESTAMP) -> DataFrame:

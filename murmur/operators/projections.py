@@ -149,5 +149,6 @@ def prj_split_list(df: DataFrame, s: str, out: str = "item") -> DataFrame:
 def with_pipeline_scores(df: DataFrame, classifier_enabled: bool = True) -> DataFrame:
     """Enrichment: sentiment + content type on the pipeline text, computed in place."""
     t = pipeline_text()
-    return (df.withColumn("sentiment", S.sentiment(t))
-              .withColumn("content_type", S.content_type(t, classifier_enabled)))
+    d = S.score_columns(df.withColumn("_pt", t), F.col("_pt"), sentiment_out="sentiment", content_out="content_type",
+                        classifier_enabled=classifier_enabled)
+    return d.drop("_pt")

@@ -108,9 +108,8 @@ def job_enrich(raw_items: DataFrame, lexicon: P.Lexicon = P.Lexicon(), classifie
     """Raw items -> enriched rows: pipeline text, drop empty, sentiment + content type in place."""
     d = raw_items.withColumn("_text", PR.pipeline_text())
     d = flt.flt_nonempty_text(d, "_text")
-    return (d.withColumn("sentiment", S.sentiment(F.col("_text"), lexicon))
-             .withColumn("content_type", S.content_type(F.col("_text"), classifier_enabled))
-             .drop("_text"))
+    return S.score_columns(d, F.col("_text"), sentiment_out="sentiment", content_out="content_type",
+                           lexicon=lexicon, classifier_enabled=classifier_enabled).drop("_text")
 
 
 # ------------------------------------------------------------------------------ dashboard
@@ -192,9 +191,9 @@ def search_score(collected: DataFrame, lexicon: P.Lexicon = P.Lexicon()) -> Data
     """Search text -> sentiment; blank text drops the item, a scorer error keeps it unscored."""
     d = collected.withColumn("_st", PR.search_text())
     d = d.filter(flt.py_strip(F.col("_st")) != "")
-    err = search_scorer_error(F.col("_st"))
-    return (d.withColumn("sentiment_error", err)
-             .withColumn("sentiment", F.when(err.isNull(), S.sentiment(F.col("_st"), lexicon))).drop("_st"))
+    d = S.score_columns(d.withColumn("sentiment_error", search_scorer_error(F.col("_st"))), F.col("_st"),
+                        sentiment_out="_s", lexicon=lexicon)
+    return d.withColumn("sentiment", F.when(F.col("sentiment_error").isNull(), F.col("_s"))).drop("_st", "_s")
 
 
 def collection_order(communities=None) -> list[Column]:

@@ -24,7 +24,8 @@ PIPE_SCORED = scored_cte("scored", "items", PIPE_TEXT_SQL)
     "SELECT id, s_label AS sentiment_type, pp AS positive, nn AS negative, nu AS neutral, mx AS mixed FROM scored "
     "WHERE txt IS NOT NULL", PIPE_SCORED))
 def q_enr_sentiment(spark, sf):
-    d = items(spark, sf).withColumn("s", S.sentiment(PR.pipeline_text())).filter(F.col("s").isNotNull())
+    d = S.score_columns(items(spark, sf).withColumn("_t", PR.pipeline_text()), F.col("_t"),
+                        sentiment_out="s").filter(F.col("s").isNotNull())
     return d.select("id", F.col("s.Sentiment").alias("sentiment_type"),
                     F.col("s.SentimentScore.Positive").alias("positive"),
                     F.col("s.SentimentScore.Negative").alias("negative"),
@@ -37,7 +38,7 @@ def q_enr_sentiment(spark, sf):
     "CASE WHEN scorable THEN pi END AS p_informative, CASE WHEN scorable THEN 1.0 - pi END AS p_emotional FROM scored",
     PIPE_SCORED))
 def q_enr_content_type(spark, sf):
-    d = items(spark, sf).withColumn("c", S.content_type(PR.pipeline_text()))
+    d = S.score_columns(items(spark, sf).withColumn("_t", PR.pipeline_text()), F.col("_t"), content_out="c")
     return d.select("id", F.col("c.Classification").alias("classification"), F.col("c.Confidence").alias("confidence"),
                     F.col("c.Probabilities.Informative").alias("p_informative"),
                     F.col("c.Probabilities.Emotional").alias("p_emotional"))

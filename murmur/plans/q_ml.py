@@ -36,7 +36,8 @@ def labeled_only(spark, sf):
 def fixed_predictions(spark, sf):
     """A fixed predictions table: human label vs the cue-word scorer's class on the same text."""
     d = labeled_only(spark, sf)
-    return d.select("id", F.col(LAB).alias("actual"), S.content_prediction(F.col("text"))["predicted_class"].alias("predicted"))
+    d = S.score_columns(d, F.col("text"), prediction_out="_pred")
+    return d.select("id", F.col(LAB).alias("actual"), F.col("_pred.predicted_class").alias("predicted"))
 
 
 @query("ml_split", with_items(

@@ -338,7 +338,8 @@ CT_PRED_CTE = f"""pred AS (
     CT_PRED_CTE))
 def q_prj_class_result(spark, sf):
     d = items(spark, sf).withColumn("text", PR.pipeline_text()).filter(F.col("text").isNotNull())
-    r = S.class_result(S.content_prediction(F.col("text")))
+    d = S.score_columns(d, F.col("text"), prediction_out="_pred")
+    r = S.class_result(F.col("_pred"))
     return d.select("id", r["Classification"].alias("classification"), r["Confidence"].alias("confidence"),
                     r["Probabilities"]["Informative"].alias("p_informative"),
                     r["Probabilities"]["Emotional"].alias("p_emotional"))
@@ -349,7 +350,7 @@ def q_prj_class_result(spark, sf):
     "CASE WHEN text IS NULL OR trim(text) = '' THEN 0.0 ELSE greatest(pi, 1.0 - pi) END AS confidence, "
     "CASE WHEN text IS NULL OR trim(text) = '' THEN 'empty text' END AS error FROM pred", CT_PRED_CTE))
 def q_prj_class_fallback(spark, sf):
-    d = items(spark, sf).withColumn("ct", S.content_type(PR.pipeline_text()))
+    d = S.score_columns(items(spark, sf).withColumn("_t", PR.pipeline_text()), F.col("_t"), content_out="ct")
     return d.select("id", F.col("ct.Classification").alias("classification"),
                     F.col("ct.Confidence").alias("confidence"), F.col("ct.Error").alias("error"))
 
@@ -517,7 +518,8 @@ SEARCH_SENT_CTE = f"""scored AS (
 def search_scored(spark, sf):
     """Items of the search timeframe with the search text scored (unscorable -> no sentiment)."""
     d = flt.flt_timeframe(items(spark, sf), TF_HOURS, SRCH.as_of).withColumn("st", PR.search_text())
-    return d.withColumn("sentiment", F.when(S.scoring_error(F.col("st")).isNull(), S.sentiment(F.col("st"), LEX)))
+    d = S.score_columns(d, F.col("st"), sentiment_out="_s", lexicon=LEX)
+    return d.withColumn("sentiment", F.when(S.scoring_error(F.col("st")).isNull(), F.col("_s"))).drop("_s")
 
 
 @query("agg_summary", with_items(

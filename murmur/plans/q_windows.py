@@ -149,7 +149,8 @@ def q_join_enrichment(spark, sf):
     projection of the table rather than the rows in place)."""
     it = items(spark, sf)
     t = PR.pipeline_text()
-    scores = it.select("id", S.sentiment(t).alias("sentiment"), S.content_type(t).alias("content_type"))
+    scores = S.score_columns(it.select("id", t.alias("_t")), F.col("_t"), sentiment_out="sentiment",
+                             content_out="content_type").drop("_t")
     return J.join_enrichment(it.select("id", "type"), scores).select(
         "id", "type", F.col("sentiment.Sentiment").alias("sentiment_type"),
         F.col("content_type.Classification").alias("classification"))
