@@ -24,20 +24,25 @@ ING = P.IngestParams()
 N_ARRIVALS = 6
 
 
-def arrivals(df: DataFrame, time_col: str, path: str, fmt: str = "json", n: int = N_ARRIVALS,
+def arrivals(df: DataFrame, time_col: str, path: str, run_once, fmt: str = "json", n: int = N_ARRIVALS,
              replay_first: bool = False) -> str:
-    """Write ``df`` as ``n`` files in event-time order, one write per time slice, so a file stream
-    sees them arrive in time order (optionally the first slice again at the end, as late data).
-    Slices come from one min/max aggregate; each slice is one file."""
+    """Feed ``df`` to a file stream in ``n`` event-time slices: one parallel write stages every
+    slice, then each slice is copied into the watched folder (in parallel) and the stream runs
+    once with availableNow, restarting from its checkpoint, so every slice is one micro-batch in
+    time order (optionally the first slice again at the end, as late data). Slice bounds come
+    from one min/max aggregate; no slice is funnelled through a single task."""
     lo, hi = df.agg(F.min(time_col), F.max(time_col)).first()
     width = (float(hi) - float(lo)) / n + 1e-6 if hi is not None else 1.0
     sl = F.least(F.floor((F.col(time_col).cast("double") - F.lit(float(lo or 0))) / F.lit(width)), F.lit(n - 1))
-    keyed = df.withColumn("_slice", sl)
+    staging, src = f"{path}/staging", f"{path}/arrivals"
+    df.withColumn("_slice", sl.cast("int")).write.mode("overwrite").partitionBy("_slice").format(fmt).save(staging)
+    spark = df.sparkSession
     order = list(range(n)) + ([0] if replay_first else [])
     for i, s in enumerate(order):
-        part = keyed.filter(F.col("_slice") == s).drop("_slice").coalesce(1)
-        part.write.mode("overwrite").format(fmt).save(f"{path}/arrival={i:04d}")
-    return path
+        part = spark.read.schema(df.schema).format(fmt).load(f"{staging}/_slice={s}")
+        part.write.mode("overwrite").format(fmt).save(f"{src}/arrival={i:04d}")
+        run_once(src)
+    return src
 
 
 def _ts_num(col: str) -> F.Column:
@@ -55,49 +60,53 @@ def q_stm_enrich(spark, sf):
                     F.col("content_type.Classification").alias("classification"))
 
 
-def _ingest_arrivals(spark: SparkSession, sf: str) -> str:
-    it = items(spark, sf).select(*[c for c in RAW_ITEM_FIELDS if c in items(spark, sf).columns])
-    return arrivals(it, "created_utc", scratch_path(spark, "arrivals-items"), replay_first=True)
-
-
 @query("stm_hwm_late_drop", with_items(f"SELECT {', '.join(ITEM_COLS)} FROM items"))
 def q_stm_hwm_late_drop(spark, sf):
     """Incremental ingestion over time-ordered arrivals plus a late replay of the first slice:
     the mark drops the replay, so every item is ingested exactly once."""
     from murmur.schema import RAW_ITEM
-    src = _ingest_arrivals(spark, sf)
-    stream = spark.readStream.schema(RAW_ITEM).option("maxFilesPerTrigger", 1).json(src)
-    out = SJ.stm_hwm_ingest(stream, scratch_path(spark, "hwm-out"), scratch_path(spark, "hwm-mark"),
-                            scratch_path(spark, "hwm-ckpt"), initial_mark=None)
+    it = items(spark, sf)
+    it = it.select(*[c for c in RAW_ITEM_FIELDS if c in it.columns])
+    out, mark, ckpt = scratch_path(spark, "hwm-out"), scratch_path(spark, "hwm-mark"), scratch_path(spark, "hwm-ckpt")
+
+    def run_once(src):
+        SJ.stm_hwm_ingest(spark.readStream.schema(RAW_ITEM).json(src), out, mark, ckpt, initial_mark=None)
+
+    arrivals(it, "created_utc", scratch_path(spark, "arrivals-items"), run_once, replay_first=True)
     return spark.read.parquet(out).select(*ITEM_COLS)
 
 
 @query("stm_daily_trend", with_items("SELECT post_date, sentiment_type, count(*) AS post_count FROM items GROUP BY 1, 2"))
 def q_stm_daily_trend(spark, sf):
-    src = arrivals(enriched(spark, sf), "created_utc", scratch_path(spark, "arrivals-enriched"))
-    stream = spark.readStream.schema(ENRICHED).option("maxFilesPerTrigger", 1).json(src)
-    out = SJ.drain_update(SJ.stm_daily_trend(stream), scratch_path(spark, "trend-out"), scratch_path(spark, "trend-ckpt"))
+    e = enriched(spark, sf)
+    out, ckpt = scratch_path(spark, "trend-out"), scratch_path(spark, "trend-ckpt")
+
+    def run_once(src):
+        SJ.drain_update(SJ.stm_daily_trend(spark.readStream.schema(ENRICHED).json(src)), out, ckpt)
+
+    arrivals(e, "created_utc", scratch_path(spark, "arrivals-enriched"), run_once)
     return SJ.read_upserted(spark, out, ["post_date", "sentiment_type"])
 
 
-def _events_arrivals(spark: SparkSession, sf: str) -> str:
-    e = table(spark, sf, "events").withColumn("ts_s", _ts_num("ts"))
-    return arrivals(e, "ts_s", scratch_path(spark, "arrivals-events"), fmt="parquet")
+def _events(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "events").withColumn("ts_s", _ts_num("ts"))
 
 
 @query("stm_quota")
 def q_stm_quota(spark, sf):
-    """The hourly quota as a stateful stream over time-ordered request arrivals; equals
-    ``win_sliding_quota`` once drained."""
-    src = _events_arrivals(spark, sf)
-    schema = table(spark, sf, "events").schema.add("ts_s", "double")
-    stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src)
-              .select("event_id", "user_id", "ts_s"))
-    out = scratch_path(spark, "quota-out")
-    q = (SJ.stm_quota(stream, P.QUOTA_TEST_LIMIT).writeStream.outputMode("append")
-         .foreachBatch(__import__("murmur.streaming.files", fromlist=["batch_writer"]).batch_writer(out))
-         .option("checkpointLocation", scratch_path(spark, "quota-ckpt")).trigger(availableNow=True).start())
-    q.awaitTermination()
+    """The hourly quota as a stateful stream over time-ordered request arrivals (one micro-batch
+    per slice, restarting from the checkpoint each time); equals ``win_sliding_quota``."""
+    from murmur.streaming.files import batch_writer
+    ev = _events(spark, sf)
+    out, ckpt = scratch_path(spark, "quota-out"), scratch_path(spark, "quota-ckpt")
+
+    def run_once(src):
+        stream = spark.readStream.schema(ev.schema).parquet(src).select("event_id", "user_id", "ts_s")
+        q = (SJ.stm_quota(stream, P.QUOTA_TEST_LIMIT).writeStream.outputMode("append").foreachBatch(batch_writer(out))
+             .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
+        q.awaitTermination()
+
+    arrivals(ev, "ts_s", scratch_path(spark, "arrivals-events"), run_once, fmt="parquet")
     return spark.read.parquet(out).select("event_id", "user_id", "ts_s", "accepted")
 
 
@@ -107,11 +116,13 @@ METRIC_SQL = (f"SELECT event_type AS source, cast(floor(epoch_us(ts) / 300000000
 
 @query("stm_metric_window", METRIC_SQL)
 def q_stm_metric_window(spark, sf):
-    src = _events_arrivals(spark, sf)
-    schema = table(spark, sf, "events").schema.add("ts_s", "double")
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src)
-    out = SJ.drain_update(SJ.stm_metric_window(stream), scratch_path(spark, "metric-out"),
-                          scratch_path(spark, "metric-ckpt"))
+    ev = _events(spark, sf)
+    out, ckpt = scratch_path(spark, "metric-out"), scratch_path(spark, "metric-ckpt")
+
+    def run_once(src):
+        SJ.drain_update(SJ.stm_metric_window(spark.readStream.schema(ev.schema).parquet(src)), out, ckpt)
+
+    arrivals(ev, "ts_s", scratch_path(spark, "arrivals-events"), run_once, fmt="parquet")
     return SJ.read_upserted(spark, out, ["source", "bucket_start"])
 
 
