@@ -110,12 +110,11 @@ def agg_combined_totals(trend: DataFrame) -> DataFrame:
 def agg_trend_pivot(trend: DataFrame) -> DataFrame:
     """Day x {Positive, Negative, Neutral} counts, missing -> 0. Fixed pivot values skip the
     extra distinct-values job."""
-    p = (trend.filter(F.col("sentiment_type").isin(*P.CHART_SENTIMENTS))
-         .groupBy("post_date").pivot("sentiment_type", P.CHART_SENTIMENTS).agg(F.sum("post_count")))
-    days = trend.select("post_date").distinct()
-    out = days.join(p, "post_date", "left")
-    return out.select("post_date", *[F.coalesce(F.col(s), F.lit(0)).cast("bigint").alias(s.lower())
-                                     for s in P.CHART_SENTIMENTS])
+    # the plan Catalyst makes for pivot with fixed values (conditional sums), kept as one aggregate so
+    # days holding none of the three labels still get their zero row without a second pass + join
+    return trend.groupBy("post_date").agg(*[
+        F.coalesce(F.sum(F.when(F.col("sentiment_type") == s, F.col("post_count"))), F.lit(0)).cast("bigint")
+        .alias(s.lower()) for s in P.CHART_SENTIMENTS])
 
 
 def agg_summary(df: DataFrame, sentiment_col: str = "sentiment") -> DataFrame:

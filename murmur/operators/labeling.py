@@ -59,9 +59,17 @@ def label_replies(df: DataFrame, text: str = "text") -> DataFrame:
 def lbl_ai_label(table_df: DataFrame, run_timestamp: str = P.RUN_TIMESTAMP) -> DataFrame:
     """Label the unlabeled rows and merge back: informative / emotional get the labeler and a note,
     anything else becomes needs_review with the error labeler. Labeled rows stay as they are."""
-    todo = label_replies(flt.flt_unlabeled(table_df)).select(
-        "id", S.normalize_label(F.col("reply")).alias("new_label"))
-    return join_label_merge(table_df, todo, run_timestamp)
+    # in place (one pass over the table): only unlabeled rows are scored and changed
+    unl = F.coalesce(F.col(LABEL), F.lit("")) == ""
+    d = label_replies(table_df.withColumn("_todo_text", F.when(unl, F.col("text"))), "_todo_text")
+    new = F.when(unl, S.normalize_label(F.col("reply")))
+    ok = new.isin(*P.LABELS)
+    return d.select(
+        *[c for c in table_df.columns if c not in (LABEL, "labeler", "labeling_notes")],
+        F.when(unl & ok, new).when(unl, F.lit(P.LABEL_NEEDS_REVIEW)).otherwise(F.col(LABEL)).alias(LABEL),
+        F.when(unl & ok, F.lit(P.LABELER_OK)).when(unl, F.lit(P.LABELER_ERROR)).otherwise(F.col("labeler")).alias("labeler"),
+        F.when(unl & ok, F.lit(f"AI labeled on {run_timestamp}")).otherwise(F.col("labeling_notes")).alias("labeling_notes"),
+        unl.alias("processed_this_run"))
 
 
 def join_label_merge(all_rows: DataFrame, scored: DataFrame, run_timestamp: str = P.RUN_TIMESTAMP) -> DataFrame:

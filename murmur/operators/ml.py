@@ -132,10 +132,14 @@ def agg_accuracy(pred: DataFrame, actual: str = "actual", predicted: str = "pred
 
 def per_class(confusion: DataFrame) -> DataFrame:
     """Per class of actual ∪ predicted: precision, recall, F1 and support (0 when undefined)."""
-    tp = confusion.filter(F.col("actual") == F.col("predicted")).select(F.col("actual").alias("cls"), F.col("n").alias("tp"))
-    sup = confusion.groupBy(F.col("actual").alias("cls")).agg(F.sum("n").alias("support"))
-    npred = confusion.groupBy(F.col("predicted").alias("cls")).agg(F.sum("n").alias("npred"))
-    c = sup.join(npred, "cls", "full").join(tp, "cls", "left").fillna(0, ["support", "npred", "tp"])
+    # one pass: each confusion cell adds to its actual class (support, tp) and its predicted class
+    contrib = F.explode(F.array(
+        F.struct(F.col("actual").alias("cls"), F.col("n").alias("support"), F.lit(0).cast("bigint").alias("npred"),
+                 F.when(F.col("actual") == F.col("predicted"), F.col("n")).otherwise(F.lit(0)).alias("tp")),
+        F.struct(F.col("predicted").alias("cls"), F.lit(0).cast("bigint").alias("support"), F.col("n").alias("npred"),
+                 F.lit(0).cast("bigint").alias("tp"))))
+    c = (confusion.select(contrib.alias("c")).groupBy("c.cls")
+         .agg(F.sum("c.support").alias("support"), F.sum("c.npred").alias("npred"), F.sum("c.tp").alias("tp")))
     prec = F.coalesce(F.try_divide(F.col("tp").cast("double"), F.col("npred").cast("double")), F.lit(0.0))
     rec = F.coalesce(F.try_divide(F.col("tp").cast("double"), F.col("support").cast("double")), F.lit(0.0))
     c = c.withColumn("precision", prec).withColumn("recall", rec)
@@ -151,7 +155,8 @@ def agg_prf_weighted(confusion: DataFrame) -> DataFrame:
 
 
 def agg_class_report(confusion: DataFrame) -> DataFrame:
-    pc = per_class(confusion)
+    from murmur.session import cut_lineage
+    pc = cut_lineage(per_class(confusion))  # classes x 5 numbers, read by three branches
     rows = pc.select(F.col("cls").alias("class"), *[r6(F.col(m)).alias(m) for m in ("precision", "recall", "f1")],
                      "support")
     tot = F.sum("support")

@@ -18,6 +18,7 @@ from murmur.operators import labeling as L
 from murmur.operators import projections as PR
 from murmur.operators import windows as WN
 from murmur.operators.topk import top_recent
+from murmur.session import cut_lineage
 
 BATCH_COLUMNS = ["type", "id", "post_id", "title", "selftext", "body", "url", "subreddit", "created_utc",
                  "score", "num_comments", "content_hash"]
@@ -58,12 +59,14 @@ def ingest_accepted(examined: DataFrame, p: P.IngestParams) -> DataFrame:
     return flt.flt_required_fields(PR.prj_content_hash(examined.filter(acc)))
 
 
-def ingest_collect(items: DataFrame, p: P.IngestParams = P.IngestParams()) -> DataFrame:
-    """Accepted posts with their quality comments, cut to the item budget, sanitized."""
+def ingest_candidates(items: DataFrame, p: P.IngestParams = P.IngestParams()):
+    """(accepted posts with n_items / num_comments, their comments, the quality predicate)."""
     examined = ingest_examined(items, p)
-    accepted = ingest_accepted(examined, p)
+    # accepted posts (<= N per community) and their comments feed four branches below: materialise
+    # them once instead of re-running the table scans and joins behind them in every branch
+    accepted = cut_lineage(ingest_accepted(examined, p))
     comments = items.filter(F.col("type") == "comment")
-    linked = J.join_comments_of_accepted(accepted, comments)
+    linked = cut_lineage(J.join_comments_of_accepted(accepted, comments))
     quality = flt.comment_quality(p.min_comment_score, p.min_comment_length)
     counts = linked.groupBy(F.col("post_id").alias("_pid")).agg(
         F.count(F.lit(1)).alias("num_comments"), F.count_if(quality).alias("_kept"))
@@ -71,6 +74,12 @@ def ingest_collect(items: DataFrame, p: P.IngestParams = P.IngestParams()) -> Da
                .withColumn("num_comments", F.coalesce("num_comments", F.lit(0)).cast("bigint"))
                .withColumn("n_items", F.lit(1) + F.coalesce("_kept", F.lit(0)))
                .drop("_pid", "_kept"))
+    return posts_n, linked, quality
+
+
+def ingest_collect(items: DataFrame, p: P.IngestParams = P.IngestParams()) -> DataFrame:
+    """Accepted posts with their quality comments, cut to the item budget, sanitized."""
+    posts_n, linked, quality = ingest_candidates(items, p)
     kept_posts = WN.item_budget(posts_n, p.budget, community_rank(p.communities))
     kept_comments = (flt.flt_required_fields(PR.prj_content_hash(linked.filter(quality)))
                      .join(kept_posts.select(F.col("id").alias("post_id")), "post_id", "left_semi"))
@@ -166,11 +175,11 @@ def search_collect(items: DataFrame, p: P.SearchParams = P.SearchParams()) -> Da
     posts = WN.newest_per_group(posts, "subreddit", p.newest_per_community)
     posts = flt.flt_timeframe(posts, hours, p.as_of)
     posts = posts.filter(F.contains(flt.post_text(), F.lit(ticker.lower())))
-    posts = posts.filter(~flt.has_ignored(p.ignore_keywords) & (F.col("score") >= p.min_post_score)
-                         & (F.length(F.coalesce(F.col("selftext"), F.lit(""))) >= p.min_post_length))
+    posts = cut_lineage(posts.filter(~flt.has_ignored(p.ignore_keywords) & (F.col("score") >= p.min_post_score)
+                                     & (F.length(F.coalesce(F.col("selftext"), F.lit(""))) >= p.min_post_length)))
     comments = WN.comment_cap(J.join_comments_of_accepted(posts, items.filter(F.col("type") == "comment")),
                               p.comments_per_post)
-    comments = comments.filter(flt.comment_quality(p.min_comment_score, p.min_comment_length))
+    comments = cut_lineage(comments.filter(flt.comment_quality(p.min_comment_score, p.min_comment_length)))
     counts = comments.groupBy(F.col("post_id").alias("_pid")).agg(F.count(F.lit(1)).alias("_kept"))
     posts_n = (posts.join(counts, posts.id == counts._pid, "left")
                .withColumn("n_items", F.lit(1) + F.coalesce("_kept", F.lit(0))).drop("_pid", "_kept"))

@@ -74,13 +74,7 @@ def q_agg_filter_funnel(spark, sf):
 
 @query("win_item_budget", with_items("SELECT id, n_items, items_before FROM kept_posts", *INGEST_CTES[:7]))
 def q_win_item_budget(spark, sf):
-    it = items(spark, sf)
-    acc = jobs.ingest_accepted(jobs.ingest_examined(it, ING), ING)
-    linked = J.join_comments_of_accepted(acc, it.filter(F.col("type") == "comment"))
-    q = (F.col("score") >= ING.min_comment_score) & (F.length(F.coalesce("body", F.lit(""))) >= ING.min_comment_length)
-    counts = linked.groupBy(F.col("post_id").alias("_pid")).agg(F.count_if(q).alias("_kept"))
-    posts_n = (acc.join(counts, acc.id == counts._pid, "left")
-               .withColumn("n_items", F.lit(1) + F.coalesce("_kept", F.lit(0))))
+    posts_n, _, _ = jobs.ingest_candidates(items(spark, sf), ING)
     return WN.item_budget(posts_n, ING.budget).select("id", "n_items", "items_before")
 
 
@@ -169,7 +163,11 @@ FROM lab_scored"""
 
 @query("join_label_merge", with_items(MERGE_SQL, TRAINING_ROWS_SQL, LABELED_SQL, LABEL_SCORED))
 def q_join_label_merge(spark, sf):
-    return L.lbl_ai_label(labeled(spark, sf), P.RUN_TIMESTAMP).select(
+    """Labels scored as a separate frame (the unlabeled rows only), written back by id."""
+    tbl = labeled(spark, sf)
+    from murmur.operators import filters as flt
+    scored = L.label_replies(flt.flt_unlabeled(tbl)).select("id", S.normalize_label(F.col("reply")).alias("new_label"))
+    return L.join_label_merge(tbl, scored, P.RUN_TIMESTAMP).select(
         "id", "informative_emotional_label", "labeler", "labeling_notes")
 
 

@@ -65,3 +65,11 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder (never machine-local on a cluster)."""
     return f"{checkpoint_root(spark)}/murmur/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def cut_lineage(df):
+    """Materialise a *bounded* intermediate that several branches reuse (accepted posts, their
+    comments, a confusion table): a reliable checkpoint into the shared checkpoint folder, so the
+    big scans behind it run once and a lost executor re-reads the files instead of recomputing."""
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)
