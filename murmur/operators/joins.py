@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from murmur.operators import filters as flt
 from murmur.operators.projections import post_date
 
 # A ticker list is configuration (a comma string of symbols): its size is bounded by the
@@ -64,6 +63,3 @@ def dedup_ids(new_items: DataFrame, seen_ids: DataFrame) -> DataFrame:
     """Drop items already ingested (left anti join on id)."""
     return new_items.join(seen_ids.select("id").distinct(), "id", "left_anti")
 
-
-__all__ = ["join_ticker_mentions", "agg_mentions_trend", "join_comments_of_accepted", "join_enrichment",
-           "dedup_ids", "flt"]

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections import deque
 
-import pandas as pd
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -61,24 +61,47 @@ def daily_quota(requests: DataFrame, key: str, ts: str, quota: int = P.DAILY_QUO
             .filter(F.col("request_no") <= quota).withColumn("day", day))
 
 
+def quota_segment(carried: list, ts: np.ndarray, limit: int, window_s: float) -> tuple[np.ndarray, list]:
+    """Accept flags for one client's requests ``ts`` (sorted), given the accepted timestamps
+    ``carried`` from earlier rows; returns (flags, accepted timestamps still in the window).
+
+    Fast path (vectorised): when no ``limit + 1`` requests fall inside one window, i.e.
+    ts[i] - ts[i - limit] >= window for the carried + new sequence, every request is accepted.
+    Only clients that really overflow walk their rows one by one."""
+    seq = np.concatenate([np.asarray(carried, dtype="float64"), ts])
+    if len(seq) <= limit or bool(np.all(seq[limit:] - seq[:-limit] >= window_s)):
+        acc = np.ones(len(ts), dtype=bool)
+        kept = seq[seq > seq[-1] - window_s][-limit:] if len(seq) else seq
+        return acc, [float(x) for x in kept]
+    kept = deque(float(x) for x in carried)
+    acc = np.zeros(len(ts), dtype=bool)
+    for i, t in enumerate(ts.tolist()):
+        while kept and not (kept[0] > t - window_s):
+            kept.popleft()
+        if len(kept) < limit:
+            kept.append(t)
+            acc[i] = True
+    return acc, list(kept)
+
+
 def _quota_partitions(limit: int, window_s: float, key: str, ts: str):
-    """mapInPandas body: rows arrive sorted by (key, ts); carry the accepted timestamps of the
-    current key (at most ``limit`` of them) across batches."""
+    """mapInPandas body: rows arrive sorted by (key, ts); each batch is cut into per-client
+    segments, and the accepted timestamps of the current client (at most ``limit``) carry over
+    to the next batch."""
     def run(batches):
-        cur, kept = None, deque()
+        cur, carried = None, []
         for pdf in batches:
+            if pdf.empty:
+                continue
             keys = pdf[key].to_numpy()
             tss = pdf[ts].to_numpy(dtype="float64")
-            acc = [False] * len(pdf)
-            for i in range(len(pdf)):
-                k, t = keys[i], tss[i]
+            acc = np.zeros(len(pdf), dtype=bool)
+            starts = np.concatenate([[0], np.flatnonzero(keys[1:] != keys[:-1]) + 1, [len(pdf)]])
+            for a, b in zip(starts[:-1], starts[1:]):
+                k = keys[a]
                 if k != cur:
-                    cur, kept = k, deque()
-                while kept and not (kept[0] > t - window_s):
-                    kept.popleft()
-                if len(kept) < limit:
-                    kept.append(t)
-                    acc[i] = True
+                    cur, carried = k, []
+                acc[a:b], carried = quota_segment(carried, tss[a:b], limit, window_s)
             yield pdf.assign(accepted=acc)
     return run
 
@@ -108,6 +131,3 @@ def quota_reference(rows: list[tuple], limit: int, window_s: float = 3600.0) ->
         out.append(ok)
     return out
 
-
-__all__ = ["newest_per_group", "comment_cap", "item_budget", "daily_quota", "sliding_quota",
-           "quota_reference", "pd"]

@@ -107,5 +107,3 @@ def q_lbl_ai_label(spark, sf):
     return L.lbl_ai_label(labeled(spark, sf), P.RUN_TIMESTAMP).select(
         "id", "text", "existing_sentiment", "informative_emotional_label", "labeler", "labeling_notes")
 
-
-__all__ = ["PIPE_TEXT_SQL"]

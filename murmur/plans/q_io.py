@@ -7,13 +7,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from murmur import params as P
-from murmur.operators import projections as PR
 from murmur.plans import jobs
 from murmur.plans.catalog import query
 from murmur.plans.oracle_sql import with_items
 from murmur.plans.q_enrich import PIPE_SCORED
 from murmur.plans.q_relational import (EXTRACT_WHERE, LABELED_SQL, TRAINING_ROWS_SQL, enriched, items, labeled)
-from murmur.plans.q_windows import INGEST_CTES
+from murmur.plans.q_windows import INGEST_CTES, LABEL_SCORED
 from murmur.schema import RAW_ITEM_FIELDS
 from murmur.session import scratch_path
 from murmur.sources import files, sinks
@@ -130,8 +129,7 @@ def q_snk_csv(spark, sf):
     "SELECT 'backup' AS snapshot, count(*) AS n_rows, count(*) FILTER (WHERE informative_emotional_label IN "
     "('informative', 'emotional')) AS n_labeled FROM labeled UNION ALL "
     "SELECT 'final', count(*), count(*) FILTER (WHERE scorable OR informative_emotional_label IN ('informative', 'emotional')) "
-    "FROM lab_scored", TRAINING_ROWS_SQL, LABELED_SQL,
-    __import__("murmur.plans.q_windows", fromlist=["LABEL_SCORED"]).LABEL_SCORED))
+    "FROM lab_scored", TRAINING_ROWS_SQL, LABELED_SQL, LABEL_SCORED))
 def q_snk_label_snapshots(spark, sf):
     before = labeled(spark, sf).select(*TRAIN_COLS)
     after = jobs.job_label(before).table.select(*TRAIN_COLS)
@@ -152,5 +150,3 @@ def q_snk_dashboard_doc(spark, sf):
 def q_snk_search_doc(spark, sf):
     return jobs.search_doc(jobs.job_search(items(spark, sf)))
 
-
-__all__ = ["PR"]

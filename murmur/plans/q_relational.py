@@ -13,7 +13,7 @@ from murmur.operators import joins as J
 from murmur.operators import labeling as L
 from murmur.operators import projections as PR
 from murmur.plans.catalog import query
-from murmur.plans.oracle_sql import (WS, clean_text, contains_any, count_in, lit_list, py_strip as sql_strip, r6,
+from murmur.plans.oracle_sql import (clean_text, contains_any, count_in, lit_list, py_strip as sql_strip, r6,
                                      tokens, with_items)
 from murmur.sources import adapter
 

@@ -13,7 +13,6 @@ from murmur.plans.oracle_sql import r6, with_items
 from murmur.plans.q_enrich import PIPE_SCORED
 from murmur.plans.q_io import ITEM_COLS, _raw_dir
 from murmur.plans.q_relational import enriched, items
-from murmur.plans.q_windows import request_log
 from murmur.schema import ENRICHED, RAW_ITEM_FIELDS
 from murmur.session import scratch_path
 from murmur.sources import files
@@ -146,5 +145,3 @@ def q_mon_alarm(spark, sf):
     series = M.metric_series(ev, "event_type", "ts", "value", AL["period"])
     return M.alarm(series, "n", AL["threshold"], AL["periods"], AL["period"])
 
-
-__all__ = ["request_log"]

@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from murmur import params as P
 from murmur.functions import scorers as S
-from murmur.operators import aggregations as A
 from murmur.operators import dedup as D
 from murmur.operators import joins as J
 from murmur.operators import labeling as L
@@ -14,9 +13,9 @@ from murmur.operators import projections as PR
 from murmur.operators import windows as WN
 from murmur.plans import jobs
 from murmur.plans.catalog import query
-from murmur.plans.oracle_sql import contains_any, lit_list, scored_cte, with_items
+from murmur.plans.oracle_sql import contains_any, scored_cte, with_items
 from murmur.plans.q_relational import (HASH_SQL, LABELED_SQL, PIPE_TEXT_SQL, POST_TEXT_SQL, RELEVANT_SQL,
-                                       TRAINING_ROWS_SQL, enriched, items, labeled, posts)
+                                       TRAINING_ROWS_SQL, items, labeled, posts)
 from murmur.sources.tables import table
 
 ING = P.IngestParams()
@@ -189,5 +188,3 @@ def q_agg_batch_manifest(spark, sf):
     return m.select("timestamp", "total_items", F.array_join("processed_subreddits", ",").alias("processed_subreddits"),
                     F.array_join("keywords", ",").alias("keywords"))
 
-
-__all__ = ["A", "lit_list", "enriched"]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from murmur.schema import ENRICHED, RAW_BATCH_READ, RAW_ITEM, RAW_ITEM_FIELDS, TRAINING
+from murmur.schema import ENRICHED, RAW_BATCH_READ, RAW_ITEM_FIELDS, TRAINING
 
 
 def unwrap_batches(docs: DataFrame) -> DataFrame:
@@ -51,6 +51,3 @@ def raw_stream(spark: SparkSession, path: str, multi_line: bool = False, max_fil
         r = r.option("maxFilesPerTrigger", max_files)
     return unwrap_batches(r.json(path))
 
-
-__all__ = ["RAW_ITEM", "read_raw_batches", "read_enriched", "read_training_csv", "read_evolving_parquet",
-           "raw_stream", "unwrap_batches"]

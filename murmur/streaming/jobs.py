@@ -13,6 +13,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from murmur import params as P
 from murmur.plans import jobs
 from murmur.operators.aggregations import r6
+from murmur.operators.windows import quota_segment
 from murmur.streaming.files import batch_writer
 
 
@@ -107,14 +108,7 @@ def _quota_fn(limit: int, window_s: float):
     def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         kept = [float(x) for x in state.get[0]] if state.exists else []
         pdf = pd.concat(list(pdfs), ignore_index=True).sort_values(["ts_s", "event_id"], kind="stable")
-        acc = []
-        for t in pdf["ts_s"].astype("float64").tolist():
-            kept = [x for x in kept if x > t - window_s]
-            if len(kept) < limit:
-                kept.append(t)
-                acc.append(True)
-            else:
-                acc.append(False)
+        acc, kept = quota_segment(kept, pdf["ts_s"].to_numpy(dtype="float64"), limit, window_s)
         state.update(([float(x) for x in kept],))
         if len(pdf):
             # idle clients expire once the watermark passes their last request + the window

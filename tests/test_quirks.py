@@ -163,3 +163,27 @@ def test_sentiment_lexicon_ties(spark):
     for g in got:
         sc = g.SentimentScore
         assert abs(sc.Positive + sc.Negative + sc.Neutral + sc.Mixed - 1.0) < 1e-12
+
+
+def test_corrupt_batch_record_does_not_fail_the_read(spark, tmp_dir):
+    os.makedirs(f"{tmp_dir}/mixed")
+    good = {"metadata": {"timestamp": "t"}, "data": [{"type": "post", "id": "p1", "subreddit": "a",
+                                                      "created_utc": 1.0, "score": 1}]}
+    with open(f"{tmp_dir}/mixed/part.json", "w") as f:
+        f.write(json.dumps(good) + "\n" + "{not json\n" + json.dumps([{"type": "comment", "id": "c1"}]) + "\n")
+    got = files.read_raw_batches(spark, f"{tmp_dir}/mixed", multi_line=False).collect()
+    assert sorted(r.id for r in got) == ["c1", "p1"]  # the bad line is skipped, the rest read
+
+
+def test_quota_fast_path_matches_row_walk():
+    import random
+
+    import numpy as np
+    rnd = random.Random(7)
+    for _ in range(500):
+        limit = rnd.randint(1, 5)
+        ts = sorted(rnd.uniform(0, 30000) for _ in range(rnd.randint(1, 40)))
+        cut = rnd.randint(0, len(ts))
+        a, carried = WN.quota_segment([], np.array(ts[:cut]), limit, 3600.0)
+        b, _ = WN.quota_segment(carried, np.array(ts[cut:]), limit, 3600.0)
+        assert list(a) + list(b) == WN.quota_reference([(1, t) for t in ts], limit)
