@@ -35,7 +35,7 @@ comments AS (
     cast(50 + v.turn * 5 AS double) / 100 AS confidence
   FROM conversations v JOIN posts p ON p.id = concat('p', cast(v.conv_id AS varchar))),
 items AS (
-  SELECT *, greatest(0.0, 1.0 - positive - negative) AS neutral, 0.0 AS mixed,
+  SELECT *, greatest(0.0, 1.0 - positive - negative) AS neutral, cast(0.0 AS double) AS mixed,
     CASE content_type WHEN 'INFORMATIVE' THEN confidence WHEN 'EMOTIONAL' THEN 1.0 - confidence END AS p_informative,
     CASE content_type WHEN 'INFORMATIVE' THEN 1.0 - confidence WHEN 'EMOTIONAL' THEN confidence END AS p_emotional,
     cast(make_timestamp(created_us) AS date) AS post_date
