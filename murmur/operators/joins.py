@@ -31,11 +31,13 @@ def join_ticker_mentions(items: DataFrame, tickers, columns=("title", "selftext"
         toks = F.array_distinct(F.concat(*[F.split(F.upper(F.coalesce(F.col(c), F.lit(""))), "[^A-Z0-9.]+")
                                            for c in columns]))
         return items.select("*", F.explode(toks).alias("ticker")).join(F.broadcast(tk), "ticker", "inner")
+    # upper-case each text once per item, not once per (item, ticker) pair inside the join
+    up = items.select("*", *[F.upper(F.col(c)).alias(f"_u{i}") for i, c in enumerate(columns)])
     cond = None
-    for c in columns:
-        p = F.coalesce(F.contains(F.upper(items[c]), tk["ticker"]), F.lit(False))
+    for i in range(len(columns)):
+        p = F.coalesce(F.contains(up[f"_u{i}"], tk["ticker"]), F.lit(False))
         cond = p if cond is None else cond | p
-    return items.join(F.broadcast(tk), cond, "inner")
+    return up.join(F.broadcast(tk), cond, "inner").drop(*[f"_u{i}" for i in range(len(columns))])
 
 
 def agg_mentions_trend(enriched: DataFrame, tickers) -> DataFrame:
@@ -60,6 +62,6 @@ def join_enrichment(items: DataFrame, scores: DataFrame) -> DataFrame:
 
 
 def dedup_ids(new_items: DataFrame, seen_ids: DataFrame) -> DataFrame:
-    """Drop items already ingested (left anti join on id)."""
-    return new_items.join(seen_ids.select("id").distinct(), "id", "left_anti")
+    """Drop items already ingested (left anti join on id; the seen side needs no distinct)."""
+    return new_items.join(seen_ids.select("id"), "id", "left_anti")
 
