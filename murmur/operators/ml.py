@@ -155,17 +155,21 @@ def agg_prf_weighted(confusion: DataFrame) -> DataFrame:
 
 
 def agg_class_report(confusion: DataFrame) -> DataFrame:
-    from murmur.session import cut_lineage
-    pc = cut_lineage(per_class(confusion))  # classes x 5 numbers, read by three branches
-    rows = pc.select(F.col("cls").alias("class"), *[r6(F.col(m)).alias(m) for m in ("precision", "recall", "f1")],
-                     "support")
+    """Per-class rows plus macro and weighted averages, in one aggregate: every class row is sent
+    to its own report key and to the two average keys."""
+    pc = per_class(confusion)
+    keys = F.explode(F.array(F.struct(F.col("cls").alias("k"), F.lit("class").alias("kind")),
+                             F.struct(F.lit("macro avg").alias("k"), F.lit("macro").alias("kind")),
+                             F.struct(F.lit("weighted avg").alias("k"), F.lit("weighted").alias("kind"))))
+    d = pc.select(keys.alias("r"), "precision", "recall", "f1", "support")
     tot = F.sum("support")
-    macro = pc.agg(F.lit("macro avg").alias("class"), *[r6(F.avg(m)).alias(m) for m in ("precision", "recall", "f1")],
-                   tot.cast("bigint").alias("support"))
-    weighted = pc.agg(F.lit("weighted avg").alias("class"), *[
-        r6(F.coalesce(F.try_divide(F.sum(F.col(m) * F.col("support")), tot.cast("double")), F.lit(0.0))).alias(m)
-        for m in ("precision", "recall", "f1")], tot.cast("bigint").alias("support"))
-    return rows.unionByName(macro).unionByName(weighted)
+
+    def metric(m: str) -> Column:
+        weighted = F.coalesce(F.try_divide(F.sum(F.col(m) * F.col("support")), tot.cast("double")), F.lit(0.0))
+        return r6(F.when(F.first("r.kind") == "weighted", weighted).otherwise(F.avg(m))).alias(m)
+
+    return d.groupBy(F.col("r.k").alias("class")).agg(
+        *[metric(m) for m in ("precision", "recall", "f1")], tot.cast("bigint").alias("support"))
 
 
 def agg_best_epoch(runs: DataFrame) -> DataFrame:
