@@ -39,6 +39,17 @@ def read_training_csv(spark: SparkSession, path: str) -> DataFrame:
             .option("escape", '"').option("quote", '"').option("nullValue", NULL_TOKEN).csv(path))
 
 
+def read_enriched_table(spark: SparkSession, path: str, since: float | None = None) -> DataFrame:
+    """The day-partitioned enriched table; ``since`` (a mark, epoch seconds) becomes both the row
+    filter and an explicit partition bound on ``post_date`` (Catalyst cannot derive the day bound
+    from the ``created_utc`` predicate by itself)."""
+    d = spark.read.parquet(path)
+    if since is None:
+        return d
+    day = F.to_date(F.timestamp_seconds(F.lit(float(since))))
+    return d.filter((F.col("post_date") >= day) & (F.col("created_utc") >= F.lit(float(since))))
+
+
 def read_evolving_parquet(spark: SparkSession, path: str) -> DataFrame:
     """Parquet written by several schema versions: columns are the union, missing ones null."""
     return spark.read.option("mergeSchema", True).parquet(path)

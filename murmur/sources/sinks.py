@@ -57,3 +57,13 @@ def write_snapshots(before: DataFrame, after: DataFrame, path: str, stamp: str)
 def write_evolving(df: DataFrame, path: str, version: str) -> None:
     """Append one schema version as its own partition directory."""
     df.write.mode("overwrite").parquet(f"{path}/version={version}")
+
+
+def write_enriched_table(df: DataFrame, path: str, partition_cols=("post_date",)) -> None:
+    """The enriched table as Parquet partitioned by UTC day (``post_date`` added when missing), so
+    day and mark filters prune whole directories; rows sorted by time inside each file keep the
+    row-group min/max of ``created_utc`` tight for the remaining pushdown."""
+    from murmur.functions.text import epoch_to_day
+    d = df if "post_date" in df.columns else df.withColumn("post_date", epoch_to_day("created_utc"))
+    (d.repartition(*partition_cols).sortWithinPartitions(*partition_cols, "created_utc")
+     .write.mode("overwrite").partitionBy(*partition_cols).parquet(path))

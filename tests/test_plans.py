@@ -61,3 +61,15 @@ def test_no_cartesian_product(spark):
         if name.startswith(("ml_", "stm_", "src_", "snk_", "job_train", "agg_best")):
             continue
         assert "CartesianProduct" not in plan(spark, name), name
+
+
+def test_mark_prunes_day_partitions(spark, tmp_dir):
+    from murmur.sources import adapter, files, sinks
+    sinks.write_enriched_table(adapter.enriched(spark, SF0001), f"{tmp_dir}/enriched")
+    d = files.read_enriched_table(spark, f"{tmp_dir}/enriched", since=1704153600.0)
+    txt = formatted(d.select("id"))
+    import re
+    assert re.search(r"PartitionFilters: \[isnotnull\(post_date#\d+\), \(post_date#\d+ >= 2024-01-02\)\]", txt), txt
+    assert "PushedFilters: [IsNotNull(created_utc), GreaterThanOrEqual(created_utc,1.7041536E9)]" in txt
+    all_rows = adapter.items(spark, SF0001).filter("created_utc >= 1704153600.0").count()
+    assert d.count() == all_rows
