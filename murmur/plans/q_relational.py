@@ -599,9 +599,9 @@ def q_srt_trend_days(spark, sf):
 
 @query("set_union_items", with_items("SELECT type, id, post_id, subreddit FROM items"))
 def q_set_union_items(spark, sf):
-    p = adapter.posts(spark, sf, keep_doc_id=True)
-    c = adapter.comments(spark, sf, p).select("type", "id", "post_id", "body", "subreddit")
-    return p.drop("doc_id").select("type", "id", "title", "subreddit").unionByName(c, allowMissingColumns=True).select(
+    p = adapter.posts(spark, sf).select("type", "id", "title", "subreddit")
+    c = adapter.comments(spark, sf).select("type", "id", "post_id", "body", "subreddit")
+    return p.unionByName(c, allowMissingColumns=True).select(
         "type", "id", "post_id", "subreddit")
 
 

@@ -56,8 +56,22 @@ def posts(spark: SparkSession, sf_dir: str, keep_doc_id: bool = False) -> DataFr
     return j.select(*cols)
 
 
+def post_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a comment takes from its post: id, url, community, time. Only documents x events:
+    the labels join of ``posts`` is on a key of ``labels`` (one row per document), so leaving it
+    out changes no row, and saves a full join at scale."""
+    d = table(spark, sf_dir, "documents").select("doc_id", "source")
+    e = table(spark, sf_dir, "events").select("event_id", "ts")
+    doc = F.col("doc_id").cast("string")
+    return d.join(e, e.event_id == d.doc_id * 5, "inner").select(
+        "doc_id", F.concat(F.lit("p"), doc).alias("id"),
+        F.when(F.col("doc_id") % 2 == 0, F.concat(F.lit("https://example.com/"), "source", F.lit("/"), doc))
+         .otherwise(F.concat(F.lit("/r/"), "source", F.lit("/"), doc)).alias("url"),
+        F.col("source").alias("subreddit"), F.unix_micros(F.col("ts").cast("timestamp")).alias("created_us"))
+
+
 def comments(spark: SparkSession, sf_dir: str, post_df: DataFrame | None = None) -> DataFrame:
-    p = (post_df if post_df is not None else posts(spark, sf_dir, keep_doc_id=True)).select(
+    p = (post_df if post_df is not None else post_keys(spark, sf_dir)).select(
         "doc_id", F.col("id").alias("p_id"), F.col("url").alias("p_url"),
         F.col("subreddit").alias("p_sub"), F.col("created_us").alias("p_us"))
     v = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -89,8 +103,7 @@ def comments(spark: SparkSession, sf_dir: str, post_df: DataFrame | None = None)
 
 def items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Posts and comments in one frame (``type`` tells them apart)."""
-    p = posts(spark, sf_dir, keep_doc_id=True)
-    return p.drop("doc_id").unionByName(comments(spark, sf_dir, p))
+    return posts(spark, sf_dir).unionByName(comments(spark, sf_dir))
 
 
 def with_scores(df: DataFrame) -> DataFrame:

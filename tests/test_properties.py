@@ -108,3 +108,22 @@ def test_random_rows_dedup_keeps_earliest(spark):
     for h in "abc":
         best = min((t, i) for i, hh, t in rows if hh == h)
         assert got[h] == best[1]
+
+
+@settings(max_examples=20, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from("abcd"), st.integers(0, 10**6), st.integers(1, 6)), min_size=1, max_size=40,
+                unique_by=lambda x: x[1]), st.integers(1, 25))
+def test_budget_equals_sequential_collection(spark, posts, budget):
+    """Two-level distributed prefix sum == the original's loop (communities in order, newest first,
+    stop once the collected count reaches the budget)."""
+    rows = [(c, f"p{t}", float(t), n) for c, t, n in posts]
+    d = spark.createDataFrame(rows, "subreddit string, id string, created_utc double, n_items bigint")
+    got = {r.id for r in WN.item_budget(d, budget).collect()}
+    want, collected = set(), 0
+    for c in sorted({r[0] for r in rows}):
+        for _, i, _, n in sorted([r for r in rows if r[0] == c], key=lambda r: (-r[2], r[1])):
+            if collected >= budget:
+                break
+            want.add(i)
+            collected += n
+    assert got == want
