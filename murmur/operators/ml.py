@@ -9,6 +9,7 @@ nothing is collected but a handful of numbers.
 from __future__ import annotations
 
 import json
+import math
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
@@ -23,6 +24,7 @@ from murmur.operators.aggregations import r6
 from murmur.operators.projections import index_label, label_index
 
 LABEL = "informative_emotional_label"
+ROWS_PER_TRAIN_PARTITION = 100_000
 BUCKET_BITS = 16  # the hash space is cut into 2^16 buckets to find each label's split point
 
 
@@ -83,7 +85,11 @@ def ml_train(train: DataFrame, valid: DataFrame, p: P.TrainParams = P.TrainParam
     hyperparameters). The feature frame is persisted while the passes iterate over it."""
     train = train.withColumn("label_index", label_index(F.col(LABEL)).cast("double"))
     feats = feature_pipeline(p).fit(train)
-    ftrain = feats.transform(train).select("_features", "label_index").persist()
+    cached = feats.transform(train).select("_features", "label_index").persist()
+    # every optimizer iteration tree-aggregates a dense num_features gradient from each partition:
+    # size the partitions to the rows (about ROWS_PER_TRAIN_PARTITION each), never more than there are
+    n_rows = cached.count()
+    ftrain = cached.coalesce(max(1, min(cached.rdd.getNumPartitions(), math.ceil(n_rows / ROWS_PER_TRAIN_PARTITION))))
     runs, models = [], {}
     per_pass = max(1, p.max_iter // max(p.passes))
     try:
@@ -94,7 +100,7 @@ def ml_train(train: DataFrame, valid: DataFrame, p: P.TrainParams = P.TrainParam
                                                            F.col("predicted_class").alias("predicted"))).first()["accuracy"]
             runs.append((k, float(acc or 0.0), per_pass * k, p.reg_param, p.num_features))
     finally:
-        ftrain.unpersist()
+        cached.unpersist()
     spark = train.sparkSession
     runs_df = spark.createDataFrame(runs, "epoch int, accuracy double, max_iter int, reg_param double, num_features int")
     best = agg_best_epoch(runs_df).first()["epoch"]

@@ -77,18 +77,27 @@ def q_agg_class_report(spark, sf):
     return ML.agg_class_report(ML.agg_confusion(fixed_predictions(spark, sf)))
 
 
-def _train(spark, sf, save: bool = False):
-    s = ML.ml_split(labeled_only(spark, sf)).persist()  # reused by every pass and the scoring
-    train, test = s.filter(F.col("split") == "train"), s.filter(F.col("split") == "test")
-    model, runs = ML.ml_train(train, test, P.TrainParams(), scratch_path(spark, "model") if save else None)
-    return model, runs, test
+_TRAINED: dict = {}
+
+
+def _train(spark, sf, save: bool = True):
+    """Split, fit and keep the model for this application and scale: like the original, training
+    runs once and later reports (prediction, evaluation, best pass) reuse the saved pipeline."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _TRAINED:
+        s = ML.ml_split(labeled_only(spark, sf)).persist()  # reused by every pass and the scoring
+        train, test = s.filter(F.col("split") == "train"), s.filter(F.col("split") == "test")
+        path = scratch_path(spark, "model") if save else None
+        model, runs = ML.ml_train(train, test, P.TrainParams(), path)
+        _TRAINED[key] = (model, runs.persist(), test)
+    return _TRAINED[key]
 
 
 @query("ml_train")
 def q_ml_train(spark, sf):
     """Runs table: validation accuracy per pass with the hyperparameters (the model is saved with
     its label map in the shared folder)."""
-    return _train(spark, sf, save=True)[1]
+    return _train(spark, sf)[1]
 
 
 @query("agg_best_epoch")
