@@ -12,6 +12,17 @@ from murmur.operators.projections import post_date
 MAX_BROADCAST_TICKERS = 100_000
 
 
+def ticker_list(spark, keywords: str | None) -> DataFrame:
+    """The configured comma list -> (ticker, source): trimmed, non-blank items in list order; an
+    unset list falls back to the default symbols, tagged as such."""
+    from murmur import params as P
+    from murmur.functions.text import split_list
+    if not keywords:
+        return spark.createDataFrame([(t, "fallback_default") for t in P.FALLBACK_TICKERS], "ticker string, source string")
+    cfg = spark.createDataFrame([(keywords,)], "keywords string")
+    return cfg.select(F.explode(split_list("keywords")).alias("ticker"), F.lit("configured").alias("source"))
+
+
 def ticker_frame(spark, tickers) -> DataFrame:
     ts = sorted({t.strip().upper() for t in tickers if t and t.strip()})
     if len(ts) > MAX_BROADCAST_TICKERS:

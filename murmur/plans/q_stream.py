@@ -13,6 +13,7 @@ from murmur.plans.oracle_sql import r6, with_items
 from murmur.plans.q_enrich import PIPE_SCORED
 from murmur.plans.q_io import ITEM_COLS, _raw_dir
 from murmur.plans.q_relational import enriched, items
+from murmur.plans.q_windows import QUOTA1_SQL
 from murmur.schema import ENRICHED, RAW_ITEM_FIELDS
 from murmur.session import scratch_path
 from murmur.sources import files
@@ -91,7 +92,7 @@ def _events(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "events").withColumn("ts_s", _ts_num("ts"))
 
 
-@query("stm_quota")
+@query("stm_quota", QUOTA1_SQL)
 def q_stm_quota(spark, sf):
     """The hourly quota as a stateful stream over time-ordered request arrivals (one micro-batch
     per slice, restarting from the checkpoint each time); equals ``win_sliding_quota``."""

@@ -98,7 +98,22 @@ def request_log(spark, sf):
     return e.select("event_id", "user_id", (F.unix_micros(F.col("ts").cast("timestamp")).cast("double") / 1e6).alias("ts_s"))
 
 
-@query("win_sliding_quota")
+# With limit 1 the accepted-only state is the last accepted time, so a recursive CTE walks each
+# client's requests in order (a request is accepted unless the last accepted one is newer than an hour).
+QUOTA1_SQL = """WITH RECURSIVE ev AS (
+  SELECT event_id, user_id, cast(epoch_us(ts) AS double) / 1000000 AS ts_s,
+    row_number() OVER (PARTITION BY user_id ORDER BY cast(epoch_us(ts) AS double) / 1000000, event_id) AS rn FROM events),
+r AS (
+  SELECT event_id, user_id, ts_s, rn, true AS accepted, ts_s AS last_acc FROM ev WHERE rn = 1
+  UNION ALL
+  SELECT e.event_id, e.user_id, e.ts_s, e.rn, NOT (r.last_acc > e.ts_s - 3600) AS accepted,
+    CASE WHEN NOT (r.last_acc > e.ts_s - 3600) THEN e.ts_s ELSE r.last_acc END AS last_acc
+  FROM r JOIN ev e ON e.user_id = r.user_id AND e.rn = r.rn + 1)
+SELECT event_id, user_id, ts_s, accepted FROM r"""
+assert P.QUOTA_TEST_LIMIT == 1
+
+
+@query("win_sliding_quota", QUOTA1_SQL)
 def q_win_sliding_quota(spark, sf):
     """Hourly quota per client (limit 1 on the driver tables, so it actually refuses)."""
     return WN.sliding_quota(request_log(spark, sf), "user_id", "ts_s", P.QUOTA_TEST_LIMIT)

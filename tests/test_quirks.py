@@ -187,3 +187,19 @@ def test_quota_fast_path_matches_row_walk():
         a, carried = WN.quota_segment([], np.array(ts[:cut]), limit, 3600.0)
         b, _ = WN.quota_segment(carried, np.array(ts[cut:]), limit, 3600.0)
         assert list(a) + list(b) == WN.quota_reference([(1, t) for t in ts], limit)
+
+
+def test_ticker_list_parsing_and_fallback(spark):
+    from murmur.operators.joins import ticker_list
+    got = [(r.ticker, r.source) for r in ticker_list(spark, " AAPL, ,MSFT ,BRK.B,").collect()]
+    assert got == [("AAPL", "configured"), ("MSFT", "configured"), ("BRK.B", "configured")]
+    fb = ticker_list(spark, None).collect()
+    assert [r.ticker for r in fb] == P.FALLBACK_TICKERS and {r.source for r in fb} == {"fallback_default"}
+
+
+def test_word_mode_mentions(spark):
+    from murmur.operators.joins import join_ticker_mentions
+    d = spark.createDataFrame([("p1", "MITIGATE risk", ""), ("p2", "mit and gnu", "")], "id string, title string, selftext string")
+    sub = sorted((r.id, r.ticker) for r in join_ticker_mentions(d, ["MIT"]).collect())
+    word = sorted((r.id, r.ticker) for r in join_ticker_mentions(d, ["MIT"], match="word").collect())
+    assert sub == [("p1", "MIT"), ("p2", "MIT")] and word == [("p2", "MIT")]
