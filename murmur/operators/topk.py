@@ -15,7 +15,7 @@ def top_recent(enriched: DataFrame, ticker: str = "ALL", item_type: str = "all",
     d = flt.flt_item_type(flt.flt_ticker(enriched, ticker), item_type)
     return (d.orderBy(F.col("created_utc").desc(), F.col("id")).limit(n)
             .select("id", display_text().alias("display_text"), "subreddit",
-                    F.col("sentiment.Sentiment").alias("sentiment_type"), "url", "type"))
+                    F.col("sentiment.Sentiment").alias("sentiment_type"), "url", "type", "created_utc"))
 
 
 def srt_rollup(rollup: DataFrame) -> DataFrame:

@@ -146,10 +146,15 @@ def dashboard_doc(d: Dashboard, p: P.DashboardParams = P.DashboardParams()) -> D
     t = d.trend.select(F.struct(F.col("post_date").cast("string").alias("post_date"), "sentiment_type",
                                 "post_count").alias("_t"), F.lit(None).cast(
         "struct<display_text:string,subreddit:string,sentiment_type:string,url:string,type:string>").alias("_r"))
+    fields = ["display_text", "subreddit", "sentiment_type", "url", "type"]
     r = d.recent.select(F.lit(None).cast("struct<post_date:string,sentiment_type:string,post_count:bigint>").alias("_t"),
-                        F.struct("display_text", "subreddit", "sentiment_type", "url", "type").alias("_r"))
-    # one small union, one aggregate: both lists land in the same single row (collect_list skips nulls)
-    doc = t.unionByName(r).agg(F.collect_list("_t").alias("trend_data"), F.collect_list("_r").alias("posts_data"))
+                        F.struct((-F.col("created_utc")).alias("k"), F.col("id").alias("k2"), *fields).alias("_r"))
+    t = t.withColumn("_r", F.lit(None).cast(r.schema["_r"].dataType))
+    # one small union, one aggregate: both lists land in the same single row (collect_list skips nulls),
+    # sorted so the document does not depend on task order: days ascending, recent rows newest first
+    doc = t.unionByName(r).agg(F.array_sort(F.collect_list("_t")).alias("trend_data"),
+                               F.transform(F.array_sort(F.collect_list("_r")),
+                                           lambda x: F.struct(*[x[f].alias(f) for f in fields])).alias("posts_data"))
     meta = F.struct(F.lit(p.ticker).alias("ticker"), F.lit(p.item_type).alias("content_type"),
                     F.size("trend_data").alias("trend_count"), F.size("posts_data").alias("posts_count"))
     return doc.select(F.size("trend_data").alias("trend_rows"), F.size("posts_data").alias("recent_rows"),
@@ -231,14 +236,20 @@ def job_search(items: DataFrame, p: P.SearchParams = P.SearchParams(), lexicon:
 
 def search_doc(r: SearchResult, p: P.SearchParams = P.SearchParams()) -> DataFrame:
     """Response document: ticker, timeframe, summary and the first 20 items (or the no-results form)."""
-    sample = r.sample.select(F.struct("type", "id", "post_id", "subreddit", "created_utc", "score",
+    fields = ["type", "id", "post_id", "subreddit", "created_utc", "score", "sentiment"]
+    rank = community_rank(p.communities)
+    keys = [(rank if rank is not None else F.lit(0)).alias("k0"), F.col("subreddit").alias("k1"),
+            (-F.col("_post_created")).alias("k2"), F.col("_post_id").alias("k3"), F.col("_is_comment").alias("k4"),
+            F.col("comment_rank").alias("k5")]
+    sample = r.sample.select(F.struct(*keys, "type", "id", "post_id", "subreddit", "created_utc", "score",
                                       F.col("sentiment.Sentiment").alias("sentiment")).alias("_d"))
     summ = r.summary.select(F.struct("total_items", "posts", "comments", "average_score",
                                      "timeframe_coverage").alias("_s"))
     both = (summ.select("_s", F.lit(None).cast(sample.schema["_d"].dataType).alias("_d"))
             .unionByName(sample.select(F.lit(None).cast(summ.schema["_s"].dataType).alias("_s"), "_d")))
-    doc = both.agg(F.first("_s", ignorenulls=True).alias("_s"), F.collect_list("_d").alias("data")).select(
-        F.col("_s.*"), "data")
+    # the first 20 items in collection order, whatever order the tasks delivered them in
+    data = F.transform(F.array_sort(F.collect_list("_d")), lambda x: F.struct(*[x[f].alias(f) for f in fields]))
+    doc = both.agg(F.first("_s", ignorenulls=True).alias("_s"), data.alias("data")).select(F.col("_s.*"), "data")
     msg = F.when(F.col("total_items") == 0,
                  F.lit("No relevant posts found for this ticker in the specified timeframe."))
     return doc.select("total_items", F.to_json(F.struct(

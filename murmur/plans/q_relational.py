@@ -573,7 +573,7 @@ def q_agg_label_distribution(spark, sf):
     "ORDER BY created_utc DESC, id LIMIT 20"))
 def q_top_recent(spark, sf):
     from murmur.operators.topk import top_recent
-    return top_recent(enriched(spark, sf))
+    return top_recent(enriched(spark, sf)).drop("created_utc")
 
 
 @query("top_extraction", with_items(

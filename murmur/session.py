@@ -56,6 +56,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         d = None
     d = d or spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is unset: name a folder every executor can reach")
         d = tempfile.mkdtemp(prefix="murmur-ckpt-")
         sc.setCheckpointDir(d)
         d = sc.getCheckpointDir() or d
