@@ -116,18 +116,20 @@ def relevance(title, selftext, terms=P.RELEVANCE_TERMS) -> Column:
 
 
 def parse_decision(reply, strict: bool = False) -> Column:
-    """Model reply -> relevant? JSON {"decision": ...} equal to RELEVANT; a non-JSON reply counts
-    when it contains RELEVANT (so 'IRRELEVANT' passes; ``strict`` fixes that); empty -> false."""
+    """Model reply -> relevant? JSON {"decision": ...} equal to RELEVANT; other valid JSON (a
+    string, list, number) makes the original's lookup fail, and its catch-all keeps the post; a
+    non-JSON reply counts when it contains RELEVANT (so 'IRRELEVANT' passes; ``strict`` fixes
+    that); empty -> false."""
     r = F.trim(col(reply))
-    parsed = F.from_json(r, "decision string")
-    is_obj = r.startswith("{") & parsed.isNotNull()
-    from_json_ok = F.upper(F.coalesce(parsed["decision"], F.lit(""))) == "RELEVANT"
+    is_json = F.get_json_object(r, "$").isNotNull()  # null exactly when the text is not JSON
+    is_obj = is_json & r.startswith("{")
+    from_json_ok = F.upper(F.coalesce(F.from_json(r, "decision string")["decision"], F.lit(""))) == "RELEVANT"
     if strict:
         loose = F.regexp_like(F.upper(r), F.lit(r"(^|[^A-Z])RELEVANT"))
     else:
         loose = F.contains(F.upper(r), F.lit("RELEVANT"))
     return (F.when(col(reply).isNull() | (r == ""), F.lit(False))
-            .when(is_obj, from_json_ok).otherwise(loose))
+            .when(is_obj, from_json_ok).when(is_json, F.lit(True)).otherwise(loose))
 
 
 def error_policy(error) -> Column:

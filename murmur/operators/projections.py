@@ -76,8 +76,8 @@ def combined_class(sentiment: Column, content: Column) -> Column:
 def combined_display(sentiment: Column, content: Column) -> Column:
     """Dashboard badge: SENTIMENT_CONTENT, only the sentiment when the content type is missing
     (N/A), UNKNOWN or DISABLED; missing sentiment shows UNKNOWN."""
-    s = F.coalesce(sentiment, F.lit("UNKNOWN"))
-    c = F.coalesce(content, F.lit("N/A"))
+    s = F.coalesce(nonblank(sentiment), F.lit("UNKNOWN"))
+    c = F.coalesce(nonblank(content), F.lit("N/A"))
     return F.when(c.isin("N/A", "UNKNOWN", "DISABLED"), s).otherwise(F.concat(s, F.lit("_"), c))
 
 

@@ -66,7 +66,8 @@ def q_enr_relevance(spark, sf):
 REPLY = sql_strip("text")
 PARSE_SQL = (f"CASE WHEN text IS NULL OR {REPLY} = '' THEN false "
              f"WHEN starts_with({REPLY}, '{{') AND json_valid({REPLY}) THEN "
-             f"upper(coalesce(json_extract_string({REPLY}, '$.decision'), '')) = 'RELEVANT' ")
+             f"upper(coalesce(json_extract_string({REPLY}, '$.decision'), '')) = 'RELEVANT' "
+             f"WHEN json_valid({REPLY}) THEN true ")
 
 
 @query("enr_parse_decision",

@@ -280,8 +280,9 @@ def q_prj_combined_class(spark, sf):
 
 
 @query("prj_combined_display", with_items(
-    "SELECT id, CASE WHEN coalesce(content_type, 'N/A') IN ('N/A', 'UNKNOWN', 'DISABLED') THEN coalesce(sentiment_type, 'UNKNOWN') "
-    "ELSE concat(coalesce(sentiment_type, 'UNKNOWN'), '_', content_type) END AS combined FROM items"))
+    "SELECT id, CASE WHEN coalesce(nullif(content_type, ''), 'N/A') IN ('N/A', 'UNKNOWN', 'DISABLED') "
+    "THEN coalesce(nullif(sentiment_type, ''), 'UNKNOWN') "
+    "ELSE concat(coalesce(nullif(sentiment_type, ''), 'UNKNOWN'), '_', content_type) END AS combined FROM items"))
 def q_prj_combined_display(spark, sf):
     return enriched(spark, sf).select("id", PR.combined_display(
         F.col("sentiment.Sentiment"), F.col("content_type.Classification")).alias("combined"))

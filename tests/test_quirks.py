@@ -51,10 +51,11 @@ def test_wrapped_and_bare_batches_read_the_same(spark, tmp_dir):
 
 
 def test_reply_irrelevant_counts_as_relevant_unless_strict(spark):
-    d = spark.createDataFrame([("IRRELEVANT",), ('{"decision": "relevant"}',), ('{"decision": "IRRELEVANT"}',), ("",)],
-                              "r string")
+    d = spark.createDataFrame([("IRRELEVANT",), ('{"decision": "relevant"}',), ('{"decision": "IRRELEVANT"}',), ("",),
+                               ('"no"',), ("{bad RELEVANT",)], "r string")
     got = d.select(S.parse_decision("r").alias("a"), S.parse_decision("r", strict=True).alias("b")).collect()
-    assert [(g.a, g.b) for g in got] == [(True, False), (True, True), (False, False), (False, False)]
+    assert [(g.a, g.b) for g in got] == [(True, False), (True, True), (False, False), (False, False),
+                                          (True, True), (True, True)]
 
 
 def test_label_case_is_exact(spark):
