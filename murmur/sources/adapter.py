@@ -25,7 +25,10 @@ def _ratio(c: Column, m: int = 101) -> Column:
 def posts(spark: SparkSession, sf_dir: str, keep_doc_id: bool = False) -> DataFrame:
     d = table(spark, sf_dir, "documents").select("doc_id", "text", "source", "n_chars")
     e = table(spark, sf_dir, "events").select("event_id", "ts", "value")
-    lab = table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
+    # labels holds one row per document; saying so with a keyed aggregate (a no-op on these values)
+    # lets Catalyst drop the whole join from queries that use no label column
+    lab = table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.max("quality").alias("quality"),
+                                                              F.max("toxic").alias("toxic"))
     us = F.unix_micros(F.col("ts").cast("timestamp"))
     doc = F.col("doc_id").cast("string")
     j = (d.join(e, e.event_id == d.doc_id * 5, "inner").drop("event_id")
