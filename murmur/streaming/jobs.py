@@ -32,15 +32,18 @@ def hwm_batch_writer(out_path: str, mark_path: str, initial_mark: float | None):
     dropped as late; the batch is written, *then* its new mark is committed (at-least-once like
     the original; a replayed batch rewrites its own folder, and the mark is a max, so replays are
     harmless). The mark lives in a small table next to the checkpoint."""
-    def current_mark(spark: SparkSession) -> float | None:
+    def current_mark(spark: SparkSession, batch_id: int) -> float | None:
+        """The mark committed by the batches *before* this one, so replaying a batch after a
+        failure sees the same mark as its first attempt."""
         try:
-            row = spark.read.parquet(mark_path).agg(F.max("mark")).first()
+            marks = spark.read.parquet(mark_path).filter(F.col("batch_id") < batch_id)
+            row = marks.agg(F.max("mark")).first()
             return row[0] if row and row[0] is not None else initial_mark
         except Exception:  # no mark written yet
             return initial_mark
 
     def write(df: DataFrame, batch_id: int) -> None:
-        mark = current_mark(df.sparkSession)
+        mark = current_mark(df.sparkSession, batch_id)
         kept = df if mark is None else df.filter(F.col("created_utc") >= F.lit(mark))
         kept.write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
         new = df.sparkSession.read.parquet(f"{out_path}/batch_id={batch_id}").agg(F.max("created_utc").alias("mark"))
