@@ -139,6 +139,7 @@ class Lexicon:
 class DashboardParams:
     ticker: str = "ALL"
     item_type: str = "all"
+    as_of: float = 1705366800.0  # response timestamp (a parameter, for repeatable output)
 
 
 TICKERS = ("MIT", "GNU", "THE")

@@ -151,12 +151,12 @@ def dashboard_doc(d: Dashboard, p: P.DashboardParams = P.DashboardParams()) -> D
                         F.struct((-F.col("created_utc")).alias("k"), F.col("id").alias("k2"), *fields).alias("_r"))
     t = t.withColumn("_r", F.lit(None).cast(r.schema["_r"].dataType))
     # one small union, one aggregate: both lists land in the same single row (collect_list skips nulls),
-    # sorted so the document does not depend on task order: days ascending, recent rows newest first
-    doc = t.unionByName(r).agg(F.array_sort(F.collect_list("_t")).alias("trend_data"),
+    # sorted so the document does not depend on task order: newest day first, recent rows newest first
+    doc = t.unionByName(r).agg(F.reverse(F.array_sort(F.collect_list("_t"))).alias("trend_data"),
                                F.transform(F.array_sort(F.collect_list("_r")),
                                            lambda x: F.struct(*[x[f].alias(f) for f in fields])).alias("posts_data"))
     meta = F.struct(F.lit(p.ticker).alias("ticker"), F.lit(p.item_type).alias("content_type"),
-                    F.size("trend_data").alias("trend_count"), F.size("posts_data").alias("posts_count"))
+                    F.lit(int(p.as_of)).alias("timestamp"))
     return doc.select(F.size("trend_data").alias("trend_rows"), F.size("posts_data").alias("recent_rows"),
                       F.to_json(F.struct("trend_data", "posts_data", meta.alias("metadata"))).alias("doc"))
 
@@ -243,7 +243,8 @@ def search_doc(r: SearchResult, p: P.SearchParams = P.SearchParams()) -> DataFra
             F.col("comment_rank").alias("k5")]
     sample = r.sample.select(F.struct(*keys, "type", "id", "post_id", "subreddit", "created_utc", "score",
                                       F.col("sentiment.Sentiment").alias("sentiment")).alias("_d"))
-    summ = r.summary.select(F.struct("total_items", "posts", "comments", "average_score",
+    breakdown = F.struct(*[F.col(lab.lower()).alias(lab) for lab in P.SENTIMENTS]).alias("sentiment_breakdown")
+    summ = r.summary.select(F.struct("total_items", "posts", "comments", breakdown, "average_score",
                                      "timeframe_coverage").alias("_s"))
     both = (summ.select("_s", F.lit(None).cast(sample.schema["_d"].dataType).alias("_d"))
             .unionByName(sample.select(F.lit(None).cast(summ.schema["_s"].dataType).alias("_s"), "_d")))
@@ -253,8 +254,11 @@ def search_doc(r: SearchResult, p: P.SearchParams = P.SearchParams()) -> DataFra
     msg = F.when(F.col("total_items") == 0,
                  F.lit("No relevant posts found for this ticker in the specified timeframe."))
     return doc.select("total_items", F.to_json(F.struct(
-        F.lit(p.ticker.upper()).alias("ticker"), F.lit(p.timeframe).alias("timeframe"), msg.alias("message"),
-        F.struct("total_items", "posts", "comments", "average_score", "timeframe_coverage").alias("summary"),
+        F.lit(p.ticker.upper()).alias("ticker"), F.lit(p.timeframe).alias("timeframe"),
+        F.when(F.col("total_items") > 0, F.date_format(F.timestamp_seconds(F.lit(p.as_of)), "yyyy-MM-dd'T'HH:mm:ss"))
+         .alias("timestamp"), msg.alias("message"),
+        F.struct("total_items", "posts", "comments", "sentiment_breakdown", "average_score",
+                 "timeframe_coverage").alias("summary"),
         "data")).alias("doc"))
 
 
