@@ -84,21 +84,24 @@ def quota_segment(carried: list, ts: np.ndarray, limit: int, window_s: float) ->
     return acc, list(kept)
 
 
-def _quota_partitions(limit: int, window_s: float, key: str, ts: str):
-    """mapInPandas body: rows arrive sorted by (key, ts); each batch is cut into per-client
-    segments, and the accepted timestamps of the current client (at most ``limit``) carry over
-    to the next batch."""
+def _quota_partitions(limit: int, window_s: float, keys: list[str], ts: str):
+    """mapInPandas body: rows arrive sorted by (keys, ts); each batch is cut into segments of equal
+    keys, and the accepted timestamps of the current segment (at most ``limit``) carry over to
+    the next batch."""
     def run(batches):
         cur, carried = None, []
         for pdf in batches:
             if pdf.empty:
                 continue
-            keys = pdf[key].to_numpy()
+            kv = [pdf[k].to_numpy() for k in keys]
             tss = pdf[ts].to_numpy(dtype="float64")
             acc = np.zeros(len(pdf), dtype=bool)
-            starts = np.concatenate([[0], np.flatnonzero(keys[1:] != keys[:-1]) + 1, [len(pdf)]])
+            change = np.zeros(len(pdf) - 1, dtype=bool)
+            for v in kv:
+                change |= v[1:] != v[:-1]
+            starts = np.concatenate([[0], np.flatnonzero(change) + 1, [len(pdf)]])
             for a, b in zip(starts[:-1], starts[1:]):
-                k = keys[a]
+                k = tuple(v[a] for v in kv)
                 if k != cur:
                     cur, carried = k, []
                 acc[a:b], carried = quota_segment(carried, tss[a:b], limit, window_s)
@@ -106,16 +109,32 @@ def _quota_partitions(limit: int, window_s: float, key: str, ts: str):
     return run
 
 
+def quota_segments(requests: DataFrame, key: str, ts: str, window_s: float) -> DataFrame:
+    """Cut each client's timeline where a whole window-sized bucket is empty: nothing accepted
+    before such a gap can be inside any later request's window, so the segments are independent.
+    Counts per (client, bucket) are a partial aggregate; the islands window sees at most one row
+    per bucket of a client (bounded by the time range, not by the traffic)."""
+    d = requests.withColumn("_b", F.floor(F.col(ts) / F.lit(float(window_s))).cast("bigint"))
+    buckets = d.groupBy(key, "_b").agg(F.count(F.lit(1)).alias("_n"))
+    islands = buckets.select(key, "_b", (F.col("_b") - F.row_number().over(W.partitionBy(key).orderBy("_b")))
+                             .alias("_seg"))
+    return d.join(islands, [key, "_b"]).drop("_b")
+
+
 def sliding_quota(requests: DataFrame, key: str = "user_id", ts: str = "ts_s",
                   limit: int = P.SEARCH_QUOTA_PER_HOUR, window_s: float = 3600.0) -> DataFrame:
     """At most ``limit`` accepted requests per key in any trailing ``window_s`` seconds; refused
     requests do not count. Accepted-only state makes a RANGE frame insufficient, so this is a
-    per-key state machine: hash-partition by key, sort inside partitions, then one pass that keeps
-    at most ``limit`` timestamps. A hot key streams through one task in sorted order; its memory
-    stays O(limit)."""
-    ordered = requests.repartition(key).sortWithinPartitions(key, ts, "event_id")
-    schema = ", ".join([f"{f.name} {f.dataType.simpleString()}" for f in requests.schema.fields]) + ", accepted boolean"
-    return ordered.mapInPandas(_quota_partitions(limit, window_s, key, ts), schema)
+    per-key state machine, run per independent segment (``quota_segments``): hash-partition by
+    (key, segment), sort inside partitions, one pass keeping at most ``limit`` timestamps. A hot
+    client is spread over as many tasks as it has idle windows; only an uninterrupted burst stays
+    in one task (sorted, spilling, O(limit) memory)."""
+    seg = quota_segments(requests, key, ts, window_s)
+    ordered = seg.repartition(key, "_seg").sortWithinPartitions(key, "_seg", ts, "event_id")
+    fields = [f for f in seg.schema.fields]
+    schema = ", ".join([f"{f.name} {f.dataType.simpleString()}" for f in fields]) + ", accepted boolean"
+    out = ordered.mapInPandas(_quota_partitions(limit, window_s, [key, "_seg"], ts), schema)
+    return out.drop("_seg")
 
 
 def quota_reference(rows: list[tuple], limit: int, window_s: float = 3600.0) -> list[bool]:

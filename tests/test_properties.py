@@ -127,3 +127,15 @@ def test_budget_equals_sequential_collection(spark, posts, budget):
             want.add(i)
             collected += n
     assert got == want
+
+
+def test_hot_client_is_split_at_idle_windows(spark):
+    """One client with three bursts separated by idle hours becomes three independent segments,
+    and the result still equals the sequential rule."""
+    ts = [0, 10, 20, 30] + [7300, 7310, 7320] + [20000, 20001]
+    rows = [(i, 1, float(t)) for i, t in enumerate(ts)]
+    d = spark.createDataFrame(rows, "event_id bigint, user_id bigint, ts_s double")
+    segs = WN.quota_segments(d, "user_id", "ts_s", 3600.0).select("_seg").distinct().count()
+    assert segs == 3
+    got = [r.accepted for r in WN.sliding_quota(d, "user_id", "ts_s", 2).orderBy("event_id").collect()]
+    assert got == WN.quota_reference([(1, t) for t in ts], 2)
