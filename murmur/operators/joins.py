@@ -10,6 +10,8 @@ from murmur.operators.projections import post_date
 # A ticker list is configuration (a comma string of symbols): its size is bounded by the
 # parameter, so broadcasting it is safe. Refuse to broadcast anything bigger than this.
 MAX_BROADCAST_TICKERS = 100_000
+# Accepted posts (<= N per community) are broadcast to the comments only under this row count.
+MAX_BROADCAST_POSTS = 2_000_000
 
 
 def ticker_list(spark, keywords: str | None) -> DataFrame:
@@ -58,10 +60,15 @@ def agg_mentions_trend(enriched: DataFrame, tickers) -> DataFrame:
                      F.col("sentiment.Sentiment").alias("sentiment_type")).agg(F.count(F.lit(1)).alias("post_count"))
 
 
-def join_comments_of_accepted(accepted_posts: DataFrame, comments: DataFrame) -> DataFrame:
-    """Keep comments of accepted posts only; the community comes from the post.
-    A shuffle hash / sort-merge join on post id (both sides are large at scale)."""
+def join_comments_of_accepted(accepted_posts: DataFrame, comments: DataFrame,
+                              accepted_rows: int | None = None) -> DataFrame:
+    """Keep comments of accepted posts only; the community comes from the post. With a counted,
+    small accepted side (``accepted_rows`` <= MAX_BROADCAST_POSTS) the posts are broadcast and the
+    comments never shuffle, so a post holding a third of all comments costs nothing extra;
+    otherwise a shuffle join on post id, where AQE splits skewed partitions."""
     a = accepted_posts.select(F.col("id").alias("_pid"), F.col("subreddit").alias("_psub"))
+    if accepted_rows is not None and accepted_rows <= MAX_BROADCAST_POSTS:
+        a = F.broadcast(a)
     j = comments.join(a, comments.post_id == a._pid, "inner")
     return j.withColumn("subreddit", F.col("_psub")).drop("_pid", "_psub")
 

@@ -66,7 +66,7 @@ def ingest_candidates(items: DataFrame, p: P.IngestParams = P.IngestParams()):
     # them once instead of re-running the table scans and joins behind them in every branch
     accepted = cut_lineage(ingest_accepted(examined, p))
     comments = items.filter(F.col("type") == "comment")
-    linked = cut_lineage(J.join_comments_of_accepted(accepted, comments))
+    linked = cut_lineage(J.join_comments_of_accepted(accepted, comments, accepted.count()))
     quality = flt.comment_quality(p.min_comment_score, p.min_comment_length)
     counts = linked.groupBy(F.col("post_id").alias("_pid")).agg(
         F.count(F.lit(1)).alias("num_comments"), F.count_if(quality).alias("_kept"))
@@ -182,8 +182,8 @@ def search_collect(items: DataFrame, p: P.SearchParams = P.SearchParams()) -> Da
     posts = posts.filter(F.contains(flt.post_text(), F.lit(ticker.lower())))
     posts = cut_lineage(posts.filter(~flt.has_ignored(p.ignore_keywords) & (F.col("score") >= p.min_post_score)
                                      & (F.length(F.coalesce(F.col("selftext"), F.lit(""))) >= p.min_post_length)))
-    comments = WN.comment_cap(J.join_comments_of_accepted(posts, items.filter(F.col("type") == "comment")),
-                              p.comments_per_post)
+    comments = WN.comment_cap(J.join_comments_of_accepted(posts, items.filter(F.col("type") == "comment"),
+                                                          posts.count()), p.comments_per_post)
     comments = cut_lineage(comments.filter(flt.comment_quality(p.min_comment_score, p.min_comment_length)))
     counts = comments.groupBy(F.col("post_id").alias("_pid")).agg(F.count(F.lit(1)).alias("_kept"))
     posts_n = (posts.join(counts, posts.id == counts._pid, "left")
