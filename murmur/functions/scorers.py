@@ -135,9 +135,10 @@ def parse_decision(reply, strict: bool = False) -> Column:
 def error_policy(error) -> Column:
     """Scorer error -> keep the row? access denied / validation -> drop; throttled / unknown -> keep."""
     e = F.coalesce(col(error), F.lit(""))
-    return (F.when(F.contains(e, F.lit("You don't have access to the model")), F.lit(False))
-            .when(F.contains(e, F.lit("ThrottlingException")) | F.contains(e, F.lit("Too many requests")), F.lit(True))
-            .when(F.contains(e, F.lit("ValidationException")), F.lit(False))
+    throttled = F.contains(e, F.lit(P.ERROR_THROTTLED[0])) | F.contains(e, F.lit(P.ERROR_THROTTLED[1]))
+    return (F.when(F.contains(e, F.lit(P.ERROR_ACCESS_DENIED)), F.lit(False))
+            .when(throttled, F.lit(True))
+            .when(F.contains(e, F.lit(P.ERROR_VALIDATION)), F.lit(False))
             .otherwise(F.lit(True)))
 
 

@@ -135,7 +135,7 @@ def agg_summary(df: DataFrame, sentiment_col: str = "sentiment") -> DataFrame:
         "total_items", "posts", "comments", *[lab.lower() for lab in P.SENTIMENTS],
         F.coalesce(r6(F.col("_avg"), 2), F.lit(0.0)).alias("average_score"),
         F.coalesce(r6(span), F.lit(0.0)).alias("span_hours"),
-        F.when(F.col("total_items") == 0, F.lit("No data"))
+        F.when(F.col("total_items") == 0, F.lit(P.NO_DATA))
          .otherwise(F.concat(F.round(F.round(span, 9).cast("decimal(38,9)"), 1).cast("string"), F.lit(" hours")))
          .alias("timeframe_coverage"))
 

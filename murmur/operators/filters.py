@@ -149,7 +149,7 @@ def flt_labeled(df: DataFrame, label: str = LABEL_COL, check: bool = False) -> D
     """Exactly 'informative' or 'emotional' (case-sensitive: 'Informative' is dropped)."""
     out = df.filter(F.col(label).isin(*P.LABELS))
     if check and out.isEmpty():
-        raise ValueError("No labeled data found in the dataset")
+        raise ValueError(P.NO_LABELED_DATA)
     return out
 
 

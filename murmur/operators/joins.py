@@ -20,7 +20,7 @@ def ticker_list(spark, keywords: str | None) -> DataFrame:
     from murmur import params as P
     from murmur.functions.text import split_list
     if not keywords:
-        return spark.createDataFrame([(t, "fallback_default") for t in P.FALLBACK_TICKERS], "ticker string, source string")
+        return spark.createDataFrame([(t, P.FALLBACK_SOURCE) for t in P.FALLBACK_TICKERS], "ticker string, source string")
     cfg = spark.createDataFrame([(keywords,)], "keywords string")
     return cfg.select(F.explode(split_list("keywords")).alias("ticker"), F.lit("configured").alias("source"))
 

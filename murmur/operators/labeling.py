@@ -68,7 +68,7 @@ def lbl_ai_label(table_df: DataFrame, run_timestamp: str = P.RUN_TIMESTAMP) -> D
         *[c for c in table_df.columns if c not in (LABEL, "labeler", "labeling_notes")],
         F.when(unl & ok, new).when(unl, F.lit(P.LABEL_NEEDS_REVIEW)).otherwise(F.col(LABEL)).alias(LABEL),
         F.when(unl & ok, F.lit(P.LABELER_OK)).when(unl, F.lit(P.LABELER_ERROR)).otherwise(F.col("labeler")).alias("labeler"),
-        F.when(unl & ok, F.lit(f"AI labeled on {run_timestamp}")).otherwise(F.col("labeling_notes")).alias("labeling_notes"),
+        F.when(unl & ok, F.lit(P.LABEL_NOTE.format(run_timestamp))).otherwise(F.col("labeling_notes")).alias("labeling_notes"),
         unl.alias("processed_this_run"))
 
 
@@ -83,6 +83,6 @@ def join_label_merge(all_rows: DataFrame, scored: DataFrame, run_timestamp: str
          .otherwise(F.col(LABEL)).alias(LABEL),
         F.when(touched & ok, F.lit(P.LABELER_OK)).when(touched, F.lit(P.LABELER_ERROR))
          .otherwise(F.col("labeler")).alias("labeler"),
-        F.when(touched & ok, F.lit(f"AI labeled on {run_timestamp}")).otherwise(F.col("labeling_notes"))
+        F.when(touched & ok, F.lit(P.LABEL_NOTE.format(run_timestamp))).otherwise(F.col("labeling_notes"))
          .alias("labeling_notes"),
         touched.alias("processed_this_run"))

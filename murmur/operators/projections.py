@@ -70,15 +70,15 @@ def prj_flatten(df: DataFrame) -> DataFrame:
 def combined_class(sentiment: Column, content: Column) -> Column:
     """The six sentiment x content labels, everything else MIXED_OTHER."""
     ok = sentiment.isin(*P.CHART_SENTIMENTS) & content.isin(*P.CONTENT_TYPES)
-    return F.when(ok, F.concat_ws("_", sentiment, content)).otherwise(F.lit("MIXED_OTHER"))
+    return F.when(ok, F.concat_ws("_", sentiment, content)).otherwise(F.lit(P.OTHER_COMBINED))
 
 
 def combined_display(sentiment: Column, content: Column) -> Column:
     """Dashboard badge: SENTIMENT_CONTENT, only the sentiment when the content type is missing
     (N/A), UNKNOWN or DISABLED; missing sentiment shows UNKNOWN."""
-    s = F.coalesce(nonblank(sentiment), F.lit("UNKNOWN"))
-    c = F.coalesce(nonblank(content), F.lit("N/A"))
-    return F.when(c.isin("N/A", "UNKNOWN", "DISABLED"), s).otherwise(F.concat(s, F.lit("_"), c))
+    s = F.coalesce(nonblank(sentiment), F.lit(P.UNKNOWN))
+    c = F.coalesce(nonblank(content), F.lit(P.MISSING_CONTENT_TYPE))
+    return F.when(c.isin(P.MISSING_CONTENT_TYPE, P.UNKNOWN, P.DISABLED), s).otherwise(F.concat(s, F.lit("_"), c))
 
 
 def truncate_display(text: Column, fallback: Column | None = None, n: int = P.DISPLAY_CUT) -> Column:
@@ -86,7 +86,7 @@ def truncate_display(text: Column, fallback: Column | None = None, n: int = P.DI
     t = nonblank(text)
     if fallback is not None:
         t = F.coalesce(t, nonblank(fallback))
-    t = F.coalesce(t, F.lit("No content"))
+    t = F.coalesce(t, F.lit(P.NO_CONTENT))
     return cut(t, n, "...")
 
 

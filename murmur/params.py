@@ -77,6 +77,24 @@ DAILY_QUOTA = 10000
 # alarms: (name, statistic, threshold, consecutive periods)
 ALARMS = [("lambda_errors", "sum", 5.0, 2), ("lambda_duration", "avg", 120000.0, 2),
           ("api_5xx", "sum", 10.0, 2), ("api_latency", "avg", 10000.0, 3)]
+# messages, markers and tags the original emits or matches
+ERROR_ACCESS_DENIED = "You don't have access to the model"
+ERROR_THROTTLED = ["ThrottlingException", "Too many requests"]
+ERROR_VALIDATION = "ValidationException"
+INVALID_TICKER_API = "Invalid ticker format. Use 1-10 uppercase letters."
+INVALID_TYPE_API = "Invalid content type. Use: all, posts, or comments."
+INVALID_TICKER_SEARCH = "Invalid ticker format. Please provide a valid stock ticker (e.g., AAPL, TSLA)."
+NO_RESULTS_MESSAGE = "No relevant posts found for this ticker in the specified timeframe."
+NO_DATA = "No data"
+NO_CONTENT = "No content"
+NO_TRAINING_DATA = "No training data to upload"
+NO_LABELED_DATA = "No labeled data found in the dataset"
+LABEL_NOTE = "AI labeled on {}"
+FALLBACK_SOURCE = "fallback_default"
+OTHER_COMBINED = "MIXED_OTHER"
+MISSING_CONTENT_TYPE = "N/A"
+UNKNOWN = "UNKNOWN"
+DISABLED = "DISABLED"
 # Python's str.split()/strip() whitespace set, as one regex class both Java and RE2 accept.
 PY_WHITESPACE_CLASS = (r"[\t\n\x{0B}\f\r\x{1C}-\x{1F} \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
                        r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]")

@@ -133,9 +133,9 @@ def job_dashboard(enriched: DataFrame, p: P.DashboardParams = P.DashboardParams(
     import re
     if not (p.ticker in ("", "ALL") or (len(p.ticker) <= P.API_TICKER_MAX_LENGTH
                                         and re.match(P.API_TICKER_PATTERN, p.ticker.upper()))):
-        raise ValueError("Invalid ticker format. Use 1-10 uppercase letters.")
+        raise ValueError(P.INVALID_TICKER_API)
     if p.item_type not in P.API_ITEM_TYPES:
-        raise ValueError("Invalid content type. Use: all, posts, or comments.")
+        raise ValueError(P.INVALID_TYPE_API)
     return Dashboard(A.agg_trend(enriched, p.ticker, p.item_type, with_content=True),
                      top_recent(enriched, p.ticker, p.item_type))
 
@@ -228,7 +228,7 @@ def job_search(items: DataFrame, p: P.SearchParams = P.SearchParams(), lexicon:
     import re
     t = (p.ticker or "").strip().upper()
     if not re.match(P.SEARCH_TICKER_PATTERN, t):
-        raise ValueError("Invalid ticker format.")
+        raise ValueError(P.INVALID_TICKER_SEARCH)
     scored = search_score(search_collect(items, p), lexicon)
     sample = scored.orderBy(*collection_order(p.communities)).limit(P.SEARCH_SAMPLE_SIZE)
     return SearchResult(scored, A.agg_summary(scored), sample)
@@ -252,7 +252,7 @@ def search_doc(r: SearchResult, p: P.SearchParams = P.SearchParams()) -> DataFra
     data = F.transform(F.array_sort(F.collect_list("_d")), lambda x: F.struct(*[x[f].alias(f) for f in fields]))
     doc = both.agg(F.first("_s", ignorenulls=True).alias("_s"), data.alias("data")).select(F.col("_s.*"), "data")
     msg = F.when(F.col("total_items") == 0,
-                 F.lit("No relevant posts found for this ticker in the specified timeframe."))
+                 F.lit(P.NO_RESULTS_MESSAGE))
     return doc.select("total_items", F.to_json(F.struct(
         F.lit(p.ticker.upper()).alias("ticker"), F.lit(p.timeframe).alias("timeframe"),
         F.when(F.col("total_items") > 0, F.date_format(F.timestamp_seconds(F.lit(p.as_of)), "yyyy-MM-dd'T'HH:mm:ss"))

@@ -8,6 +8,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from murmur import params as P
 from murmur.schema import RAW_ITEM_FIELDS
 from murmur.sources.files import NULL_TOKEN
 
@@ -40,7 +41,7 @@ def write_training_csv(df: DataFrame, path: str) -> None:
     """Header, quoted where needed with RFC 4180 doubling of quotes; an empty result is an error,
     as in the original."""
     if df.isEmpty():
-        raise ValueError("No training data to upload")
+        raise ValueError(P.NO_TRAINING_DATA)
     (df.write.mode("overwrite").option("header", True).option("escape", '"').option("quote", '"')
      .option("emptyValue", '""').option("nullValue", NULL_TOKEN).csv(path))
 
