@@ -75,7 +75,7 @@ CONFIDENT_MIN = 0.7
 METRIC_PERIOD_SECONDS = 300
 DAILY_QUOTA = 10000
 # alarms: (name, statistic, threshold, consecutive periods)
-ALARMS = [("lambda_errors", "sum", 5.0, 2), ("lambda_duration", "avg", 120000.0, 2),
+ALARMS = [("ingest_errors", "sum", 5.0, 2), ("ingest_duration", "avg", 120000.0, 2),
           ("api_5xx", "sum", 10.0, 2), ("api_latency", "avg", 10000.0, 3)]
 # messages, markers and tags the original emits or matches
 ERROR_ACCESS_DENIED = "You don't have access to the model"
