@@ -199,11 +199,17 @@ def q_flt_unlabeled(spark, sf):
 FIRST_WORD_SQL = "split_part(title, ' ', 1)"
 
 
+def full_upper(expr: str) -> str:
+    """Upper case with full case mapping where it changes a letter test: Python and Java map 'ß'
+    to 'SS', DuckDB's upper maps it to the capital sharp s."""
+    return f"upper(replace({expr}, 'ß', 'ss'))"
+
+
 @query("flt_ticker_format", with_items(
     f"SELECT id, {FIRST_WORD_SQL} AS requested, "
-    f"coalesce(regexp_full_match(upper({sql_strip(FIRST_WORD_SQL)}), '[A-Z]{{1,5}}'), false) AS search_valid "
+    f"coalesce(regexp_full_match({full_upper(sql_strip(FIRST_WORD_SQL))}, '[A-Z]{{1,5}}'), false) AS search_valid "
     f"FROM items WHERE type = 'post' AND ({FIRST_WORD_SQL} = '' OR {FIRST_WORD_SQL} = 'ALL' OR "
-    f"(length({FIRST_WORD_SQL}) <= 10 AND regexp_full_match(upper({FIRST_WORD_SQL}), '[A-Z]{{1,10}}')))"))
+    f"(length({FIRST_WORD_SQL}) <= 10 AND regexp_full_match({full_upper(FIRST_WORD_SQL)}, '[A-Z]{{1,10}}')))"))
 def q_flt_ticker_format(spark, sf):
     """Treat each post title's first word as a requested symbol; keep the ones the dashboard
     accepts and flag the ones the search accepts."""
