@@ -73,3 +73,23 @@ def test_mark_prunes_day_partitions(spark, tmp_dir):
     assert "PushedFilters: [IsNotNull(created_utc), GreaterThanOrEqual(created_utc,1.7041536E9)]" in txt
     all_rows = adapter.items(spark, SF0001).filter("created_utc >= 1704153600.0").count()
     assert d.count() == all_rows
+
+
+@pytest.mark.parametrize("name", ["agg_dual_class", "agg_sentiment_by_community", "agg_content_trends",
+                                  "mon_metric_series"])
+def test_rollups_aggregate_partially_before_the_shuffle(spark, name):
+    """A hash aggregate sits on both sides of the exchange: each task sends one partial row per
+    group, so a hot community or day does not move its rows."""
+    txt = formatted(E.queries()[name](spark, SF0001))
+    tree = txt.split("\n\n\n")[0]
+    lines = [ln.strip(" :+-") for ln in tree.splitlines()]
+    i = next(k for k, ln in enumerate(lines) if ln.startswith("Exchange"))
+    assert lines[i - 1].startswith("HashAggregate") and lines[i + 1].startswith("HashAggregate"), tree
+
+
+def test_funnel_reuses_the_window_partitioning(spark):
+    """The funnel groups by community right after the newest-per-community window, which already
+    hash-partitioned the posts by community: one exchange for the whole query."""
+    tree = formatted(E.queries()["agg_filter_funnel"](spark, SF0001)).split("\n\n\n")[0]
+    shuffles = [ln for ln in tree.splitlines() if "Exchange" in ln and "BroadcastExchange" not in ln]
+    assert len(shuffles) == 1, tree
