@@ -100,6 +100,10 @@ PY_WHITESPACE_CLASS = (r"[\t\n\x{0B}\f\r\x{1C}-\x{1F} \x{85}\x{A0}\x{1680}\x{200
                        r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]")
 # ---------------------------------------------------------------------------------------------
 
+# The hosted sentiment scorer's input limit (5,000 UTF-8 bytes) and the error it raises above it.
+SCORER_MAX_BYTES = 5000
+SCORER_SIZE_ERROR = "TextSizeLimitExceededException"
+
 # Our rule-scorer vocabularies, taken from the wording of the relevance prompt and the
 # labeling rubric (the original asks hosted models instead).
 RELEVANCE_TERMS = ["stock", "compan", "invest", "financ", "earning", "market", "trading",

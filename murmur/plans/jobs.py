@@ -167,7 +167,7 @@ def search_scorer_error(text: Column) -> Column:
     """The hosted sentiment scorer rejects empty input and input over 5,000 UTF-8 bytes; the
     search keeps such items without a sentiment."""
     return F.when(text.isNull() | (F.trim(text) == ""), F.lit("empty text")).when(
-        F.octet_length(text) > P.SEARCH_TEXT_CUT, F.lit("TextSizeLimitExceededException"))
+        F.octet_length(text) > P.SCORER_MAX_BYTES, F.lit(P.SCORER_SIZE_ERROR))
 
 
 def search_collect(items: DataFrame, p: P.SearchParams = P.SearchParams()) -> DataFrame:

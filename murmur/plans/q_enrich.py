@@ -48,8 +48,8 @@ SEARCH_SCORED = scored_cte("sscored", "items", SEARCH_TEXT_SQL, where=f"{sql_str
 
 
 @query("enr_error_passthrough", with_items(
-    "SELECT id, CASE WHEN strlen(txt) > 5000 THEN NULL ELSE s_label END AS sentiment_type, "
-    "CASE WHEN strlen(txt) > 5000 THEN 'TextSizeLimitExceededException' END AS sentiment_error FROM sscored",
+    f"SELECT id, CASE WHEN strlen(txt) > {P.SCORER_MAX_BYTES} THEN NULL ELSE s_label END AS sentiment_type, "
+    f"CASE WHEN strlen(txt) > {P.SCORER_MAX_BYTES} THEN '{P.SCORER_SIZE_ERROR}' END AS sentiment_error FROM sscored",
     SEARCH_SCORED))
 def q_enr_error_passthrough(spark, sf):
     """Search scoring: a text the scorer rejects (over 5,000 UTF-8 bytes) keeps its row, unscored;

@@ -70,8 +70,8 @@ SEARCH_CTES = [
 
 
 @query("job_search", with_items(
-    "SELECT id, type, CASE WHEN strlen(txt) > 5000 THEN NULL ELSE s_label END AS sentiment_type, "
-    "CASE WHEN strlen(txt) > 5000 THEN 'TextSizeLimitExceededException' END AS sentiment_error FROM ss", *SEARCH_CTES))
+    f"SELECT id, type, CASE WHEN strlen(txt) > {P.SCORER_MAX_BYTES} THEN NULL ELSE s_label END AS sentiment_type, "
+    f"CASE WHEN strlen(txt) > {P.SCORER_MAX_BYTES} THEN '{P.SCORER_SIZE_ERROR}' END AS sentiment_error FROM ss", *SEARCH_CTES))
 def q_job_search(spark, sf):
     r = jobs.job_search(items(spark, sf), SRCH)
     return r.items.select("id", "type", F.col("sentiment.Sentiment").alias("sentiment_type"), "sentiment_error")
