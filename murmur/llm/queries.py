@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from murmur.llm import quality
+from murmur.llm import bpe, quality
 from murmur.llm import oracle_sql as O
 from murmur.llm.registry import ORACLES, QUERIES, query, table
 
@@ -14,3 +16,14 @@ __all__ = ["ORACLES", "QUERIES"]
 @query("op9_quality_rules", O.QUALITY)
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(table(spark, sf_dir, "documents"))
+
+
+@query("op4_byte_bpe")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_digests(table(spark, sf_dir, "documents"))
+
+
+def bpe_digests(docs: DataFrame) -> DataFrame:
+    ranks, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+    decoded = bpe.decode(bpe.encode(docs, ranks, pattern), ranks, pattern)
+    return decoded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
