@@ -18,6 +18,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
+import struct
 from bisect import bisect_left
 from collections.abc import Iterator
 
@@ -30,6 +31,7 @@ from pyspark.sql.types import BinaryType, StructField, StructType
 
 LEAF_CHARS = 1 << 16
 LEAF_BYTES = 16
+NONE = 1 << 62
 LEAF_IDS = 1 << 16
 #: Pieces and pairs remembered by one worker; others are encoded each time.
 REMEMBERED = 250_000
@@ -41,6 +43,10 @@ class Bpe:
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks, self.split = ranks, regex.compile(pattern)
         self.tokens = {v: k for k, v in ranks.items()}
+        self.bytes = [ranks[bytes([i])] for i in range(256)]
+        #: (left id << 24 | right id) -> id of the two together
+        self.pairs = {(ranks[t[:k]] << 24) | ranks[t[k:]]: r for t, r in ranks.items()
+                      for k in range(1, len(t)) if t[:k] in ranks and t[k:] in ranks}
         self._pieces: dict[str, bytes] = {}
         self._stable: dict[tuple[int, int], bool] = {}
 
@@ -51,19 +57,19 @@ class Bpe:
         ranks = self.ranks
         if raw in ranks:
             return [ranks[raw]]
-        if len(raw) > 4 * LEAF_BYTES:
+        if len(raw) > 8 * LEAF_BYTES:
             return self._merge_heap(raw)
-        parts = [raw[i:i + 1] for i in range(len(raw))]
-        while len(parts) > 1:
-            best, at = None, -1
-            for i in range(len(parts) - 1):
-                r = ranks.get(parts[i] + parts[i + 1])
-                if r is not None and (best is None or r < best):
-                    best, at = r, i
-            if best is None:
-                break
-            parts[at:at + 2] = [parts[at] + parts[at + 1]]
-        return [ranks[p] for p in parts]
+        parts, rank_of = list(map(self.bytes.__getitem__, raw)), self.pairs.get
+        rank = [rank_of((a << 24) | b, NONE) for a, b in zip(parts, parts[1:])]
+        while rank and (best := min(rank)) != NONE:
+            i = rank.index(best)
+            parts[i] = best
+            del parts[i + 1], rank[i]
+            if i < len(rank):
+                rank[i] = rank_of((best << 24) | parts[i + 1], NONE)
+            if i:
+                rank[i - 1] = rank_of((parts[i - 1] << 24) | best, NONE)
+        return parts
 
     def _merge_heap(self, raw: bytes) -> list[int]:
         ranks, n = self.ranks, len(raw)
@@ -119,7 +125,8 @@ class Bpe:
     def encode_piece(self, piece: str) -> bytes:
         ids = self._pieces.get(piece)
         if ids is None:
-            ids = np.array(self.encode_bytes(piece.encode()), "<u4").tobytes()
+            found = self.encode_bytes(piece.encode())
+            ids = struct.pack(f"<{len(found)}I", *found)
             if len(self._pieces) < REMEMBERED and len(piece) <= 64:
                 self._pieces[piece] = ids
         return ids
@@ -187,7 +194,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = load(sent.value, pattern)
         for b in it:
-            ids = [bpe.encode(t.as_py() or "") for t in b.column(1)]
+            ids = [bpe.encode(t or "") for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())],
                                              names=["id", "n_tokens", "ids"])
 
