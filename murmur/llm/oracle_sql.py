@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from murmur.llm import quality
+from murmur.llm import mixing, quality
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -54,3 +54,23 @@ SELECT *, NOT base_failed AND {good} AS kept FROM (
 
 
 QUALITY = _quality()
+
+MIXING = f"""WITH sized AS (
+  SELECT doc_id, source, cast(len(regexp_extract_all(coalesce(text, ''), '{WORD}')) AS bigint) AS size,
+    cast('0x' || substr(md5(coalesce(cast(doc_id AS varchar), '')), 1, 12) AS bigint) AS h FROM documents),
+src AS (
+  SELECT source, source_size, [{', '.join(map(str, mixing.WEIGHTS))}][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % {len(mixing.WEIGHTS)}] AS weight
+  FROM (SELECT source, cast(sum(size) AS bigint) AS source_size FROM sized GROUP BY source)),
+filled AS (
+  SELECT *, (1.5::double * sum(source_size) OVER () - coalesce(sum(2 * source_size) OVER earlier, 0)) / (sum(weight) OVER () - coalesce(sum(weight) OVER earlier, 0)) AS level
+  FROM src WINDOW earlier AS (ORDER BY 2.0::double * source_size / weight, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+goal AS (
+  SELECT *, target - whole * source_size AS rest FROM (
+    SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS whole FROM (
+      SELECT source, source_size, least(2.0::double * source_size, weight *
+        (SELECT coalesce(arg_min(level, 2.0::double * source_size / weight) FILTER (WHERE 2.0::double * source_size > level * weight), 0) FROM filled)) AS target FROM src))),
+summed AS (
+  SELECT s.*, g.* EXCLUDE (source), sum(size) OVER (PARTITION BY s.source ORDER BY h) AS upto, sum(size) OVER (PARTITION BY s.source, h) AS own
+  FROM sized s JOIN goal g ON s.source IS NOT DISTINCT FROM g.source)
+SELECT doc_id, size, source_size, target, cast(size * (whole + CASE WHEN upto <= rest
+  OR upto - own <= rest AND upto - rest < rest - (upto - own) THEN 1 ELSE 0 END) AS bigint) AS taken FROM summed"""
