@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from murmur.llm import bpe, licenses, mixing, quality
+from murmur.llm import bpe, licenses, mixing, quality, toxicity
 from murmur.llm import oracle_sql as O
 from murmur.llm.registry import ORACLES, QUERIES, query, table
 
@@ -37,3 +37,9 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_license_scan")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+@query("op8_toxicity")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
