@@ -15,7 +15,9 @@ from murmur.llm.store import drop, written
 def bounded_cells(rows: DataFrame, group: str, member: str, limit: int) -> DataFrame:
     """``rows`` with ``cell`` (long): any two members of a group meet in at least one cell, and a cell
     has about 2 * limit rows at most. A group of more than ``limit`` rows is dealt into parts, and
-    every two parts make a cell; whole results, whatever the size of a group."""
+    every two parts make a cell; whole results, whatever the size of a group. Members of one part meet
+    in several cells; ``home`` is true in one of them (members of two parts meet in one cell only, and
+    ``part`` tells parts apart)."""
     large = written(rows.groupBy(group).agg(F.count("*").alias("n")).where(F.col("n") > limit), "large")
     parts = F.coalesce(F.ceil(F.col("n") / limit), F.lit(1)).cast("int")
     own = F.pmod(F.xxhash64(member, F.lit(1)), F.col("parts")).cast("int")
@@ -23,7 +25,8 @@ def bounded_cells(rows: DataFrame, group: str, member: str, limit: int) -> DataF
         F.filter(F.sequence(F.lit(0), F.col("parts") - 1), lambda q: q != F.col("own")))
     dealt = rows.join(large, group, "left").withColumn("parts", parts).withColumn("own", own).withColumn("other", F.explode(others))
     return (dealt.withColumn("cell", F.xxhash64(group, F.least("own", "other"), F.greatest("own", "other")))
-            .drop("n", "parts", "own", "other"))
+            .withColumn("home", F.col("other") == F.when((F.col("own") == 0) & (F.col("parts") > 1), 1).otherwise(0))
+            .withColumnRenamed("own", "part").drop("n", "parts", "other"))
 
 
 def whole_cells(batches: Iterator[pa.RecordBatch], rows: int = 1 << 15) -> Iterator[pa.Table]:
