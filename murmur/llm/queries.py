@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from murmur.llm import bpe, embeddings, licenses, mixing, quality, simhash, substrings, toxicity
+from murmur.llm import bpe, embeddings, licenses, mixing, pseudo_likelihood, quality, simhash, substrings, token_counts, toxicity
 from murmur.llm import oracle_sql as O
 from murmur.llm.registry import ORACLES, QUERIES, query, table
 
@@ -60,3 +60,14 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_embedding_near_dedup")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@query("op5_masked_pseudo_likelihood")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return pseudo_likelihood.score(docs, *pseudo_likelihood.train(docs))
+
+
+@query("op6_token_counts")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)

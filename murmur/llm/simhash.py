@@ -182,5 +182,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return rows.join(label, "print").select(F.col("id").alias(id_col), "print", "component_id")
 
 
+def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                    shingle: int = SHINGLE, most: int = MAX_BITS) -> DataFrame:
+    """The rows of ``docs`` that stand for their group (smallest id; one row of an id), with all
+    columns. Rows without an id are in no group and stay."""
+    named = docs.where(F.col(id_col).isNotNull())
+    groups = near_duplicates(named, id_col, text_col, shingle, most)
+    first = written(groups.where(F.col(id_col) == F.col("component_id")).select(id_col).distinct(), "representatives")
+    return named.join(first, id_col, "left_semi").dropDuplicates([id_col]).select(docs.columns).unionByName(docs.where(F.col(id_col).isNull()))
+
+
 def hex_print(column: str):
     return F.lower(F.lpad(F.hex(column), 16, "0"))
