@@ -21,7 +21,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from murmur import params as P
-from murmur.functions.text import col, contains_any
+from murmur.functions.text import col, contains_any, first
 
 
 def tokens(text) -> Column:
@@ -57,10 +57,12 @@ def sentiment(text, lexicon: P.Lexicon = P.Lexicon()) -> Column:
     return F.when(col(text).isNotNull(), s)
 
 
-def scoring_error(text) -> Column:
-    """Why a text cannot be scored (null when it can): the hosted scorers reject empty input."""
+def scoring_error(text, rejects: str | None = None) -> Column:
+    """Why a text cannot be scored (null when it can): scorers reject empty input, and texts that
+    hold ``rejects`` if one is named."""
     t = col(text)
-    return F.when(t.isNull() | (F.trim(t) == ""), F.lit("empty text"))
+    blank = F.when(t.isNull() | (F.trim(t) == ""), F.lit("empty text"))
+    return blank if rejects is None else blank.when(F.contains(t, F.lit(rejects)), F.lit(P.REJECTED_TEXT))
 
 
 def content_prediction(text, informative=P.INFORMATIVE_CUES, emotional=P.EMOTIONAL_CUES) -> Column:
@@ -105,31 +107,39 @@ def content_type(text, enabled: bool = True) -> Column:
     return class_fallback(class_result(content_prediction(text)), scoring_error(text), enabled)
 
 
-def relevance(title, selftext, terms=P.RELEVANCE_TERMS) -> Column:
+def relevance(title, selftext, terms=P.RELEVANCE_TERMS, cuts: P.TextCuts = P.WHOLE_TEXT) -> Column:
     """Rule scorer for the relevance check: too short (< 50 chars of title+selftext) is not
-    relevant; otherwise relevant when the cut title/text mention a finance term."""
+    relevant; otherwise relevant when title or text mention a finance term. Whole texts are read
+    unless ``cuts`` says otherwise (``P.MODEL_CUTS``: what the original sent to its hosted model)."""
     ti, st = F.coalesce(col(title), F.lit("")), F.coalesce(col(selftext), F.lit(""))
     long_enough = F.length(F.concat(ti, st)) >= P.RELEVANCE_MIN_CHARS
-    probe = F.lower(F.concat(F.substring(ti, 1, P.RELEVANCE_TITLE_CUT), F.lit(" "),
-                             F.substring(st, 1, P.RELEVANCE_TEXT_CUT)))
+    probe = F.lower(F.concat(first(ti, cuts.relevance_title), F.lit(" "), first(st, cuts.relevance_text)))
     return long_enough & contains_any(probe, terms)
 
 
+# what Python's json module accepts: NaN and Infinity, but double quotes only
+_JSON = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "true"}
+
+
 def parse_decision(reply, strict: bool = False) -> Column:
-    """Model reply -> relevant? JSON {"decision": ...} equal to RELEVANT; other valid JSON (a
-    string, list, number) makes the original's lookup fail, and its catch-all keeps the post; a
-    non-JSON reply counts when it contains RELEVANT (so 'IRRELEVANT' passes; ``strict`` fixes
-    that); empty -> false."""
+    """Model reply -> relevant? A JSON object counts when its ``decision`` is the string RELEVANT; a
+    decision that is no string, and any other JSON value, make the original's lookup fail, and its
+    catch-all keeps the post. A reply that is not JSON as a whole counts when it contains RELEVANT
+    (so 'IRRELEVANT' passes; ``strict`` fixes that); empty -> false."""
     r = F.trim(col(reply))
-    is_json = F.get_json_object(r, "$").isNotNull()  # null exactly when the text is not JSON
+    # inside brackets a whole JSON value is one element; anything after it breaks the array
+    is_json = F.size(F.from_json(F.concat(F.lit("["), r, F.lit("]")), "array<string>", _JSON)) == 1
     is_obj = is_json & r.startswith("{")
-    from_json_ok = F.upper(F.coalesce(F.from_json(r, "decision string")["decision"], F.lit(""))) == "RELEVANT"
+    decision = F.try_element_at(F.from_json(r, "map<string, variant>"), F.lit("decision"))
+    has = F.array_contains(F.json_object_keys(r), F.lit("decision"))
+    no_string = has & F.coalesce(F.schema_of_variant(decision) != "STRING", F.lit(True))
+    relevant = F.upper(F.coalesce(F.get_json_object(r, "$.decision"), F.lit(""))) == "RELEVANT"
     if strict:
         loose = F.regexp_like(F.upper(r), F.lit(r"(^|[^A-Z])RELEVANT"))
     else:
         loose = F.contains(F.upper(r), F.lit("RELEVANT"))
     return (F.when(col(reply).isNull() | (r == ""), F.lit(False))
-            .when(is_obj, from_json_ok).when(is_json, F.lit(True)).otherwise(loose))
+            .when(is_obj, no_string | relevant).when(is_json, F.lit(True)).otherwise(loose))
 
 
 def error_policy(error) -> Column:
@@ -153,7 +163,7 @@ def normalize_label(reply) -> Column:
 
 def score_columns(df, text: Column, *, sentiment_out: str | None = None, content_out: str | None = None,
                   prediction_out: str | None = None, lexicon: P.Lexicon = P.Lexicon(),
-                  classifier_enabled: bool = True):
+                  cues: tuple = (P.INFORMATIVE_CUES, P.EMOTIONAL_CUES), classifier_enabled: bool = True):
     """DataFrame form of the scorers, the one to use in jobs: the token array is built once per
     text and the word counts are materialised in their own columns before the score formulas use
     them. (The Column forms above repeat the count expression in every branch, and expressions
@@ -165,8 +175,8 @@ def score_columns(df, text: Column, *, sentiment_out: str | None = None, content
             "_sn", count_in(F.col("_tk"), lexicon.negative))
         cols += ["_sp", "_sn"]
     if content_out or prediction_out:
-        d = d.withColumn("_ci", count_in(F.col("_tk"), P.INFORMATIVE_CUES)).withColumn(
-            "_ce", count_in(F.col("_tk"), P.EMOTIONAL_CUES))
+        d = d.withColumn("_ci", count_in(F.col("_tk"), cues[0])).withColumn(
+            "_ce", count_in(F.col("_tk"), cues[1]))
         cols += ["_ci", "_ce"]
     d = d.drop("_tk")
     if sentiment_out:

@@ -37,7 +37,10 @@ def contains_any(text, words: Iterable[str], match: str = "substring") -> Column
             return F.lit(False)
         import re
         return t.rlike(r"\b(" + "|".join(re.escape(w) for w in words) + r")\b")
-    return any_of(F.contains(t, F.lit(w)) for w in words)
+    if not words:
+        return F.lit(False)
+    # the text (often lower(concat(...)) over the whole document) is evaluated once and bound, not once per word
+    return F.exists(F.array(t), lambda x: any_of(F.contains(x, F.lit(w)) for w in words))
 
 
 def py_strip(text) -> Column:
@@ -51,6 +54,11 @@ def py_collapse(text) -> Column:
     return F.trim(F.regexp_replace(col(text), WS_RUN, " "))
 
 
+def first(text, n: int | None) -> Column:
+    """First ``n`` characters, or the whole text."""
+    return col(text) if n is None else F.substring(col(text), 1, n)
+
+
 def cut(text, n: int, suffix: str | None = None) -> Column:
     """First ``n`` characters (code points); with ``suffix`` appended only when something was cut."""
     t = col(text)

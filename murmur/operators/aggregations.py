@@ -162,13 +162,14 @@ def agg_label_run_stats(labeled_run: DataFrame) -> DataFrame:
                            F.count_if(lab == P.LABEL_NEEDS_REVIEW).alias("needs_review"))
 
 
-def agg_batch_manifest(batch: DataFrame, timestamp: str, keywords) -> DataFrame:
-    """Batch -> total items, communities, keywords, timestamp (one row; the community list is a
-    dimension-sized set)."""
-    return batch.agg(F.count(F.lit(1)).alias("total_items"),
-                     F.array_sort(F.collect_set("subreddit")).alias("processed_subreddits")).select(
-        F.lit(timestamp).alias("timestamp"), "total_items", "processed_subreddits",
-        F.array(*[F.lit(k) for k in keywords]).alias("keywords"))
+def agg_batch_manifest(batch: DataFrame, timestamp: str, keywords, communities: DataFrame) -> DataFrame:
+    """Batch -> total items, communities, keywords, timestamp (one row). ``communities`` (subreddit):
+    those the run was configured for and went through, whether or not they gave items."""
+    rows = batch.select(F.lit(1).alias("n"), F.lit(None).cast("string").alias("subreddit")).unionByName(
+        communities.select(F.lit(0).alias("n"), "subreddit").distinct())
+    return rows.agg(F.sum("n").alias("total_items"), F.array_sort(F.collect_set("subreddit")).alias("processed_subreddits")).select(
+        F.lit(timestamp).alias("timestamp"), F.coalesce("total_items", F.lit(0)).cast("bigint").alias("total_items"),
+        "processed_subreddits", F.array(*[F.lit(k) for k in keywords]).alias("keywords"))
 
 
 def agg_hwm(df: DataFrame, mark: float | None) -> DataFrame:

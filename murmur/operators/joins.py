@@ -7,12 +7,6 @@ from pyspark.sql import functions as F
 
 from murmur.operators.projections import post_date
 
-# A ticker list is configuration (a comma string of symbols): its size is bounded by the
-# parameter, so broadcasting it is safe. Refuse to broadcast anything bigger than this.
-MAX_BROADCAST_TICKERS = 100_000
-# Accepted posts (<= N per community) are broadcast to the comments only under this row count.
-MAX_BROADCAST_POSTS = 2_000_000
-
 
 def ticker_list(spark, keywords: str | None) -> DataFrame:
     """The configured comma list -> (ticker, source): trimmed, non-blank items in list order; an
@@ -25,32 +19,38 @@ def ticker_list(spark, keywords: str | None) -> DataFrame:
     return cfg.select(F.explode(split_list("keywords")).alias("ticker"), F.lit("configured").alias("source"))
 
 
-def ticker_frame(spark, tickers) -> DataFrame:
-    ts = sorted({t.strip().upper() for t in tickers if t and t.strip()})
-    if len(ts) > MAX_BROADCAST_TICKERS:
-        raise ValueError(f"{len(ts)} tickers exceed the broadcast bound {MAX_BROADCAST_TICKERS}")
-    return spark.createDataFrame([(t,) for t in ts], "ticker string")
+def ticker_lists(configured: DataFrame) -> DataFrame:
+    """Rows with a comma list (keywords) -> one row per (ticker, source): the trimmed, non-blank items,
+    or the tagged default symbols where the list is unset."""
+    from murmur import params as P
+    from murmur.functions.text import split_list
+    unset = F.coalesce(F.col("keywords"), F.lit("")) == ""
+    default = F.array(*[F.lit(t) for t in P.FALLBACK_TICKERS])
+    return (configured.withColumn("ticker", F.explode(F.when(unset, default).otherwise(split_list("keywords"))))
+            .withColumn("source", F.when(unset, F.lit(P.FALLBACK_SOURCE)).otherwise(F.lit("configured"))))
+
+
+def ticker_symbols(tickers) -> list[str]:
+    return sorted({t.strip().upper() for t in tickers if t and t.strip()})
 
 
 def join_ticker_mentions(items: DataFrame, tickers, columns=("title", "selftext"), match: str = "substring") -> DataFrame:
     """(item, ticker) for every ticker the item's text contains, all symbols in one pass.
 
-    ``substring`` (the original's LIKE '%T%'): a theta join against the broadcast ticker list
-    (BroadcastNestedLoopJoin with a bounded build side; items stream, never shuffled).
-    ``word``: tokenise, explode, equi-join on the token (a hash join that scales with any list).
-    """
-    tk = ticker_frame(items.sparkSession, tickers)
+    ``substring`` (the original's LIKE '%T%'): the symbols are a constant array; each item keeps
+    those its bound, upper-cased texts contain, so nothing is joined or shuffled. ``tickers`` is a
+    configured list. ``word``: tokenise, explode, equi-join on the token; ``tickers`` may also be
+    a DataFrame (ticker) of any size, and Spark chooses the join by the size of its sides."""
     if match == "word":
+        tk = tickers if isinstance(tickers, DataFrame) else items.sparkSession.createDataFrame(
+            [(t,) for t in ticker_symbols(tickers)], "ticker string")
         toks = F.array_distinct(F.concat(*[F.split(F.upper(F.coalesce(F.col(c), F.lit(""))), "[^A-Z0-9.]+")
                                            for c in columns]))
-        return items.select("*", F.explode(toks).alias("ticker")).join(F.broadcast(tk), "ticker", "inner")
-    # upper-case each text once per item, not once per (item, ticker) pair inside the join
-    up = items.select("*", *[F.upper(F.col(c)).alias(f"_u{i}") for i, c in enumerate(columns)])
-    cond = None
-    for i in range(len(columns)):
-        p = F.coalesce(F.contains(up[f"_u{i}"], tk["ticker"]), F.lit(False))
-        cond = p if cond is None else cond | p
-    return up.join(F.broadcast(tk), cond, "inner").drop(*[f"_u{i}" for i in range(len(columns))])
+        return items.select("*", F.explode(toks).alias("ticker")).join(tk.select("ticker").distinct(), "ticker", "inner")
+    symbols = F.array(*[F.lit(t) for t in ticker_symbols(tickers)]).cast("array<string>")
+    texts = F.array(*[F.upper(F.coalesce(F.col(c), F.lit(""))) for c in columns])
+    found = F.flatten(F.transform(texts, lambda x: F.filter(symbols, lambda t: F.contains(x, t))))
+    return items.select("*", F.explode(F.array_distinct(found)).alias("ticker"))
 
 
 def agg_mentions_trend(enriched: DataFrame, tickers) -> DataFrame:
@@ -60,15 +60,11 @@ def agg_mentions_trend(enriched: DataFrame, tickers) -> DataFrame:
                      F.col("sentiment.Sentiment").alias("sentiment_type")).agg(F.count(F.lit(1)).alias("post_count"))
 
 
-def join_comments_of_accepted(accepted_posts: DataFrame, comments: DataFrame,
-                              accepted_rows: int | None = None) -> DataFrame:
-    """Keep comments of accepted posts only; the community comes from the post. With a counted,
-    small accepted side (``accepted_rows`` <= MAX_BROADCAST_POSTS) the posts are broadcast and the
-    comments never shuffle, so a post holding a third of all comments costs nothing extra;
-    otherwise a shuffle join on post id, where AQE splits skewed partitions."""
+def join_comments_of_accepted(accepted_posts: DataFrame, comments: DataFrame) -> DataFrame:
+    """Keep comments of accepted posts only; the community comes from the post. Spark broadcasts the
+    posts when they are small in bytes; otherwise a shuffle join on post id, where AQE splits
+    skewed partitions."""
     a = accepted_posts.select(F.col("id").alias("_pid"), F.col("subreddit").alias("_psub"))
-    if accepted_rows is not None and accepted_rows <= MAX_BROADCAST_POSTS:
-        a = F.broadcast(a)
     j = comments.join(a, comments.post_id == a._pid, "inner")
     return j.withColumn("subreddit", F.col("_psub")).drop("_pid", "_psub")
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from murmur import params as P
 from murmur.functions import scorers as S
+from murmur.functions.text import first
 from murmur.operators import filters as flt
 from murmur.operators.projections import prj_training_row, training_text
 from murmur.sources.tables import table
@@ -47,21 +48,24 @@ def labeled_table(rows: DataFrame, labels: DataFrame) -> DataFrame:
     return j.withColumn(LABEL, F.coalesce(F.col("human_label"), F.lit(""))).drop("human_label")
 
 
-def label_replies(df: DataFrame, text: str = "text") -> DataFrame:
-    """The labeler's reply for each row: the content scorer's class on the text cut to 800
-    (stand-in for the hosted model), or null when the text cannot be scored."""
-    d = S.score_columns(df.withColumn("_lt", F.substring(F.col(text), 1, P.LABEL_TEXT_CUT)), F.col("_lt"),
-                        prediction_out="_pred")
+RULE_CUES = (P.INFORMATIVE_CUES, P.EMOTIONAL_CUES)
+
+
+def label_replies(df: DataFrame, text: str = "text", cues: tuple = RULE_CUES, cut: int | None = None) -> DataFrame:
+    """The labeler's reply for each row: the content scorer's class (stand-in for the hosted
+    model; it reads the whole text, or the first ``cut`` characters), or null when the text cannot
+    be scored."""
+    d = S.score_columns(df.withColumn("_lt", first(text, cut)), F.col("_lt"), prediction_out="_pred", cues=cues)
     return d.withColumn("reply", F.when(S.scoring_error(F.col("_lt")).isNull(), F.col("_pred.predicted_class"))).drop(
         "_lt", "_pred")
 
 
-def lbl_ai_label(table_df: DataFrame, run_timestamp: str = P.RUN_TIMESTAMP) -> DataFrame:
+def lbl_ai_label(table_df: DataFrame, run_timestamp: str, cues: tuple = RULE_CUES, cut: int | None = None) -> DataFrame:
     """Label the unlabeled rows and merge back: informative / emotional get the labeler and a note,
     anything else becomes needs_review with the error labeler. Labeled rows stay as they are."""
     # in place (one pass over the table): only unlabeled rows are scored and changed
     unl = F.coalesce(F.col(LABEL), F.lit("")) == ""
-    d = label_replies(table_df.withColumn("_todo_text", F.when(unl, F.col("text"))), "_todo_text")
+    d = label_replies(table_df.withColumn("_todo_text", F.when(unl, F.col("text"))), "_todo_text", cues, cut)
     new = F.when(unl, S.normalize_label(F.col("reply")))
     ok = new.isin(*P.LABELS)
     return d.select(
@@ -72,7 +76,7 @@ def lbl_ai_label(table_df: DataFrame, run_timestamp: str = P.RUN_TIMESTAMP) -> D
         unl.alias("processed_this_run"))
 
 
-def join_label_merge(all_rows: DataFrame, scored: DataFrame, run_timestamp: str = P.RUN_TIMESTAMP) -> DataFrame:
+def join_label_merge(all_rows: DataFrame, scored: DataFrame, run_timestamp: str) -> DataFrame:
     """Write labels back by id (left join); only rows that were unlabeled change."""
     ok = F.col("new_label").isin(*P.LABELS)
     j = all_rows.join(scored, "id", "left")

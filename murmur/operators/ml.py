@@ -9,7 +9,6 @@ nothing is collected but a handful of numbers.
 from __future__ import annotations
 
 import json
-import math
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
@@ -24,7 +23,6 @@ from murmur.operators.aggregations import r6
 from murmur.operators.projections import index_label, label_index
 
 LABEL = "informative_emotional_label"
-ROWS_PER_TRAIN_PARTITION = 100_000
 BUCKET_BITS = 16  # the hash space is cut into 2^16 buckets to find each label's split point
 
 
@@ -40,8 +38,9 @@ def ml_split(df: DataFrame, label: str = LABEL, id_col: str = "id", test_size: f
              seed: int = P.SPLIT_SEED) -> DataFrame:
     """Exact stratified split: per label, the round(test_size * n) rows with the smallest
     md5(seed || id) go to test. Distributed: counts per (label, hash bucket) find the bucket
-    holding each label's cut (a prefix sum over at most 2^16 rows per label), and rows are ranked
-    only inside their (label, bucket). No label's rows are ever sorted in one task."""
+    holding each label's cut (a prefix sum over at most 2^16 rows per label); only the rows of that
+    bucket are ranked, which gives one threshold per label, and every row is compared with its
+    label's threshold in place: whole rows are never shuffled."""
     h, hexd = split_hash(id_col, seed)
     d = df.withColumn("_h", h).withColumn("_hex", hexd).withColumn(
         "_b", F.shiftright(F.col("_h"), 60 - BUCKET_BITS))
@@ -54,13 +53,14 @@ def ml_split(df: DataFrame, label: str = LABEL, id_col: str = "id", test_size: f
            .withColumn("_before", F.coalesce(F.sum("_nb").over(wcum), F.lit(0)))
            .filter((F.col("_before") < F.col("_k")) & (F.col("_before") + F.col("_nb") >= F.col("_k")))
            .select(label, F.col("_b").alias("_cut_b"), (F.col("_k") - F.col("_before")).alias("_need")))
-    j = d.join(F.broadcast(cut), label, "left")  # the cut table has one row per label
-    # rank inside (label, bucket): each window partition holds ~n/2^16 rows, however big a label is
-    ranked = j.withColumn("_r", F.row_number().over(W.partitionBy(label, "_b").orderBy("_h", "_hex", id_col)))
-    in_cut = F.col("_b") == F.col("_cut_b")
-    is_test = F.coalesce((F.col("_b") < F.col("_cut_b")) | (in_cut & (F.col("_r") <= F.col("_need"))), F.lit(False))
-    return ranked.withColumn("split", F.when(is_test, "test").otherwise("train")).drop(
-        "_h", "_hex", "_b", "_cut_b", "_need", "_r")
+    # both tables that are broadcast have one row per label
+    rank = F.row_number().over(W.partitionBy(label).orderBy("_h", "_hex", id_col))
+    at = F.struct("_h", "_hex", F.col(id_col))
+    last = (d.select(label, "_h", "_hex", "_b", id_col).join(F.broadcast(cut), label).filter(F.col("_b") == F.col("_cut_b"))
+            .withColumn("_r", rank).filter(F.col("_r") <= F.col("_need")).groupBy(label).agg(F.max(at).alias("_last")))
+    is_test = F.coalesce(at <= F.col("_last"), F.lit(False))
+    return (d.join(F.broadcast(last), label, "left").withColumn("split", F.when(is_test, "test").otherwise("train"))
+            .drop("_h", "_hex", "_b", "_last"))
 
 
 # ------------------------------------------------------------------ train / predict
@@ -86,15 +86,11 @@ def ml_train(train: DataFrame, valid: DataFrame, p: P.TrainParams = P.TrainParam
     train = train.withColumn("label_index", label_index(F.col(LABEL)).cast("double"))
     feats = feature_pipeline(p).fit(train)
     cached = feats.transform(train).select("_features", "label_index").persist()
-    # every optimizer iteration tree-aggregates a dense num_features gradient from each partition:
-    # size the partitions to the rows (about ROWS_PER_TRAIN_PARTITION each), never more than there are
-    n_rows = cached.count()
-    ftrain = cached.coalesce(max(1, min(cached.rdd.getNumPartitions(), math.ceil(n_rows / ROWS_PER_TRAIN_PARTITION))))
     runs, models = [], {}
     per_pass = max(1, p.max_iter // max(p.passes))
     try:
         for k in p.passes:
-            m = PipelineModel(stages=list(feats.stages) + [classifier(p, per_pass * k).fit(ftrain)])
+            m = PipelineModel(stages=list(feats.stages) + [classifier(p, per_pass * k).fit(cached)])
             models[k] = m
             acc = agg_accuracy(ml_predict(m, valid).select(F.col(LABEL).alias("actual"),
                                                            F.col("predicted_class").alias("predicted"))).first()["accuracy"]
@@ -113,6 +109,11 @@ def ml_train(train: DataFrame, valid: DataFrame, p: P.TrainParams = P.TrainParam
     return model, runs_df
 
 
+def load_model(path: str) -> PipelineModel:
+    """The pipeline that :func:`ml_train` saved under ``path``."""
+    return PipelineModel.load(f"{path}/pipeline")
+
+
 def ml_predict(model: PipelineModel, df: DataFrame) -> DataFrame:
     """class = argmax, confidence = max probability, both probabilities (index order)."""
     out = model.transform(df).withColumn("_p", vector_to_array(F.col("probability")))

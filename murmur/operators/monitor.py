@@ -32,3 +32,23 @@ def alarm(series: DataFrame, statistic: str, threshold: float, periods: int, per
         F.col("bucket_start"), F.col("bucket_start") + F.lit((periods - 1) * period_s), F.lit(period_s))).alias("end"))
     runs = votes.groupBy("source", "end").agg(F.count(F.lit(1)).alias("k")).filter(F.col("k") == periods)
     return runs.select("source", F.col("end").alias("alarm_bucket_start"))
+
+
+def alarms(series: DataFrame, rules: list[tuple], period_s: int) -> DataFrame:
+    """(alarm, source, alarm_bucket_start) of several alarms; ``rules``: (name, source, statistic,
+    threshold, periods). One pass over the series: a bucket breaches some of the rules, and votes for each."""
+    names = F.array(*[F.when((F.col("source") == source) & (F.col(statistic) > F.lit(threshold)),
+                             F.struct(F.lit(name).alias("alarm"), F.lit(periods).alias("periods")))
+                      for name, source, statistic, threshold, periods in rules])
+    breach = series.select("source", "bucket_start", F.explode(F.array_compact(names)).alias("r"))
+    votes = breach.select("source", F.col("r.alarm").alias("alarm"), F.col("r.periods").alias("periods"), F.explode(F.sequence(
+        F.col("bucket_start"), F.col("bucket_start") + (F.col("r.periods") - 1) * period_s, F.lit(period_s).cast("bigint"))).alias("end"))
+    runs = votes.groupBy("alarm", "source", "end", "periods").agg(F.count(F.lit(1)).alias("k")).filter(F.col("k") == F.col("periods"))
+    return runs.select("alarm", "source", F.col("end").alias("alarm_bucket_start"))
+
+
+def daily_size(items: DataFrame, texts: list[str], created: str = "created_utc") -> DataFrame:
+    """Objects and bytes of text per UTC day."""
+    size = sum((F.octet_length(F.coalesce(F.col(c), F.lit(""))).cast("bigint") for c in texts), F.lit(0).cast("bigint"))
+    return items.groupBy(F.to_date(F.timestamp_seconds(created)).alias("post_date")).agg(
+        F.count(F.lit(1)).alias("n_objects"), F.sum(size).alias("n_bytes"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from murmur import params as P
 from murmur.functions import scorers as S
-from murmur.functions.text import cut, epoch_to_day, nonblank, py_collapse, split_list
+from murmur.functions.text import cut, epoch_to_day, first, nonblank, py_collapse, split_list
 
 
 def prj_sanitize(df: DataFrame) -> DataFrame:
@@ -34,12 +34,12 @@ def pipeline_text() -> Column:
     return F.when(F.col("type") == "post", F.col("title")).when(F.col("type") == "comment", F.col("body"))
 
 
-def search_text(n: int = P.SEARCH_TEXT_CUT) -> Column:
-    """Search job: title + ' ' + selftext for posts, body for comments, cut to 5,000."""
+def search_text(n: int | None = None) -> Column:
+    """Search job: title + ' ' + selftext for posts, body for comments; whole, or the first ``n``."""
     t = (F.when(F.col("type") == "post", F.concat(F.coalesce(F.col("title"), F.lit("")), F.lit(" "),
                                                    F.coalesce(F.col("selftext"), F.lit(""))))
          .when(F.col("type") == "comment", F.coalesce(F.col("body"), F.lit(""))).otherwise(F.lit("")))
-    return F.substring(t, 1, n)
+    return first(t, n)
 
 
 def display_text() -> Column:

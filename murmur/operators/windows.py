@@ -17,10 +17,12 @@ def newest_first() -> list[Column]:
     return [F.col("created_utc").desc(), F.col("id")]
 
 
-def newest_per_group(df: DataFrame, key: str = "subreddit", n: int = P.INGEST_POST_LIMIT,
+def newest_per_group(df: DataFrame, key: str = "subreddit", n: int | None = P.INGEST_POST_LIMIT,
                      order: list[Column] | None = None) -> DataFrame:
-    """The newest ``n`` rows per group. ``row_number() <= n`` plans as a WindowGroupLimit,
+    """The newest ``n`` rows per group (None: all). ``row_number() <= n`` plans as a WindowGroupLimit,
     which also runs before the shuffle, so a hot group ships at most ``n`` rows per map task."""
+    if n is None:
+        return df
     w = W.partitionBy(key).orderBy(*(order or newest_first()))
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n).drop("_rn")
 
@@ -33,23 +35,22 @@ def comment_cap(comments: DataFrame, n: int = P.SEARCH_COMMENTS_PER_POST) -> Dat
             .filter(F.col("comment_rank") <= n))
 
 
-def item_budget(posts: DataFrame, budget: int, community_rank: Column | None = None) -> DataFrame:
+def item_budget(posts: DataFrame, budget: int | None, community_rank: Column | None = None) -> DataFrame:
     """Keep posts (in collection order: community order, then newest first) while the items
     collected *before* each post are under the budget; the last kept post may overshoot with its
-    comments. ``posts`` carries ``n_items`` = 1 + its kept comments.
+    comments. ``posts`` carries ``n_items`` = 1 + its kept comments; no budget keeps all.
 
-    Distributed prefix sum in two levels: a running sum inside each community (partitioned
-    window; the input is bounded per community by ``newest_per_group``) plus the running total of
-    the communities before it (a window over one aggregated row per community)."""
+    Every post counts at least one item, so only the first ``budget`` posts in collection order
+    can be kept: the global limit (a top-k per task, then a merge) is exact, and the running sum
+    sees at most ``budget`` rows however many posts there are."""
+    if budget is None:
+        return posts
     rank = community_rank if community_rank is not None else F.lit(0)
-    d = posts.withColumn("_crank", rank)
-    w_in = W.partitionBy("subreddit").orderBy(*newest_first()).rowsBetween(W.unboundedPreceding, -1)
-    d = d.withColumn("_prior_in", F.coalesce(F.sum("n_items").over(w_in), F.lit(0)))
-    totals = d.groupBy("subreddit", "_crank").agg(F.sum("n_items").alias("_total"))
-    w_c = W.orderBy("_crank", "subreddit").rowsBetween(W.unboundedPreceding, -1)
-    offsets = totals.select("subreddit", F.coalesce(F.sum("_total").over(w_c), F.lit(0)).alias("_offset"))
-    out = d.join(offsets, "subreddit").withColumn("items_before", F.col("_offset") + F.col("_prior_in"))
-    return out.filter(F.col("items_before") < budget).drop("_crank", "_prior_in", "_offset")
+    order = [F.col("_crank"), F.col("subreddit"), *newest_first()]
+    first = posts.withColumn("_crank", rank).orderBy(*order).limit(budget)
+    before = W.orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
+    return (first.withColumn("items_before", F.coalesce(F.sum("n_items").over(before), F.lit(0)))
+            .filter(F.col("items_before") < budget).drop("_crank"))
 
 
 def daily_quota(requests: DataFrame, key: str, ts: str, quota: int = P.DAILY_QUOTA) -> DataFrame:
@@ -75,12 +76,18 @@ def quota_segment(carried: list, ts: np.ndarray, limit: int, window_s: float) ->
         return acc, [float(x) for x in kept]
     kept = deque(float(x) for x in carried)
     acc = np.zeros(len(ts), dtype=bool)
-    for i, t in enumerate(ts.tolist()):
+    i, n = 0, len(ts)
+    while i < n:  # one turn per accepted request: a full window jumps to the first time that can be accepted
+        t = float(ts[i])
         while kept and not (kept[0] > t - window_s):
             kept.popleft()
         if len(kept) < limit:
             kept.append(t)
             acc[i] = True
+            i += 1
+        else:
+            due = np.nextafter(np.nextafter(kept[0] + window_s, -np.inf), -np.inf)  # rounding of t - window_s
+            i = max(i + 1, int(np.searchsorted(ts, due, side="left")))
     return acc, list(kept)
 
 

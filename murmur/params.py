@@ -6,15 +6,13 @@ plain text in their natural order. Parameters tuned to the driver tables follow
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 # ---------------------------------------------------------------------------------------------
 # FIXED VALUES (defaults of the original pipeline; keep equal for identical results)
 # ---------------------------------------------------------------------------------------------
 DEFAULT_SUBREDDITS = ["stocks", "investing", "wallstreetbets"]
 DEFAULT_KEYWORDS = ["AAPL", "TSLA", "AMZN", "GOOGL", "MSFT"]
-DEPLOYED_KEYWORDS = ("AAPL,MSFT,GOOGL,AMZN,TSLA,NVDA,META,BRK.B,JNJ,JPM,NFLX,V,PYPL,DIS,BAC,XOM,"
-                     "WMT,PFE,CSCO,CVX,ORCL,INTC,ADBE,CRM,CMCSA,KO,T,ABNB,AMD,PLTR,UBER")
 FALLBACK_TICKERS = ["AAPL", "TSLA", "AMZN", "GOOGL", "MSFT"]
 INGEST_POST_LIMIT = 100
 INGEST_MIN_POST_SCORE = 10
@@ -49,7 +47,6 @@ RECENT_ROWS = 20
 DISPLAY_CUT = 100
 SITE_HOST = "https://reddit.com"
 EXTRACT_LIMIT = 1000
-EXTRACT_LIMIT_DEPLOYED = 5000
 EXTRACT_MIN_SCORE = 10
 EXTRACT_MIN_LENGTH = 100
 LABELABLE_MIN_CHARS = 50
@@ -63,9 +60,6 @@ LABELER_ERROR = "gemini-error"
 LABEL_PROGRESS_EVERY = 50
 SPLIT_TEST_SIZE = 0.2
 SPLIT_SEED = 42
-TRAIN_EPOCHS = 3
-TRAIN_BATCH_SIZE = 16
-TRAIN_LEARNING_RATE = 2e-5
 SENTIMENTS = ["POSITIVE", "NEGATIVE", "NEUTRAL", "MIXED"]
 CHART_SENTIMENTS = ["POSITIVE", "NEGATIVE", "NEUTRAL"]
 CONTENT_TYPES = ["INFORMATIVE", "EMOTIONAL"]
@@ -100,76 +94,82 @@ PY_WHITESPACE_CLASS = (r"[\t\n\x{0B}\f\r\x{1C}-\x{1F} \x{85}\x{A0}\x{1680}\x{200
                        r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]")
 # ---------------------------------------------------------------------------------------------
 
-# The hosted sentiment scorer's input limit (5,000 UTF-8 bytes) and the error it raises above it.
-SCORER_MAX_BYTES = 5000
-SCORER_SIZE_ERROR = "TextSizeLimitExceededException"
+# The error a scorer reports for a text it is told to reject.
+REJECTED_TEXT = "unsupported text"
 
-# Our rule-scorer vocabularies, taken from the wording of the relevance prompt and the
-# labeling rubric (the original asks hosted models instead).
-RELEVANCE_TERMS = ["stock", "compan", "invest", "financ", "earning", "market", "trading",
-                   "economic", "analysis", "news", "product"]
-INFORMATIVE_CUES = ["factual", "information", "news", "earnings", "reports", "market", "data",
-                    "analysis", "financial", "metrics", "company", "announcements", "filings",
-                    "objective", "observations", "price", "movements", "reasoning"]
-EMOTIONAL_CUES = ["personal", "opinions", "feelings", "reactions", "excitement", "frustration",
-                  "hope", "fear", "memes", "slang", "moon", "diamond", "hands", "yolo", "trading",
-                  "experiences", "subjective", "commentary"]
+
+@dataclass(frozen=True)
+class TextCuts:
+    """How many characters a scorer reads; None is the whole text. The rule scorers need no cut."""
+    relevance_title: int | None = None
+    relevance_text: int | None = None
+    search: int | None = None
+    label: int | None = None
+
+
+WHOLE_TEXT = TextCuts()
+MODEL_CUTS = TextCuts(RELEVANCE_TITLE_CUT, RELEVANCE_TEXT_CUT, SEARCH_TEXT_CUT, LABEL_TEXT_CUT)
+
+# Vocabularies of our rule scorers.
+RELEVANCE_TERMS = ["share", "equity", "equities", "dividend", "bond", "fund", "broker", "ticker", "revenue", "profit",
+                   "margin", "valuation", "portfolio", "quarter", "guidance", "inflation", "bank", "merger", "ipo"]
+INFORMATIVE_CUES = ["percent", "quarter", "revenue", "guidance", "because", "according", "estimate", "growth", "margin",
+                    "balance", "statement", "ratio", "rate", "compared", "source", "table", "chart", "announced"]
+EMOTIONAL_CUES = ["love", "hate", "awesome", "terrible", "wow", "lol", "omg", "crazy", "insane", "happy", "sad", "angry",
+                  "scared", "believe", "feel", "never", "always", "rocket", "gonna"]
 
 
 @dataclass(frozen=True)
 class IngestParams:
-    """Defaults tuned to the driver tables (finance words replaced by words of the prose)."""
-    keywords: tuple = ("mit", "worth", "the")
-    ignore_keywords: tuple = ("license", "http")
-    mark: float | None = 1704153600.0  # 2024-01-02 UTC
-    newest_per_community: int = INGEST_POST_LIMIT
+    keywords: tuple = tuple(DEFAULT_KEYWORDS)
+    ignore_keywords: tuple = ()
+    mark: float | None = None
+    newest_per_community: int | None = INGEST_POST_LIMIT  # None: all posts
     min_post_score: int = INGEST_MIN_POST_SCORE
     min_post_length: int = INGEST_MIN_POST_LENGTH
     min_comment_score: int = INGEST_MIN_COMMENT_SCORE
     min_comment_length: int = INGEST_MIN_COMMENT_LENGTH
-    budget: int = INGEST_POST_LIMIT
+    budget: int | None = INGEST_POST_LIMIT  # None: everything accepted
     relevance_check: bool = True
-    relevance_terms: tuple = ("this", "than", "then")  # rubric terms (RELEVANCE_TERMS) don't occur in the prose
+    relevance_terms: tuple = tuple(RELEVANCE_TERMS)
     keyword_match: str = "substring"  # or "word"
     communities: tuple | None = None  # None -> every community in the data, name order
     batch_timestamp: str = "2024-01-16-00-00-00"
+    cuts: TextCuts = WHOLE_TEXT
 
 
 @dataclass(frozen=True)
 class SearchParams:
-    ticker: str = "MIT"
-    timeframe: str = "30d"
-    as_of: float = 1705366800.0
+    ticker: str = "AAPL"
+    timeframe: str = "24h"
+    as_of: float = 0.0
     ignore_keywords: tuple = tuple(SEARCH_IGNORE_KEYWORDS)
-    newest_per_community: int = SEARCH_NEWEST_PER_COMMUNITY
+    newest_per_community: int | None = SEARCH_NEWEST_PER_COMMUNITY  # None: all posts
     min_post_score: int = SEARCH_MIN_POST_SCORE
     min_post_length: int = SEARCH_MIN_POST_LENGTH
     min_comment_score: int = SEARCH_MIN_COMMENT_SCORE
     min_comment_length: int = SEARCH_MIN_COMMENT_LENGTH
     comments_per_post: int = SEARCH_COMMENTS_PER_POST
-    budget: int = SEARCH_POST_LIMIT
+    budget: int | None = SEARCH_POST_LIMIT
     communities: tuple | None = None
+    rejects: str | None = None  # texts holding this cannot be scored
+    cuts: TextCuts = WHOLE_TEXT
 
 
 @dataclass(frozen=True)
 class Lexicon:
-    positive: tuple = ("the", "with", "for")
-    negative: tuple = ("was", "from", "that")
+    """Words of market talk; a list of one's own fits any column scorer here."""
+    positive: tuple = ("gain", "gains", "up", "beat", "beats", "growth", "profit", "strong", "bullish", "buy", "record",
+                       "upgrade", "good", "great", "win", "rally", "rise", "rises", "surge", "outperform")
+    negative: tuple = ("loss", "losses", "down", "miss", "missed", "decline", "debt", "weak", "bearish", "sell", "lawsuit",
+                       "downgrade", "bad", "terrible", "lose", "crash", "fall", "falls", "plunge", "underperform")
 
 
 @dataclass(frozen=True)
 class DashboardParams:
     ticker: str = "ALL"
     item_type: str = "all"
-    as_of: float = 1705366800.0  # response timestamp (a parameter, for repeatable output)
-
-
-TICKERS = ("MIT", "GNU", "THE")
-COMPANY = ("MIT", ("MIT", "GNU"))  # (literal ticker, aliases)
-AS_OF = 1705366800.0
-RUN_TIMESTAMP = "2024-01-16 09:00"
-QUOTA_TEST_LIMIT = 1
-ALARM_TEST = dict(event_type="error", period=METRIC_PERIOD_SECONDS, threshold=1.0, periods=2)
+    as_of: float = 0.0  # response timestamp (a parameter, for repeatable output)
 
 
 @dataclass(frozen=True)
@@ -180,4 +180,3 @@ class TrainParams:
     passes: tuple = (1, 2, 3)
     seed: int = SPLIT_SEED
     test_size: float = SPLIT_TEST_SIZE
-    extra: dict = field(default_factory=dict)

@@ -11,7 +11,7 @@ from __future__ import annotations
 ADAPTER = r"""
 posts AS (
   SELECT 'post' AS type, concat('p', cast(d.doc_id AS varchar)) AS id, cast(NULL AS varchar) AS post_id,
-    replace(substr(d.text, 1, 160), chr(10), ' ') AS title, d.text AS selftext, cast(NULL AS varchar) AS body,
+    replace(d.text, chr(10), ' ') AS title, d.text AS selftext, cast(NULL AS varchar) AS body,
     CASE WHEN d.doc_id % 2 = 0 THEN concat('https://example.com/', d.source, '/', cast(d.doc_id AS varchar))
          ELSE concat('/r/', d.source, '/', cast(d.doc_id AS varchar)) END AS url,
     d.source AS subreddit, epoch_us(e.ts) AS created_us, cast(epoch_us(e.ts) AS double) / 1000000 AS created_utc,
@@ -91,9 +91,9 @@ def tokens(expr: str) -> str:
 def scored_cte(name: str, source: str, text_sql: str, where: str = "TRUE", lexicon=None, cues=None) -> str:
     """CTE adding the lexicon sentiment (s_*) and cue-word content type (pi, c_*) of ``text_sql``;
     unscorable (null / blank) text gets null sentiment and the UNKNOWN fallback."""
-    from murmur import params as P
-    lexicon = lexicon or P.Lexicon()
-    inf, emo = cues or (P.INFORMATIVE_CUES, P.EMOTIONAL_CUES)
+    from murmur.plans import fixtures as X
+    lexicon = lexicon or X.LEXICON
+    inf, emo = cues or X.CUES
     ok = f"(txt IS NOT NULL AND trim(txt) <> '')"
     return f"""{name} AS (
   SELECT *,

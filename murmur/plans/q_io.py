@@ -8,16 +8,19 @@ from pyspark.sql import functions as F
 
 from murmur import params as P
 from murmur.plans import jobs
+from murmur.plans import fixtures as X
 from murmur.plans.catalog import query
 from murmur.plans.oracle_sql import with_items
 from murmur.plans.q_enrich import PIPE_SCORED
-from murmur.plans.q_relational import (EXTRACT_WHERE, LABELED_SQL, TRAINING_ROWS_SQL, enriched, items, labeled)
-from murmur.plans.q_windows import INGEST_CTES, LABEL_SCORED
+from murmur.plans.q_relational import (LABELED_SQL, PIPE_TEXT_SQL, TRAINING_ROWS_SQL, TREND_CTE, enriched, items,
+                                       labeled)
+from murmur.plans.q_search import SEARCH_CTES
+from murmur.plans.q_windows import ALL, ALL_CTES, LABEL_SCORED
 from murmur.schema import RAW_ITEM_FIELDS
 from murmur.session import scratch_path
 from murmur.sources import files, sinks
 
-ING = P.IngestParams()
+ING = X.INGEST
 ITEM_SQL = "SELECT type, id, post_id, title, selftext, body, url, subreddit, created_utc, score FROM items"
 ITEM_COLS = ["type", "id", "post_id", "title", "selftext", "body", "url", "subreddit", "created_utc", "score"]
 
@@ -88,12 +91,13 @@ def q_src_schema_evolve(spark, sf):
 @query("snk_raw_batch", with_items(
     "SELECT type, id, post_id, subreddit, score, num_comments, content_hash FROM kept_posts UNION ALL "
     "SELECT type, id, post_id, subreddit, score, cast(NULL AS bigint) AS num_comments, content_hash FROM kept_comments",
-    *INGEST_CTES))
+    *ALL_CTES))
 def q_snk_raw_batch(spark, sf):
-    """The ingest batch written as one document with its manifest, read back."""
+    """The ingest batch (everything accepted) written as batch documents with its manifest, read back."""
     path = scratch_path(spark, "ingest-batch")
-    batch = jobs.ingest_collect(items(spark, sf), ING)
-    sinks.write_raw_batches(batch, path, ING.batch_timestamp, ING.keywords, batch_size=max(ING.budget * 10, 1000))
+    it = items(spark, sf)
+    sinks.write_raw_batches(jobs.ingest_collect(it, ALL), path, ING.batch_timestamp, ING.keywords,
+                            communities=jobs.examined_communities(it, ALL))
     back = files.read_raw_batches(spark, path, multi_line=False)
     return back.select("type", "id", "post_id", "subreddit", "score", "num_comments", "content_hash")
 
@@ -105,23 +109,17 @@ def q_snk_ndjson(spark, sf):
     """Enrichment output written one JSON object per line and read back with the explicit schema."""
     path = scratch_path(spark, "enrich-out")
     raw = items(spark, sf).select(*[c for c in RAW_ITEM_FIELDS if c in items(spark, sf).columns])
-    sinks.write_ndjson(jobs.job_enrich(raw), path)
+    sinks.write_ndjson(jobs.job_enrich(raw, X.LEXICON, X.CUES), path)
     e = files.read_enriched(spark, path)
     return e.select("id", "type", F.col("sentiment.Sentiment").alias("sentiment_type"),
                     F.col("content_type.Classification").alias("classification"),
                     F.col("content_type.Confidence").alias("confidence"))
 
 
-TOP_TRAIN_SQL = f"""toptrain AS (
-  SELECT * FROM (SELECT * FROM items WHERE {EXTRACT_WHERE} ORDER BY score DESC, created_utc DESC, id LIMIT 1000))"""
-
-
-@query("snk_csv", with_items(
-    TRAINING_ROWS_SQL.split("AS (", 1)[1].rsplit(")", 1)[0].replace("FROM items WHERE", "FROM toptrain WHERE", 1),
-    TOP_TRAIN_SQL))
+@query("snk_csv", with_items("SELECT * FROM training", TRAINING_ROWS_SQL))
 def q_snk_csv(spark, sf):
     path = scratch_path(spark, "training-csv")
-    sinks.write_training_csv(jobs.job_extract_training(enriched(spark, sf)), path)
+    sinks.write_training_csv(jobs.job_extract_training(enriched(spark, sf), None), path)
     return files.read_training_csv(spark, path)
 
 
@@ -132,7 +130,7 @@ def q_snk_csv(spark, sf):
     "FROM lab_scored", TRAINING_ROWS_SQL, LABELED_SQL, LABEL_SCORED))
 def q_snk_label_snapshots(spark, sf):
     before = labeled(spark, sf).select(*TRAIN_COLS)
-    after = jobs.job_label(before).table.select(*TRAIN_COLS)
+    after = jobs.job_label(before, X.RUN_TIMESTAMP, X.CUES).table.select(*TRAIN_COLS)
     paths = sinks.write_snapshots(before, after, scratch_path(spark, "label-snapshots"), "20240116_090000")
     parts = [files.read_training_csv(spark, p).select(F.lit(name).alias("snapshot"), "informative_emotional_label")
              for name, p in paths.items()]
@@ -141,12 +139,61 @@ def q_snk_label_snapshots(spark, sf):
                                      F.count_if(F.col("informative_emotional_label").isin(*P.LABELS)).alias("n_labeled"))
 
 
-@query("snk_dashboard_doc")
-def q_snk_dashboard_doc(spark, sf):
-    return jobs.dashboard_doc(jobs.job_dashboard(enriched(spark, sf)))
+@query("snk_enriched_table", with_items(
+    "SELECT id, type, post_date, CASE WHEN type = 'post' THEN 'r1' ELSE 'r2' END AS run FROM items"))
+def q_snk_enriched_table(spark, sf):
+    """Two runs added to the enriched table, the first one replayed: every row is there once."""
+    path = scratch_path(spark, "enriched-table")
+    e = enriched(spark, sf)
+    for run, kind in (("r1", "post"), ("r2", "comment"), ("r1", "post")):
+        sinks.write_enriched_table(e.filter(F.col("type") == kind), path, run)
+    return files.read_enriched_table(spark, path).select("id", "type", "post_date", "run")
 
 
-@query("snk_search_doc")
-def q_snk_search_doc(spark, sf):
-    return jobs.search_doc(jobs.job_search(items(spark, sf)))
+@query("src_corrupt_batches", with_items(
+    "SELECT (SELECT count(*) FROM items WHERE type = 'comment') AS n_items, (SELECT count(*) FROM items WHERE type = 'post' AND score % 7 = 0) AS n_corrupt"))
+def q_src_corrupt_batches(spark, sf):
+    """Batch folders with broken documents: the items of the good ones are read, the broken ones counted."""
+    path = scratch_path(spark, "mixed-batches")
+    it = items(spark, sf)
+    sinks.write_raw_batches(it.filter(F.col("type") == "comment"), path, ING.batch_timestamp, ING.keywords, run="1")
+    (it.filter((F.col("type") == "post") & (F.col("score") % 7 == 0))
+     .select(F.concat(F.lit('{"metadata": {}, "data": [{"id": "'), "id", F.lit('", "title": '))).write.mode("overwrite").text(f"{path}/run=2"))
+    good = files.read_raw_batches(spark, path, multi_line=False).agg(F.count("id").alias("n_items"))
+    bad = files.corrupt_batches(spark, path, multi_line=False).agg(F.count("record").alias("n_corrupt"))
+    return good.unionByName(bad, allowMissingColumns=True).agg(F.max("n_items").alias("n_items"), F.max("n_corrupt").alias("n_corrupt"))
 
+
+RECENT_SQL = "(SELECT *, row_number() OVER (ORDER BY created_utc DESC, id) AS n FROM items)"
+
+
+@query("snk_dashboard_doc", with_items(
+    "SELECT 'trend' AS part, cast(row_number() OVER (ORDER BY post_date DESC, sentiment_type DESC NULLS LAST) - 1 AS integer) AS pos, "
+    "cast(post_date AS varchar) AS post_date, sentiment_type, cast(sum(post_count) AS bigint) AS post_count, cast(NULL AS varchar) AS display_text, "
+    "cast(NULL AS varchar) AS subreddit, cast(NULL AS varchar) AS url, cast(NULL AS varchar) AS type FROM trend GROUP BY post_date, sentiment_type "
+    f"UNION ALL SELECT 'posts', cast(n - 1 AS integer), NULL, sentiment_type, NULL, {PIPE_TEXT_SQL}, subreddit, url, type FROM {RECENT_SQL} WHERE n <= {P.RECENT_ROWS}",
+    TREND_CTE))
+def q_snk_dashboard_doc(spark, sf):
+    """The dashboard document written as text, read back and opened again into its rows."""
+    path = scratch_path(spark, "dashboard")
+    jobs.dashboard_doc(jobs.job_dashboard(enriched(spark, sf), X.DASHBOARD), X.DASHBOARD).select("doc").write.mode("overwrite").text(path)
+    doc = spark.read.text(path).select(F.from_json("value", jobs.DASHBOARD_DOC).alias("d"))
+    t = doc.select(F.posexplode("d.trend_data").alias("pos", "x")).select(F.lit("trend").alias("part"), "pos", "x.*")
+    r = doc.select(F.posexplode("d.posts_data").alias("pos", "x")).select(F.lit("posts").alias("part"), "pos", "x.*")
+    return t.unionByName(r, allowMissingColumns=True)
+
+
+@query("snk_search_doc", with_items(
+    "SELECT cast(pos - 1 AS integer) AS pos, id, type, title, selftext, body, url, subreddit, created_utc, score, num_comments, "
+    f"CASE WHEN contains(txt, '{X.SEARCH.rejects}') THEN NULL ELSE s_label END AS sentiment, total_items, '{X.SEARCH.ticker}' AS ticker FROM ("
+    "SELECT *, row_number() OVER (ORDER BY subreddit, pc DESC, pid, is_c, crank) AS pos, count(*) OVER () AS total_items FROM ss) "
+    f"WHERE pos <= {P.SEARCH_SAMPLE_SIZE}", *SEARCH_CTES))
+def q_snk_search_doc(spark, sf):
+    """The search document written as text, read back and opened again into its items."""
+    path = scratch_path(spark, "search")
+    jobs.search_doc(jobs.job_search(items(spark, sf), X.SEARCH, X.LEXICON), X.SEARCH).select("doc").write.mode("overwrite").text(path)
+    item = ("struct<id:string,type:string,title:string,selftext:string,body:string,url:string,subreddit:string,created_utc:double,score:bigint,"
+            "num_comments:bigint,sentiment:struct<Sentiment:string>>")
+    doc = spark.read.text(path).select(F.from_json("value", f"ticker string, summary struct<total_items:bigint>, data array<{item}>").alias("d"))
+    rows = doc.select("d.ticker", F.col("d.summary.total_items").alias("total_items"), F.posexplode("d.data").alias("pos", "x"))
+    return rows.select("pos", "x.*", "total_items", "ticker").withColumn("sentiment", F.col("sentiment.Sentiment"))

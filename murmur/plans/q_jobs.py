@@ -7,17 +7,19 @@ from pyspark.sql import functions as F
 from murmur import params as P
 from murmur.operators import ml as ML
 from murmur.plans import jobs
+from murmur.plans import fixtures as X
 from murmur.plans.catalog import query
-from murmur.plans.oracle_sql import contains_any, py_strip as sql_strip, r6, scored_cte, with_items
+from murmur.plans.oracle_sql import r6, with_items
 from murmur.plans.q_enrich import PIPE_SCORED
-from murmur.plans.q_io import TOP_TRAIN_SQL, _raw_dir
-from murmur.plans.q_relational import (LABELED_SQL, SEARCH_TEXT_SQL, TF_HOURS, TRAINING_ROWS_SQL, TREND_CTE,
-                                       enriched, items, labeled)
+from murmur.plans.q_io import _raw_dir
+from murmur.plans.q_relational import (EXTRACT_WHERE, LABELED_SQL, TRAINING_ROWS_SQL, TREND_CTE, enriched, items,
+                                       labeled)
+from murmur.plans.q_search import SEARCH_CTES
 from murmur.plans.q_windows import INGEST_CTES, LABEL_SCORED, MERGE_SQL
 from murmur.sources import files
 
-ING = P.IngestParams()
-SRCH = P.SearchParams()
+ING = X.INGEST
+SRCH = X.SEARCH
 
 BATCH_SQL = ("SELECT type, id, post_id, substr(title, 1, 500) AS title, substr(selftext, 1, 10000) AS selftext, "
              "substr(body, 1, 5000) AS body, url, subreddit, created_utc, score, {nc} AS num_comments, content_hash FROM {src}")
@@ -36,44 +38,31 @@ def q_job_ingest(spark, sf):
     "WHERE coalesce(txt, '') <> ''", PIPE_SCORED))
 def q_job_enrich(spark, sf):
     """Raw batch files -> enriched rows."""
-    e = jobs.job_enrich(files.read_raw_batches(spark, _raw_dir(spark, sf), multi_line=False))
+    e = jobs.job_enrich(files.read_raw_batches(spark, _raw_dir(spark, sf), multi_line=False), X.LEXICON, X.CUES)
     return e.select("id", "type", F.col("sentiment.Sentiment").alias("sentiment_type"),
                     F.col("content_type.Classification").alias("classification"),
                     F.col("content_type.Confidence").alias("confidence"))
 
 
+@query("job_enrich_model")
+def q_job_enrich_model(spark, sf):
+    """Enrichment with the trained model, loaded from where training saved it."""
+    from murmur.plans.q_ml import _train
+    e = jobs.job_enrich(items(spark, sf), X.LEXICON, model=ML.load_model(_train(spark, sf)))
+    return e.select("id", "type", F.col("sentiment.Sentiment").alias("sentiment_type"),
+                    F.col("content_type.Classification").alias("classification"), F.col("content_type.Confidence").alias("confidence"))
+
+
 @query("job_dashboard", with_items("SELECT * FROM trend", TREND_CTE))
 def q_job_dashboard(spark, sf):
-    return jobs.job_dashboard(enriched(spark, sf), P.DashboardParams()).trend
-
-
-SEARCH_POST_TEXT = "lower(concat(coalesce(title, ''), ' ', coalesce(selftext, '')))"
-SEARCH_CTES = [
-    f"s_newest AS (SELECT * FROM items WHERE type = 'post' QUALIFY row_number() OVER "
-    f"(PARTITION BY subreddit ORDER BY created_utc DESC, id) <= {SRCH.newest_per_community})",
-    f"s_posts AS (SELECT * FROM s_newest WHERE created_utc >= {SRCH.as_of} - {TF_HOURS} * 3600 "
-    f"AND contains({SEARCH_POST_TEXT}, '{SRCH.ticker.lower()}') AND NOT {contains_any(SEARCH_POST_TEXT, SRCH.ignore_keywords)} "
-    f"AND score >= {SRCH.min_post_score} AND length(coalesce(selftext, '')) >= {SRCH.min_post_length})",
-    f"s_comments AS (SELECT * FROM (SELECT c.* EXCLUDE (subreddit), p.subreddit, row_number() OVER "
-    f"(PARTITION BY c.post_id ORDER BY c.created_utc, c.id) AS comment_rank FROM items c JOIN s_posts p ON c.post_id = p.id "
-    f"WHERE c.type = 'comment') WHERE comment_rank <= {SRCH.comments_per_post} AND score >= {SRCH.min_comment_score} "
-    f"AND length(coalesce(body, '')) >= {SRCH.min_comment_length})",
-    "s_counts AS (SELECT post_id, count(*) AS kept FROM s_comments GROUP BY 1)",
-    "s_budget AS (SELECT p.*, coalesce(sum(1 + coalesce(k.kept, 0)) OVER (ORDER BY p.subreddit, p.created_utc DESC, p.id "
-    "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS items_before FROM s_posts p LEFT JOIN s_counts k ON k.post_id = p.id)",
-    f"s_kept AS (SELECT * FROM s_budget WHERE items_before < {SRCH.budget})",
-    "s_items AS (SELECT id, type, title, selftext, body, subreddit, created_utc, score, created_utc AS pc, id AS pid, "
-    "0 AS is_c, 0 AS crank FROM s_kept UNION ALL SELECT c.id, c.type, c.title, c.selftext, c.body, c.subreddit, "
-    "c.created_utc, c.score, p.created_utc, c.post_id, 1, c.comment_rank FROM s_comments c JOIN s_kept p ON c.post_id = p.id)",
-    scored_cte("ss", "s_items", SEARCH_TEXT_SQL, where=f"{sql_strip(SEARCH_TEXT_SQL)} <> ''"),
-]
+    return jobs.job_dashboard(enriched(spark, sf), X.DASHBOARD).trend
 
 
 @query("job_search", with_items(
-    f"SELECT id, type, CASE WHEN strlen(txt) > {P.SCORER_MAX_BYTES} THEN NULL ELSE s_label END AS sentiment_type, "
-    f"CASE WHEN strlen(txt) > {P.SCORER_MAX_BYTES} THEN '{P.SCORER_SIZE_ERROR}' END AS sentiment_error FROM ss", *SEARCH_CTES))
+    f"SELECT id, type, CASE WHEN contains(txt, '{SRCH.rejects}') THEN NULL ELSE s_label END AS sentiment_type, "
+    f"CASE WHEN contains(txt, '{SRCH.rejects}') THEN '{P.REJECTED_TEXT}' END AS sentiment_error FROM ss", *SEARCH_CTES))
 def q_job_search(spark, sf):
-    r = jobs.job_search(items(spark, sf), SRCH)
+    r = jobs.job_search(items(spark, sf), SRCH, X.LEXICON)
     return r.items.select("id", "type", F.col("sentiment.Sentiment").alias("sentiment_type"), "sentiment_error")
 
 
@@ -81,14 +70,19 @@ def q_job_search(spark, sf):
     f"SELECT id, type, subreddit FROM ss ORDER BY subreddit, pc DESC, pid, is_c, crank LIMIT {P.SEARCH_SAMPLE_SIZE}",
     *SEARCH_CTES))
 def q_top_search_sample(spark, sf):
-    return jobs.job_search(items(spark, sf), SRCH).sample.select("id", "type", "subreddit")
+    return jobs.job_search(items(spark, sf), SRCH, X.LEXICON).sample.select("id", "type", "subreddit")
+
+
+EXTRACT_N = 100  # fewer than the rows that qualify
+TOP_TRAIN_SQL = f"""toptrain AS (
+  SELECT * FROM (SELECT * FROM items WHERE {EXTRACT_WHERE} ORDER BY score DESC, created_utc DESC, id LIMIT {EXTRACT_N}))"""
 
 
 @query("job_extract_training", with_items(
     TRAINING_ROWS_SQL.split("AS (", 1)[1].rsplit(")", 1)[0].replace("FROM items WHERE", "FROM toptrain WHERE", 1),
     TOP_TRAIN_SQL))
 def q_job_extract_training(spark, sf):
-    return jobs.job_extract_training(enriched(spark, sf))
+    return jobs.job_extract_training(enriched(spark, sf), EXTRACT_N)
 
 
 @query("job_label", with_items(
@@ -97,14 +91,15 @@ def q_job_extract_training(spark, sf):
     "('informative', 'emotional') GROUP BY 1)", TRAINING_ROWS_SQL, LABELED_SQL, LABEL_SCORED))
 def q_job_label(spark, sf):
     """Label run -> label distribution of the merged table."""
-    return jobs.job_label(labeled(spark, sf)).distribution
+    return jobs.job_label(labeled(spark, sf), X.RUN_TIMESTAMP, X.CUES).distribution
 
 
 @query("job_train_eval")
 def q_job_train_eval(spark, sf):
     """labeled -> split -> train (per-pass validation) -> evaluate the best model on the test rows."""
     from murmur.plans.q_ml import _train
-    model, runs, test = _train(spark, sf)
+    path = _train(spark, sf)
+    model, runs, test = ML.load_model(path), spark.read.parquet(f"{path}/runs"), spark.read.parquet(f"{path}/test")
     pred = ML.ml_predict(model, test).select(F.col("informative_emotional_label").alias("actual"),
                                              F.col("predicted_class").alias("predicted"))
     best = ML.agg_best_epoch(runs).select(F.col("epoch").alias("best_epoch"))

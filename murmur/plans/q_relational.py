@@ -12,14 +12,15 @@ from murmur.operators import filters as flt
 from murmur.operators import joins as J
 from murmur.operators import labeling as L
 from murmur.operators import projections as PR
+from murmur.plans import fixtures as X
 from murmur.plans.catalog import query
 from murmur.plans.oracle_sql import (clean_text, contains_any, count_in, lit_list, py_strip as sql_strip, r6,
                                      tokens, with_items)
 from murmur.sources import adapter
 
-ING = P.IngestParams()
-SRCH = P.SearchParams()
-LEX = P.Lexicon()
+ING = X.INGEST
+SRCH = X.SEARCH
+LEX = X.LEXICON
 
 
 def items(spark, sf):
@@ -79,8 +80,7 @@ def q_flt_comment_quality(spark, sf):
 
 
 RELEVANT_SQL = (f"(length(concat(coalesce(title, ''), coalesce(selftext, ''))) >= {P.RELEVANCE_MIN_CHARS} AND "
-                + contains_any(f"lower(concat(substr(coalesce(title, ''), 1, {P.RELEVANCE_TITLE_CUT}), ' ', "
-                               f"substr(coalesce(selftext, ''), 1, {P.RELEVANCE_TEXT_CUT})))", ING.relevance_terms) + ")")
+                + contains_any("lower(concat(coalesce(title, ''), ' ', coalesce(selftext, '')))", ING.relevance_terms) + ")")
 
 
 @query("flt_relevance", with_items(f"SELECT id FROM items WHERE type = 'post' AND {RELEVANT_SQL}"))
@@ -90,15 +90,18 @@ def q_flt_relevance(spark, sf):
 
 @query("flt_required_fields", with_items(
     "SELECT id, type FROM items WHERE type IS NOT NULL AND id IS NOT NULL AND subreddit IS NOT NULL "
-    "AND created_utc IS NOT NULL AND score IS NOT NULL"))
+    "AND created_utc IS NOT NULL AND score IS NOT NULL AND score % 5 <> 0"))
 def q_flt_required_fields(spark, sf):
-    return flt.flt_required_fields(items(spark, sf)).select("id", "type")
+    """Every fifth score has lost its community."""
+    lost = items(spark, sf).withColumn("subreddit", F.when(F.col("score") % 5 != 0, F.col("subreddit")))
+    return flt.flt_required_fields(lost).select("id", "type")
 
 
 @query("flt_nonempty_text", with_items(
-    "SELECT id, type FROM items WHERE coalesce(CASE WHEN type = 'post' THEN title WHEN type = 'comment' THEN body END, '') <> ''"))
+    "SELECT id, type FROM items WHERE coalesce(CASE WHEN type = 'post' THEN title WHEN type = 'comment' THEN body END, '') <> '' AND score % 4 <> 0"))
 def q_flt_nonempty_text(spark, sf):
-    d = items(spark, sf).withColumn("text", PR.pipeline_text())
+    """Every fourth score comes without its text."""
+    d = items(spark, sf).withColumn("text", F.when(F.col("score") % 4 == 0, F.lit("")).otherwise(PR.pipeline_text()))
     return flt.flt_nonempty_text(d, "text").select("id", "type")
 
 
@@ -108,7 +111,7 @@ def q_flt_ticker(spark, sf):
     return flt.flt_ticker(items(spark, sf), SRCH.ticker).select("id", "type")
 
 
-COMPANY_TICKER, COMPANY_ALIASES = P.COMPANY
+COMPANY_TICKER, COMPANY_ALIASES = X.COMPANY
 ALIAS_SQL = "(" + " OR ".join(f"contains(upper({c}), '{a}')" for a in COMPANY_ALIASES for c in ("title", "body")) + ")"
 
 
@@ -160,12 +163,15 @@ def q_flt_extraction(spark, sf):
 TRAIN_TEXT_SQL = "(CASE WHEN type = 'post' THEN coalesce(title, '') ELSE coalesce(body, '') END)"
 
 
+LABELABLE_N = 400  # more than the extraction's 100 characters
+
+
 @query("flt_labelable", with_items(
     f"SELECT id, cast(length({sql_strip(TRAIN_TEXT_SQL)}) AS bigint) AS n_chars FROM items "
-    f"WHERE {EXTRACT_WHERE} AND length({sql_strip(TRAIN_TEXT_SQL)}) >= 50"))
+    f"WHERE {EXTRACT_WHERE} AND length({sql_strip(TRAIN_TEXT_SQL)}) >= {LABELABLE_N}"))
 def q_flt_labelable(spark, sf):
     d = L.extraction(enriched(spark, sf))
-    return flt.flt_labelable(d, "text").select("id", F.length(py_strip("text")).cast("bigint").alias("n_chars"))
+    return flt.flt_labelable(d, "text", LABELABLE_N).select("id", F.length(py_strip("text")).cast("bigint").alias("n_chars"))
 
 
 TRAINING_ROWS_SQL = f"""training AS (
@@ -244,8 +250,8 @@ def q_prj_text_pipeline(spark, sf):
     return items(spark, sf).select("id", PR.pipeline_text().alias("text"))
 
 
-SEARCH_TEXT_SQL = ("substr(CASE WHEN type = 'post' THEN concat(coalesce(title, ''), ' ', coalesce(selftext, '')) "
-                   "WHEN type = 'comment' THEN coalesce(body, '') ELSE '' END, 1, 5000)")
+SEARCH_TEXT_SQL = ("(CASE WHEN type = 'post' THEN concat(coalesce(title, ''), ' ', coalesce(selftext, '')) "
+                   "WHEN type = 'comment' THEN coalesce(body, '') ELSE '' END)")
 
 
 @query("prj_text_search", with_items(f"SELECT id, {SEARCH_TEXT_SQL} AS text FROM items"))
@@ -332,8 +338,8 @@ def q_prj_training_row(spark, sf):
 
 
 CT_TOK = tokens(PIPE_TEXT_SQL)
-CT_I = count_in("tk", P.INFORMATIVE_CUES)
-CT_E = count_in("tk", P.EMOTIONAL_CUES)
+CT_I = count_in("tk", X.INFORMATIVE_CUES)
+CT_E = count_in("tk", X.EMOTIONAL_CUES)
 CT_PRED_CTE = f"""pred AS (
   SELECT id, {PIPE_TEXT_SQL} AS text, (cast({CT_I} AS double) + 0.5) / cast({CT_I} + {CT_E} + 1 AS double) AS pi
   FROM (SELECT *, {CT_TOK} AS tk FROM items))"""
@@ -345,7 +351,7 @@ CT_PRED_CTE = f"""pred AS (
     CT_PRED_CTE))
 def q_prj_class_result(spark, sf):
     d = items(spark, sf).withColumn("text", PR.pipeline_text()).filter(F.col("text").isNotNull())
-    d = S.score_columns(d, F.col("text"), prediction_out="_pred")
+    d = S.score_columns(d, F.col("text"), prediction_out="_pred", cues=X.CUES)
     r = S.class_result(F.col("_pred"))
     return d.select("id", r["Classification"].alias("classification"), r["Confidence"].alias("confidence"),
                     r["Probabilities"]["Informative"].alias("p_informative"),
@@ -357,7 +363,7 @@ def q_prj_class_result(spark, sf):
     "CASE WHEN text IS NULL OR trim(text) = '' THEN 0.0 ELSE greatest(pi, 1.0 - pi) END AS confidence, "
     "CASE WHEN text IS NULL OR trim(text) = '' THEN 'empty text' END AS error FROM pred", CT_PRED_CTE))
 def q_prj_class_fallback(spark, sf):
-    d = S.score_columns(items(spark, sf).withColumn("_t", PR.pipeline_text()), F.col("_t"), content_out="ct")
+    d = S.score_columns(items(spark, sf).withColumn("_t", PR.pipeline_text()), F.col("_t"), content_out="ct", cues=X.CUES)
     return d.select("id", F.col("ct.Classification").alias("classification"),
                     F.col("ct.Confidence").alias("confidence"), F.col("ct.Error").alias("error"))
 
@@ -406,11 +412,32 @@ def q_prj_split_list(spark, sf):
 # ---------------------------------------------------------------- 2.4 joins (relational part)
 
 
+@query("join_ticker_mentions_word", with_items(
+    f"SELECT DISTINCT id, ticker FROM (SELECT id, unnest(regexp_split_to_array({full_upper("concat(coalesce(title, ''), ' ', coalesce(selftext, ''))")}, "
+    f"'[^A-Z0-9.]+')) AS ticker FROM items) WHERE ticker IN ({lit_list(X.TICKERS)})"))
+def q_join_ticker_mentions_word(spark, sf):
+    """Whole-word mentions: an equi-join on the token, whose strategy Spark chooses by size."""
+    return J.join_ticker_mentions(items(spark, sf), X.TICKERS, match="word").select("id", "ticker")
+
+
+@query("set_ticker_list", with_items(
+    "SELECT * FROM (SELECT subreddit, trim(unnest(string_split(words, ','))) AS ticker, 'configured' AS source FROM (SELECT subreddit, "
+    "min(split_part(title, ' ', 1)) AS words FROM items WHERE type = 'post' GROUP BY 1)) WHERE ticker <> '' UNION ALL SELECT subreddit, unnest([" + lit_list(P.FALLBACK_TICKERS) + f"]), '{P.FALLBACK_SOURCE}' "
+    "FROM (SELECT DISTINCT subreddit FROM items WHERE type = 'comment')"))
+def q_set_ticker_list(spark, sf):
+    """A configured list per community (a word of its posts), and the tagged fallback list for the
+    communities seen in comments, which configure none."""
+    it = items(spark, sf)
+    own = it.filter("type = 'post'").groupBy("subreddit").agg(F.min(F.split("title", " ")[0]).alias("keywords"))
+    none = it.filter("type = 'comment'").select("subreddit").distinct().select("subreddit", F.lit(None).cast("string").alias("keywords"))
+    return J.ticker_lists(own.unionByName(none)).select("subreddit", "ticker", "source")
+
+
 @query("join_ticker_mentions", with_items(
-    f"SELECT i.id, t.ticker FROM items i JOIN (SELECT unnest([{lit_list(P.TICKERS)}]) AS ticker) t "
+    f"SELECT i.id, t.ticker FROM items i JOIN (SELECT unnest([{lit_list(X.TICKERS)}]) AS ticker) t "
     f"ON contains(upper(i.title), t.ticker) OR contains(upper(i.selftext), t.ticker)"))
 def q_join_ticker_mentions(spark, sf):
-    return J.join_ticker_mentions(items(spark, sf), P.TICKERS).select("id", "ticker")
+    return J.join_ticker_mentions(items(spark, sf), X.TICKERS).select("id", "ticker")
 
 
 # ---------------------------------------------------------------- 2.5 rollups
@@ -463,10 +490,10 @@ def q_agg_company_combined(spark, sf):
 
 @query("agg_mentions_trend", with_items(
     f"SELECT t.ticker, i.post_date, i.sentiment_type, count(*) AS post_count FROM items i "
-    f"JOIN (SELECT unnest([{lit_list(P.TICKERS)}]) AS ticker) t "
+    f"JOIN (SELECT unnest([{lit_list(X.TICKERS)}]) AS ticker) t "
     f"ON contains(upper(i.title), t.ticker) OR contains(upper(i.selftext), t.ticker) GROUP BY 1, 2, 3"))
 def q_agg_mentions_trend(spark, sf):
-    return J.agg_mentions_trend(enriched(spark, sf), P.TICKERS)
+    return J.agg_mentions_trend(enriched(spark, sf), X.TICKERS)
 
 
 TREND_CTE = "trend AS (SELECT post_date, sentiment_type, content_type, count(*) AS post_count FROM items GROUP BY 1, 2, 3)"
@@ -552,16 +579,10 @@ def q_agg_sentiment_breakdown(spark, sf):
     return A.agg_sentiment_breakdown(search_scored(spark, sf))
 
 
-NEWEST_CTE = (f"newest AS (SELECT * FROM items WHERE type = 'post' QUALIFY row_number() OVER "
-              f"(PARTITION BY subreddit ORDER BY created_utc DESC, id) <= {ING.newest_per_community})")
-
-
 @query("agg_hwm", with_items(
-    f"SELECT max(created_utc) AS new_mark, count(*) AS rows_past_mark FROM newest WHERE created_utc >= {ING.mark}",
-    NEWEST_CTE))
+    f"SELECT max(created_utc) AS new_mark, count(*) AS rows_past_mark FROM items WHERE type = 'post' AND created_utc >= {ING.mark}"))
 def q_agg_hwm(spark, sf):
-    from murmur.operators.windows import newest_per_group
-    return A.agg_hwm(newest_per_group(posts(spark, sf), "subreddit", ING.newest_per_community), ING.mark)
+    return A.agg_hwm(posts(spark, sf), ING.mark)
 
 
 @query("agg_label_distribution", with_items(
@@ -584,9 +605,9 @@ def q_top_recent(spark, sf):
 
 
 @query("top_extraction", with_items(
-    f"SELECT id, type, score, created_utc FROM items WHERE {EXTRACT_WHERE} ORDER BY score DESC, created_utc DESC, id LIMIT 1000"))
+    f"SELECT id, type, score, created_utc FROM items WHERE {EXTRACT_WHERE} ORDER BY score DESC, created_utc DESC, id LIMIT 100"))
 def q_top_extraction(spark, sf):
-    return L.top_extraction(L.extraction(enriched(spark, sf))).select("id", "type", "score", "created_utc")
+    return L.top_extraction(L.extraction(enriched(spark, sf)), 100).select("id", "type", "score", "created_utc")
 
 
 @query("srt_rollup", DUAL_SQL + " ORDER BY post_date DESC, subreddit, post_count DESC")

@@ -8,19 +8,20 @@ from pyspark.sql import functions as F
 
 from murmur import params as P
 from murmur.operators import monitor as M
+from murmur.plans import fixtures as X
 from murmur.plans.catalog import query
 from murmur.plans.oracle_sql import r6, with_items
 from murmur.plans.q_enrich import PIPE_SCORED
 from murmur.plans.q_io import ITEM_COLS, _raw_dir
 from murmur.plans.q_relational import enriched, items
-from murmur.plans.q_windows import QUOTA1_SQL
+from murmur.plans.q_windows import QUOTA_LIMIT, QUOTA_SQL, QUOTA_WINDOW, request_log
 from murmur.schema import ENRICHED, RAW_ITEM_FIELDS
 from murmur.session import scratch_path
 from murmur.sources import files
 from murmur.sources.tables import table
 from murmur.streaming import jobs as SJ
 
-ING = P.IngestParams()
+ING = X.INGEST
 N_ARRIVALS = 6
 
 
@@ -54,7 +55,7 @@ def _ts_num(col: str) -> F.Column:
     PIPE_SCORED))
 def q_stm_enrich(spark, sf):
     out = SJ.stm_enrich(files.raw_stream(spark, _raw_dir(spark, sf), max_files=2),
-                        scratch_path(spark, "stm-enrich-out"), scratch_path(spark, "stm-enrich-ckpt"))
+                        scratch_path(spark, "stm-enrich-out"), scratch_path(spark, "stm-enrich-ckpt"), lexicon=X.LEXICON, cues=X.CUES)
     e = spark.read.parquet(out)
     return e.select("id", "type", F.col("sentiment.Sentiment").alias("sentiment_type"),
                     F.col("content_type.Classification").alias("classification"))
@@ -82,7 +83,7 @@ def q_stm_daily_trend(spark, sf):
     out, ckpt = scratch_path(spark, "trend-out"), scratch_path(spark, "trend-ckpt")
 
     def run_once(src):
-        SJ.drain_update(SJ.stm_daily_trend(spark.readStream.schema(ENRICHED).json(src)), out, ckpt)
+        SJ.drain_update(SJ.stm_daily_trend(spark.readStream.schema(ENRICHED).json(src)), out, ckpt, ["post_date", "sentiment_type"], every=3)
 
     arrivals(e, "created_utc", scratch_path(spark, "arrivals-enriched"), run_once)
     return SJ.read_upserted(spark, out, ["post_date", "sentiment_type"])
@@ -92,22 +93,18 @@ def _events(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "events").withColumn("ts_s", _ts_num("ts"))
 
 
-@query("stm_quota", QUOTA1_SQL)
+@query("stm_quota", QUOTA_SQL)
 def q_stm_quota(spark, sf):
-    """The hourly quota as a stateful stream over time-ordered request arrivals (one micro-batch
+    """The hourly quota as a stream over time-ordered request arrivals (one micro-batch
     per slice, restarting from the checkpoint each time); equals ``win_sliding_quota``."""
-    from murmur.streaming.files import batch_writer
-    ev = _events(spark, sf)
+    log = request_log(spark, sf)
     out, ckpt = scratch_path(spark, "quota-out"), scratch_path(spark, "quota-ckpt")
 
     def run_once(src):
-        stream = spark.readStream.schema(ev.schema).parquet(src).select("event_id", "user_id", "ts_s")
-        q = (SJ.stm_quota(stream, P.QUOTA_TEST_LIMIT).writeStream.outputMode("append").foreachBatch(batch_writer(out))
-             .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
-        q.awaitTermination()
+        SJ.stm_quota(spark.readStream.schema(log.schema).parquet(src), out, ckpt, "client", QUOTA_LIMIT, QUOTA_WINDOW)
 
-    arrivals(ev, "ts_s", scratch_path(spark, "arrivals-events"), run_once, fmt="parquet")
-    return spark.read.parquet(out).select("event_id", "user_id", "ts_s", "accepted")
+    arrivals(log, "ts_s", scratch_path(spark, "arrivals-requests"), run_once, fmt="parquet")
+    return spark.read.parquet(out).select("event_id", "client", "ts_s", "accepted")
 
 
 METRIC_SQL = (f"SELECT event_type AS source, cast(floor(epoch_us(ts) / 300000000) * 300 AS bigint) AS bucket_start, "
@@ -120,29 +117,64 @@ def q_stm_metric_window(spark, sf):
     out, ckpt = scratch_path(spark, "metric-out"), scratch_path(spark, "metric-ckpt")
 
     def run_once(src):
-        SJ.drain_update(SJ.stm_metric_window(spark.readStream.schema(ev.schema).parquet(src)), out, ckpt)
+        SJ.drain_update(SJ.stm_metric_window(spark.readStream.schema(ev.schema).parquet(src)), out, ckpt, ["source", "bucket_start"], every=4)
 
     arrivals(ev, "ts_s", scratch_path(spark, "arrivals-events"), run_once, fmt="parquet")
     return SJ.read_upserted(spark, out, ["source", "bucket_start"])
 
 
+@query("stm_dedup_ids", with_items("SELECT id, created_utc FROM items"))
+def q_stm_dedup_ids(spark, sf):
+    """``dedup_ids`` as a stream: every item arrives, and the items of one day arrive twice in one
+    slice; within the watermark each id comes out once."""
+    from murmur.streaming.files import drain_to_parquet
+    it = items(spark, sf).select("id", "created_utc")
+    twice = it.unionByName(it.filter(F.dayofmonth(F.timestamp_seconds("created_utc")) % 3 == 0))
+    out, ckpt = scratch_path(spark, "dedup-out"), scratch_path(spark, "dedup-ckpt")
+
+    def run_once(src):
+        drain_to_parquet(SJ.stm_dedup(spark.readStream.schema(it.schema).parquet(src), ["id"]), out, ckpt)
+
+    arrivals(twice, "created_utc", scratch_path(spark, "arrivals-ids"), run_once, fmt="parquet")
+    return spark.read.parquet(out).select("id", "created_utc")
+
+
 @query("mon_metric_series", METRIC_SQL)
 def q_mon_metric_series(spark, sf):
     return M.metric_series(table(spark, sf, "events"), "event_type", "ts", "value", P.METRIC_PERIOD_SECONDS)
 
 
-AL = P.ALARM_TEST
+@query("mon_error_series", f"SELECT cast(floor(epoch_us(ts) / 300000000) * 300 AS bigint) AS bucket_start, count(*) AS n_errors "
+                           f"FROM events WHERE event_type = 'error' GROUP BY 1")
+def q_mon_error_series(spark, sf):
+    """Error count per period."""
+    e = table(spark, sf, "events").filter(F.col("event_type") == "error")
+    return M.metric_series(e, "event_type", "ts", "value", P.METRIC_PERIOD_SECONDS).select("bucket_start", F.col("n").alias("n_errors"))
+
+
+@query("mon_daily_size", with_items(
+    "SELECT post_date, count(*) AS n_objects, cast(sum(strlen(coalesce(title, '')) + strlen(coalesce(selftext, '')) + strlen(coalesce(body, ''))) AS bigint) "
+    "AS n_bytes FROM items GROUP BY 1"))
+def q_mon_daily_size(spark, sf):
+    """Objects and bytes of text per day."""
+    return M.daily_size(items(spark, sf), ["title", "selftext", "body"])
+
+
+# The four alarms with thresholds that the driver tables cross: (name, source, statistic, threshold, periods)
+ALARMS = [(name, source, {"sum": "n", "avg": "avg_value"}[statistic], threshold, periods) for (name, statistic, _, periods), (source, threshold) in
+          zip(P.ALARMS, [("error", 1.0), ("view", 60.0), ("purchase", 1.0), ("click", 40.0)])]
+
+
+def _alarm_sql(name, source, statistic, threshold, periods):
+    run = (f"SELECT a.b FROM s a WHERE a.source = '{source}' AND (SELECT count(*) FROM s c WHERE c.source = a.source AND c.{statistic} > {threshold} "
+           f"AND c.b BETWEEN a.b - {(periods - 1) * P.METRIC_PERIOD_SECONDS} AND a.b) = {periods}")
+    return f"SELECT '{name}' AS alarm, '{source}' AS source, b AS alarm_bucket_start FROM ({run})"
 
 
 @query("mon_alarm",
-       f"WITH s AS (SELECT event_type AS source, cast(floor(epoch_us(ts) / 300000000) * 300 AS bigint) AS b, count(*) AS n "
-       f"FROM events WHERE event_type = '{AL['event_type']}' GROUP BY 1, 2), br AS (SELECT * FROM s WHERE n > {AL['threshold']}) "
-       f"SELECT source, b AS alarm_bucket_start FROM br b1 WHERE (SELECT count(*) FROM br b2 WHERE b2.source = b1.source "
-       f"AND b2.b BETWEEN b1.b - {(AL['periods'] - 1) * AL['period']} AND b1.b) = {AL['periods']}")
+       f"WITH s AS (SELECT source, bucket_start AS b, n, avg_value FROM ({METRIC_SQL})) " + " UNION ALL ".join(_alarm_sql(*a) for a in ALARMS))
 def q_mon_alarm(spark, sf):
-    """Error-count alarm: more than 1 error per 300 s for 2 periods in a row (the deployed alarm is
-    Sum > 5 for 2 periods; the driver tables are sparser)."""
-    ev = table(spark, sf, "events").filter(F.col("event_type") == AL["event_type"])
-    series = M.metric_series(ev, "event_type", "ts", "value", AL["period"])
-    return M.alarm(series, "n", AL["threshold"], AL["periods"], AL["period"])
-
+    """The deployed alarms over the metric series: each statistic above its threshold for its number
+    of periods in a row."""
+    series = M.metric_series(table(spark, sf, "events"), "event_type", "ts", "value", P.METRIC_PERIOD_SECONDS)
+    return M.alarms(series, ALARMS, P.METRIC_PERIOD_SECONDS)

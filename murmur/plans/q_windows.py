@@ -12,13 +12,14 @@ from murmur.operators import labeling as L
 from murmur.operators import projections as PR
 from murmur.operators import windows as WN
 from murmur.plans import jobs
+from murmur.plans import fixtures as X
 from murmur.plans.catalog import query
 from murmur.plans.oracle_sql import contains_any, scored_cte, with_items
 from murmur.plans.q_relational import (HASH_SQL, LABELED_SQL, PIPE_TEXT_SQL, POST_TEXT_SQL, RELEVANT_SQL,
                                        TRAINING_ROWS_SQL, items, labeled, posts)
 from murmur.sources.tables import table
 
-ING = P.IngestParams()
+ING = X.INGEST
 
 NEWEST = (f"newest AS (SELECT * FROM items WHERE type = 'post' QUALIFY row_number() OVER "
           f"(PARTITION BY subreddit ORDER BY created_utc DESC, id) <= {ING.newest_per_community})")
@@ -47,18 +48,25 @@ INGEST_CTES = [
     f"kept_comments AS (SELECT *, {HASH_SQL} AS content_hash FROM linked WHERE {QUALITY} "
     "AND post_id IN (SELECT id FROM kept_posts))",
 ]
+# The same rules over all posts, without the listing's cut and without a budget.
+ALL = X.INGEST_ALL
+ALL_CTES = ["newest AS (SELECT * FROM items WHERE type = 'post')", *INGEST_CTES[1:5],
+            "kept_posts AS (SELECT * FROM posts_n)", INGEST_CTES[7]]
+NEWEST_N = 20  # communities hold more posts than this
 
 
-@query("src_newest_per_group", with_items("SELECT id, subreddit FROM newest", NEWEST))
+@query("src_newest_per_group", with_items(
+    f"SELECT id, subreddit FROM items WHERE type = 'post' QUALIFY row_number() OVER "
+    f"(PARTITION BY subreddit ORDER BY created_utc DESC, id) <= {NEWEST_N}"))
 def q_src_newest_per_group(spark, sf):
-    return WN.newest_per_group(posts(spark, sf), "subreddit", ING.newest_per_community).select("id", "subreddit")
+    return WN.newest_per_group(posts(spark, sf), "subreddit", NEWEST_N).select("id", "subreddit")
 
 
 @query("join_comments_of_accepted", with_items(
-    "SELECT id, post_id, subreddit FROM linked", *INGEST_CTES[:3]))
+    "SELECT id, post_id, subreddit FROM linked", *ALL_CTES[:3]))
 def q_join_comments_of_accepted(spark, sf):
     it = items(spark, sf)
-    acc = jobs.ingest_accepted(jobs.ingest_examined(it, ING), ING)
+    acc = jobs.ingest_accepted(jobs.ingest_examined(it, ALL), ALL)
     return J.join_comments_of_accepted(acc, it.filter(F.col("type") == "comment")).select("id", "post_id", "subreddit")
 
 
@@ -66,9 +74,9 @@ def q_join_comments_of_accepted(spark, sf):
     "SELECT subreddit, count(*) AS examined, "
     + ", ".join(f"count(*) FILTER (WHERE {' AND '.join(f'({w})' for _, w in STAGES_SQL[:i + 1])}) AS {n}"
                 for i, (n, _) in enumerate(STAGES_SQL))
-    + " FROM newest GROUP BY subreddit", NEWEST))
+    + " FROM newest GROUP BY subreddit", ALL_CTES[0]))
 def q_agg_filter_funnel(spark, sf):
-    return jobs.ingest_funnel(items(spark, sf), ING)
+    return jobs.ingest_funnel(items(spark, sf), ALL)
 
 
 @query("win_item_budget", with_items("SELECT id, n_items, items_before FROM kept_posts", *INGEST_CTES[:7]))
@@ -93,50 +101,56 @@ def q_win_comment_cap(spark, sf):
 
 
 def request_log(spark, sf):
-    """Search requests re-aimed onto ``events``: client = user_id, time = ts (epoch seconds)."""
+    """Search requests re-aimed onto ``events``: client = user_id modulo a few, time = ts (epoch seconds)."""
     e = table(spark, sf, "events").select("event_id", "user_id", "ts")
-    return e.select("event_id", "user_id", (F.unix_micros(F.col("ts").cast("timestamp")).cast("double") / 1e6).alias("ts_s"))
+    return e.select("event_id", (F.col("user_id") % X.QUOTA_CLIENTS).alias("client"), (F.unix_micros(F.col("ts").cast("timestamp")).cast("double") / 1e6).alias("ts_s"))
 
 
-# With limit 1 the accepted-only state is the last accepted time, so a recursive CTE walks each
-# client's requests in order (a request is accepted unless the last accepted one is newer than an hour).
-QUOTA1_SQL = """WITH RECURSIVE ev AS (
-  SELECT event_id, user_id, cast(epoch_us(ts) AS double) / 1000000 AS ts_s,
-    row_number() OVER (PARTITION BY user_id ORDER BY cast(epoch_us(ts) AS double) / 1000000, event_id) AS rn FROM events),
+QUOTA_LIMIT = P.SEARCH_QUOTA_PER_HOUR
+QUOTA_WINDOW = 3600.0
+# The state is the list of the last accepted times: a recursive CTE walks each client's requests in order.
+QUOTA_SQL = f"""WITH RECURSIVE ev AS (
+  SELECT *, row_number() OVER (PARTITION BY client ORDER BY ts_s, event_id) AS rn
+  FROM (SELECT event_id, user_id % {X.QUOTA_CLIENTS} AS client, cast(epoch_us(ts) AS double) / 1000000 AS ts_s FROM events)),
 r AS (
-  SELECT event_id, user_id, ts_s, rn, true AS accepted, ts_s AS last_acc FROM ev WHERE rn = 1
+  SELECT event_id, client, ts_s, rn, true AS accepted, [ts_s] AS kept FROM ev WHERE rn = 1
   UNION ALL
-  SELECT e.event_id, e.user_id, e.ts_s, e.rn, NOT (r.last_acc > e.ts_s - 3600) AS accepted,
-    CASE WHEN NOT (r.last_acc > e.ts_s - 3600) THEN e.ts_s ELSE r.last_acc END AS last_acc
-  FROM r JOIN ev e ON e.user_id = r.user_id AND e.rn = r.rn + 1)
-SELECT event_id, user_id, ts_s, accepted FROM r"""
-assert P.QUOTA_TEST_LIMIT == 1
+  SELECT event_id, client, ts_s, rn, len(k) < {QUOTA_LIMIT} AS accepted, CASE WHEN len(k) < {QUOTA_LIMIT} THEN list_append(k, ts_s) ELSE k END AS kept
+  FROM (SELECT e.event_id, e.client, e.ts_s, e.rn, list_filter(r.kept, lambda x: x > e.ts_s - {QUOTA_WINDOW}) AS k
+        FROM r JOIN ev e ON e.client = r.client AND e.rn = r.rn + 1))
+SELECT event_id, client, ts_s, accepted FROM r"""
 
 
-@query("win_sliding_quota", QUOTA1_SQL)
+@query("win_sliding_quota", QUOTA_SQL)
 def q_win_sliding_quota(spark, sf):
-    """Hourly quota per client (limit 1 on the driver tables, so it actually refuses)."""
-    return WN.sliding_quota(request_log(spark, sf), "user_id", "ts_s", P.QUOTA_TEST_LIMIT)
+    """Hourly quota per client; few enough clients that some are refused."""
+    return WN.sliding_quota(request_log(spark, sf), "client", "ts_s", QUOTA_LIMIT, QUOTA_WINDOW)
+
+
+DAILY_N = 2  # requests per user and day on the driver tables
 
 
 @query("win_daily_quota",
        f"SELECT event_id, user_id, cast(ts AS date) AS day, row_number() OVER (PARTITION BY user_id, cast(ts AS date) "
-       f"ORDER BY ts, event_id) AS request_no FROM events QUALIFY request_no <= {P.DAILY_QUOTA}")
+       f"ORDER BY ts, event_id) AS request_no FROM events QUALIFY request_no <= {DAILY_N}")
 def q_win_daily_quota(spark, sf):
     e = table(spark, sf, "events").select("event_id", "user_id", "ts")
-    return WN.daily_quota(e, "user_id", "ts", P.DAILY_QUOTA).select(
+    return WN.daily_quota(e, "user_id", "ts", DAILY_N).select(
         "event_id", "user_id", "day", F.col("request_no").cast("bigint").alias("request_no"))
 
 
+OVERLAP = 3 * 86400.0
+
+
 @query("dedup_ids", with_items(
     f"SELECT n.id FROM items n WHERE n.type = 'post' AND n.created_utc >= {ING.mark} "
-    f"AND NOT EXISTS (SELECT 1 FROM items s WHERE s.created_utc <= {ING.mark} AND s.id = n.id)"))
+    f"AND NOT EXISTS (SELECT 1 FROM items s WHERE s.created_utc <= {ING.mark + OVERLAP} AND s.id = n.id)"))
 def q_dedup_ids(spark, sf):
-    """New run (rows at or past the mark) minus what earlier runs ingested (rows up to the mark):
-    rows equal to the mark come back under the >= rule and are removed here."""
+    """New run (rows at or past the mark) minus what earlier runs ingested, of which one went three
+    days past the mark that was stored."""
     it = items(spark, sf)
     new = it.filter((F.col("type") == "post") & (F.col("created_utc") >= ING.mark))
-    seen = it.filter(F.col("created_utc") <= ING.mark)
+    seen = it.filter(F.col("created_utc") <= ING.mark + OVERLAP)
     return J.dedup_ids(new, seen).select("id")
 
 
@@ -158,20 +172,20 @@ def q_join_enrichment(spark, sf):
     it = items(spark, sf)
     t = PR.pipeline_text()
     scores = S.score_columns(it.select("id", t.alias("_t")), F.col("_t"), sentiment_out="sentiment",
-                             content_out="content_type").drop("_t")
+                             content_out="content_type", lexicon=X.LEXICON, cues=X.CUES).drop("_t")
     return J.join_enrichment(it.select("id", "type"), scores).select(
         "id", "type", F.col("sentiment.Sentiment").alias("sentiment_type"),
         F.col("content_type.Classification").alias("classification"))
 
 
-LABEL_SCORED = scored_cte("lab_scored", "labeled", "substr(text, 1, 800)")
-MERGE_SQL = """SELECT id,
+LABEL_SCORED = scored_cte("lab_scored", "labeled", "text")
+MERGE_SQL = f"""SELECT id,
   CASE WHEN coalesce(informative_emotional_label, '') <> '' THEN informative_emotional_label
        WHEN scorable THEN lower(c_label) ELSE 'needs_review' END AS informative_emotional_label,
   CASE WHEN coalesce(informative_emotional_label, '') <> '' THEN labeler
-       WHEN scorable THEN 'gemini-2.5-flash' ELSE 'gemini-error' END AS labeler,
+       WHEN scorable THEN '{P.LABELER_OK}' ELSE '{P.LABELER_ERROR}' END AS labeler,
   CASE WHEN coalesce(informative_emotional_label, '') <> '' THEN labeling_notes
-       WHEN scorable THEN 'AI labeled on 2024-01-16 09:00' ELSE labeling_notes END AS labeling_notes
+       WHEN scorable THEN '{P.LABEL_NOTE.format(X.RUN_TIMESTAMP)}' ELSE labeling_notes END AS labeling_notes
 FROM lab_scored"""
 
 
@@ -180,8 +194,8 @@ def q_join_label_merge(spark, sf):
     """Labels scored as a separate frame (the unlabeled rows only), written back by id."""
     tbl = labeled(spark, sf)
     from murmur.operators import filters as flt
-    scored = L.label_replies(flt.flt_unlabeled(tbl)).select("id", S.normalize_label(F.col("reply")).alias("new_label"))
-    return L.join_label_merge(tbl, scored, P.RUN_TIMESTAMP).select(
+    scored = L.label_replies(flt.flt_unlabeled(tbl), cues=X.CUES).select("id", S.normalize_label(F.col("reply")).alias("new_label"))
+    return L.join_label_merge(tbl, scored, X.RUN_TIMESTAMP).select(
         "id", "informative_emotional_label", "labeler", "labeling_notes")
 
 
@@ -190,16 +204,16 @@ def q_join_label_merge(spark, sf):
     "count(*) FILTER (WHERE NOT scorable) AS needs_review FROM lab_scored "
     "WHERE coalesce(informative_emotional_label, '') = ''", TRAINING_ROWS_SQL, LABELED_SQL, LABEL_SCORED))
 def q_agg_label_run_stats(spark, sf):
-    return jobs.job_label(labeled(spark, sf)).stats
+    return jobs.job_label(labeled(spark, sf), X.RUN_TIMESTAMP, X.CUES).stats
 
 
 @query("agg_batch_manifest", with_items(
     f"SELECT '{ING.batch_timestamp}' AS timestamp, count(*) AS total_items, "
-    f"coalesce(array_to_string(list_sort(list_distinct(list(subreddit))), ','), '') AS processed_subreddits, "
-    f"'{','.join(ING.keywords)}' AS keywords FROM (SELECT subreddit FROM kept_posts UNION ALL SELECT subreddit FROM kept_comments)",
-    *INGEST_CTES))
+    f"(SELECT array_to_string(list_sort(list(DISTINCT subreddit)), ',') FROM items WHERE type = 'post') AS processed_subreddits, "
+    f"'{','.join(ING.keywords)}' AS keywords FROM (SELECT id FROM kept_posts UNION ALL SELECT id FROM kept_comments)",
+    *ALL_CTES))
 def q_agg_batch_manifest(spark, sf):
-    m = jobs.job_ingest(items(spark, sf), ING).manifest
+    m = jobs.job_ingest(items(spark, sf), ALL).manifest
     return m.select("timestamp", "total_items", F.array_join("processed_subreddits", ",").alias("processed_subreddits"),
                     F.array_join("keywords", ",").alias("keywords"))
 

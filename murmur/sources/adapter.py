@@ -37,7 +37,7 @@ def posts(spark: SparkSession, sf_dir: str, keep_doc_id: bool = False) -> DataFr
         F.lit("post").alias("type"),
         F.concat(F.lit("p"), doc).alias("id"),
         F.lit(None).cast("string").alias("post_id"),
-        F.replace(F.substring("text", 1, 160), F.lit("\n"), F.lit(" ")).alias("title"),
+        F.replace("text", F.lit("\n"), F.lit(" ")).alias("title"),
         F.col("text").alias("selftext"),
         F.lit(None).cast("string").alias("body"),
         F.when(F.col("doc_id") % 2 == 0, F.concat(F.lit("https://example.com/"), "source", F.lit("/"), doc))

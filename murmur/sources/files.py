@@ -25,6 +25,14 @@ def read_raw_batches(spark: SparkSession, path: str, multi_line: bool = True) ->
     return unwrap_batches(docs)
 
 
+def corrupt_batches(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """(file, record) of the documents that could not be parsed, for a count and a folder aside."""
+    lines = spark.read.option("wholetext", multi_line).text(path)
+    parsed = F.from_json("value", RAW_BATCH_READ, {"columnNameOfCorruptRecord": "_corrupt_record"})
+    return (lines.select(F.col("_metadata.file_path").alias("file"), parsed["_corrupt_record"].alias("record"))
+            .filter(F.col("record").isNotNull()))
+
+
 def read_enriched(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(ENRICHED).json(path)
 

@@ -1,11 +1,11 @@
-"""Sinks. Every write is an overwrite of its own output path (or of one micro-batch's
-partition), so a retried task or a re-run job never duplicates rows."""
+"""Sinks. Every write replaces its own output path, run folder or (day, run) partition, so a
+retried task or a replayed run never duplicates rows and never touches another run's."""
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from murmur import params as P
@@ -13,23 +13,55 @@ from murmur.schema import RAW_ITEM_FIELDS
 from murmur.sources.files import NULL_TOKEN
 
 
-def write_raw_batches(items: DataFrame, path: str, timestamp: str, keywords, batch_size: int = 1000) -> int:
+def _path(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Is there such a folder? A store that cannot answer raises."""
+    p, fs = _path(spark, path)
+    return bool(fs.exists(p))
+
+
+def remove_folders(spark: SparkSession, root: str, key: str, before: int) -> None:
+    """Remove the partition folders ``key=n`` of ``root`` with n < ``before``."""
+    p, fs = _path(spark, root)
+    for f in fs.listStatus(p):
+        name = f.getPath().getName()
+        if name.startswith(f"{key}=") and int(name.partition("=")[2]) < before:
+            fs.delete(f.getPath(), True)
+
+
+def write_raw_batches(items: DataFrame, path: str, timestamp: str, keywords, batch_size: int = 1000,
+                      communities: DataFrame | None = None, run: str | None = None) -> int:
     """Items -> batch documents {metadata, data:[...]} of about ``batch_size`` items each, one per
-    line. Items are spread over ceil(n / batch_size) batches by a hash of the id, so no batch
-    grows with the data and a hot community is split like any other. Returns the batch count."""
+    line, in a folder of the run's own when ``run`` is given (earlier runs stay). Items are spread
+    over ceil(n / batch_size) documents by a hash of the id, so no document grows with the data and
+    a hot community is split like any other. Every document's metadata is the run's: all its items
+    and the communities it went through. Returns the number of documents."""
     n = items.count()
     n_batches = max(1, math.ceil(n / batch_size))
+    subs = (communities if communities is not None else items).select("subreddit").distinct()
+    names = subs.agg(F.array_sort(F.collect_set("subreddit"))).first()[0]  # a dimension: one name per community
     cols = [F.col(c) if c in items.columns else F.lit(None).alias(c) for c in RAW_ITEM_FIELDS]
     keyed = items.select(F.pmod(F.xxhash64("id"), F.lit(n_batches)).alias("batch"), F.struct(*cols).alias("it"))
-    docs = keyed.groupBy("batch").agg(F.collect_list("it").alias("data"),
-                                      F.array_sort(F.collect_set("it.subreddit")).alias("subs"))
-    meta = F.struct(F.lit(timestamp).alias("timestamp"), F.size("data").cast("bigint").alias("total_items"),
-                    F.col("subs").alias("processed_subreddits"),
+    docs = keyed.groupBy("batch").agg(F.collect_list("it").alias("data"))
+    meta = F.struct(F.lit(timestamp).alias("timestamp"), F.lit(n).cast("bigint").alias("total_items"),
+                    F.array(*[F.lit(x) for x in names]).cast("array<string>").alias("processed_subreddits"),
                     F.array(*[F.lit(k) for k in keywords]).alias("keywords"))
-    docs.select(meta.alias("metadata"), "data").write.mode("overwrite").json(path)
+    docs.select(meta.alias("metadata"), "data").write.mode("overwrite").json(path if run is None else f"{path}/run={run}")
     return n_batches
 
 
+def stored_mark(spark: SparkSession, path: str, before: str) -> float | None:
+    """The newest mark that runs before this one stored under ``path``/run=...; none before the first."""
+    if not path_exists(spark, path):
+        return None
+    marks = spark.read.schema("new_mark double, run string").parquet(path).filter(F.col("run") < before)
+    return marks.agg(F.max("new_mark")).first()[0]
+
+
 def write_ndjson(df: DataFrame, path: str, partition_by: str | None = None) -> None:
     w = df.write.mode("overwrite")
     if partition_by:
@@ -47,8 +79,8 @@ def write_training_csv(df: DataFrame, path: str) -> None:
 
 
 def write_snapshots(before: DataFrame, after: DataFrame, path: str, stamp: str) -> dict[str, str]:
-    """Backup of the input and the final labeled table, each a versioned path written once.
-    (The original also saves every 50 rows; here a failed task is retried, not resumed by hand.)"""
+    """Backup of the input and the final labeled table, each a versioned path written once. (A run
+    needs no progress copies: a lost task is computed again, nothing is resumed by hand.)"""
     out = {"backup": f"{path}/backup_{stamp}", "final": f"{path}/ai_labeled_{stamp}"}
     write_training_csv(before, out["backup"])
     write_training_csv(after, out["final"])
@@ -60,11 +92,12 @@ def write_evolving(df: DataFrame, path: str, version: str) -> None:
     df.write.mode("overwrite").parquet(f"{path}/version={version}")
 
 
-def write_enriched_table(df: DataFrame, path: str, partition_cols=("post_date",)) -> None:
-    """The enriched table as Parquet partitioned by UTC day (``post_date`` added when missing), so
-    day and mark filters prune whole directories; rows sorted by time inside each file keep the
-    row-group min/max of ``created_utc`` tight for the remaining pushdown."""
+def write_enriched_table(df: DataFrame, path: str, run: str) -> None:
+    """The rows of one run, added to the enriched table: Parquet partitioned by UTC day and run. Only
+    the run's own partitions are replaced (a replay writes them again), so the table keeps its
+    history; readers prune whole days. The rebalance lets Spark split a large day over tasks and
+    merge small ones; rows sorted by time inside each file keep the row-group min/max tight."""
     from murmur.functions.text import epoch_to_day
     d = df if "post_date" in df.columns else df.withColumn("post_date", epoch_to_day("created_utc"))
-    (d.repartition(*partition_cols).sortWithinPartitions(*partition_cols, "created_utc")
-     .write.mode("overwrite").partitionBy(*partition_cols).parquet(path))
+    (d.withColumn("run", F.lit(run)).hint("rebalance", "post_date").sortWithinPartitions("post_date", "created_utc")
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("post_date", "run").parquet(path))

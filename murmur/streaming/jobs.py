@@ -3,23 +3,21 @@ with a high-water mark, always-current rollups and the per-client request quota.
 
 from __future__ import annotations
 
-from typing import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from murmur import params as P
 from murmur.plans import jobs
 from murmur.operators.aggregations import r6
-from murmur.operators.windows import quota_segment
+from murmur.operators.windows import sliding_quota
+from murmur.sources.sinks import path_exists, remove_folders
 from murmur.streaming.files import batch_writer
 
 
-def stm_enrich(raw: DataFrame, out_path: str, checkpoint: str) -> str:
-    """Each new raw file -> enriched rows (stateless; Catalyst scorers run inside the stream)."""
-    q = (jobs.job_enrich(raw).writeStream.foreachBatch(batch_writer(out_path))
+def stm_enrich(raw: DataFrame, out_path: str, checkpoint: str, **scorers) -> str:
+    """Each new raw file -> enriched rows (stateless; Catalyst scorers run inside the stream).
+    ``scorers``: as for ``jobs.job_enrich``."""
+    q = (jobs.job_enrich(raw, **scorers).writeStream.foreachBatch(batch_writer(out_path))
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
     return out_path
@@ -35,12 +33,11 @@ def hwm_batch_writer(out_path: str, mark_path: str, initial_mark: float | None):
     def current_mark(spark: SparkSession, batch_id: int) -> float | None:
         """The mark committed by the batches *before* this one, so replaying a batch after a
         failure sees the same mark as its first attempt."""
-        try:
-            marks = spark.read.parquet(mark_path).filter(F.col("batch_id") < batch_id)
-            row = marks.agg(F.max("mark")).first()
-            return row[0] if row and row[0] is not None else initial_mark
-        except Exception:  # no mark written yet
+        if not path_exists(spark, mark_path):  # no mark written yet; any other failure stops the batch
             return initial_mark
+        marks = spark.read.schema("mark double, batch_id bigint").parquet(mark_path).filter(F.col("batch_id") < batch_id)
+        row = marks.agg(F.max("mark")).first()
+        return row[0] if row and row[0] is not None else initial_mark
 
     def write(df: DataFrame, batch_id: int) -> None:
         mark = current_mark(df.sparkSession, batch_id)
@@ -61,24 +58,40 @@ def stm_hwm_ingest(raw: DataFrame, out_path: str, mark_path: str, checkpoint: st
 
 # ------------------------------------------------------------------ always-current aggregates
 
-def upsert_writer(out_path: str):
+COMPACT_EVERY = 50
+
+
+def upsert_writer(out_path: str, keys: list[str], every: int = COMPACT_EVERY):
     """foreachBatch body for update-mode aggregates: each batch's changed rows land in their own
-    folder; the table is the newest version of every key."""
+    folder; the table is the newest version of every key. Every ``every``-th batch writes the newest
+    version of all keys instead and then removes the folders before it, so the table keeps at most
+    ``every`` folders. A replay rewrites the same folder from the same rows."""
     def write(df: DataFrame, batch_id: int) -> None:
-        df.withColumn("_batch", F.lit(batch_id)).write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
+        spark, mine = df.sparkSession, f"{out_path}/batch_id={batch_id}"
+        rows = df.withColumn("_batch", F.lit(batch_id))
+        full = batch_id > 0 and batch_id % every == 0 and path_exists(spark, out_path)
+        if full:
+            old = spark.read.parquet(out_path).filter(F.col("batch_id") < batch_id).drop("batch_id")
+            rows = newest_version(rows.unionByName(old), keys)
+        rows.write.mode("overwrite").parquet(mine)
+        if full:
+            remove_folders(spark, out_path, "batch_id", before=batch_id)
     return write
 
 
+def newest_version(d: DataFrame, keys: list[str]) -> DataFrame:
+    vals = [c for c in d.columns if c not in keys and c != "_batch"]
+    agg = d.groupBy(*keys).agg(F.max_by(F.struct(*vals), F.col("_batch")).alias("_v"), F.max("_batch").alias("_batch"))
+    return agg.select(*keys, *[F.col(f"_v.{c}").alias(c) for c in vals], "_batch")
+
+
 def read_upserted(spark: SparkSession, out_path: str, keys: list[str]) -> DataFrame:
     """Newest version per key across micro-batch folders (max_by: a partial aggregate)."""
-    d = spark.read.parquet(out_path).drop("batch_id")
-    vals = [c for c in d.columns if c not in keys and c != "_batch"]
-    agg = d.groupBy(*keys).agg(F.max_by(F.struct(*vals), F.col("_batch")).alias("_v"))
-    return agg.select(*keys, *[F.col(f"_v.{c}").alias(c) for c in vals])
+    return newest_version(spark.read.parquet(out_path).drop("batch_id"), keys).drop("_batch")
 
 
-def drain_update(agg_stream: DataFrame, out_path: str, checkpoint: str) -> str:
-    q = (agg_stream.writeStream.outputMode("update").foreachBatch(upsert_writer(out_path))
+def drain_update(agg_stream: DataFrame, out_path: str, checkpoint: str, keys: list[str], every: int = COMPACT_EVERY) -> str:
+    q = (agg_stream.writeStream.outputMode("update").foreachBatch(upsert_writer(out_path, keys, every))
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
     return out_path
@@ -103,34 +116,36 @@ def stm_metric_window(events_stream: DataFrame, period: str = "300 seconds", del
 
 # ------------------------------------------------------------------ request quota
 
-QUOTA_OUT = "event_id long, user_id long, ts_s double, accepted boolean"
-QUOTA_STATE = "kept array<double>"
-
-
-def _quota_fn(limit: int, window_s: float):
-    def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        kept = [float(x) for x in state.get[0]] if state.exists else []
-        pdf = pd.concat(list(pdfs), ignore_index=True).sort_values(["ts_s", "event_id"], kind="stable")
-        acc, kept = quota_segment(kept, pdf["ts_s"].to_numpy(dtype="float64"), limit, window_s)
-        state.update(([float(x) for x in kept],))
-        if len(pdf):
-            # idle clients expire once the watermark passes their last request + the window
-            state.setTimeoutTimestamp(int((float(pdf["ts_s"].max()) + window_s) * 1000))
-        yield pdf.assign(accepted=acc)[["event_id", "user_id", "ts_s", "accepted"]]
-    return fn
-
-
-def stm_quota(requests_stream: DataFrame, limit: int = P.SEARCH_QUOTA_PER_HOUR, window_s: float = 3600.0,
-              delay: str = "1 hour") -> DataFrame:
-    """Per-client state holds at most ``limit`` accepted timestamps (pruned to the window), so
-    state is O(clients x limit) and a hot client costs no more than a quiet one."""
-    d = requests_stream.withColumn("ets", F.timestamp_seconds("ts_s")).withWatermark("ets", delay)
-
-    def run(key, pdfs, state: GroupState):
-        if state.hasTimedOut:
-            state.remove()
-            return iter([])
-        return _quota_fn(limit, window_s)(key, pdfs, state)
-
-    return d.groupBy("user_id").applyInPandasWithState(
-        run, QUOTA_OUT, QUOTA_STATE, "append", GroupStateTimeout.EventTimeTimeout)
+def quota_writer(out_path: str, key: str, limit: int, window_s: float):
+    """foreachBatch body: the batch operator over the new requests and the accepted ones of earlier
+    batches that can still be in a window. What was accepted is accepted again (refused requests do
+    not count), so the earlier rows need no separate state; they are read by time from the output
+    (row-group pruning) and dropped before writing. A replayed batch rewrites its own folder."""
+    def write(df: DataFrame, batch_id: int) -> None:
+        spark = df.sparkSession
+        lo = df.agg(F.min("ts_s")).first()[0]
+        rows = df.select("event_id", key, "ts_s", F.lit(True).alias("_new"))
+        if lo is not None and path_exists(spark, out_path):
+            old = spark.read.parquet(out_path).filter((F.col("batch_id") < batch_id) & F.col("accepted") & (F.col("ts_s") > lo - window_s))
+            rows = rows.unionByName(old.select("event_id", key, "ts_s", F.lit(False).alias("_new")))
+        done = sliding_quota(rows, key, "ts_s", limit, window_s).filter("_new").drop("_new")
+        done.write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
+    return write
+
+
+def stm_quota(requests_stream: DataFrame, out_path: str, checkpoint: str, key: str = "user_id",
+              limit: int = P.SEARCH_QUOTA_PER_HOUR, window_s: float = 3600.0) -> str:
+    """The request quota as a stream (event_id, key, ts_s), equal to the batch operator for requests
+    that arrive in time order across batches."""
+    q = (requests_stream.writeStream.foreachBatch(quota_writer(out_path, key, limit, window_s))
+         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    q.awaitTermination()
+    return out_path
+
+
+# ------------------------------------------------------------------ deduplication
+
+def stm_dedup(stream: DataFrame, keys: list[str], delay: str = "1 day") -> DataFrame:
+    """First row per key within the watermark: state holds keys for ``delay``, not for ever."""
+    return (stream.withColumn("_ets", F.timestamp_seconds("created_utc")).withWatermark("_ets", delay)
+            .dropDuplicatesWithinWatermark(keys).drop("_ets"))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from murmur import params as P
 from murmur.operators import ml as ML
 from murmur.operators import windows as WN
+from murmur.plans import fixtures as X
 from murmur.plans import jobs
 from murmur.sources import adapter
 from tests.conftest import SF0001, SF001
@@ -35,7 +36,7 @@ def test_fixture_funnel_totals(spark):
 
 
 def test_budget_prefix_is_minimal(spark):
-    b = jobs.ingest_collect(adapter.items(spark, SF001))
+    b = jobs.ingest_collect(adapter.items(spark, SF001), X.INGEST)
     n = b.count()
     posts = b.filter(F.col("type") == "post").count()
     assert n >= P.INGEST_POST_LIMIT and posts >= 1
@@ -62,9 +63,12 @@ def test_quota_equals_brute_force(spark, reqs, limit):
 
 def test_quota_fixture_numbers(spark):
     from murmur.plans.q_windows import request_log
-    r = WN.sliding_quota(request_log(spark, SF001), "user_id", "ts_s", P.QUOTA_TEST_LIMIT)
-    got = {x.accepted: x["count"] for x in r.groupBy("accepted").count().collect()}
-    assert got == {True: 9183, False: 817}
+    log = request_log(spark, SF001)
+    r = WN.sliding_quota(log, "client", "ts_s", P.SEARCH_QUOTA_PER_HOUR)
+    got = {x.event_id: x.accepted for x in r.collect()}
+    rows = sorted((x.ts_s, x.event_id, x.client) for x in log.collect())
+    assert [got[e] for _, e, _ in rows] == WN.quota_reference([(c, t) for t, _, c in rows], P.SEARCH_QUOTA_PER_HOUR)
+    assert 0 < sum(got.values()) < len(got)
 
 
 def test_split_is_stratified_disjoint_and_stable(spark):

@@ -52,10 +52,12 @@ def test_wrapped_and_bare_batches_read_the_same(spark, tmp_dir):
 
 def test_reply_irrelevant_counts_as_relevant_unless_strict(spark):
     d = spark.createDataFrame([("IRRELEVANT",), ('{"decision": "relevant"}',), ('{"decision": "IRRELEVANT"}',), ("",),
-                               ('"no"',), ("{bad RELEVANT",)], "r string")
+                               ('"no"',), ("{bad RELEVANT",), ('{"decision":null}',), ('{"decision":5}',), ("NaN",),
+                               ('{"decision":"IRRELEVANT"} extra',), ("{'decision': 'x'}",), ('{"other": 1}',)], "r string")
     got = d.select(S.parse_decision("r").alias("a"), S.parse_decision("r", strict=True).alias("b")).collect()
     assert [(g.a, g.b) for g in got] == [(True, False), (True, True), (False, False), (False, False),
-                                          (True, True), (True, True)]
+                                          (True, True), (True, True), (True, True), (True, True), (True, True),
+                                          (True, False), (False, False), (False, False)]
 
 
 def test_label_case_is_exact(spark):
@@ -140,8 +142,10 @@ def test_unpredicted_class_gets_zero_precision(spark):
 
 
 def test_relevance_short_text_is_not_relevant(spark):
-    d = spark.createDataFrame([("stock", "tiny"), ("stock market " * 5, "x")], "title string, selftext string")
-    assert [r[0] for r in d.select(S.relevance("title", "selftext")).collect()] == [False, True]
+    d = spark.createDataFrame([("dividend", "tiny"), ("profit margin " * 5, "x"), ("a title", "x" * 900 + " dividend")],
+                              "title string, selftext string")
+    assert [r[0] for r in d.select(S.relevance("title", "selftext")).collect()] == [False, True, True]  # whole texts
+    assert [r[0] for r in d.select(S.relevance("title", "selftext", cuts=P.MODEL_CUTS)).collect()] == [False, True, False]
 
 
 def test_timeframe_map_default(spark):
