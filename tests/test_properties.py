@@ -30,7 +30,7 @@ def test_funnel_is_non_increasing(spark):
 
 def test_fixture_funnel_totals(spark):
     """With every post examined (no newest-N cut at this scale) the totals are FIXTURES D's."""
-    f = jobs.ingest_funnel(adapter.items(spark, SF001)).agg(*[F.sum(c).alias(c) for c in (
+    f = jobs.ingest_funnel(adapter.items(spark, SF001), X.INGEST_ALL).agg(*[F.sum(c).alias(c) for c in (
         "after_timestamp", "with_keywords", "not_ignored", "meeting_score", "meeting_length")]).first()
     assert tuple(f) == (927, 705, 668, 545, 537)
 
