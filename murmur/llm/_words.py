@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 
 BLANK = np.zeros(256, bool)
 BLANK[[9, 10, 11, 12, 13, 32]] = True
-PIECE_BYTES = 2 << 20
+PIECE_BYTES = 1 << 20
 #: Words of more bytes are hashed one by one.
 LONG_WORD = 256
 

@@ -29,12 +29,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
+from murmur.llm.store import small_batches
+
 LEAF_CHARS = 1 << 16
 LEAF_BYTES = 16
 NONE = 1 << 62
 LEAF_IDS = 1 << 16
 #: Pieces and pairs remembered by one worker; others are encoded each time.
-REMEMBERED = 250_000
+REMEMBERED = 100_000
 #: The pattern decides a piece from at most this many characters after its start, or from the one after its end.
 LOOKAHEAD = 3
 
@@ -161,11 +163,12 @@ class Bpe:
             new_ids.append(self.encode_piece(m.group()))
             at = m.end()
 
-    def decode(self, ids: list[int]) -> bytes:
-        if len(ids) > LEAF_IDS:
-            half = len(ids) // 2
-            return self.decode(ids[:half]) + self.decode(ids[half:])
-        return b"".join(map(self.tokens.__getitem__, ids))
+
+def decode_ids(tokens: dict[int, bytes], ids: list[int]) -> bytes:
+    if len(ids) > LEAF_IDS:
+        half = len(ids) // 2
+        return decode_ids(tokens, ids[:half]) + decode_ids(tokens, ids[half:])
+    return b"".join(map(tokens.__getitem__, ids))
 
 
 def read_ranks(path: str) -> bytes:
@@ -174,6 +177,10 @@ def read_ranks(path: str) -> bytes:
         return f.read()
 
 
+def parse_ranks(ranks_file: bytes) -> dict[bytes, int]:
+    return {base64.b64decode(a): int(b) for a, b in (line.split() for line in ranks_file.splitlines() if line)}
+
+
 _LOADED: dict[tuple[bytes, str], Bpe] = {}
 
 
@@ -181,9 +188,8 @@ def load(ranks_file: bytes, pattern: str) -> Bpe:
     """One tokenizer per worker process."""
     key = (hashlib.sha256(ranks_file).digest(), pattern)
     if key not in _LOADED:
-        ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in ranks_file.splitlines() if line)}
         _LOADED.clear()
-        _LOADED[key] = Bpe(ranks, pattern)
+        _LOADED[key] = Bpe(parse_ranks(ranks_file), pattern)
     return _LOADED[key]
 
 
@@ -200,19 +206,19 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
 
     kind = docs.schema[id_col].dataType.simpleString()
     return (docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-            .mapInArrow(batches, f"id {kind}, n_tokens bigint, ids binary").withColumnRenamed("id", id_col))
+            .transform(small_batches).mapInArrow(batches, f"id {kind}, n_tokens bigint, ids binary").withColumnRenamed("id", id_col))
 
 
-def decode(encoded: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
+def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
     """``encoded`` with a column decoded (binary) from its ids."""
     sent = encoded.sparkSession.sparkContext.broadcast(read_ranks(ranks_path))
 
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = load(sent.value, pattern)
+        tokens = {v: k for k, v in parse_ranks(sent.value).items()}
         for b in it:
-            raw = [bpe.decode(np.frombuffer(x.as_py() or b"", "<u4").tolist()) for x in b.column(at)]
+            raw = [decode_ids(tokens, np.frombuffer(x.as_py() or b"", "<u4").tolist()) for x in b.column(at)]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(raw, pa.binary())], names=[*b.schema.names, "decoded"])
 
     encoded = encoded.drop("decoded")
     at = encoded.columns.index("ids")
-    return encoded.mapInArrow(batches, StructType([*encoded.schema.fields, StructField("decoded", BinaryType())]))
+    return encoded.transform(small_batches).mapInArrow(batches, StructType([*encoded.schema.fields, StructField("decoded", BinaryType())]))

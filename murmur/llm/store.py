@@ -24,6 +24,16 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+#: Rows reach a Python worker in batches of about so many bytes, long texts or short.
+BATCH_BYTES = 8 << 20
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """For ``df.transform``: bounds the Arrow batches of the session by bytes."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", f"{BATCH_BYTES}b")
+    return df
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a Parquet table of its own in the shared folder, reread."""
     spark = df.sparkSession

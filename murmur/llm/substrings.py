@@ -34,11 +34,11 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from murmur.llm._words import RangeHash, Words, find_words, hash_words, mix, text_buffers
 from murmur.llm.recompress import Level, rounds
-from murmur.llm.store import drop, written
+from murmur.llm.store import small_batches, written
 
 WINDOW = 20
 #: Text bytes in a pack: what one task holds at a time. Larger packs make fewer, larger rows.
-PACK_BYTES = 4 << 20
+PACK_BYTES = 2 << 20
 #: Words whose names meet in one bucket, about; the number of buckets is a power of two, 256 or more.
 BUCKET_WORDS = 1 << 21
 LOW = 4
@@ -70,14 +70,12 @@ def packs(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         if held:
             yield _packed(number, held, text_at, id_at)
 
-    return written(docs.mapInArrow(batches, _PACK), "packs")
+    return written(docs.transform(small_batches).mapInArrow(batches, _PACK), "packs")
 
 
 def _packed(number: int, held: list[pa.RecordBatch], text_at: int, id_at: int) -> pa.RecordBatch:
     t = pa.Table.from_batches(held).combine_chunks()
-    order = pc.sort_indices(t.column(id_at), null_placement="at_end")  # not stable
-    order = np.lexsort((np.arange(t.num_rows), _ids(t.column(id_at)))) if t.num_rows else order
-    t = t.take(pa.array(order))
+    t = t.take(pa.array(np.argsort(_ids(t.column(id_at)), kind="stable")))
     sink = pa.BufferOutputStream()
     with pa.ipc.new_stream(sink, t.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 3))) as w:
         w.write_table(t)
@@ -286,7 +284,7 @@ def removals(docs: DataFrame, id_col: str, text_col: str, window: int, output, s
         begin = np.concatenate([np.flatnonzero(dead), at[late]])
         return output(p, _spread(begin, begin + window, len(p.doc)))
 
-    symbols = stored.select("pack", "rows").mapInArrow(name_symbols, _KEYS).groupBy("bucket").applyInArrow(_answer, _BITS)
+    symbols = stored.select("pack", "rows").transform(small_batches).mapInArrow(name_symbols, _KEYS).groupBy("bucket").applyInArrow(_answer, _BITS)
     symbols = written(symbols, "symbols")
     windows = written(_with_answers(stored, symbols).applyInArrow(name_windows, _KEYS).groupBy("bucket").applyInArrow(_answer, _BITS), "windows")
     return _with_answers(stored, symbols, windows).applyInArrow(remove, schema)
