@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from murmur.llm import mixing, quality
+from murmur.llm import embeddings, licenses, mixing, quality, substrings
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -74,3 +74,71 @@ summed AS (
   FROM sized s JOIN goal g ON s.source IS NOT DISTINCT FROM g.source)
 SELECT doc_id, size, source_size, target, cast(size * (whole + CASE WHEN upto <= rest
   OR upto - own <= rest AND upto - rest < rest - (upto - own) THEN 1 ELSE 0 END) AS bigint) AS taken FROM summed"""
+
+
+def _substrings(window: int) -> str:
+    gram = ", ".join(["word", *(f"lead(word, {k}) OVER w" for k in range(1, window))])
+    return f"""WITH words AS (
+  SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS pos FROM (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{WORD}') AS w FROM documents)),
+late AS (
+  SELECT doc_id, pos, row_number() OVER (PARTITION BY gram ORDER BY doc_id, pos) AS nth FROM (
+    SELECT doc_id, pos, md5(concat_ws(' ', {gram})) AS gram, lead(pos, {window - 1}) OVER w AS last FROM words
+    WINDOW w AS (PARTITION BY doc_id ORDER BY pos)) WHERE last IS NOT NULL),
+gone AS (SELECT DISTINCT doc_id, unnest(range(pos, pos + {window})) AS pos FROM late WHERE nth > 1),
+kept AS (
+  SELECT w.doc_id, count(*) AS n_words, count(g.pos) AS n_removed,
+    coalesce(string_agg(w.word, ' ' ORDER BY w.pos) FILTER (WHERE g.pos IS NULL), '') AS kept
+  FROM words w LEFT JOIN gone g ON g.doc_id = w.doc_id AND g.pos = w.pos GROUP BY w.doc_id)
+SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM documents LEFT JOIN kept USING (doc_id)"""
+
+
+SUBSTRINGS = _substrings(substrings.WINDOW)
+
+EMBEDDINGS = f"""WITH RECURSIVE sound AS (
+  SELECT vec_id, cast(embedding AS double[]) AS v, len(embedding) AS dim FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+usable AS (SELECT * FROM sound WHERE dim = (SELECT dim FROM sound GROUP BY dim ORDER BY count(*) DESC, dim LIMIT 1)),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b ON a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.v, b.v) >= cast({embeddings.COSINE} AS double)),
+reached AS (SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT r.a, l.b FROM reached r JOIN links l ON l.a = r.b)
+SELECT e.vec_id, (SELECT count(*) FROM links l WHERE l.a = e.vec_id) AS n_links, r.least AS component_id, e.vec_id = r.least AS kept
+FROM embeddings e JOIN (SELECT a, min(b) AS least FROM reached GROUP BY a) r ON r.a = e.vec_id"""
+
+
+def _licenses() -> str:
+    quoted = lambda s: "'" + s.replace("'", "''") + "'"
+    rules = ", ".join(f"({k}, {quoted(r.label)}, {quoted(r.keyword)}, {quoted(r.regex)}, {r.confidence})" for k, r in enumerate(licenses.RULES))
+    gate = " OR ".join(f"contains(low, {quoted(g)})" for g in licenses.GATE)
+    place = lambda p: " AND ".join(f"words[i + {k}] = '{w}'" for k, w in enumerate(p.split(), 1))
+    label = " ".join(f"WHEN {place(p)} THEN '{name}'" for p, name in licenses.BASE.items())
+    return f"""WITH rules(prio, label, keyword, rx, confidence) AS (VALUES {rules}),
+lowered AS (SELECT doc_id, translate(coalesce(text, ''), '{licenses.UPPER}', '{licenses.LOWER}') AS low FROM documents),
+split AS (SELECT doc_id, low, regexp_extract_all(low, '{licenses.WORD}') AS words FROM lowered),
+base AS (
+  SELECT doc_id, count(*) AS n, min(i) AS first_word, max(i) AS last_word, list(DISTINCT label) AS labels FROM (
+    SELECT doc_id, i, CASE {label} END AS label FROM (SELECT doc_id, words, unnest(range(0, len(words))) AS i FROM split WHERE contains(low, 'license')))
+  WHERE label IS NOT NULL GROUP BY doc_id),
+gated AS (SELECT doc_id, ' ' || array_to_string(words, '  ') || ' ' AS norm FROM split WHERE len(words) > 0 AND ({gate})),
+matched AS (
+  SELECT doc_id, prio, label, confidence, regexp_extract_all(norm, rx) AS m, string_split_regex(norm, rx) AS p
+  FROM gated JOIN rules ON contains(norm, keyword) WHERE regexp_matches(norm, rx)),
+placed AS (SELECT *, unnest(range(1, len(m) + 1)) AS i FROM matched),
+spans AS (
+  SELECT doc_id, prio, label, confidence, b, b + len(m[i]) AS e FROM (
+    SELECT *, list_sum(list_transform(p[1:i], lambda x: len(x))) + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: len(x))), 0) AS b FROM placed)),
+kept AS (
+  SELECT * FROM (SELECT *, max(e) OVER (PARTITION BY doc_id ORDER BY b, e DESC, prio ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS upto FROM spans)
+  WHERE upto IS NULL OR e > upto),
+found AS (SELECT doc_id, list(DISTINCT label) AS labels, product(1 - cast(confidence AS double) / 2) AS doubt FROM kept GROUP BY doc_id)
+SELECT s.doc_id, cast(len(words) AS bigint) AS n_words, coalesce(b.n, 0) AS n_base, b.first_word, b.last_word,
+  coalesce(array_to_string(list_sort(b.labels), ','), '') AS base_labels,
+  coalesce(array_to_string(list_sort(list_distinct(list_concat(b.labels, f.labels))), ','), '') AS labels,
+  round(1 - coalesce(f.doubt, 1.0::double) * CASE WHEN b.n > 0 THEN 0.1::double ELSE 1.0::double END, 9) AS score
+FROM split s LEFT JOIN base b USING (doc_id) LEFT JOIN found f USING (doc_id)"""
+
+
+LICENSES = _licenses()

@@ -34,7 +34,7 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
-@query("op7_license_scan")
+@query("op7_license_scan", O.LICENSES)
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
@@ -51,13 +51,13 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_print("print").alias("fingerprint"), "component_id")
 
 
-@query("op1_substring_dedup")
+@query("op1_substring_dedup", O.SUBSTRINGS)
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substrings.substring_dedup(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
-@query("op3_embedding_near_dedup")
+@query("op3_embedding_near_dedup", O.EMBEDDINGS)
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
 
