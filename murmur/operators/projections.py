@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from murmur import params as P
-from murmur.functions import scorers as S
 from murmur.functions.text import cut, epoch_to_day, first, nonblank, py_collapse, split_list
 
 
@@ -144,11 +143,3 @@ def index_label(idx: Column) -> Column:
 def prj_split_list(df: DataFrame, s: str, out: str = "item") -> DataFrame:
     """Comma list column -> one row per trimmed, non-blank item (with its position)."""
     return df.select("*", F.posexplode(split_list(s)).alias(f"{out}_pos", out))
-
-
-def with_pipeline_scores(df: DataFrame, classifier_enabled: bool = True) -> DataFrame:
-    """Enrichment: sentiment + content type on the pipeline text, computed in place."""
-    t = pipeline_text()
-    d = S.score_columns(df.withColumn("_pt", t), F.col("_pt"), sentiment_out="sentiment", content_out="content_type",
-                        classifier_enabled=classifier_enabled)
-    return d.drop("_pt")

@@ -57,7 +57,6 @@ LABELS = ["informative", "emotional"]
 LABEL_NEEDS_REVIEW = "needs_review"
 LABELER_OK = "gemini-2.5-flash"
 LABELER_ERROR = "gemini-error"
-LABEL_PROGRESS_EVERY = 50
 SPLIT_TEST_SIZE = 0.2
 SPLIT_SEED = 42
 SENTIMENTS = ["POSITIVE", "NEGATIVE", "NEUTRAL", "MIXED"]

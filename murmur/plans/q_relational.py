@@ -310,7 +310,7 @@ def q_prj_truncate_display(spark, sf):
 
 
 @query("prj_absolute_url", with_items(
-    "SELECT id, CASE WHEN url IS NULL OR url = '' OR starts_with(url, 'http') THEN url ELSE concat('https://reddit.com', url) END AS url FROM items"))
+    f"SELECT id, CASE WHEN url IS NULL OR url = '' OR starts_with(url, 'http') THEN url ELSE concat('{P.SITE_HOST}', url) END AS url FROM items"))
 def q_prj_absolute_url(spark, sf):
     return items(spark, sf).select("id", PR.absolute_url(F.col("url")).alias("url"))
 
