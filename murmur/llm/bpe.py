@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
-from murmur.llm.store import small_batches
+from murmur.llm.store import small_batches, tidy
 
 LEAF_CHARS = 1 << 16
 LEAF_BYTES = 16
@@ -193,20 +193,24 @@ def load(ranks_file: bytes, pattern: str) -> Bpe:
     return _LOADED[key]
 
 
-def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: id, n_tokens, ids (binary, little-endian unsigned 32-bit)."""
+def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text",
+           decoded: bool = False) -> DataFrame:
+    """One row per document: id, n_tokens, ids (binary, little-endian unsigned 32-bit); with
+    ``decoded``, also the bytes (binary) decoded from these ids, in the same worker."""
     sent = docs.sparkSession.sparkContext.broadcast(read_ranks(ranks_path))
 
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = load(sent.value, pattern)
         for b in it:
             ids = [bpe.encode(t or "") for t in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())],
-                                             names=["id", "n_tokens", "ids"])
+            columns = [b.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())]
+            if decoded:
+                columns.append(pa.array([decode_ids(bpe.tokens, np.frombuffer(x, "<u4").tolist()) for x in ids], pa.binary()))
+            yield pa.RecordBatch.from_arrays(columns, names=["id", "n_tokens", "ids", "decoded"][:len(columns)])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return (docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-            .transform(small_batches).mapInArrow(batches, f"id {kind}, n_tokens bigint, ids binary").withColumnRenamed("id", id_col))
+    return (docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).transform(small_batches)
+            .mapInArrow(tidy(batches), f"id {kind}, n_tokens bigint, ids binary" + ", decoded binary" * decoded).withColumnRenamed("id", id_col))
 
 
 def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
@@ -221,4 +225,4 @@ def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
 
     encoded = encoded.drop("decoded")
     at = encoded.columns.index("ids")
-    return encoded.transform(small_batches).mapInArrow(batches, StructType([*encoded.schema.fields, StructField("decoded", BinaryType())]))
+    return encoded.transform(small_batches).mapInArrow(tidy(batches), StructType([*encoded.schema.fields, StructField("decoded", BinaryType())]))

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from murmur.llm.graph import bounded_cells, components, roots, whole_cells
-from murmur.llm.store import small_batches, written
+from murmur.llm.store import small_batches, tidy, written
 
 COSINE = 0.95
 #: Pivots that describe a vector.
@@ -157,10 +157,10 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     picked = nodes.orderBy(F.xxhash64("vector"), "node").limit(wanted).select("vector").toArrow() if n else None
     if n:
         pivots = unit(_matrix(picked["vector"], dim))
-        described = written(nodes.select("node", "copies", "vector").transform(small_batches).mapInArrow(_describe(pivots, dim, nearest), _NODE), "described")
+        described = written(nodes.select("node", "copies", "vector").transform(small_batches).mapInArrow(tidy(_describe(pivots, dim, nearest)), _NODE), "described")
         listed = described.select("node", "copies", "vector", "pivots", F.explode("lists").alias("list"))
         cells = bounded_cells(listed, "list", "node", CELL).select("cell", "list", "part", "home", "node", "copies", "vector", "pivots")
-        found = written(cells.repartition("cell").sortWithinPartitions("cell").transform(small_batches).mapInArrow(_verify(dim, cosine), "a bigint, b bigint, n bigint"), "found")
+        found = written(cells.repartition("cell").sortWithinPartitions("cell").transform(small_batches).mapInArrow(tidy(_verify(dim, cosine)), "a bigint, b bigint, n bigint"), "found")
     else:
         found = vectors.sparkSession.createDataFrame([], "a bigint, b bigint, n bigint")
     counts = found.groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("n"))

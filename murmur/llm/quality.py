@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from murmur.llm._words import RangeHash, code_points, find_words, hash_words, mix, pieces
-from murmur.llm.store import small_batches
+from murmur.llm.store import small_batches, tidy
 
 MIN_WORDS = 50
 #: Base rule: at most this percentage of words in repeated 3-word windows.
@@ -143,7 +143,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                                              names=["id", *longs, "base_failed", "kept"])
 
     schema = ", ".join([f"id {kind}", *(f"{k} bigint" for k in longs), "base_failed boolean", "kept boolean"])
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).transform(small_batches).mapInArrow(batches, schema).withColumnRenamed("id", id_col)
+    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).transform(small_batches).mapInArrow(tidy(batches), schema).withColumnRenamed("id", id_col)
 
 
 def keep(docs: DataFrame, text_col: str = "text", ngram_cover: dict[int, float] = MAX_NGRAM_COVER,
@@ -155,4 +155,4 @@ def keep(docs: DataFrame, text_col: str = "text", ngram_cover: dict[int, float]
         for b in it:
             yield b.filter(pa.array(verdict(measure(b.column(at), tuple(ngram_cover)), ngram_cover, line_cover)[1]))
 
-    return docs.transform(small_batches).mapInArrow(batches, docs.schema)
+    return docs.transform(small_batches).mapInArrow(tidy(batches), docs.schema)

@@ -25,8 +25,8 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def bpe_digests(docs: DataFrame) -> DataFrame:
     ranks, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
-    decoded = bpe.decode(bpe.encode(docs, ranks, pattern), ranks)
-    return decoded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    encoded = bpe.encode(docs, ranks, pattern, decoded=True)
+    return encoded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 @query("op10_source_mixing", O.MIXING)

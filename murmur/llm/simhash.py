@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from murmur.llm._words import BLANK, find_words, pieces
 from murmur.llm.graph import bounded_cells, components, roots, whole_cells
-from murmur.llm.store import small_batches, written
+from murmur.llm.store import small_batches, tidy, written
 
 SHINGLE, MAX_BITS, SEED = 4, 4, 42
 #: Blocks of bits; those that agree make BLOCKS choose MAX_BITS patterns a fingerprint.
@@ -160,7 +160,7 @@ def near_links(prints: DataFrame, most: int = MAX_BITS, blocks: int = BLOCKS) ->
     under = F.array(*(F.xxhash64(F.lit(i), F.col("print").bitwiseAND(F.lit(signed(m)))) for i, m in enumerate(patterns(blocks, most))))
     rows = prints.select("print", F.explode(under).alias("pattern"))
     cells = bounded_cells(rows, "pattern", "print", CELL).select("cell", "print")
-    return cells.repartition("cell").sortWithinPartitions("cell").transform(small_batches).mapInArrow(_links(most), "a bigint, b bigint")
+    return cells.repartition("cell").sortWithinPartitions("cell").transform(small_batches).mapInArrow(tidy(_links(most)), "a bigint, b bigint")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -172,7 +172,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         for b in it:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fingerprints(b.column(1), shingle).view(np.int64))], names=["id", "print"])
 
-    rows = written(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).transform(small_batches).mapInArrow(batches, f"id {kind}, print bigint"), "prints")
+    rows = written(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).transform(small_batches).mapInArrow(tidy(batches), f"id {kind}, print bigint"), "prints")
     nodes = written(rows.groupBy("print").agg(F.min("id").alias("least")), "distinct")
     groups = components(near_links(nodes, most))
     rooted = written(nodes.join(groups.select(F.col("node").alias("print"), "root"), "print", "left")

@@ -6,9 +6,12 @@ so that both sides of a later join are exchanged and skewed partitions can be sp
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -34,6 +37,35 @@ def small_batches(df: DataFrame) -> DataFrame:
     return df
 
 
+def give_back() -> None:
+    """Return freed memory to the system: a Python worker lives on after its task, beside the tasks of
+    the next stage."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def tidy(batches: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """The function of a ``mapInArrow``, giving memory back when its task ends."""
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from batches(it)
+        finally:
+            give_back()
+    return run
+
+
+def tidy_group(group: Callable[[pa.Table], pa.Table]):
+    """The function of an ``applyInArrow``, giving memory back after each group."""
+    def run(t: pa.Table) -> pa.Table:
+        try:
+            return group(t)
+        finally:
+            give_back()
+    return run
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a Parquet table of its own in the shared folder, reread."""
     spark = df.sparkSession

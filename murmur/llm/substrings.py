@@ -34,7 +34,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from murmur.llm._words import RangeHash, Words, find_words, hash_words, mix, text_buffers
 from murmur.llm.recompress import Level, rounds
-from murmur.llm.store import small_batches, written
+from murmur.llm.store import small_batches, tidy, tidy_group, written
 
 WINDOW = 20
 #: Text bytes in a pack: what one task holds at a time. Larger packs make fewer, larger rows.
@@ -70,7 +70,7 @@ def packs(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         if held:
             yield _packed(number, held, text_at, id_at)
 
-    return written(docs.transform(small_batches).mapInArrow(batches, _PACK), "packs")
+    return written(docs.transform(small_batches).mapInArrow(tidy(batches), _PACK), "packs")
 
 
 def _packed(number: int, held: list[pa.RecordBatch], text_at: int, id_at: int) -> pa.RecordBatch:
@@ -284,10 +284,10 @@ def removals(docs: DataFrame, id_col: str, text_col: str, window: int, output, s
         begin = np.concatenate([np.flatnonzero(dead), at[late]])
         return output(p, _spread(begin, begin + window, len(p.doc)))
 
-    symbols = stored.select("pack", "rows").transform(small_batches).mapInArrow(name_symbols, _KEYS).groupBy("bucket").applyInArrow(_answer, _BITS)
+    symbols = stored.select("pack", "rows").transform(small_batches).mapInArrow(tidy(name_symbols), _KEYS).groupBy("bucket").applyInArrow(tidy_group(_answer), _BITS)
     symbols = written(symbols, "symbols")
-    windows = written(_with_answers(stored, symbols).applyInArrow(name_windows, _KEYS).groupBy("bucket").applyInArrow(_answer, _BITS), "windows")
-    return _with_answers(stored, symbols, windows).applyInArrow(remove, schema)
+    windows = written(_with_answers(stored, symbols).applyInArrow(tidy_group(name_windows), _KEYS).groupBy("bucket").applyInArrow(tidy_group(_answer), _BITS), "windows")
+    return _with_answers(stored, symbols, windows).applyInArrow(tidy_group(remove), schema)
 
 
 def _kept_texts(p: Pack, removed: np.ndarray) -> list[str]:

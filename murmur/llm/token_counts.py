@@ -23,7 +23,7 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from murmur.llm.store import small_batches
+from murmur.llm.store import small_batches, tidy
 
 _LOADED: dict[tuple[bytes, str], tuple[tiktoken.Encoding, np.ndarray]] = {}
 
@@ -105,4 +105,4 @@ def token_counts(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "
     kind = docs.schema[id_col].dataType.simpleString()
     columns = [F.col(id_col).alias("id"), F.col(text_col).alias("text"), *([F.col(sections_col).alias("sections")] if sections_col else [])]
     return docs.select(*columns).transform(small_batches).mapInArrow(
-        batches, f"id {kind}, section bigint, begin bigint, end bigint, n_tokens bigint, n_crossing bigint, doc_tokens bigint").withColumnRenamed("id", id_col)
+        tidy(batches), f"id {kind}, section bigint, begin bigint, end bigint, n_tokens bigint, n_crossing bigint, doc_tokens bigint").withColumnRenamed("id", id_col)

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from murmur.llm._words import Words, find_words, hash_words, mix, pieces
-from murmur.llm.store import small_batches
+from murmur.llm.store import small_batches, tidy
 
 HASH_BITS = 18
 FACTORS = 4
@@ -165,6 +165,6 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sent.value.score(b.column(1)))], names=["id", "score"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return (docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).transform(small_batches).mapInArrow(batches, f"id {kind}, score double")
+    return (docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).transform(small_batches).mapInArrow(tidy(batches), f"id {kind}, score double")
             .select(F.col("id").alias(id_col), held_out(F.col("id")).alias("held_out"), "score",
                     (F.col("score") >= THRESHOLD).cast("int").alias("predicted")))

@@ -59,6 +59,7 @@ def test_decoding_is_the_inverse(both, monkeypatch):
 
 def test_rows(spark):
     out = bpe.decode(bpe.encode(odd(spark), PATH, PATTERN), PATH)
+    assert out.exceptAll(bpe.encode(odd(spark), PATH, PATTERN, decoded=True)).count() == 0
     got = sorted((str(r["doc_id"]), r["n_tokens"], bytes(r["decoded"]).decode()) for r in out.collect())
     assert [(i, t) for i, _, t in got] == sorted((str(r["doc_id"]), r["text"] or "") for r in odd(spark).collect())
     assert all((n == 0) == (t == "") for _, n, t in got)
