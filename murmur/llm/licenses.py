@@ -1,8 +1,8 @@
 """License scan by ordered signature rules; DataFrame operations only.
 
 A text becomes its words in lower case, each between two blanks. Rules (regex, label, keyword) are
-ordered. A first gate asks for any license vocabulary at all; in the texts that pass, a rule runs
-only if its keyword occurs. Detections are character intervals: one that lies inside another goes,
+ordered. A rule runs only where its keyword and then its longest fixed part occur in the words: every
+match holds both, so neither loses one. Detections are character intervals: one that lies inside another goes,
 and of equal intervals the first rule stays. Interval work is one sorted scan per text.
 
 Cases: a null or empty text has no words, no places and no labels (empty strings, score 0); every
@@ -11,6 +11,7 @@ row gives one row, repeated rows too; an empty table gives an empty result; othe
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -67,11 +68,6 @@ SINGLE = (
     ("unknown-license", "licen", "see( the)? licen[sc]e( file)?( for details)?", 0.2),
 )
 
-#: First gate: license vocabulary. A text without any of these has no detection, short names such as "mpl 2.0" included.
-GATE = ("licen", "copyright", "spdx", "gpl", "bsd", "cc by", "cc-by", "cc0", "commons", "domain", "reserved", "warrant", "hereby", "permission",
-        "redistribution", "unencumbered", "proprietary", "gnu", "express", "fuck", "expat", "under the mit", "under mit", "apache", "terms of")
-
-
 @dataclass(frozen=True)
 class Rule:
     label: str
@@ -79,6 +75,14 @@ class Rule:
     regex: str  # over the text with each word between two blanks
     confidence: float
 
+    @property
+    def fixed(self) -> str:
+        """The longest text that every match holds: groups, sets and what may be absent are cut out."""
+        rest, n = self.regex, 1
+        while n:
+            rest, n = re.subn(r"\([^()]*\)\??", "\0", rest)
+        return max(re.split(r"\0|\[[^]]*\]|.\?", rest), key=len)
+
 
 def _rule(label: str, keyword: str, words: str, confidence: float) -> Rule:
     return Rule(label, keyword, f" {words.replace(' ?', '@').replace(' ', '  ').replace('@', '( {2})?')} ", confidence)
@@ -120,12 +124,16 @@ def build_rules() -> list[Rule]:
 
 RULES = build_rules()
 
+#: The rules' own keywords: a text without any of these has no detection. A keyword is part of one word,
+#: so it occurs in the text in lower case if and only if it occurs in the words.
+GATE = tuple(sorted({r.keyword for r in RULES}))
+
 
 def _groups(rules: list[Rule]) -> Column:
     """Rules by keyword, as a constant array."""
     by: dict[str, list[Column]] = {}
     for i, r in enumerate(rules):
-        by.setdefault(r.keyword, []).append(F.struct(F.lit(i).alias("prio"), F.lit(r.label).alias("label"), F.lit(r.regex).alias("rx"),
+        by.setdefault(r.keyword, []).append(F.struct(F.lit(i).alias("prio"), F.lit(r.label).alias("label"), F.lit(r.regex).alias("rx"), F.lit(r.fixed).alias("fixed"),
                                                      F.lit(r.confidence).alias("confidence")))
     return F.array(*(F.struct(F.lit(k).alias("keyword"), F.array(*v).alias("rules")) for k, v in by.items()))
 
@@ -148,19 +156,16 @@ _PLACES = """filter(sequence(0, size(words) - 2), i -> words[i + 1] = 'license'
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules: list[Rule] | None = None) -> DataFrame:
     """One row per document: id, n_words, n_base, first_word, last_word, base_labels, labels, score."""
     low = F.translate(F.coalesce(F.col(text_col), F.lit("")), UPPER, LOWER)
-    gate = F.lit(False)
-    for g in GATE:
-        gate = gate | F.contains("low", F.lit(g))
     nothing = "cast(NULL AS array<int>)"
     base = [F.expr(f"if(exists(places, i -> words[i] = '{phrase.split()[0]}'), '{label}', NULL)")
             for phrase, label in sorted(BASE.items(), key=lambda x: x[1])]
     rows = (docs.select(F.col(id_col).alias("id"), low.alias("low"))
-            .select("id", "low", F.regexp_extract_all("low", F.lit(WORD), 0).alias("words"), gate.alias("gate"))
+            .select("id", "low", F.regexp_extract_all("low", F.lit(WORD), 0).alias("words"))
             .withColumn("places", F.expr(f"if(contains(low, 'license') AND size(words) > 1, {_PLACES}, {nothing})"))
-            .withColumn("norm", F.when(F.col("gate") & (F.size("words") > 0), F.concat(F.lit(" "), F.array_join("words", "  "), F.lit(" "))))
+            .withColumn("norm", F.when(F.size("words") > 0, F.concat(F.lit(" "), F.array_join("words", "  "), F.lit(" "))))
             .withColumn("base", F.array_compact(F.array(*base))))
     detected = (rows.withColumn("groups", F.when(F.col("norm").isNotNull(), _groups(rules or RULES)))
-                .withColumn("hits", F.expr("flatten(transform(filter(groups, g -> contains(norm, g.keyword)), g -> filter(g.rules, r -> norm RLIKE r.rx)))"))
+                .withColumn("hits", F.expr("flatten(transform(filter(groups, g -> contains(norm, g.keyword)), g -> filter(g.rules, r -> contains(norm, r.fixed) AND norm RLIKE r.rx)))"))
                 .withColumn("hits", F.expr("transform(hits, r -> struct(r.prio AS prio, r.label AS label, r.confidence AS confidence, regexp_extract_all(norm, r.rx, 0) AS m, split(norm, r.rx, -1) AS p))"))
                 .withColumn("spans", F.expr(_SPANS))
                 .withColumn("found", F.expr(_SCAN)))

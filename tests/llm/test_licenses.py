@@ -1,4 +1,6 @@
+import random
 import re
+from re import _parser as parser
 
 from murmur.llm import licenses as L
 from tests.llm.cases import empty, odd
@@ -46,3 +48,34 @@ def test_odd_rows(spark):
     assert sorted((str(r["doc_id"]), r["n_words"], r["base_labels"]) for r in got) == sorted(
         (str(r["doc_id"]), brute(r["text"])[0], brute(r["text"])[4]) for r in odd(spark).collect())
     assert L.scan(empty(spark)).count() == 0
+
+
+def plain(text):
+    """All rules over all texts: no gate, no keyword."""
+    words = re.findall(L.WORD, text.translate(str.maketrans(L.UPPER, L.LOWER)))
+    base = {label for phrase, label in L.BASE.items() if f" {phrase} " in f" {' '.join(words)} "}
+    norm = " " + "  ".join(words) + " "
+    found = [(m.start(), m.end(), k, r.label) for k, r in enumerate(L.RULES) for m in re.finditer(r.regex, norm)]
+    return ",".join(sorted(base | {d[3] for d in found if not any(
+        e[0] <= d[0] and d[1] <= e[1] and ((e[0], e[1]) != (d[0], d[1]) or e[2] < d[2]) for e in found)}))
+
+
+def example(regex, rng):
+    """A text that the rule matches."""
+    def make(parsed):
+        out = ""
+        for op, arg in parsed:
+            out += (chr(arg) if op is parser.LITERAL else make(arg[3]) if op is parser.SUBPATTERN else make(rng.choice(arg[1])) if op is parser.BRANCH
+                    else make([rng.choice(arg)]) if op is parser.IN else chr(rng.randint(*arg)) if op is parser.RANGE
+                    else "".join(make(arg[2]) for _ in range(rng.randint(arg[0], arg[1]))))
+        return out
+    return make(parser.parse(regex))
+
+
+def test_no_rule_is_lost_before_it_runs(spark):
+    rng = random.Random(3)
+    texts = ["Files are under MPL-2.0.", "released under\nthe MIT", "CC  BY 4.0", "CC_BY 4.0", "see ZPL 2.1, ODbL 1.0 or Artistic 2.0", "php"]
+    texts += [re.sub(" +", lambda _: rng.choice([" ", "\n", "_", " - "]), f"Notes: {example(r.regex, rng)}, and more.") for r in L.RULES for _ in range(2)]
+    got = {r["doc_id"]: r["labels"] for r in L.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")).collect()}
+    assert [got[k] for k in range(len(texts))] == [plain(t) for t in texts]
+    assert got[0] == "mpl-2.0" and got[1] == "mit" and got[2] == got[3] == "cc-by-4.0" and all(got[k] for k in range(6, len(texts)))
