@@ -34,8 +34,13 @@ PREFIXES = (5, 7)
 #: Labelled rows of each label used for the fit, at most.
 SAMPLE = 5000
 #: Terms in fewer documents of the sample are left out, and those as frequent in both labels
-#: (difference of shares below so many standard errors): over long texts they only add noise.
+#: (difference of shares below so many standard errors) unless they are apart together with another
+#: term (see :func:`together`): over long texts the others only add noise.
 MIN_DOCS, MIN_Z = 4, 4.0
+#: Chance that any pair without an effect passes, and the range of a pair's expected share of toxic rows.
+PAIR_CHANCE, PAIR_SHARE = 0.05, (0.02, 0.98)
+#: Pairs counted at a time.
+PAIR_CELLS, PAIR_ROWS = 1 << 18, 1 << 19
 EPOCHS, BATCH, RATE, DECAY = 20, 128, 0.08, 2e-4
 #: A toxic row counts as so many in the loss: far fewer rows are toxic.
 TOXIC_WEIGHT = 4.0
@@ -91,6 +96,58 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(out, -30, 30)))
 
 
+def together(doc: np.ndarray, place: np.ndarray, label: np.ndarray, seen: np.ndarray, toxic: np.ndarray, alone: np.ndarray) -> np.ndarray:
+    """Places in a pair, not both ``alone``, whose rows are toxic more or less often than the two terms'
+    own shares explain (added as log odds). All pairs are counted; the evidence is the exponent of the
+    Chernoff bound, against the number of pairs. ``doc`` and then ``place`` ascending."""
+    out = np.zeros(len(seen), bool)
+    number = np.count_nonzero(seen >= MIN_DOCS)
+    need = np.log(max(1, number * (number - 1) / 2) / PAIR_CHANCE)
+    # pairs in fewer rows cannot reach it
+    least = max(MIN_DOCS, need / -np.log(PAIR_SHARE[0]))
+    some = np.flatnonzero(seen >= least)
+    some, n = some[np.argsort(-seen[some], kind="stable")], len(some)
+    index = np.full(len(seen), -1, np.int64)
+    index[some] = np.arange(n)
+    hit = index[place] >= 0
+    key = np.sort(doc[hit] * max(1, n) + index[place[hit]])
+    doc, term = (key // max(1, n)).astype(np.int32), (key % max(1, n)).astype(np.int32)
+    del key, hit
+    end = np.searchsorted(doc, doc, side="right").astype(np.int32)
+    odds = np.log((toxic[some] + 0.5) / (seen[some] - toxic[some] + 0.5))
+    mean = np.log(label.sum() / (len(label) - label.sum()))
+    by = np.argsort(term, kind="stable").astype(np.int32)
+    first = np.searchsorted(term[by], np.arange(n + 1))
+    lo = 0
+    while lo < n:
+        wide = n - lo
+        hi = min(lo + max(1, PAIR_CELLS // wide), n)
+        cells = (hi - lo) * wide
+        rows = by[first[lo]:first[hi]]
+        count = end[rows] - rows - 1  # the later, rarer terms of the row
+        base = (term[rows].astype(np.int64) - lo) * wide - lo + (label[doc[rows]] > 0) * cells
+        upto = np.concatenate([[0], np.cumsum(count)])
+        found, at = np.zeros(2 * cells, np.int32), 0
+        while at < len(rows):
+            to = max(at + 1, int(np.searchsorted(upto, upto[at] + PAIR_ROWS, side="right")) - 1)
+            c = count[at:to]
+            later = np.arange(c.sum()) + np.repeat(rows[at:to] + 1 - (upto[at:to] - upto[at]), c)
+            found += np.bincount(np.repeat(base[at:to], c) + term[later], minlength=2 * cells).astype(np.int32)
+            at = to
+        bad = found[cells:]
+        both = found[:cells] + bad
+        key = np.flatnonzero(both >= least)
+        a, b = key // wide + lo, key % wide + lo
+        key, a, b = (x[~(alone[some[a]] & alone[some[b]])] for x in (key, a, b))
+        q = np.clip(1 / (1 + np.exp(mean - odds[a] - odds[b])), *PAIR_SHARE)
+        k, t = both[key].astype(float), bad[key].astype(float)
+        evidence = t * np.log(np.maximum(t, 1) / k / q) + (k - t) * np.log(np.maximum(k - t, 1) / k / (1 - q))
+        far = evidence > need
+        out[some[a[far]]] = out[some[b[far]]] = True
+        lo = hi
+    return out
+
+
 def fit(column: pa.Array, label: np.ndarray, seed: int = 7) -> Model:
     """AdaGrad on the logistic loss."""
     size = 1 << HASH_BITS
@@ -107,6 +164,7 @@ def fit(column: pa.Array, label: np.ndarray, seed: int = 7) -> Model:
         share = seen / n
         apart = np.abs(toxic / ones - (seen - toxic) / (n - ones))
         known = (seen >= MIN_DOCS) & (apart > MIN_Z * np.sqrt(share * (1 - share) * (1 / ones + 1 / (n - ones))))
+        known |= together(doc, place, label, seen, toxic, known)
     rng = np.random.default_rng(seed)
     rate = float(label.mean()) if n else 0.1
     m = Model(float(np.log((rate + 0.01) / (1.01 - rate))), np.zeros(size), rng.normal(0, 0.02, (size, FACTORS)) * known[:, None], known)

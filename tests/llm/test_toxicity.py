@@ -21,6 +21,21 @@ def test_pairs_of_terms_count_where_neither_does_alone():
     assert ((m.score(pa.array(texts[1000:])) >= 0.7) == label[1000:]).mean() > 0.97
 
 
+def test_pairs_of_terms_that_are_alone_as_frequent_in_both_labels():
+    rng = random.Random(5)
+    noise = ["".join(rng.choice("abcdefghijklm") for _ in range(6)) for _ in range(300)]
+    marks = [divmod(k, 2) for k in range(4)] * 400
+    def text(insult, group):
+        w = [rng.choice(noise) for _ in range(30)] + ["insult"] * insult + ["group"] * group
+        rng.shuffle(w)
+        return " ".join(w)
+    # toxic with both or none: each alone is in half of the rows of either label
+    texts, label = [text(a, b) for a, b in marks], np.array([float(a == b) for a, b in marks])
+    m = toxicity.fit(pa.array(texts[:1200]), label[:1200])
+    assert ((m.score(pa.array(texts[1200:])) >= 0.7) == label[1200:]).mean() > 0.97
+    assert m.known.sum() <= 8  # the noise stays out
+
+
 def test_held_out_rows_of_the_table(spark):
     from murmur.llm.registry import table
     docs, labels = table(spark, SF001, "documents"), table(spark, SF001, "labels")
