@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from murmur.llm import embeddings, licenses, mixing, quality, substrings
+from murmur.llm import embeddings, licenses, lines, mixing, quality, substrings
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -142,3 +142,20 @@ FROM split s LEFT JOIN base b USING (doc_id) LEFT JOIN found f USING (doc_id)"""
 
 
 LICENSES = _licenses()
+
+
+def _lines(min_chars: int, min_docs: int) -> str:
+    blanks = " || ".join(f"chr({ord(c)})" for c in lines.BLANKS)
+    return f"""WITH split AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
+rows AS (
+  SELECT doc_id, pos, line, translate(trim(line, {blanks}), '{lines.UPPER}', '{lines.LOWER}') AS key FROM (
+    SELECT doc_id, unnest(l) AS line, unnest(range(len(l))) AS pos FROM split)),
+common AS (
+  SELECT key, max(doc_id) AS last FROM rows WHERE length(key) >= {min_chars} GROUP BY key HAVING count(DISTINCT doc_id) >= {min_docs}),
+marked AS (SELECT r.*, c.key IS NOT NULL AND doc_id <> c.last AS gone FROM rows r LEFT JOIN common c USING (key))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY doc_id"""
+
+
+LINES = _lines(lines.MIN_CHARS, lines.MIN_DOCS)

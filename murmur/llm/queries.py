@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from murmur.llm import bpe, embeddings, licenses, mixing, pseudo_likelihood, quality, simhash, substrings, token_counts, toxicity
+from murmur.llm import bpe, embeddings, licenses, lines, mixing, pseudo_likelihood, quality, simhash, substrings, token_counts, toxicity
 from murmur.llm import oracle_sql as O
 from murmur.llm.registry import ORACLES, QUERIES, query, table
 
@@ -71,3 +71,9 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_token_counts")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+@query("op11_line_dedup", O.LINES)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lines.line_dedup(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
