@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from murmur.llm import bpe, embeddings, licenses, lines, mixing, pseudo_likelihood, quality, simhash, substrings, token_counts, toxicity
+from murmur.llm import bpe, embeddings, licenses, lines, mixing, periods, pseudo_likelihood, quality, simhash, substrings, token_counts, toxicity
 from murmur.llm import oracle_sql as O
 from murmur.llm.registry import ORACLES, QUERIES, query, table
 
@@ -77,3 +77,8 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = lines.line_dedup(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op12_periodic_runs")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periods.periodic_runs(table(spark, sf_dir, "documents"), digests=True)
