@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from murmur.llm import embeddings, licenses, lines, mixing, quality, substrings
+from murmur.llm import embeddings, licenses, lines, mixing, quality, ranked, substrings
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -159,3 +159,26 @@ FROM marked GROUP BY doc_id"""
 
 
 LINES = _lines(lines.MIN_CHARS, lines.MIN_DOCS)
+
+
+def _ranked(top: int) -> str:
+    words = f"""regexp_extract_all(translate(coalesce(text, ''), '{lines.UPPER}', '{lines.LOWER}'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"""
+    return f"""WITH item_terms AS (
+  SELECT item_id, term, count(*) AS times FROM (SELECT item_id, unnest({words}) AS term FROM benchmark) GROUP BY item_id, term),
+docs AS (SELECT row_number() OVER () AS row, doc_id, {words} AS terms FROM documents),
+whole AS (SELECT count(*) FILTER (WHERE len(terms) > 0) AS n_docs, cast(sum(len(terms)) AS bigint) AS n_terms FROM docs),
+held AS (
+  SELECT row, doc_id, n, term, count(*) AS tf FROM (SELECT row, doc_id, cast(len(terms) AS bigint) AS n, unnest(terms) AS term FROM docs)
+  WHERE term IN (SELECT term FROM item_terms) GROUP BY row, doc_id, n, term),
+weights AS (
+  SELECT term, cast(floor(1000 * ln(cast(2 * n_docs + 2 AS double) / cast(2 * df + 1 AS double))) AS bigint) AS w
+  FROM (SELECT term, count(*) AS df FROM held GROUP BY term), whole),
+scored AS (
+  SELECT item_id, row, doc_id, cast(sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * n * n_docs) // n_terms)))) AS bigint) AS score
+  FROM held JOIN weights USING (term) JOIN item_terms USING (term), whole GROUP BY item_id, row, doc_id)
+SELECT item_id, cast(rank AS integer) AS rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM scored WHERE score > 0)
+WHERE rank <= {top}"""
+
+
+RANKED = _ranked(ranked.TOP)

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from murmur.llm import bpe, embeddings, licenses, lines, mixing, periods, pseudo_likelihood, quality, simhash, substrings, token_counts, toxicity
+from murmur.llm import bpe, embeddings, licenses, lines, mixing, periods, pseudo_likelihood, quality, ranked, simhash, substrings, token_counts, toxicity
 from murmur.llm import oracle_sql as O
 from murmur.llm.registry import ORACLES, QUERIES, query, table
 
@@ -82,3 +82,8 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op12_periodic_runs")
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periods.periodic_runs(table(spark, sf_dir, "documents"), digests=True)
+
+
+@query("op13_ranked_search", O.RANKED)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.search(table(spark, sf_dir, "benchmark"), table(spark, sf_dir, "documents"))
