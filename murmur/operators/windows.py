@@ -6,6 +6,7 @@ from __future__ import annotations
 from collections import deque
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -116,32 +117,103 @@ def _quota_partitions(limit: int, window_s: float, keys: list[str], ts: str):
     return run
 
 
-def quota_segments(requests: DataFrame, key: str, ts: str, window_s: float) -> DataFrame:
-    """Cut each client's timeline where a whole window-sized bucket is empty: nothing accepted
-    before such a gap can be inside any later request's window, so the segments are independent.
-    Counts per (client, bucket) are a partial aggregate; the islands window sees at most one row
-    per bucket of a client (bounded by the time range, not by the traffic)."""
-    d = requests.withColumn("_b", F.floor(F.col(ts) / F.lit(float(window_s))).cast("bigint"))
-    buckets = d.groupBy(key, "_b").agg(F.count(F.lit(1)).alias("_n"))
-    islands = buckets.select(key, "_b", (F.col("_b") - F.row_number().over(W.partitionBy(key).orderBy("_b")))
-                             .alias("_seg"))
-    return d.join(islands, [key, "_b"]).drop("_b")
+#: Requests of one block, the unit that a task works on; time slots of a window from which blocks are cut.
+QUOTA_BLOCK_ROWS, QUOTA_SLOTS = 1 << 18, 1024
+
+
+def _quota_slots(requests: DataFrame, key: str, ts: str, window_s: float, block_rows: int) -> DataFrame:
+    """(key, _slot, _seg, _block, _last): where each slot of a client's timeline belongs. A segment ends
+    where a whole window is empty, a block where it has about ``block_rows`` requests. Counts per
+    (client, slot) are a partial aggregate; the windows see a row per slot of a client, which the time
+    range bounds, not the traffic."""
+    slots = requests.withColumn("_slot", _slot(ts, window_s)).groupBy(key, "_slot").agg(F.count(F.lit(1)).alias("_n"))
+    timeline, bucket = W.partitionBy(key).orderBy("_slot"), F.floor(F.col("_slot") / QUOTA_SLOTS)
+    gap = F.coalesce((bucket - F.lag(bucket).over(timeline) > 1).cast("int"), F.lit(0))
+    own = W.partitionBy(key, "_seg")
+    before = F.sum("_n").over(own.orderBy("_slot")) - F.col("_n")
+    return (slots.withColumn("_gap", gap).withColumn("_seg", F.sum("_gap").over(timeline))
+            .withColumn("_block", F.floor(before / block_rows)).withColumn("_last", F.max("_block").over(own)).drop("_n", "_gap"))
+
+
+def _slot(ts: str, window_s: float) -> Column:
+    return F.floor(F.col(ts) / F.lit(float(window_s) / QUOTA_SLOTS)).cast("bigint")
+
+
+def quota_segments(requests: DataFrame, key: str, ts: str, window_s: float, block_rows: int = QUOTA_BLOCK_ROWS) -> DataFrame:
+    """``requests`` with ``_seg`` and ``_block``. Nothing accepted before an empty window can be inside
+    any later request's window, so segments are independent; blocks of one are in order."""
+    slots = _quota_slots(requests, key, ts, window_s, block_rows)
+    return requests.withColumn("_slot", _slot(ts, window_s)).join(slots, [key, "_slot"]).drop("_slot", "_last")
+
+
+def quota_exit(carried: list | None, ts: np.ndarray, limit: int, window_s: float) -> list | None:
+    """A block's map from entry state to exit state (accepted times still in the window of the block's
+    last request). Where any ``limit + 1`` requests in a row span two windows, every state lets the last
+    window's requests through: from the last such place on the exit is known whatever the entry
+    (``carried`` None: only then is there an exit)."""
+    sparse = np.flatnonzero(ts[limit:] - ts[:-limit] >= 2 * window_s) if len(ts) > limit else np.zeros(0, int)
+    if len(sparse):
+        at = int(sparse[-1]) + limit
+        alive = ts[:at + 1][ts[:at + 1] > ts[at] - window_s]
+        return quota_segment([float(x) for x in alive], ts[at + 1:], limit, window_s)[1]
+    return None if carried is None else quota_segment(carried, ts, limit, window_s)[1]
+
+
+def _known_exits(limit: int, window_s: float):
+    """mapInPandas body over packed blocks: a block whose exit is known no longer needs its times."""
+    def run(batches):
+        for pdf in batches:
+            exits = [quota_exit(None, np.asarray(t, dtype="float64"), limit, window_s) for t in pdf["_times"]]
+            yield pdf.assign(_exit=exits, _times=[t if e is None else None for t, e in zip(pdf["_times"], exits)])
+    return run
+
+
+def _block_entries(limit: int, window_s: float, keys: list[str]):
+    """mapInPandas body over a segment's packed blocks in order: composes their maps and gives, for each
+    block, the accepted times it starts with (one row each)."""
+    def run(batches):
+        cur, state = None, []
+        for pdf in batches:
+            rows = []
+            for *k, block, times, known in pdf[[*keys, "_block", "_times", "_exit"]].itertuples(index=False):
+                if tuple(k) != cur:
+                    cur, state = tuple(k), []
+                rows += [(*k, block, t) for t in state]
+                state = list(known) if times is None else quota_exit(state, np.asarray(times, dtype="float64"), limit, window_s)
+            yield pd.DataFrame(rows, columns=[*keys, "_block", "_ts"])
+    return run
+
+
+def quota_entries(requests: DataFrame, key: str, ts: str, limit: int, window_s: float, block_rows: int = QUOTA_BLOCK_ROWS) -> DataFrame:
+    """(key, _seg, _block, _ts): the accepted times with which each block of a segment of several blocks
+    starts. Blocks are sorted and packed in parallel; the step from block to block reads only the
+    packed times of blocks whose exit is not known yet, and binary-searches them from one accepted
+    request to the next."""
+    several = _quota_slots(requests, key, ts, window_s, block_rows).filter(F.col("_last") > 0)
+    rows = requests.select(key, ts, _slot(ts, window_s).alias("_slot")).join(several, [key, "_slot"])
+    packed = rows.groupBy(key, "_seg", "_block").agg(F.sort_array(F.collect_list(ts)).alias("_times"))
+    kind = requests.schema[key].dataType.simpleString()
+    at = f"{key} {kind}, _seg bigint, _block bigint"
+    maps = packed.mapInPandas(_known_exits(limit, window_s), f"{at}, _times array<double>, _exit array<double>")
+    ordered = maps.repartition(key, "_seg").sortWithinPartitions(key, "_seg", "_block")
+    return ordered.mapInPandas(_block_entries(limit, window_s, [key, "_seg"]), f"{at}, _ts double")
 
 
 def sliding_quota(requests: DataFrame, key: str = "user_id", ts: str = "ts_s",
-                  limit: int = P.SEARCH_QUOTA_PER_HOUR, window_s: float = 3600.0) -> DataFrame:
+                  limit: int = P.SEARCH_QUOTA_PER_HOUR, window_s: float = 3600.0, block_rows: int = QUOTA_BLOCK_ROWS) -> DataFrame:
     """At most ``limit`` accepted requests per key in any trailing ``window_s`` seconds; refused
-    requests do not count. Accepted-only state makes a RANGE frame insufficient, so this is a
-    per-key state machine, run per independent segment (``quota_segments``): hash-partition by
-    (key, segment), sort inside partitions, one pass keeping at most ``limit`` timestamps. A hot
-    client is spread over as many tasks as it has idle windows; only an uninterrupted burst stays
-    in one task (sorted, spilling, O(limit) memory)."""
-    seg = quota_segments(requests, key, ts, window_s)
-    ordered = seg.repartition(key, "_seg").sortWithinPartitions(key, "_seg", ts, "event_id")
-    fields = [f for f in seg.schema.fields]
-    schema = ", ".join([f"{f.name} {f.dataType.simpleString()}" for f in fields]) + ", accepted boolean"
-    out = ordered.mapInPandas(_quota_partitions(limit, window_s, [key, "_seg"], ts), schema)
-    return out.drop("_seg")
+    requests do not count. Accepted-only state makes a RANGE frame insufficient, so this is a parallel
+    scan of the per-key state machine: a client's timeline is cut into blocks (``quota_segments``), the
+    blocks' maps from entry to exit state are composed (``quota_entries``), and each block fills its
+    flags on its own, starting with its entry state's times as requests that are accepted again. A
+    burst of one client is as many tasks as it has blocks; a client of one block needs no composition."""
+    rows = quota_segments(requests, key, ts, window_s, block_rows)
+    carried = quota_entries(requests, key, ts, limit, window_s, block_rows).withColumnRenamed("_ts", ts)
+    both = rows.withColumn("_new", F.lit(True)).unionByName(carried.withColumn("_new", F.lit(False)), allowMissingColumns=True)
+    ordered = both.repartition(key, "_seg", "_block").sortWithinPartitions(key, "_seg", "_block", ts, "event_id")
+    schema = ", ".join([f"{f.name} {f.dataType.simpleString()}" for f in both.schema.fields]) + ", accepted boolean"
+    out = ordered.mapInPandas(_quota_partitions(limit, window_s, [key, "_seg", "_block"], ts), schema)
+    return out.filter("_new").drop("_seg", "_block", "_new")
 
 
 def quota_reference(rows: list[tuple], limit: int, window_s: float = 3600.0) -> list[bool]:

@@ -22,4 +22,5 @@ DASHBOARD = P.DashboardParams(as_of=AS_OF)
 TICKERS = ("MIT", "GNU", "THE")
 COMPANY = ("MIT", ("MIT", "GNU"))  # (literal ticker, aliases)
 RUN_TIMESTAMP = "2024-01-16 09:00"
-QUOTA_CLIENTS = 2
+#: A week: over it some users make more requests than the limit, others do not.
+QUOTA_WINDOW = 7 * 86400.0

@@ -14,7 +14,7 @@ from murmur.plans.oracle_sql import r6, with_items
 from murmur.plans.q_enrich import PIPE_SCORED
 from murmur.plans.q_io import ITEM_COLS, _raw_dir
 from murmur.plans.q_relational import enriched, items
-from murmur.plans.q_windows import QUOTA_LIMIT, QUOTA_SQL, QUOTA_WINDOW, request_log
+from murmur.plans.q_windows import QUOTA_LIMIT, QUOTA_SQL, request_log
 from murmur.schema import ENRICHED, RAW_ITEM_FIELDS
 from murmur.session import scratch_path
 from murmur.sources import files
@@ -95,15 +95,19 @@ def _events(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("stm_quota", QUOTA_SQL)
 def q_stm_quota(spark, sf):
-    """The hourly quota as a stream over time-ordered request arrivals (one micro-batch
-    per slice, restarting from the checkpoint each time); equals ``win_sliding_quota``."""
+    """The quota as a stream (keyed state) over request arrivals, one micro-batch per slice, restarting
+    from the checkpoint each time; an hour's requests arrive in any order and a last heartbeat moves the
+    watermark past them. Equals ``win_sliding_quota``."""
     log = request_log(spark, sf)
     out, ckpt = scratch_path(spark, "quota-out"), scratch_path(spark, "quota-ckpt")
 
     def run_once(src):
-        SJ.stm_quota(spark.readStream.schema(log.schema).parquet(src), out, ckpt, "client", QUOTA_LIMIT, QUOTA_WINDOW)
+        SJ.stm_quota(spark.readStream.schema(log.schema).parquet(src), out, ckpt, "client", QUOTA_LIMIT, X.QUOTA_WINDOW, delay_s=7200.0)
 
-    arrivals(log, "ts_s", scratch_path(spark, "arrivals-requests"), run_once, fmt="parquet")
+    shuffled = log.withColumn("_arrives", F.col("ts_s") + F.pmod(F.xxhash64("event_id"), F.lit(3600)))
+    src = arrivals(shuffled, "_arrives", scratch_path(spark, "arrivals-requests"), run_once, fmt="parquet")
+    SJ.heartbeat(log, "ts_s", 3 * 7200.0).write.parquet(f"{src}/arrival=9999")
+    run_once(src)
     return spark.read.parquet(out).select("event_id", "client", "ts_s", "accepted")
 
 

@@ -3,13 +3,16 @@ with a high-water mark, always-current rollups and the per-client request quota.
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupStateTimeout
 
 from murmur import params as P
 from murmur.plans import jobs
 from murmur.operators.aggregations import r6
-from murmur.operators.windows import sliding_quota
+from murmur.operators.windows import quota_segment
 from murmur.sources.sinks import path_exists, remove_folders
 from murmur.streaming.files import batch_writer
 
@@ -116,33 +119,64 @@ def stm_metric_window(events_stream: DataFrame, period: str = "300 seconds", del
 
 # ------------------------------------------------------------------ request quota
 
-def quota_writer(out_path: str, key: str, limit: int, window_s: float):
-    """foreachBatch body: the batch operator over the new requests and the accepted ones of earlier
-    batches that can still be in a window. What was accepted is accepted again (refused requests do
-    not count), so the earlier rows need no separate state; they are read by time from the output
-    (row-group pruning) and dropped before writing. A replayed batch rewrites its own folder."""
-    def write(df: DataFrame, batch_id: int) -> None:
-        spark = df.sparkSession
-        lo = df.agg(F.min("ts_s")).first()[0]
-        rows = df.select("event_id", key, "ts_s", F.lit(True).alias("_new"))
-        if lo is not None and path_exists(spark, out_path):
-            old = spark.read.parquet(out_path).filter((F.col("batch_id") < batch_id) & F.col("accepted") & (F.col("ts_s") > lo - window_s))
-            rows = rows.unionByName(old.select("event_id", key, "ts_s", F.lit(False).alias("_new")))
-        done = sliding_quota(rows, key, "ts_s", limit, window_s).filter("_new").drop("_new")
-        done.write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
-    return write
+def _quota_states(id_col: str, key: str, limit: int, window_s: float):
+    """applyInPandasWithState body for one client. The state holds the accepted times that can still be in
+    a window (at most ``limit``) and the requests later than the watermark; what the watermark has
+    passed is judged in the order of time, whatever its order of arrival. An idle client's state
+    goes when its last accepted request leaves the window."""
+    def run(client, batches, state):
+        if pd.isna(client[0]):  # a heartbeat; as a filter it would not reach the watermark
+            return
+        kept, ids, times = ([], [], []) if not state.exists else map(list, state.get)
+        for pdf in batches:  # none on a timeout
+            ids += pdf[id_col].tolist()
+            times += pdf["ts_s"].tolist()
+        mark_ms = state.getCurrentWatermarkMs()
+        mark = mark_ms / 1000.0
+        order = sorted(range(len(ids)), key=lambda i: (times[i], ids[i]))
+        due, wait = [i for i in order if times[i] <= mark], [i for i in order if times[i] > mark]
+        if due:
+            ts = np.array([times[i] for i in due])
+            accepted, kept = quota_segment(kept, ts, limit, window_s)
+            yield pd.DataFrame({id_col: [ids[i] for i in due], key: client[0], "ts_s": ts, "accepted": accepted})
+        if wait:
+            wake = times[wait[0]]
+        elif kept and kept[-1] + window_s > mark:
+            wake = kept[-1] + window_s
+        else:
+            state.remove()
+            return
+        state.update((kept, [ids[i] for i in wait], [times[i] for i in wait]))
+        state.setTimeoutTimestamp(max(int(wake * 1000), mark_ms + 1))
+    return run
 
 
 def stm_quota(requests_stream: DataFrame, out_path: str, checkpoint: str, key: str = "user_id",
-              limit: int = P.SEARCH_QUOTA_PER_HOUR, window_s: float = 3600.0) -> str:
-    """The request quota as a stream (event_id, key, ts_s), equal to the batch operator for requests
-    that arrive in time order across batches."""
-    q = (requests_stream.writeStream.foreachBatch(quota_writer(out_path, key, limit, window_s))
+              limit: int = P.SEARCH_QUOTA_PER_HOUR, window_s: float = 3600.0, delay_s: float = 600.0, id_col: str = "event_id") -> str:
+    """The request quota as a stream (id, key, ts_s) with keyed state and event-time timeouts. Requests up
+    to ``delay_s`` out of order get the verdict of the batch operator, once the watermark has passed
+    them; a request later than that has no verdict and no influence (Spark counts it as dropped). Null
+    keys are no clients (heartbeats). A client's pending requests are those of ``delay_s`` seconds; on
+    a cluster with very many clients use the RocksDB state store."""
+    kinds = {f.name: f.dataType.simpleString() for f in requests_stream.schema.fields}
+    timed = (requests_stream.withColumn("_ets", F.timestamp_seconds("ts_s")).withWatermark("_ets", f"{delay_s} seconds")
+             .select(id_col, key, "ts_s", "_ets"))
+    judged = timed.groupBy(key).applyInPandasWithState(
+        _quota_states(id_col, key, limit, window_s), f"{id_col} {kinds[id_col]}, {key} {kinds[key]}, ts_s double, accepted boolean",
+        f"kept array<double>, ids array<{kinds[id_col]}>, times array<double>", "append", GroupStateTimeout.EventTimeTimeout)
+    q = (judged.writeStream.outputMode("append").foreachBatch(batch_writer(out_path))
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
     return out_path
 
 
+def heartbeat(rows: DataFrame, ts: str, after_s: float) -> DataFrame:
+    """One row without a key, ``after_s`` seconds after the last of ``rows``: it moves the watermark of a
+    source that has fallen silent."""
+    last = rows.agg((F.max(ts) + F.lit(after_s)).alias(ts))
+    return last.select(*[F.col(ts) if f.name == ts else F.lit(None).cast(f.dataType).alias(f.name) for f in rows.schema.fields])
+
+
 # ------------------------------------------------------------------ deduplication
 
 def stm_dedup(stream: DataFrame, keys: list[str], delay: str = "1 day") -> DataFrame:
