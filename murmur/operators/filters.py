@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from murmur import params as P
 from murmur.functions import scorers as S
+from murmur.functions.patterns import AUTOMATON_BYTES, holds_any, words_in
 from murmur.functions.text import all_of, any_of, contains_any, py_strip
 
 def post_text() -> Column:
@@ -37,6 +38,16 @@ def flt_keyword_any(df: DataFrame, keywords, match: str = "substring") -> DataFr
     return df.filter(has_keyword(keywords, match))
 
 
+def flt_keyword_table(df: DataFrame, words: DataFrame, limit: int = AUTOMATON_BYTES) -> DataFrame:
+    """``flt_keyword_any`` with the words of a table (one column): one pass over the texts by an automaton
+    while the list has at most ``limit`` bytes, beyond it a semi join with the window index (by ``id``)."""
+    word = words.columns[0]
+    words = words.select(F.lower(word).alias("word")).where(F.octet_length("word") > 0).distinct()
+    if (words.agg(F.sum(F.octet_length("word"))).first()[0] or 0) <= limit:
+        return df.filter(holds_any(post_text(), [r[0] for r in words.collect()], df.sparkSession))
+    return df.join(words_in(df, [post_text()], words, ["id"]).select("id"), "id", "left_semi")
+
+
 def has_ignored(words: Iterable[str]) -> Column:
     return contains_any(post_text(), [w.lower() for w in words if w])
 

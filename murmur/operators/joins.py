@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from murmur.functions.patterns import words_in
 from murmur.operators.projections import post_date
 
 
@@ -53,9 +54,24 @@ def join_ticker_mentions(items: DataFrame, tickers, columns=("title", "selftext"
     return items.select("*", F.explode(F.array_distinct(found)).alias("ticker"))
 
 
+def ticker_table(tickers: DataFrame) -> DataFrame:
+    """A symbol table of any size (ticker): trimmed, upper case, no blank ones."""
+    return tickers.select(F.upper(F.trim("ticker")).alias("ticker")).where(F.octet_length("ticker") > 0).distinct()
+
+
+def join_ticker_table(items: DataFrame, tickers: DataFrame, keep=("id",), columns=("title", "selftext")) -> DataFrame:
+    """(``keep``, ticker) for every ticker of a *table* that the item's text contains (the original's
+    LIKE '%T%'): an equi-join on the texts' windows of the tickers' lengths, no item x ticker loop."""
+    texts = [F.upper(F.coalesce(F.col(c), F.lit(""))) for c in columns]
+    return words_in(items, texts, ticker_table(tickers), list(keep))
+
+
 def agg_mentions_trend(enriched: DataFrame, tickers) -> DataFrame:
-    """(ticker, day, sentiment) -> count over all tickers at once."""
-    m = join_ticker_mentions(enriched.select("title", "selftext", "created_utc", "sentiment"), tickers)
+    """(ticker, day, sentiment) -> count over all tickers at once; ``tickers``: a list, or a table."""
+    if isinstance(tickers, DataFrame):
+        m = join_ticker_table(enriched.select("title", "selftext", "created_utc", "sentiment"), tickers, ("created_utc", "sentiment"))
+    else:
+        m = join_ticker_mentions(enriched.select("title", "selftext", "created_utc", "sentiment"), tickers)
     return m.groupBy("ticker", post_date().alias("post_date"),
                      F.col("sentiment.Sentiment").alias("sentiment_type")).agg(F.count(F.lit(1)).alias("post_count"))
 

@@ -17,6 +17,7 @@ from murmur.plans.catalog import query
 from murmur.plans.oracle_sql import (clean_text, contains_any, count_in, lit_list, py_strip as sql_strip, r6,
                                      tokens, with_items)
 from murmur.sources import adapter
+from murmur.sources.tables import table
 
 ING = X.INGEST
 SRCH = X.SEARCH
@@ -55,6 +56,28 @@ def q_flt_keyword_any(spark, sf):
     return flt.flt_keyword_any(posts(spark, sf), ING.keywords).select("id")
 
 
+def letters_sql(number: str, n: int) -> str:
+    """``n`` capital letters that spell a number."""
+    return " || ".join(f"chr(cast(65 + ({number} // {26 ** k}) % 26 AS integer))" for k in range(n))
+
+
+def letters(number, n: int):
+    return F.concat(*[F.char(65 + F.floor(number / 26 ** k) % 26) for k in range(n)])
+
+
+#: A word for each order: thousands at the smallest scales, in the list of five letters.
+WORD_NUMBER = "(o_orderkey * 104729 + o_custkey * 31) % 11881376"
+
+
+@query("flt_keyword_table", with_items(
+    f"SELECT DISTINCT id FROM (SELECT id, {POST_TEXT_SQL} AS t FROM items WHERE type = 'post') "
+    f"JOIN (SELECT DISTINCT lower({letters_sql(WORD_NUMBER, 5)}) AS word FROM orders) ON contains(t, word)"))
+def q_flt_keyword_table(spark, sf):
+    """Posts that hold any word of a table."""
+    words = table(spark, sf, "orders").select(letters(F.expr(WORD_NUMBER), 5).alias("word"))
+    return flt.flt_keyword_table(posts(spark, sf), words).select("id")
+
+
 @query("flt_ignore_any", with_items(
     f"SELECT id FROM items WHERE type = 'post' AND NOT {contains_any(POST_TEXT_SQL, ING.ignore_keywords)}"))
 def q_flt_ignore_any(spark, sf):
@@ -440,6 +463,30 @@ def q_join_ticker_mentions(spark, sf):
     return J.join_ticker_mentions(items(spark, sf), X.TICKERS).select("id", "ticker")
 
 
+#: A symbol for each customer, of three or four letters: thousands at the smallest scales.
+SYMBOL_NUMBER = "c_custkey * 7919 % 456976"
+SYMBOLS_CTE = f"symbols AS MATERIALIZED (SELECT DISTINCT CASE WHEN c_nationkey < 12 THEN {letters_sql(SYMBOL_NUMBER, 3)} ELSE {letters_sql(SYMBOL_NUMBER, 4)} END AS ticker FROM customer)"
+UPPER_CTE = "uppers AS MATERIALIZED (SELECT id, post_date, sentiment_type, upper(coalesce(title, '')) AS a, upper(coalesce(selftext, '')) AS b FROM items)"
+MENTIONS_SQL = "uppers i JOIN symbols t ON contains(i.a, t.ticker) OR contains(i.b, t.ticker)"
+
+
+def symbols(spark, sf):
+    number = F.expr(SYMBOL_NUMBER)
+    return table(spark, sf, "customer").select(F.when(F.col("c_nationkey") < 12, letters(number, 3)).otherwise(letters(number, 4)).alias("ticker"))
+
+
+@query("join_ticker_table", with_items(f"SELECT i.id, t.ticker FROM {MENTIONS_SQL}", SYMBOLS_CTE, UPPER_CTE))
+def q_join_ticker_table(spark, sf):
+    """Mentions of the symbols of a table."""
+    return J.join_ticker_table(items(spark, sf), symbols(spark, sf))
+
+
+@query("agg_mentions_trend_table", with_items(
+    f"SELECT t.ticker, i.post_date, i.sentiment_type, count(*) AS post_count FROM {MENTIONS_SQL} GROUP BY 1, 2, 3", SYMBOLS_CTE, UPPER_CTE))
+def q_agg_mentions_trend_table(spark, sf):
+    return J.agg_mentions_trend(enriched(spark, sf), symbols(spark, sf))
+
+
 # ---------------------------------------------------------------- 2.5 rollups
 
 DUAL_SQL = with_items(
