@@ -15,10 +15,10 @@ from murmur.plans.q_enrich import PIPE_SCORED
 from murmur.plans.q_relational import (LABELED_SQL, PIPE_TEXT_SQL, TRAINING_ROWS_SQL, TREND_CTE, enriched, items,
                                        labeled)
 from murmur.plans.q_search import SEARCH_CTES
-from murmur.plans.q_windows import ALL, ALL_CTES, LABEL_SCORED
+from murmur.plans.q_windows import ALL, ALL_CTES, LABEL_SCORED, MERGE_SQL
 from murmur.schema import RAW_ITEM_FIELDS
 from murmur.session import scratch_path
-from murmur.sources import files, sinks
+from murmur.sources import files, runs, schemas, sinks
 
 ING = X.INGEST
 ITEM_SQL = "SELECT type, id, post_id, title, selftext, body, url, subreddit, created_utc, score FROM items"
@@ -88,6 +88,51 @@ def q_src_schema_evolve(spark, sf):
     return files.read_evolving_parquet(spark, path).select("id", "type", "created_utc", "sentiment_type")
 
 
+def _three_runs(spark, sf) -> tuple[str, str]:
+    """Posts, early comments and late comments as three runs of NDJSON whose fields appear, vanish and
+    change type, crawled run by run."""
+    path, log = scratch_path(spark, "evolving-json"), scratch_path(spark, "schema-log")
+    it = items(spark, sf)
+    late = F.col("created_utc") >= ING.mark
+    parts = [it.filter("type = 'post'").select("id", "subreddit", "score", F.lit(True).alias("is_post")),
+            it.filter((F.col("type") == "comment") & ~late).select("id", "type", (F.col("score") / 4).alias("score"), F.struct("post_id", "created_utc").alias("of")),
+            it.filter((F.col("type") == "comment") & late).select("id", "type", F.concat(F.lit("about "), "score").alias("score"), F.array("post_id").alias("tags"))]
+    for run, rows in enumerate(parts):
+        sinks.write_ndjson(rows, f"{path}/run={run}")
+        schemas.crawl(spark, f"{path}/run={run}", log, run)
+    return path, log
+
+
+@query("src_schema_inferred", with_items(
+    f"SELECT id, CASE WHEN type = 'comment' THEN type END AS type, CASE WHEN type = 'post' THEN subreddit END AS subreddit, CASE WHEN type = 'post' THEN true END AS is_post, "
+    f"CASE WHEN type = 'post' THEN cast(score AS varchar) WHEN created_utc < {ING.mark} THEN cast(cast(score AS double) / 4 AS varchar) ELSE concat('about ', score) END AS score, "
+    f"CASE WHEN type = 'comment' AND created_utc < {ING.mark} THEN post_id END AS of_post, CASE WHEN type = 'comment' AND created_utc < {ING.mark} THEN created_utc END AS of_created, "
+    f"CASE WHEN type = 'comment' AND created_utc >= {ING.mark} THEN post_id END AS tag FROM items"))
+def q_src_schema_inferred(spark, sf):
+    path, log = _three_runs(spark, sf)
+    d = schemas.read_evolving_json(spark, path, log)
+    return d.select("id", "type", "subreddit", "is_post", "score", F.col("of.post_id").alias("of_post"), F.col("of.created_utc").alias("of_created"),
+                    F.col("tags")[0].alias("tag"))
+
+
+@query("src_schema_changes", with_items(
+    f"SELECT run, field, old_type, new_type FROM (VALUES (0, 'id', NULL, 'string'), (0, 'subreddit', NULL, 'string'), (0, 'score', NULL, 'bigint'), "
+    f"(0, 'is_post', NULL, 'boolean'), (1, 'type', NULL, 'string'), (1, 'score', 'bigint', 'double'), (1, 'of', NULL, 'struct'), (1, 'of.post_id', NULL, 'string'), "
+    f"(1, 'of.created_utc', NULL, 'double'), (2, 'score', 'double', 'string'), (2, 'tags', NULL, 'array'), (2, 'tags.[]', NULL, 'string')) v(run, field, old_type, new_type) "
+    f"WHERE run IN (SELECT CASE WHEN type = 'post' THEN 0 WHEN created_utc < {ING.mark} THEN 1 ELSE 2 END FROM items)"))
+def q_src_schema_changes(spark, sf):
+    return schemas.changes(spark, _three_runs(spark, sf)[1])
+
+
+@query("snk_label_progress", with_items(MERGE_SQL, TRAINING_ROWS_SQL, LABELED_SQL, LABEL_SCORED))
+def q_snk_label_progress(spark, sf):
+    """A labeling run in numbered slices that stops after a few of them and is started again."""
+    path, rows = scratch_path(spark, "label-run"), labeled(spark, sf).select(*TRAIN_COLS)
+    runs.label_slices(rows, path, X.RUN_TIMESTAMP, n_slices=6, cues=X.CUES, at_most=2)
+    done = runs.label_slices(rows, path, X.RUN_TIMESTAMP, cues=X.CUES)
+    return done.select("id", "informative_emotional_label", "labeler", "labeling_notes")
+
+
 @query("snk_raw_batch", with_items(
     "SELECT type, id, post_id, subreddit, score, num_comments, content_hash FROM kept_posts UNION ALL "
     "SELECT type, id, post_id, subreddit, score, cast(NULL AS bigint) AS num_comments, content_hash FROM kept_comments",

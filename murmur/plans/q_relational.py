@@ -466,7 +466,7 @@ def q_join_ticker_mentions(spark, sf):
 #: A symbol for each customer, of three or four letters: thousands at the smallest scales.
 SYMBOL_NUMBER = "c_custkey * 7919 % 456976"
 SYMBOLS_CTE = f"symbols AS MATERIALIZED (SELECT DISTINCT CASE WHEN c_nationkey < 12 THEN {letters_sql(SYMBOL_NUMBER, 3)} ELSE {letters_sql(SYMBOL_NUMBER, 4)} END AS ticker FROM customer)"
-UPPER_CTE = "uppers AS MATERIALIZED (SELECT id, post_date, sentiment_type, upper(coalesce(title, '')) AS a, upper(coalesce(selftext, '')) AS b FROM items)"
+UPPER_CTE = "uppers AS MATERIALIZED (SELECT id, post_date, sentiment_type, upper(replace(coalesce(title, ''), 'ß', 'ss')) AS a, upper(replace(coalesce(selftext, ''), 'ß', 'ss')) AS b FROM items)"
 MENTIONS_SQL = "uppers i JOIN symbols t ON contains(i.a, t.ticker) OR contains(i.b, t.ticker)"
 
 
