@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from murmur import params as P
 from murmur.operators import monitor as M
@@ -79,14 +80,16 @@ def q_stm_hwm_late_drop(spark, sf):
 
 @query("stm_daily_trend", with_items("SELECT post_date, sentiment_type, count(*) AS post_count FROM items GROUP BY 1, 2"))
 def q_stm_daily_trend(spark, sf):
+    """The trend over arrivals of which a third come days late, beyond any usual watermark."""
     e = enriched(spark, sf)
     out, ckpt = scratch_path(spark, "trend-out"), scratch_path(spark, "trend-ckpt")
 
     def run_once(src):
-        SJ.drain_update(SJ.stm_daily_trend(spark.readStream.schema(ENRICHED).json(src)), out, ckpt, ["post_date", "sentiment_type"], every=3)
+        SJ.drain_deltas(SJ.stm_daily_trend(spark.readStream.schema(ENRICHED).json(src)), out, ckpt, SJ.TREND_KEYS, SJ.TREND_SUMS, every=3)
 
-    arrivals(e, "created_utc", scratch_path(spark, "arrivals-enriched"), run_once)
-    return SJ.read_upserted(spark, out, ["post_date", "sentiment_type"])
+    late = F.when(F.pmod(F.xxhash64("id"), F.lit(3)) == 0, 10 * 86400.0).otherwise(0.0)
+    arrivals(e.withColumn("_arrives", F.col("created_utc") + late), "_arrives", scratch_path(spark, "arrivals-enriched"), run_once)
+    return SJ.read_deltas(spark, out, SJ.TREND_KEYS, SJ.TREND_SUMS, StructType.fromDDL("post_date date, sentiment_type string"))
 
 
 def _events(spark: SparkSession, sf: str) -> DataFrame:
@@ -121,10 +124,11 @@ def q_stm_metric_window(spark, sf):
     out, ckpt = scratch_path(spark, "metric-out"), scratch_path(spark, "metric-ckpt")
 
     def run_once(src):
-        SJ.drain_update(SJ.stm_metric_window(spark.readStream.schema(ev.schema).parquet(src)), out, ckpt, ["source", "bucket_start"], every=4)
+        SJ.drain_deltas(SJ.stm_metric_window(spark.readStream.schema(ev.schema).parquet(src)), out, ckpt, SJ.METRIC_KEYS, SJ.METRIC_SUMS, every=4)
 
-    arrivals(ev, "ts_s", scratch_path(spark, "arrivals-events"), run_once, fmt="parquet")
-    return SJ.read_upserted(spark, out, ["source", "bucket_start"])
+    late = F.when(F.pmod(F.xxhash64("event_id"), F.lit(5)) == 0, 7200.0).otherwise(0.0)
+    arrivals(ev.withColumn("_arrives", F.col("ts_s") + late), "_arrives", scratch_path(spark, "arrivals-events"), run_once, fmt="parquet")
+    return SJ.metric_values(SJ.read_deltas(spark, out, SJ.METRIC_KEYS, SJ.METRIC_SUMS, StructType.fromDDL("source string, bucket_start bigint")))
 
 
 @query("stm_dedup_ids", with_items("SELECT id, created_utc FROM items"))

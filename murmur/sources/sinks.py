@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from murmur import params as P
@@ -24,6 +24,11 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def folder_names(spark: SparkSession, root: str) -> list[str]:
+    p, fs = _path(spark, root)
+    return [f.getPath().getName() for f in fs.listStatus(p)]
+
+
 def remove_folders(spark: SparkSession, root: str, key: str, before: int) -> None:
     """Remove the partition folders ``key=n`` of ``root`` with n < ``before``."""
     p, fs = _path(spark, root)
@@ -72,10 +77,13 @@ def write_ndjson(df: DataFrame, path: str, partition_by: str | None = None) -> N
 def write_training_csv(df: DataFrame, path: str) -> None:
     """Header, quoted where needed with RFC 4180 doubling of quotes; an empty result is an error,
     as in the original."""
-    if df.isEmpty():
-        raise ValueError(P.NO_TRAINING_DATA)
-    (df.write.mode("overwrite").option("header", True).option("escape", '"').option("quote", '"')
+    seen = Observation()
+    (df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").option("header", True).option("escape", '"').option("quote", '"')
      .option("emptyValue", '""').option("nullValue", NULL_TOKEN).csv(path))
+    if not seen.get["n"]:  # counted while writing: the plan runs once
+        p, fs = _path(df.sparkSession, path)
+        fs.delete(p, True)
+        raise ValueError(P.NO_TRAINING_DATA)
 
 
 def write_snapshots(before: DataFrame, after: DataFrame, path: str, stamp: str) -> dict[str, str]:

@@ -13,7 +13,7 @@ from murmur import params as P
 from murmur.plans import jobs
 from murmur.operators.aggregations import r6
 from murmur.operators.windows import quota_segment
-from murmur.sources.sinks import path_exists, remove_folders
+from murmur.sources.sinks import folder_names, path_exists, remove_folders
 from murmur.streaming.files import batch_writer
 
 
@@ -64,57 +64,76 @@ def stm_hwm_ingest(raw: DataFrame, out_path: str, mark_path: str, checkpoint: st
 COMPACT_EVERY = 50
 
 
-def upsert_writer(out_path: str, keys: list[str], every: int = COMPACT_EVERY):
-    """foreachBatch body for update-mode aggregates: each batch's changed rows land in their own
-    folder; the table is the newest version of every key. Every ``every``-th batch writes the newest
-    version of all keys instead and then removes the folders before it, so the table keeps at most
-    ``every`` folders. A replay rewrites the same folder from the same rows."""
-    def write(df: DataFrame, batch_id: int) -> None:
-        spark, mine = df.sparkSession, f"{out_path}/batch_id={batch_id}"
-        rows = df.withColumn("_batch", F.lit(batch_id))
-        full = batch_id > 0 and batch_id % every == 0 and path_exists(spark, out_path)
-        if full:
-            old = spark.read.parquet(out_path).filter(F.col("batch_id") < batch_id).drop("batch_id")
-            rows = newest_version(rows.unionByName(old), keys)
-        rows.write.mode("overwrite").parquet(mine)
-        if full:
-            remove_folders(spark, out_path, "batch_id", before=batch_id)
-    return write
+def _folders(spark: SparkSession, path: str, key: str) -> list[int]:
+    """The numbers n of the complete folders ``key=n`` under ``path``."""
+    if not path_exists(spark, path):
+        return []
+    names = [n for n in folder_names(spark, path) if n.startswith(f"{key}=")]
+    return sorted(int(n.partition("=")[2]) for n in names if path_exists(spark, f"{path}/{n}/_SUCCESS"))
+
 
+def _sums(rows: DataFrame, keys: list[str], sums: dict) -> DataFrame:
+    return rows.groupBy(*keys).agg(*[F.sum(c).cast(kind).alias(c) for c, kind in sums.items()])
 
-def newest_version(d: DataFrame, keys: list[str]) -> DataFrame:
-    vals = [c for c in d.columns if c not in keys and c != "_batch"]
-    agg = d.groupBy(*keys).agg(F.max_by(F.struct(*vals), F.col("_batch")).alias("_v"), F.max("_batch").alias("_batch"))
-    return agg.select(*keys, *[F.col(f"_v.{c}").alias(c) for c in vals], "_batch")
+
+def delta_writer(out_path: str, keys: list[str], sums: dict, every: int = COMPACT_EVERY):
+    """foreachBatch body for additive aggregates: each micro-batch leaves the sums of its own rows, signed
+    changes that the reader adds up, so a row counts whenever it arrives, however late. Every
+    ``every``-th batch first writes the sums of all batches before it (a base); the folders which that
+    base holds are removed by a later batch, when the base's own batch is known to be committed. A
+    replay finds all it read the first time and writes the same again."""
+    def write(df: DataFrame, batch_id: int) -> None:
+        spark = df.sparkSession
+        bases = [n for n in _folders(spark, f"{out_path}/base", "upto") if n < batch_id]
+        if bases:
+            remove_folders(spark, f"{out_path}/base", "upto", before=bases[-1])
+            if path_exists(spark, f"{out_path}/delta"):
+                remove_folders(spark, f"{out_path}/delta", "batch_id", before=bases[-1])
+        if batch_id and batch_id % every == 0 and path_exists(spark, f"{out_path}/delta"):
+            read_deltas(spark, out_path, keys, sums, df.schema, before=batch_id).write.mode("overwrite").parquet(f"{out_path}/base/upto={batch_id}")
+        _sums(df, keys, sums).write.mode("overwrite").parquet(f"{out_path}/delta/batch_id={batch_id}")
+    return write
 
 
-def read_upserted(spark: SparkSession, out_path: str, keys: list[str]) -> DataFrame:
-    """Newest version per key across micro-batch folders (max_by: a partial aggregate)."""
-    return newest_version(spark.read.parquet(out_path).drop("batch_id"), keys).drop("_batch")
+def read_deltas(spark: SparkSession, out_path: str, keys: list[str], sums: dict, schema, before: int | None = None) -> DataFrame:
+    """The newest base and the deltas after it, added up (a partial aggregate). ``schema`` has the keys' types."""
+    fields = ", ".join([*(f"{k} {schema[k].dataType.simpleString()}" for k in keys), *(f"{c} {kind}" for c, kind in sums.items())])
+    bases = [n for n in _folders(spark, f"{out_path}/base", "upto") if before is None or n < before]
+    since = bases[-1] if bases else 0
+    rows = spark.read.schema(f"{fields}, batch_id bigint").parquet(f"{out_path}/delta").filter(F.col("batch_id") >= since)
+    rows = (rows if before is None else rows.filter(F.col("batch_id") < before)).drop("batch_id")
+    if bases:
+        rows = rows.unionByName(spark.read.schema(fields).parquet(f"{out_path}/base/upto={since}"))
+    return _sums(rows, keys, sums)
 
 
-def drain_update(agg_stream: DataFrame, out_path: str, checkpoint: str, keys: list[str], every: int = COMPACT_EVERY) -> str:
-    q = (agg_stream.writeStream.outputMode("update").foreachBatch(upsert_writer(out_path, keys, every))
+def drain_deltas(rows: DataFrame, out_path: str, checkpoint: str, keys: list[str], sums: dict, every: int = COMPACT_EVERY) -> str:
+    q = (rows.writeStream.foreachBatch(delta_writer(out_path, keys, sums, every))
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
     return out_path
 
 
-def stm_daily_trend(enriched_stream: DataFrame, delay: str = "2 days") -> DataFrame:
-    """(day, sentiment) counts kept current; the watermark bounds the state to recent days."""
-    d = enriched_stream.withColumn("ts", F.timestamp_seconds("created_utc")).withWatermark("ts", delay)
-    return d.groupBy(F.window("ts", "1 day").alias("w"), F.col("sentiment.Sentiment").alias("sentiment_type")).agg(
-        F.count(F.lit(1)).alias("post_count")).select(
-        F.to_date(F.col("w.start")).alias("post_date"), "sentiment_type", "post_count")
+TREND_KEYS, TREND_SUMS = ["post_date", "sentiment_type"], {"post_count": "bigint"}
+METRIC_KEYS, METRIC_SUMS = ["source", "bucket_start"], {"n": "bigint", "total": "double", "cnt": "bigint"}
+
+
+def stm_daily_trend(enriched_stream: DataFrame) -> DataFrame:
+    """A count of one for each row, by day and sentiment: what ``drain_deltas`` adds up. There is no
+    watermark, so no day is ever closed and no state grows; late rows correct their own day."""
+    return enriched_stream.select(F.to_date(F.timestamp_seconds("created_utc")).alias("post_date"),
+                                  F.col("sentiment.Sentiment").alias("sentiment_type"), F.lit(1).cast("bigint").alias("post_count"))
+
+
+def stm_metric_window(events_stream: DataFrame, period_s: int = 300) -> DataFrame:
+    """Tumbling-window metrics per source, as rows to add up."""
+    start = F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / (period_s * 1_000_000)) * period_s
+    return events_stream.select(F.col("event_type").alias("source"), start.cast("bigint").alias("bucket_start"), F.lit(1).cast("bigint").alias("n"),
+                                F.col("value").cast("double").alias("total"), F.col("value").isNotNull().cast("bigint").alias("cnt"))
 
 
-def stm_metric_window(events_stream: DataFrame, period: str = "300 seconds", delay: str = "10 minutes") -> DataFrame:
-    """Tumbling-window metrics per source."""
-    d = events_stream.withColumn("ets", F.col("ts").cast("timestamp")).withWatermark("ets", delay)
-    return d.groupBy(F.window("ets", period).alias("w"), F.col("event_type").alias("source")).agg(
-        F.count(F.lit(1)).alias("n"), F.sum("value").alias("total"), F.count("value").alias("cnt")).select(
-        "source", F.unix_seconds(F.col("w.start")).alias("bucket_start"), "n",
-        r6(F.col("total")).alias("total_value"), r6(F.col("total") / F.col("cnt")).alias("avg_value"))
+def metric_values(sums: DataFrame) -> DataFrame:
+    return sums.select("source", "bucket_start", "n", r6(F.col("total")).alias("total_value"), r6(F.col("total") / F.col("cnt")).alias("avg_value"))
 
 
 # ------------------------------------------------------------------ request quota
