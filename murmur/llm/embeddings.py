@@ -1,16 +1,17 @@
 """Embedding near-dedup by a pivot-permutation index.
 
-A bounded sample of the vectors are pivots. Every vector is described by its NEAREST pivots in order
+Of a bounded sample of the vectors, pivots are those that are more than two link angles apart: a dense
+cluster then has one pivot, and not its members' noise but the cluster's place orders the others. Every vector is described by its NEAREST pivots in order
 of cosine, and stands in the inverted list of every two of them: two vectors that meet in a list
 share at least two pivots. Each pair is counted in the list of its two smallest shared pivots, once,
 after its cosine is verified in double precision. Equal vectors are one node with a number of copies.
 
 The number of pivots is the power of two at or above the root of the number of distinct vectors,
 within 32 and MAX_PIVOTS: lists keep their length as the table grows, up to there; longer lists are
-split into bounded cells, so no list is cut. Measured recall of links at cosine 0.95: README.
+split into bounded cells, so no list is cut. Vectors of each length have pivots and lists of their own. Measured recall of links at cosine 0.95: README.
 
-Cases: a vector that is null, empty, zero, or holds null or non-finite components links with nothing,
-and so does one of another length than the most common; rows with equal ids are vectors of their own;
+Cases: a vector that is null, empty, zero, or holds null or non-finite components links with nothing;
+vectors of different lengths do not link (each length is a run of its own over its rows); rows with equal ids are vectors of their own;
 a component's id is its smallest id (null if none), and a null id is never kept; an empty table gives
 an empty result; other columns are not read.
 """
@@ -18,6 +19,7 @@ an empty result; other columns are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
@@ -32,6 +34,8 @@ COSINE = 0.95
 #: Pivots that describe a vector.
 NEAREST = 6
 MAX_PIVOTS = 4096
+#: Sampled vectors for each wanted pivot.
+SAMPLE = 8
 #: Vectors of one list that meet in one task.
 CELL = 512
 #: Cells of more rows are compared by blocks, smaller ones side by side.
@@ -51,6 +55,17 @@ def _matrix(column: pa.Array, dim: int) -> np.ndarray:
     return flat.to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
 
 
+def spread(sample: np.ndarray, wanted: int, cosine: float) -> np.ndarray:
+    """At most ``wanted`` of the sample's vectors, in its order, no two within twice the link angle."""
+    most, chosen = 2 * cosine * cosine - 1, np.empty((0, sample.shape[1]))
+    for lo in range(0, len(sample), 256):
+        block = sample[lo:lo + 256]
+        for k in np.flatnonzero((block @ chosen.T).max(axis=1, initial=-2.0) <= most):
+            if len(chosen) < wanted and (chosen @ block[k]).max(initial=-2.0) <= most:
+                chosen = np.concatenate([chosen, block[k:k + 1]])
+    return chosen
+
+
 def permutations(vectors: np.ndarray, pivots: np.ndarray, nearest: int) -> np.ndarray:
     """Indices of the nearest pivots of each vector, the nearest first; of equals the smaller index."""
     return np.argsort(-(vectors @ pivots.T), axis=1, kind="stable")[:, :nearest].astype(np.int16)
@@ -139,6 +154,19 @@ def _verify(dim: int, least: float):
     return batches
 
 
+def _links(nodes: DataFrame, dim: int, cosine: float, nearest: int, n_pivots: int | None) -> DataFrame:
+    """(a, b, n): for nodes that link, another one of their component in the same cell, and links counted there."""
+    n = nodes.count()
+    wanted = n_pivots or min(MAX_PIVOTS, max(32, 1 << (int(n - 1).bit_length() + 1) // 2))
+    # at most SAMPLE * MAX_PIVOTS vectors
+    picked = nodes.orderBy(F.xxhash64("vector"), "node").limit(SAMPLE * wanted).select("vector").toArrow()
+    pivots = spread(unit(_matrix(picked["vector"], dim)), wanted, cosine)
+    described = written(nodes.select("node", "copies", "vector").transform(small_batches).mapInArrow(tidy(_describe(pivots, dim, nearest)), _NODE), "described")
+    listed = described.select("node", "copies", "vector", "pivots", F.explode("lists").alias("list"))
+    cells = bounded_cells(listed, "list", "node", CELL).select("cell", "list", "part", "home", "node", "copies", "vector", "pivots")
+    return cells.repartition("cell").sortWithinPartitions("cell").transform(small_batches).mapInArrow(tidy(_verify(dim, cosine)), "a bigint, b bigint, n bigint")
+
+
 def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", cosine: float = COSINE,
                     nearest: int = NEAREST, n_pivots: int | None = None) -> DataFrame:
     """One row per vector: id, n_links, component_id, kept."""
@@ -146,23 +174,11 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     rows = vectors.select(F.col(id_col).alias("id"), F.col(vector_col).alias("vector"))
     finite = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf"))
     sound = F.coalesce((F.size(v) > 0) & F.forall(v, finite) & F.exists(v, lambda x: x != 0), F.lit(False))
-    common = (rows.where(sound).groupBy(F.size(v).alias("dim")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "dim").first())
-    dim = common["dim"] if common else 0
-    usable = rows.where(sound & (F.size(v) == dim))
-    nodes = written(usable.groupBy("vector").agg(F.count("*").alias("copies"), F.min("id").alias("least"))
+    nodes = written(rows.where(sound).groupBy("vector").agg(F.count("*").alias("copies"), F.min("id").alias("least"))
                     .withColumn("node", F.monotonically_increasing_id()), "nodes")
-    n = nodes.count()
-    wanted = n_pivots or min(MAX_PIVOTS, max(32, 1 << (int(n - 1).bit_length() + 1) // 2)) if n else 0
-    # at most MAX_PIVOTS vectors
-    picked = nodes.orderBy(F.xxhash64("vector"), "node").limit(wanted).select("vector").toArrow() if n else None
-    if n:
-        pivots = unit(_matrix(picked["vector"], dim))
-        described = written(nodes.select("node", "copies", "vector").transform(small_batches).mapInArrow(tidy(_describe(pivots, dim, nearest)), _NODE), "described")
-        listed = described.select("node", "copies", "vector", "pivots", F.explode("lists").alias("list"))
-        cells = bounded_cells(listed, "list", "node", CELL).select("cell", "list", "part", "home", "node", "copies", "vector", "pivots")
-        found = written(cells.repartition("cell").sortWithinPartitions("cell").transform(small_batches).mapInArrow(tidy(_verify(dim, cosine)), "a bigint, b bigint, n bigint"), "found")
-    else:
-        found = vectors.sparkSession.createDataFrame([], "a bigint, b bigint, n bigint")
+    dims = sorted(r[0] for r in nodes.select(F.size("vector")).distinct().collect())
+    parts = [_links(nodes.where(F.size("vector") == dim), dim, cosine, nearest, n_pivots) for dim in dims]
+    found = written(reduce(DataFrame.union, parts, vectors.sparkSession.createDataFrame([], "a bigint, b bigint, n bigint")), "found")
     counts = found.groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("n"))
     groups = components(found.select("a", "b"))
     rooted = written(nodes.select("node", "copies", "least", "vector").join(counts, "node", "left").join(groups, "node", "left")
@@ -170,7 +186,7 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     least = written(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "least")
     label = written(rooted.join(least, "root").select("vector", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"), "component_id"), "labels")
     # a vector that links with nothing has a key of its own
-    keyed = rows.withColumn("key", F.when(sound & (F.size(v) == dim), v)).drop("vector")
+    keyed = rows.withColumn("key", F.when(sound, v)).drop("vector")
     alone = keyed.where("key IS NULL").select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
     linked = keyed.where("key IS NOT NULL").join(label.withColumnRenamed("vector", "key"), "key").select("id", "n_links", "component_id")
     return linked.unionByName(alone).select(F.col("id").alias(id_col), "n_links", "component_id",

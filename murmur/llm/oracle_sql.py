@@ -100,10 +100,9 @@ EMBEDDINGS = f"""WITH RECURSIVE sound AS (
   SELECT vec_id, cast(embedding AS double[]) AS v, len(embedding) AS dim FROM embeddings
   WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
     AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
-usable AS (SELECT * FROM sound WHERE dim = (SELECT dim FROM sound GROUP BY dim ORDER BY count(*) DESC, dim LIMIT 1)),
 links AS (
-  SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b ON a.vec_id <> b.vec_id
-  WHERE list_cosine_similarity(a.v, b.v) >= cast({embeddings.COSINE} AS double)),
+  SELECT a.vec_id AS a, b.vec_id AS b FROM sound a JOIN sound b ON a.vec_id <> b.vec_id AND a.dim = b.dim
+  WHERE CASE WHEN a.dim = b.dim THEN list_cosine_similarity(a.v, b.v) END >= cast({embeddings.COSINE} AS double)),
 reached AS (SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT r.a, l.b FROM reached r JOIN links l ON l.a = r.b)
 SELECT e.vec_id, (SELECT count(*) FROM links l WHERE l.a = e.vec_id) AS n_links, r.least AS component_id, e.vec_id = r.least AS kept
 FROM embeddings e JOIN (SELECT a, min(b) AS least FROM reached GROUP BY a) r ON r.a = e.vec_id"""

@@ -184,12 +184,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     shingle: int = SHINGLE, most: int = MAX_BITS) -> DataFrame:
-    """The rows of ``docs`` that stand for their group (smallest id; one row of an id), with all
-    columns. Rows without an id are in no group and stay."""
+    """The rows of ``docs`` that stand for their group, with all columns: of each component the row with the
+    smallest id, and of its rows with that id the one whose text has the smallest hash (equal rows are
+    one). Rows of one id in different components all stay if they stand for theirs; rows without an id
+    are in no group and stay."""
     named = docs.where(F.col(id_col).isNotNull())
-    groups = near_duplicates(named, id_col, text_col, shingle, most)
-    first = written(groups.where(F.col(id_col) == F.col("component_id")).select(id_col).distinct(), "representatives")
-    return named.join(first, id_col, "left_semi").dropDuplicates([id_col]).select(docs.columns).unionByName(docs.where(F.col(id_col).isNull()))
+    by_text = lambda d: d.withColumn("_text", F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
+    # under a name of its own the id and the hash identify a text; its component follows from the text
+    told = near_duplicates(by_text(named.select(id_col, text_col)).select(F.struct(F.col(id_col).alias("id"), "_text").alias("_of"), text_col), "_of", text_col, shingle, most)
+    first = written(told.where(F.col("_of") == F.col("component_id")).select("_of.id", "_of._text").distinct(), "representatives")
+    kept = by_text(named).alias("d").join(first.select(F.col("id").alias("_id"), F.col("_text").alias("_hash")),
+                                          (F.col(id_col) == F.col("_id")) & (F.col("_text") == F.col("_hash")), "left_semi")
+    return kept.dropDuplicates([id_col, "_text"]).select(docs.columns).unionByName(docs.where(F.col(id_col).isNull()))
 
 
 def hex_print(column: str):

@@ -49,3 +49,35 @@ def test_finds_the_links_of_brute_force(spark, monkeypatch):
 
 def test_empty_table(spark):
     assert embeddings.near_duplicates(spark.createDataFrame([], "vec_id bigint, embedding array<float>")).count() == 0
+
+
+def test_dense_cluster_of_distinct_vectors(spark):
+    """A third of the vectors are distinct near copies of one centre; another length has copies too."""
+    rng = np.random.default_rng(8)
+    for n, noise in ((3000, 0.0219), (12000, 0.0219)):  # expected cosine of a pair in the cluster: 0.97
+        m = n // 3
+        centre = rng.normal(size=64)
+        x = np.concatenate([centre / np.linalg.norm(centre) + rng.normal(size=(m, 64)) * noise, rng.normal(size=(n - m, 64))])
+        u = x / np.linalg.norm(x, axis=1)[:, None]
+        near = u[:m] @ u[:m].T >= 0.95
+        want = near.sum(axis=1) - 1
+        rows = [(i, v.tolist()) for i, v in enumerate(x)] + [(n + i, [1.0, 2.0, 3.0]) for i in range(3)] + [(n + 9, [3.0, 1.0])]
+        df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").repartition(8)
+        got = {r["vec_id"]: r for r in embeddings.near_duplicates(df).collect()}
+        found = sum(got[i]["n_links"] for i in range(m))
+        assert 0.9 * want.sum() <= found <= want.sum() and want.sum() > 0.8 * m * m
+        assert all(got[i]["n_links"] <= want[i] for i in range(m)) and all(got[i]["n_links"] == 0 for i in range(m, n))
+        sets = Sets(n)
+        for i in range(m):
+            for j in np.flatnonzero(near[i, :i])[:1].tolist():
+                sets.join(i, j)
+        assert [got[i]["component_id"] for i in range(n)] == [sets.root(i) for i in range(n)]
+        assert [(got[n + i]["n_links"], got[n + i]["component_id"]) for i in range(3)] == [(2, n)] * 3 and got[n + 9]["n_links"] == 0
+
+
+def test_pivots_are_apart():
+    rng = np.random.default_rng(1)
+    x = embeddings.unit(np.concatenate([rng.normal(size=(1, 16)) + rng.normal(size=(700, 16)) * 0.1, rng.normal(size=(100, 16))]))
+    p = embeddings.spread(x, 50, 0.95)
+    c = p @ p.T
+    assert len(p) == 50 and (c[~np.eye(50, dtype=bool)] <= 2 * 0.95 ** 2 - 1).all() and len(embeddings.spread(x[:1], 50, 0.95)) == 1

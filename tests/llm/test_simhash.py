@@ -5,7 +5,7 @@ import pytest
 
 from murmur.llm import simhash
 from tests.llm import brute
-from tests.llm.cases import empty, odd
+from tests.llm.cases import SCHEMA, empty, odd, rows
 
 
 def test_gray_rank_orders_the_gray_code():
@@ -63,3 +63,16 @@ def test_representatives_keep_one_row_of_a_group(spark):
     named = [i for i in ids if i is not None]
     want = {r["component_id"] for r in simhash.near_duplicates(df.where("doc_id IS NOT NULL")).collect()}
     assert sorted(named) == sorted(want) and ids.count(None) == 2
+
+
+def test_representatives_keep_rows_of_one_id(spark):
+    """Rows of one id with unrelated texts are different documents; copies under one id are one."""
+    text = lambda k: " ".join(f"t{k}w{i}" for i in range(60))
+    data = [(1, text(1), "a"), (1, text(2), "a"), (2, text(3), "a"), (3, text(1), "b"), (1, text(1), "c"), (4, text(2), "a"), (None, text(1), "a"), (0, None, "a"), (5, "", "b")]
+    df = spark.createDataFrame(rows(data), SCHEMA).repartition(3)
+    out = simhash.representatives(df)
+    assert out.schema == df.schema
+    assert sorted((str(r["doc_id"]), r["text"] or "") for r in out.collect()) == sorted([("1", text(1)), ("1", text(2)), ("2", text(3)), ("None", text(1)), ("0", "")])
+    assert simhash.representatives(empty(spark)).count() == 0
+    odd_ = simhash.representatives(odd(spark))
+    assert odd_.columns == df.columns and odd_.where("doc_id IS NULL").count() == 2
