@@ -25,7 +25,7 @@ def test_matches_oracle(spark, name):
 
 def test_names():
     q = E.queries()
-    assert [sum(n.startswith(f"op{k}_") for n in q) for k in range(1, 11)] == [1] * 10 and "pipeline" in q
+    assert [sum(n.startswith(f"op{k}_") for n in q) for k in range(1, 14)] == [1] * 13 and "pipeline" in q
     assert set(corpus_pipeline.ORACLE_SQL or {}) <= set(q)
 
 
