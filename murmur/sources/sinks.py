@@ -84,8 +84,8 @@ def write_training_csv(df: DataFrame, path: str) -> None:
 
 
 def write_snapshots(before: DataFrame, after: DataFrame, path: str, stamp: str) -> dict[str, str]:
-    """Backup of the input and the final labeled table, each a versioned path written once. (A run
-    needs no progress copies: a lost task is computed again, nothing is resumed by hand.)"""
+    """Backup of the input and the final labeled table, each a versioned path written once. (The progress
+    of a run that may be resumed: ``sources.runs``.)"""
     out = {"backup": f"{path}/backup_{stamp}", "final": f"{path}/ai_labeled_{stamp}"}
     write_training_csv(before, out["backup"])
     write_training_csv(after, out["final"])
