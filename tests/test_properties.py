@@ -63,7 +63,7 @@ def test_quota_equals_brute_force(spark, reqs, limit):
 
 def test_quota_fixture_numbers(spark):
     from murmur.plans.q_windows import request_log
-    log = request_log(spark, SF001)
+    log = request_log(spark, SF001, "user_id % 2")
     r = WN.sliding_quota(log, "client", "ts_s", P.SEARCH_QUOTA_PER_HOUR)
     got = {x.event_id: x.accepted for x in r.collect()}
     rows = sorted((x.ts_s, x.event_id, x.client) for x in log.collect())
