@@ -163,39 +163,51 @@ class Network:
         cut = np.split(flat.astype(np.float32), np.cumsum([x.size for x in self.parameters()])[:-1])
         return Network(*(c.reshape(x.shape).copy() for c, x in zip(cut, self.parameters())))
 
+    def layers(self, context: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(embeddings of the context, hidden layer, output below 0)"""
+        e = self.embed.take(context, axis=0)
+        total = e[:, 0] * self.offset[0]
+        for k in range(1, context.shape[1]):
+            total += e[:, k] * self.offset[k]
+        total += self.hidden
+        h = np.tanh(total, out=total)
+        z = h @ self.out
+        z += self.bias
+        z -= z.max(axis=1, keepdims=True)
+        return e, h, z
+
     def forward(self, context: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(hidden layer, log-probabilities of the classes)"""
-        total = np.broadcast_to(self.hidden, (len(context), len(self.hidden))).copy()
-        for k in range(context.shape[1]):
-            total += self.embed[context[:, k]] * self.offset[k]
-        h = np.tanh(total)
-        z = h @ self.out + self.bias
-        z -= z.max(axis=1, keepdims=True)
-        z -= np.log(np.exp(z).sum(axis=1, keepdims=True))
-        return h, z
+        _, h, z = self.layers(context)
+        return h, z - np.log(np.exp(z).sum(axis=1, keepdims=True))
+
+    def of_class(self, context: np.ndarray, target: np.ndarray) -> np.ndarray:
+        """Log-probability of one class for each context."""
+        _, _, z = self.layers(context)
+        own = z[np.arange(len(z)), target]
+        return own - np.log(np.exp(z, out=z).sum(axis=1))
 
     def train(self, context: np.ndarray, target: np.ndarray, seed: int) -> None:
         """One pass of gradient steps in random order."""
         order = np.random.default_rng(seed).permutation(len(target))
+        width = np.arange(self.embed.shape[1])
         for at in range(0, len(order), BATCH):
             i = order[at:at + BATCH]
-            c, n = context[i], len(i)
-            h, z = self.forward(c)
-            g = np.exp(z)
-            g[np.arange(n), target[i]] -= 1
-            g /= BATCH  # a last, small batch counts less
+            c = context[i]
+            e, h, g = self.layers(c)
+            np.exp(g, out=g)
+            g /= g.sum(axis=1, keepdims=True)
+            g[np.arange(len(i)), target[i]] -= 1
+            g *= RATE / BATCH  # a last, small batch counts less
             back = (g @ self.out.T) * (1 - h * h)
-            self.out -= RATE * (h.T @ g)
-            self.bias -= RATE * g.sum(axis=0)
-            self.hidden -= RATE * back.sum(axis=0)
-            step = back[:, None, :] * self.offset
-            grads = (back[:, None, :] * self.embed[c]).sum(axis=0)
-            where = c.ravel()
-            by = np.argsort(where, kind="stable")
-            first = np.flatnonzero(np.diff(where[by], prepend=-1))
+            self.out -= h.T @ g
+            self.bias -= g.sum(axis=0)
+            self.hidden -= back.sum(axis=0)
             # a rare word's few gradients count as much as a batch of them would
-            self.embed[where[by][first]] -= RATE * 16 * np.add.reduceat(step.reshape(len(where), -1)[by], first, axis=0)
-            self.offset -= RATE * grads
+            step = (-16 * back)[:, None, :] * self.offset
+            for k in range(c.shape[1]):
+                self.offset[k] -= (back * e[:, k]).sum(axis=0)
+            np.add.at(self.embed.reshape(-1), (c[:, :, None] * len(width) + width).ravel(), step.ravel())
 
 
 def score_words(net: Network, classes: Classes, word: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -204,9 +216,8 @@ def score_words(net: Network, classes: Classes, word: np.ndarray, first: np.ndar
     place, target, within, hit = classes.place_and_class(word)
     out = np.empty(len(word))
     context = contexts(place, first)
-    for at in range(0, len(word), 8192):
-        _, z = net.forward(context[at:at + 8192])
-        out[at:at + 8192] = z[np.arange(len(z)), target[at:at + 8192]]
+    for at in range(0, len(word), 1024):
+        out[at:at + 1024] = net.of_class(context[at:at + 1024], target[at:at + 1024])
     return out + within, hit
 
 
