@@ -168,7 +168,10 @@ def score_columns(df, text: Column, *, sentiment_out: str | None = None, content
     text and the word counts are materialised in their own columns before the score formulas use
     them. (The Column forms above repeat the count expression in every branch, and expressions
     with lambdas are not shared by subexpression elimination: about 2.5x slower.)"""
-    d = df.withColumn("_tk", tokens(text))
+    lists = ([lexicon.positive, lexicon.negative] if sentiment_out else []) + (list(cues) if content_out or prediction_out else [])
+    some = sorted({w for words in lists for w in words})
+    # one pass over all tokens leaves the few that any list holds
+    d = df.withColumn("_tk", F.filter(tokens(text), lambda x: x.isin(some)))
     cols = []
     if sentiment_out:
         d = d.withColumn("_sp", count_in(F.col("_tk"), lexicon.positive)).withColumn(

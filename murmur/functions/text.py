@@ -8,7 +8,7 @@ from typing import Iterable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from murmur.params import PY_WHITESPACE_CLASS
+from murmur.params import PY_WHITESPACE, PY_WHITESPACE_CLASS
 
 WS_RUN = PY_WHITESPACE_CLASS + "+"
 
@@ -44,8 +44,9 @@ def contains_any(text, words: Iterable[str], match: str = "substring") -> Column
 
 
 def py_strip(text) -> Column:
-    """Python ``str.strip()``: removes every Unicode whitespace of Python's set at both ends."""
-    return F.regexp_replace(col(text), f"^{WS_RUN}|{WS_RUN}$", "")
+    """Python ``str.strip()``: removes every Unicode whitespace of Python's set at both ends (a trim: a regex
+    with an end anchor tries again at every blank of the text)."""
+    return F.btrim(col(text), F.lit(PY_WHITESPACE))
 
 
 def py_collapse(text) -> Column:

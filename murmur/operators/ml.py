@@ -9,6 +9,7 @@ nothing is collected but a handful of numbers.
 from __future__ import annotations
 
 import json
+import uuid
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
@@ -21,6 +22,7 @@ from pyspark.sql import functions as F
 from murmur import params as P
 from murmur.operators.aggregations import r6
 from murmur.operators.projections import index_label, label_index
+from murmur.session import checkpoint_root
 
 LABEL = "informative_emotional_label"
 BUCKET_BITS = 16  # the hash space is cut into 2^16 buckets to find each label's split point
@@ -40,8 +42,13 @@ def ml_split(df: DataFrame, label: str = LABEL, id_col: str = "id", test_size: f
     md5(seed || id) go to test. Distributed: counts per (label, hash bucket) find the bucket
     holding each label's cut (a prefix sum over at most 2^16 rows per label); only the rows of that
     bucket are ranked, which gives one threshold per label, and every row is compared with its
-    label's threshold in place: whole rows are never shuffled."""
+    label's threshold in place: whole rows are never shuffled. The rows are read three times, so they
+    are written once to the shared scratch folder first (``df`` may hold joins and text filters)."""
     h, hexd = split_hash(id_col, seed)
+    spark = df.sparkSession
+    path = f"{checkpoint_root(spark)}/murmur/split-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    df = spark.read.schema(df.schema).parquet(path)
     d = df.withColumn("_h", h).withColumn("_hex", hexd).withColumn(
         "_b", F.shiftright(F.col("_h"), 60 - BUCKET_BITS))
     per_bucket = d.groupBy(label, "_b").agg(F.count(F.lit(1)).alias("_nb"))

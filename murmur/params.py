@@ -91,6 +91,8 @@ DISABLED = "DISABLED"
 # Python's str.split()/strip() whitespace set, as one regex class both Java and RE2 accept.
 PY_WHITESPACE_CLASS = (r"[\t\n\x{0B}\f\r\x{1C}-\x{1F} \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
                        r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]")
+PY_WHITESPACE = ("\t\n\x0b\f\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007"
+                 "\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
 # ---------------------------------------------------------------------------------------------
 
 # The error a scorer reports for a text it is told to reject.
