@@ -2,6 +2,12 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; :func:`run` writes it as Parquet
 under ``spark.checkpoint.dir`` and hands the reread rows to the next one.
+
+Cases: a null or empty text fails the quality rules (it has fewer words than they ask for); rows of one
+id stay when their texts do not link, and rows with a null id are never taken for near-duplicates; a
+text that is wholly a repeated passage stays as an empty row, which the mix takes no words of; a very
+long text is one row throughout; other columns, whatever their names, are carried to the mix; an empty
+table gives an empty result.
 """
 
 from __future__ import annotations
