@@ -7,8 +7,8 @@ conditional probability is that of its class given both sides, from the network,
 share of the class, from the counts. The network adds up the embeddings of SIDE words on each side,
 each with weights of its offset, and has one hidden layer; it is trained in numpy.
 
-What is learnt grows with the corpus: the counts with its distinct words, the classes with their cube
-root, the input places with their square root, the width with their logarithm (see :func:`sizes`).
+What is learnt grows with the corpus: the counts with its distinct words, the classes with their power
+of 0.3, the input places with their square root, the width with their logarithm (see :func:`sizes`).
 Every document trains, in one of several rounds by the hash of its text: the tasks of a round train
 copies on the texts of their partitions, whose mean (weighted by words, added up in a tree of groups)
 is the start of the next round. The number of rounds grows with the logarithm of the words.
@@ -53,7 +53,7 @@ _OFFSETS = [o for o in range(-SIDE, SIDE + 1) if o]
 def sizes(distinct: int) -> tuple[int, int, int]:
     """(classes, input places, width) for so many distinct words."""
     v = max(2, distinct)
-    return max(32, round(v ** (1 / 3))), 1 << max(10, int(np.ceil(np.log2(16 * np.sqrt(v)))) - 1), max(12, round(np.log2(v)))
+    return max(32, round(v ** 0.3)), 1 << max(10, int(np.ceil(np.log2(16 * np.sqrt(v)))) - 1), max(12, round(0.75 * np.log2(v)))
 
 
 def rounds(words: int) -> int:
