@@ -7,11 +7,15 @@ neither term alone would.
 
 The machine is fitted in numpy on a sample of the labelled rows that is bounded by SAMPLE rows of
 each label (those of smallest id hash), whatever the input; every document is scored over its whole
-text. The model is 2**HASH_BITS * (FACTORS + 1) floats, a fixed size, and is sent to the tasks.
+text. Which of the sample's terms and pairs of terms are learnt is counted by Spark: pairs as products of
+0/1 matrices (terms x rows) in blocks of terms, so that the work grows with the square of the distinct
+frequent terms (at most 2**HASH_BITS), not of a text's length, and the driver gets only the terms kept.
+The model is 2**HASH_BITS * (FACTORS + 1) floats, a fixed size, and is sent to the tasks.
 
 Cases: a null or empty text has no terms and scores sigmoid(w0); repeated rows are scored alike; no
 labelled rows, or only one label, give a model without terms; rows with equal ids keep the largest
-label; an empty table gives an empty result.
+label, and the fit takes the smallest of their texts; a very long text is read whole, as one piece; an
+empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -21,11 +25,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from murmur.llm._words import Words, find_words, hash_words, mix, pieces
-from murmur.llm.store import small_batches, tidy
+from murmur.llm.store import drop, small_batches, tidy, tidy_group, written
 
 HASH_BITS = 18
 FACTORS = 4
@@ -39,8 +43,8 @@ SAMPLE = 5000
 MIN_DOCS, MIN_Z = 4, 4.0
 #: Chance that any pair without an effect passes, and the range of a pair's expected share of toxic rows.
 PAIR_CHANCE, PAIR_SHARE = 0.05, (0.02, 0.98)
-#: Pairs counted at a time.
-PAIR_CELLS, PAIR_ROWS = 1 << 18, 1 << 19
+#: Terms of a block and rows at a time when pairs are counted; tasks that share the pairs of blocks, at most.
+BLOCK, ROWS_AT, MOST_TASKS = 2048, 1024, 4096
 EPOCHS, BATCH, RATE, DECAY = 20, 128, 0.08, 2e-4
 #: A toxic row counts as so many in the loss: far fewer rows are toxic.
 TOXIC_WEIGHT = 4.0
@@ -96,60 +100,86 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(out, -30, 30)))
 
 
-def together(doc: np.ndarray, place: np.ndarray, label: np.ndarray, seen: np.ndarray, toxic: np.ndarray, alone: np.ndarray) -> np.ndarray:
-    """Places in a pair, not both ``alone``, whose rows are toxic more or less often than the two terms'
-    own shares explain (added as log odds). All pairs are counted; the evidence is the exponent of the
-    Chernoff bound, against the number of pairs. ``doc`` and then ``place`` ascending."""
-    out = np.zeros(len(seen), bool)
-    number = np.count_nonzero(seen >= MIN_DOCS)
-    need = np.log(max(1, number * (number - 1) / 2) / PAIR_CHANCE)
-    # pairs in fewer rows cannot reach it
-    least = max(MIN_DOCS, need / -np.log(PAIR_SHARE[0]))
-    some = np.flatnonzero(seen >= least)
-    some, n = some[np.argsort(-seen[some], kind="stable")], len(some)
-    index = np.full(len(seen), -1, np.int64)
-    index[some] = np.arange(n)
-    hit = index[place] >= 0
-    key = np.sort(doc[hit] * max(1, n) + index[place[hit]])
-    doc, term = (key // max(1, n)).astype(np.int32), (key % max(1, n)).astype(np.int32)
-    del key, hit
-    end = np.searchsorted(doc, doc, side="right").astype(np.int32)
-    odds = np.log((toxic[some] + 0.5) / (seen[some] - toxic[some] + 0.5))
-    mean = np.log(label.sum() / (len(label) - label.sum()))
-    by = np.argsort(term, kind="stable").astype(np.int32)
-    first = np.searchsorted(term[by], np.arange(n + 1))
-    lo = 0
-    while lo < n:
-        wide = n - lo
-        hi = min(lo + max(1, PAIR_CELLS // wide), n)
-        cells = (hi - lo) * wide
-        rows = by[first[lo]:first[hi]]
-        count = end[rows] - rows - 1  # the later, rarer terms of the row
-        base = (term[rows].astype(np.int64) - lo) * wide - lo + (label[doc[rows]] > 0) * cells
-        upto = np.concatenate([[0], np.cumsum(count)])
-        found, at = np.zeros(2 * cells, np.int32), 0
-        while at < len(rows):
-            to = max(at + 1, int(np.searchsorted(upto, upto[at] + PAIR_ROWS, side="right")) - 1)
-            c = count[at:to]
-            later = np.arange(c.sum()) + np.repeat(rows[at:to] + 1 - (upto[at:to] - upto[at]), c)
-            found += np.bincount(np.repeat(base[at:to], c) + term[later], minlength=2 * cells).astype(np.int32)
-            at = to
-        bad = found[cells:]
-        both = found[:cells] + bad
-        key = np.flatnonzero(both >= least)
-        a, b = key // wide + lo, key % wide + lo
-        key, a, b = (x[~(alone[some[a]] & alone[some[b]])] for x in (key, a, b))
-        q = np.clip(1 / (1 + np.exp(mean - odds[a] - odds[b])), *PAIR_SHARE)
-        k, t = both[key].astype(float), bad[key].astype(float)
-        evidence = t * np.log(np.maximum(t, 1) / k / q) + (k - t) * np.log(np.maximum(k - t, 1) / k / (1 - q))
-        far = evidence > need
-        out[some[a[far]]] = out[some[b[far]]] = True
-        lo = hi
+@dataclass
+class Counts:
+    """What a sample says of single terms: its rows and toxic rows, and by place those with the term."""
+    rows: int
+    ones: int
+    seen: np.ndarray
+    toxic: np.ndarray
+
+    def alone(self) -> np.ndarray:
+        """Places whose shares of the two labels are apart."""
+        share, clean = self.seen / self.rows, self.rows - self.ones
+        apart = np.abs(self.toxic / self.ones - (self.seen - self.toxic) / clean)
+        return (self.seen >= MIN_DOCS) & (apart > MIN_Z * np.sqrt(share * (1 - share) * (1 / self.ones + 1 / clean)))
+
+    def need(self) -> float:
+        """The evidence that a pair must reach, among so many pairs."""
+        number = np.count_nonzero(self.seen >= MIN_DOCS)
+        return float(np.log(max(1, number * (number - 1) / 2) / PAIR_CHANCE))
+
+    def least(self) -> float:
+        """Pairs in fewer rows cannot reach it."""
+        return max(MIN_DOCS, self.need() / -np.log(PAIR_SHARE[0]))
+
+    def candidates(self) -> np.ndarray:
+        """Places that can be in a pair, frequent first."""
+        some = np.flatnonzero(self.seen >= self.least())
+        return some[np.argsort(-self.seen[some], kind="stable")]
+
+
+def apart_together(counts: Counts, left: np.ndarray, left_bits: np.ndarray, right: np.ndarray, right_bits: np.ndarray,
+                   label: np.ndarray) -> np.ndarray:
+    """Places of ``left`` x ``right`` in a pair, not both apart alone, whose rows are toxic more or less often
+    than the two terms' own shares explain (added as log odds). The evidence is the exponent of the Chernoff
+    bound. ``*_bits``: a term's rows as packed bits; ``label``: of each row, negative for no row. Rows are
+    counted as products of 0/1 matrices, a few rows at a time; float32 holds such counts exactly."""
+    def products(rows: np.ndarray) -> np.ndarray:
+        out = np.zeros((len(left), len(right)), np.float32)
+        for at in range(0, len(rows), ROWS_AT):
+            byte, bit = np.divmod(rows[at:at + ROWS_AT], 8)
+            x, y = (((bits[:, byte] >> (7 - bit).astype(np.uint8)) & 1).astype(np.float32) for bits in (left_bits, right_bits))
+            out += x @ y.T
+        return out
+
+    bad = products(np.flatnonzero(label > 0))
+    both = products(np.flatnonzero(label == 0)) + bad
+    alone, need = counts.alone(), counts.need()
+    a, b = np.nonzero(both >= counts.least())
+    fresh = (left[a] != right[b]) & ~(alone[left[a]] & alone[right[b]])
+    a, b = a[fresh], b[fresh]
+    k, t = both[a, b].astype(float), bad[a, b].astype(float)
+    odds = np.log((counts.toxic + 0.5) / (counts.seen - counts.toxic + 0.5))
+    mean = np.log(counts.ones / (counts.rows - counts.ones))
+    q = np.clip(1 / (1 + np.exp(mean - odds[left[a]] - odds[right[b]])), *PAIR_SHARE)
+    far = t * np.log(np.maximum(t, 1) / k / q) + (k - t) * np.log(np.maximum(k - t, 1) / k / (1 - q)) > need
+    return np.unique(np.concatenate([left[a[far]], right[b[far]]]))
+
+
+def packed(rows: np.ndarray, size: int) -> np.ndarray:
+    """Row numbers as ``size`` packed bits."""
+    out = np.zeros(size, bool)
+    out[rows] = True
+    return np.packbits(out)
+
+
+def together(doc: np.ndarray, place: np.ndarray, label: np.ndarray, counts: Counts) -> np.ndarray:
+    """Places of any pair of :func:`apart_together`, of rows held in this process."""
+    out = np.zeros(len(counts.seen), bool)
+    some = counts.candidates()
+    by = np.argsort(place, kind="stable")
+    first, last = (np.searchsorted(place[by], some, side=side) for side in ("left", "right"))
+    bits = np.array([packed(doc[by[i:j]], len(label)) for i, j in zip(first, last)]).reshape(len(some), -1)
+    for i in range(0, len(some), BLOCK):
+        for j in range(i, len(some), BLOCK):
+            x, y = slice(i, i + BLOCK), slice(j, j + BLOCK)
+            out[apart_together(counts, some[x], bits[x], some[y], bits[y], label)] = True
     return out
 
 
 def fit(column: pa.Array, label: np.ndarray, seed: int = 7) -> Model:
-    """AdaGrad on the logistic loss."""
+    """The machine of texts held in this process; :func:`train` does the same by Spark."""
     size = 1 << HASH_BITS
     docs, places = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     for lo, _, offsets, data in pieces(column):
@@ -159,12 +189,14 @@ def fit(column: pa.Array, label: np.ndarray, seed: int = 7) -> Model:
     doc, place, n = np.concatenate(docs), np.concatenate(places), len(label)
     known = np.zeros(size, bool)
     if n and label.min() < label.max():
-        seen, toxic = np.bincount(place, minlength=size), np.bincount(place, label[doc], size)
-        ones = label.sum()
-        share = seen / n
-        apart = np.abs(toxic / ones - (seen - toxic) / (n - ones))
-        known = (seen >= MIN_DOCS) & (apart > MIN_Z * np.sqrt(share * (1 - share) * (1 / ones + 1 / (n - ones))))
-        known |= together(doc, place, label, seen, toxic, known)
+        counts = Counts(n, int(label.sum()), np.bincount(place, minlength=size), np.bincount(place, label[doc], size).astype(np.int64))
+        known = counts.alone() | together(doc, place, label, counts)
+    return learn(doc, place, label, known, seed)
+
+
+def learn(doc: np.ndarray, place: np.ndarray, label: np.ndarray, known: np.ndarray, seed: int = 7) -> Model:
+    """AdaGrad on the logistic loss. ``doc`` and then ``place`` ascending."""
+    n, size = len(label), len(known)
     rng = np.random.default_rng(seed)
     rate = float(label.mean()) if n else 0.1
     m = Model(float(np.log((rate + 0.01) / (1.01 - rate))), np.zeros(size), rng.normal(0, 0.02, (size, FACTORS)) * known[:, None], known)
@@ -203,15 +235,101 @@ def held_out(doc_id: Column) -> Column:
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Model:
-    """The machine fitted on the bounded sample."""
+    """The machine fitted on the bounded sample. Terms and pairs are counted by Spark; the driver gets the
+    labels of the sample, one count a place, and the rows' kept places."""
+    spark, size = docs.sparkSession, 1 << HASH_BITS
     marked = (labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull() & ~held_out(F.col(id_col)))
-              .groupBy(F.col(id_col).alias("id")).agg(F.max(label_col).alias("label"))
+              .groupBy(F.col(id_col).alias("id")).agg(F.max(label_col).cast("int").alias("label"))
               .withColumn("draw", F.xxhash64("id")))
     picked = [marked.where(F.col("label") == k).orderBy("draw", "id").limit(SAMPLE) for k in (0, 1)]
-    sample = (docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-              .join(picked[0].unionByName(picked[1]), "id").select("id", "text", "label").toArrow())
-    sample = sample.sort_by("id")
-    return fit(sample["text"], sample["label"].to_numpy().astype(np.float64))
+    # numbers for at most 2 * SAMPLE ids
+    picked = picked[0].unionByName(picked[1]).select("id", "label", (F.row_number().over(Window.orderBy("id")) - 1).alias("row"))
+    texts = (docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(picked, "id")
+             .groupBy("row", "label").agg(F.min("text").alias("text")))
+    sample = written(texts.transform(small_batches).mapInArrow(tidy(_row_terms), "row int, label int, places array<int>"), "toxicity-terms")
+
+    ids = sample.select("row", "label").toArrow()
+    row, marks = (ids[c].to_numpy().astype(np.int64) for c in ("row", "label"))
+    label = np.full(2 * SAMPLE, -1, np.int8)
+    label[row] = marks
+    known = np.zeros(size, bool)
+    if len(set(marks)) == 2:
+        found = (sample.select("label", F.explode("places").alias("place")).groupBy("place")
+                 .agg(F.count(F.lit(1)).alias("seen"), F.sum("label").alias("toxic")).where(F.col("seen") >= MIN_DOCS).toArrow())
+        counts = Counts(len(row), int(marks.sum()), np.zeros(size, np.int64), np.zeros(size, np.int64))
+        counts.seen[found["place"].to_numpy()] = found["seen"].to_numpy()
+        counts.toxic[found["place"].to_numpy()] = found["toxic"].to_numpy()
+        known = counts.alone()
+        known[_pairs(sample, counts, label)] = True
+    kept = spark.sparkContext.broadcast(known)
+
+    def hits(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in it:
+            r, p = _flat(b)
+            yield pa.RecordBatch.from_arrays([pa.array(x[kept.value[p]].astype(np.int32)) for x in (r, p)], names=["row", "place"])
+
+    left = sample.select("row", "places").mapInArrow(hits, "row int, place int").toArrow()
+    drop(sample)
+    doc, place = (left[c].to_numpy().astype(np.int64) for c in ("row", "place"))
+    order = np.lexsort((place, doc))
+    there = np.sort(row)
+    return learn(np.searchsorted(there, doc[order]), place[order], label[there].astype(np.float64), known)
+
+
+def _row_terms(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in it:
+        for lo, hi, offsets, data in pieces(b.column("text")):
+            doc, place = terms(offsets, data)
+            upto = pa.array(np.searchsorted(doc, np.arange(hi - lo + 1)).astype(np.int32))
+            lists = pa.ListArray.from_arrays(upto, pa.array(place.astype(np.int32)))
+            yield pa.RecordBatch.from_arrays([b.column("row").slice(lo, hi - lo), b.column("label").slice(lo, hi - lo), lists], names=["row", "label", "places"])
+
+
+def _flat(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """(row, place) of lists of places."""
+    lists = b.column("places")
+    return np.repeat(b.column("row").to_numpy(), np.diff(lists.offsets.to_numpy())), lists.flatten().to_numpy()
+
+
+def _pairs(sample: DataFrame, counts: Counts, label: np.ndarray) -> np.ndarray:
+    """:func:`together` by Spark: candidates in blocks, each pair of blocks a group. A group holds the packed
+    rows of 2 * BLOCK terms, whatever the texts' lengths."""
+    sc, some = sample.sparkSession.sparkContext, counts.candidates()
+    if len(some) < 2:
+        return some[:0]
+    rank = np.full(len(counts.seen), -1, np.int32)
+    rank[some] = np.arange(len(some))
+    sent = sc.broadcast((counts, some, rank, label))
+    blocks = -(-len(some) // BLOCK)
+
+    def ranks(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in it:
+            row, place = _flat(b)
+            term = sent.value[2][place]
+            yield pa.RecordBatch.from_arrays([pa.array(x[term >= 0]) for x in (term, row)], names=["term", "row"])
+
+    def bits(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in it:
+            rows = b.column("rows")
+            cut, flat = rows.offsets.to_numpy(), rows.values.to_numpy()
+            out = [packed(flat[i:j], len(sent.value[3])).tobytes() for i, j in zip(cut[:-1], cut[1:])]
+            yield pa.RecordBatch.from_arrays([b.column("term"), pa.array(out, pa.binary())], names=["term", "bits"])
+
+    def group(t: pa.Table) -> pa.Table:
+        counts, some, _, label = sent.value
+        block, term = t["block"].to_numpy(), t["term"].to_numpy()
+        rows = np.frombuffer(b"".join(t["bits"].to_pylist()), np.uint8).reshape(len(term), -1)
+        lo, hi = block == block.min(), block == t["hi"][0].as_py()
+        out = apart_together(counts, some[term[lo]], rows[lo], some[term[hi]], rows[hi], label)
+        return pa.table({"place": pa.array(out.astype(np.int32))})
+
+    posted = sample.select("row", "places").mapInArrow(ranks, "term int, row int").groupBy("term").agg(F.collect_list("row").alias("rows"))
+    mine, other = F.col("block"), F.col("other")
+    grouped = (posted.mapInArrow(bits, "term int, bits binary").withColumn("block", F.floor(F.col("term") / BLOCK).cast("int"))
+               .withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+               .select("block", "term", "bits", F.least(mine, other).alias("lo"), F.greatest(mine, other).alias("hi"))
+               .repartition(min(blocks * (blocks + 1) // 2, MOST_TASKS), "lo", "hi").groupBy("lo", "hi"))
+    return grouped.applyInArrow(tidy_group(group), "place int").distinct().toArrow()["place"].to_numpy().astype(np.int64)
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
