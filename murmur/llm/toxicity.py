@@ -43,8 +43,9 @@ SAMPLE = 5000
 MIN_DOCS, MIN_Z = 4, 4.0
 #: Chance that any pair without an effect passes, and the range of a pair's expected share of toxic rows.
 PAIR_CHANCE, PAIR_SHARE = 0.05, (0.02, 0.98)
-#: Terms of a block and rows at a time when pairs are counted; tasks that share the pairs of blocks, at most.
-BLOCK, ROWS_AT, MOST_TASKS = 2048, 1024, 4096
+#: Terms of a block and rows at a time when pairs are counted; tasks that share the pairs of blocks, at most;
+#: kinds of terms compared with all kinds at a time.
+BLOCK, ROWS_AT, MOST_TASKS, KINDS_AT = 1024, 1024, 4096, 128
 EPOCHS, BATCH, RATE, DECAY = 20, 128, 0.08, 2e-4
 #: A toxic row counts as so many in the loss: far fewer rows are toxic.
 TOXIC_WEIGHT = 4.0
@@ -123,17 +124,51 @@ class Counts:
         """Pairs in fewer rows cannot reach it."""
         return max(MIN_DOCS, self.need() / -np.log(PAIR_SHARE[0]))
 
-    def candidates(self) -> np.ndarray:
-        """Places that can be in a pair, frequent first."""
+    def odds(self) -> np.ndarray:
+        return np.log((self.toxic + 0.5) / (self.seen - self.toxic + 0.5))
+
+    def share(self, odds: np.ndarray) -> np.ndarray:
+        """Expected toxic share of a pair's rows, of the sum of its terms' log odds."""
+        return np.clip(1 / (1 + np.exp(np.log(self.ones / (self.rows - self.ones)) - odds)), *PAIR_SHARE)
+
+    def candidates(self) -> tuple[np.ndarray, np.ndarray]:
+        """Places frequent enough for a pair, those apart alone first, then by frequency; and the pairs (i, j),
+        i <= j, of their blocks of BLOCK in which a pair can have enough evidence: it is convex in a pair's toxic
+        and clean rows, so it is largest at a corner of what the two terms' rows allow. Terms of equal counts
+        are one kind; kinds are consecutive."""
         some = np.flatnonzero(self.seen >= self.least())
-        return some[np.argsort(-self.seen[some], kind="stable")]
+        some = some[np.lexsort((self.toxic[some], -self.seen[some], ~self.alone()[some]))]
+        new = np.flatnonzero(np.diff(self.seen[some], prepend=-1) | np.diff(self.toxic[some], prepend=-1))
+        kind = np.searchsorted(new, np.arange(len(some)), side="right") - 1
+        toxic, clean = self.toxic[some[new]], (self.seen - self.toxic)[some[new]]
+        odds, alone, need = self.odds()[some[new]], self.alone()[some[new]], self.need()
+        begin = kind[::BLOCK]
+        end = kind[np.minimum(np.arange(BLOCK, len(some) + BLOCK, BLOCK), len(some)) - 1] + 1
+        can = np.zeros((len(begin), len(begin)), bool)
+        for i in range(len(begin)):
+            hit = np.zeros(len(new) - begin[i], bool)
+            for at in range(begin[i], end[i], KINDS_AT):
+                x, y = slice(at, min(at + KINDS_AT, end[i])), slice(begin[i], None)
+                t, c = np.minimum(toxic[x, None], toxic[y]), np.minimum(clean[x, None], clean[y])
+                q = self.share(odds[x, None] + odds[y])
+                most = np.maximum(evidence(t, c, q), np.maximum(-t * np.log(q), -c * np.log(1 - q)))
+                hit |= ((most > need) & ~(alone[x, None] & alone[y])).any(axis=0)
+            upto = np.concatenate([[0], np.cumsum(hit)])
+            can[i, i:] = upto[end[i:] - begin[i]] > upto[begin[i:] - begin[i]]
+        return some, np.argwhere(can)
+
+
+def evidence(toxic: np.ndarray, clean: np.ndarray, share: np.ndarray) -> np.ndarray:
+    """Exponent of the Chernoff bound for so many toxic and clean rows where ``share`` toxic ones were expected."""
+    both = np.maximum(toxic + clean, 1)
+    return toxic * np.log(np.maximum(toxic, 1) / both / share) + clean * np.log(np.maximum(clean, 1) / both / (1 - share))
 
 
 def apart_together(counts: Counts, left: np.ndarray, left_bits: np.ndarray, right: np.ndarray, right_bits: np.ndarray,
                    label: np.ndarray) -> np.ndarray:
     """Places of ``left`` x ``right`` in a pair, not both apart alone, whose rows are toxic more or less often
     than the two terms' own shares explain (added as log odds). The evidence is the exponent of the Chernoff
-    bound. ``*_bits``: a term's rows as packed bits; ``label``: of each row, negative for no row. Rows are
+    bound (:func:`evidence`). ``*_bits``: a term's rows as packed bits; ``label``: of each row, negative for no row. Rows are
     counted as products of 0/1 matrices, a few rows at a time; float32 holds such counts exactly."""
     def products(rows: np.ndarray) -> np.ndarray:
         out = np.zeros((len(left), len(right)), np.float32)
@@ -149,11 +184,9 @@ def apart_together(counts: Counts, left: np.ndarray, left_bits: np.ndarray, righ
     a, b = np.nonzero(both >= counts.least())
     fresh = (left[a] != right[b]) & ~(alone[left[a]] & alone[right[b]])
     a, b = a[fresh], b[fresh]
-    k, t = both[a, b].astype(float), bad[a, b].astype(float)
-    odds = np.log((counts.toxic + 0.5) / (counts.seen - counts.toxic + 0.5))
-    mean = np.log(counts.ones / (counts.rows - counts.ones))
-    q = np.clip(1 / (1 + np.exp(mean - odds[left[a]] - odds[right[b]])), *PAIR_SHARE)
-    far = t * np.log(np.maximum(t, 1) / k / q) + (k - t) * np.log(np.maximum(k - t, 1) / k / (1 - q)) > need
+    odds = counts.odds()
+    q = counts.share(odds[left[a]] + odds[right[b]])
+    far = evidence(bad[a, b].astype(float), (both - bad)[a, b].astype(float), q) > need
     return np.unique(np.concatenate([left[a[far]], right[b[far]]]))
 
 
@@ -167,14 +200,13 @@ def packed(rows: np.ndarray, size: int) -> np.ndarray:
 def together(doc: np.ndarray, place: np.ndarray, label: np.ndarray, counts: Counts) -> np.ndarray:
     """Places of any pair of :func:`apart_together`, of rows held in this process."""
     out = np.zeros(len(counts.seen), bool)
-    some = counts.candidates()
+    some, blocks = counts.candidates()
     by = np.argsort(place, kind="stable")
     first, last = (np.searchsorted(place[by], some, side=side) for side in ("left", "right"))
     bits = np.array([packed(doc[by[i:j]], len(label)) for i, j in zip(first, last)]).reshape(len(some), -1)
-    for i in range(0, len(some), BLOCK):
-        for j in range(i, len(some), BLOCK):
-            x, y = slice(i, i + BLOCK), slice(j, j + BLOCK)
-            out[apart_together(counts, some[x], bits[x], some[y], bits[y], label)] = True
+    for i, j in blocks * BLOCK:
+        x, y = slice(i, i + BLOCK), slice(j, j + BLOCK)
+        out[apart_together(counts, some[x], bits[x], some[y], bits[y], label)] = True
     return out
 
 
@@ -294,13 +326,16 @@ def _flat(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
 def _pairs(sample: DataFrame, counts: Counts, label: np.ndarray) -> np.ndarray:
     """:func:`together` by Spark: candidates in blocks, each pair of blocks a group. A group holds the packed
     rows of 2 * BLOCK terms, whatever the texts' lengths."""
-    sc, some = sample.sparkSession.sparkContext, counts.candidates()
-    if len(some) < 2:
+    spark = sample.sparkSession
+    some, blocks = counts.candidates()
+    if not len(blocks):
         return some[:0]
     rank = np.full(len(counts.seen), -1, np.int32)
-    rank[some] = np.arange(len(some))
-    sent = sc.broadcast((counts, some, rank, label))
-    blocks = -(-len(some) // BLOCK)
+    rank[some] = np.where(np.isin(np.arange(len(some)) // BLOCK, blocks), np.arange(len(some)), -1)
+    sent = spark.sparkContext.broadcast((counts, some, rank, label))
+    # at most (2**HASH_BITS / BLOCK)**2 rows
+    meet = sorted({(k, i, j) for i, j in blocks.tolist() for k in (i, j)})
+    meet = F.broadcast(spark.createDataFrame(meet, "block int, lo int, hi int"))
 
     def ranks(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in it:
@@ -319,16 +354,14 @@ def _pairs(sample: DataFrame, counts: Counts, label: np.ndarray) -> np.ndarray:
         counts, some, _, label = sent.value
         block, term = t["block"].to_numpy(), t["term"].to_numpy()
         rows = np.frombuffer(b"".join(t["bits"].to_pylist()), np.uint8).reshape(len(term), -1)
-        lo, hi = block == block.min(), block == t["hi"][0].as_py()
+        lo, hi = (block == t[c][0].as_py() for c in ("lo", "hi"))
         out = apart_together(counts, some[term[lo]], rows[lo], some[term[hi]], rows[hi], label)
         return pa.table({"place": pa.array(out.astype(np.int32))})
 
     posted = sample.select("row", "places").mapInArrow(ranks, "term int, row int").groupBy("term").agg(F.collect_list("row").alias("rows"))
-    mine, other = F.col("block"), F.col("other")
     grouped = (posted.mapInArrow(bits, "term int, bits binary").withColumn("block", F.floor(F.col("term") / BLOCK).cast("int"))
-               .withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-               .select("block", "term", "bits", F.least(mine, other).alias("lo"), F.greatest(mine, other).alias("hi"))
-               .repartition(min(blocks * (blocks + 1) // 2, MOST_TASKS), "lo", "hi").groupBy("lo", "hi"))
+               .join(meet, "block").select("block", "term", "bits", "lo", "hi")
+               .repartition(min(len(blocks), MOST_TASKS), "lo", "hi").groupBy("lo", "hi"))
     return grouped.applyInArrow(tidy_group(group), "place int").distinct().toArrow()["place"].to_numpy().astype(np.int64)
 
 
