@@ -15,7 +15,7 @@ from murmur.plans.catalog import query
 from murmur.plans.oracle_sql import r6, scored_cte, with_items
 from murmur.plans.q_relational import LABELED_SQL, TRAINING_ROWS_SQL, labeled
 from murmur.operators.aggregations import r6 as r6_col
-from murmur.session import checkpoint_root
+from murmur.session import checkpoint_root, scratch_path
 from murmur.sources import sinks
 
 LAB = "informative_emotional_label"
@@ -82,13 +82,21 @@ def q_agg_class_report(spark, sf):
     return ML.agg_class_report(ML.agg_confusion(fixed_predictions(spark, sf)))
 
 
-def _train(spark, sf):
+def _train(spark, sf, again=False):
     """Folder of the model trained on the labeled rows: like the original, training runs once, and
-    prediction, evaluation and reports load what it saved. The folder is in the shared scratch
-    root, named for the application and the tables."""
-    path = f"{checkpoint_root(spark)}/murmur/model-{spark.sparkContext.applicationId}-{hashlib.md5(sf.encode()).hexdigest()[:12]}"
-    if not sinks.path_exists(spark, f"{path}/runs/_SUCCESS"):
-        s = ML.ml_split(labeled_only(spark, sf)).persist()  # reused by every pass and the scoring
+    prediction, evaluation and reports load what it saved. The folder is in the shared scratch root and
+    named for the application and a digest of the training rows, so a changed table is trained anew;
+    ``again``: train into a folder of its own whatever is there."""
+    rows = labeled_only(spark, sf)
+    if again:
+        path = scratch_path(spark, "model")
+    else:
+        row = F.xxhash64(*sorted(rows.columns)).cast("decimal(38,0)")
+        seen = rows.agg(F.count(F.lit(1)).alias("n"), F.sum(row).alias("sum")).first()
+        digest = hashlib.md5(f"{P.TrainParams()} {seen['n']} {seen['sum']}".encode()).hexdigest()[:16]
+        path = f"{checkpoint_root(spark)}/murmur/model-{spark.sparkContext.applicationId}-{digest}"
+    if again or not sinks.path_exists(spark, f"{path}/runs/_SUCCESS"):
+        s = ML.ml_split(rows).persist()  # reused by every pass and the scoring
         train, test = s.filter(F.col("split") == "train"), s.filter(F.col("split") == "test")
         test.write.mode("overwrite").parquet(f"{path}/test")
         _, runs = ML.ml_train(train, test, P.TrainParams(), path)
@@ -100,8 +108,8 @@ def _train(spark, sf):
 @query("ml_train")
 def q_ml_train(spark, sf):
     """Runs table: validation accuracy per pass with the hyperparameters (the model is saved with
-    its label map in the shared folder)."""
-    return spark.read.parquet(f"{_train(spark, sf)}/runs")
+    its label map in the shared folder). Every call trains."""
+    return spark.read.parquet(f"{_train(spark, sf, again=True)}/runs")
 
 
 EPOCH_SQL = "SELECT cast(substr(id, 2) AS bigint) % 3 + 1 AS epoch, " + r6("avg(CASE WHEN actual = predicted THEN 1.0 ELSE 0.0 END)") + " AS accuracy FROM pred WHERE id LIKE 'p%' GROUP BY 1"

@@ -9,12 +9,13 @@ from pyspark.sql.types import StructType
 
 from murmur import params as P
 from murmur.operators import monitor as M
+from murmur.operators import projections as PR
 from murmur.plans import fixtures as X
 from murmur.plans.catalog import query
 from murmur.plans.oracle_sql import r6, with_items
 from murmur.plans.q_enrich import PIPE_SCORED
 from murmur.plans.q_io import ITEM_COLS, _raw_dir
-from murmur.plans.q_relational import enriched, items
+from murmur.plans.q_relational import HASH_SQL, enriched, items
 from murmur.plans.q_windows import QUOTA_LIMIT, QUOTA_SQL, request_log
 from murmur.schema import ENRICHED, RAW_ITEM_FIELDS
 from murmur.session import scratch_path
@@ -147,6 +148,21 @@ def q_stm_dedup_ids(spark, sf):
     return spark.read.parquet(out).select("id", "created_utc")
 
 
+@query("stm_dedup_content", with_items(f"SELECT DISTINCT {HASH_SQL} AS content_hash FROM items"))
+def q_stm_dedup_content(spark, sf):
+    """``dedup_content`` as a stream: of items that arrive in the order of time, each hash comes out once
+    in the span that the state remembers (here longer than the data)."""
+    from murmur.streaming.files import drain_to_parquet
+    it = PR.prj_content_hash(items(spark, sf)).select("id", "created_utc", "content_hash")
+    out, ckpt = scratch_path(spark, "content-out"), scratch_path(spark, "content-ckpt")
+
+    def run_once(src):
+        drain_to_parquet(SJ.stm_dedup(spark.readStream.schema(it.schema).parquet(src), ["content_hash"], "400 days"), out, ckpt)
+
+    arrivals(it, "created_utc", scratch_path(spark, "arrivals-content"), run_once, fmt="parquet")
+    return spark.read.parquet(out).select("content_hash")
+
+
 @query("mon_metric_series", METRIC_SQL)
 def q_mon_metric_series(spark, sf):
     return M.metric_series(table(spark, sf, "events"), "event_type", "ts", "value", P.METRIC_PERIOD_SECONDS)

@@ -17,6 +17,7 @@ from murmur.plans.catalog import query
 from murmur.plans.oracle_sql import contains_any, scored_cte, with_items
 from murmur.plans.q_relational import (HASH_SQL, LABELED_SQL, PIPE_TEXT_SQL, POST_TEXT_SQL, RELEVANT_SQL,
                                        TRAINING_ROWS_SQL, items, labeled, posts)
+from murmur.session import scratch_path
 from murmur.sources.tables import table
 
 ING = X.INGEST
@@ -153,18 +154,37 @@ def q_win_daily_quota(spark, sf):
 OVERLAP = 3 * 86400.0
 
 
-@query("dedup_ids", with_items(
-    f"SELECT n.id FROM items n WHERE n.type = 'post' AND n.created_utc >= {ING.mark} "
-    f"AND NOT EXISTS (SELECT 1 FROM items s WHERE s.created_utc <= {ING.mark + OVERLAP} AND s.id = n.id)"))
-def q_dedup_ids(spark, sf):
-    """New run (rows at or past the mark) minus what earlier runs ingested, of which one went three
+SEEN_SQL = (f"SELECT n.id FROM items n WHERE n.type = 'post' AND n.created_utc >= {ING.mark} "
+            f"AND NOT EXISTS (SELECT 1 FROM items s WHERE s.created_utc <= {ING.mark + OVERLAP} AND s.id = n.id)")
+
+
+def new_and_seen(spark, sf):
+    """New run (rows at or past the mark), and what earlier runs ingested, of which one went three
     days past the mark that was stored."""
     it = items(spark, sf)
     new = it.filter((F.col("type") == "post") & (F.col("created_utc") >= ING.mark))
-    seen = it.filter(F.col("created_utc") <= ING.mark + OVERLAP)
+    return new, it.filter(F.col("created_utc") <= ING.mark + OVERLAP)
+
+
+@query("dedup_ids", with_items(SEEN_SQL))
+def q_dedup_ids(spark, sf):
+    """New run minus what earlier runs ingested."""
+    new, seen = new_and_seen(spark, sf)
     return J.dedup_ids(new, seen).select("id")
 
 
+@query("dedup_ids_by_bits", with_items(SEEN_SQL))
+def q_dedup_ids_by_bits(spark, sf):
+    """The same against the merged bits of two earlier runs; only possible hits reach the exact join."""
+    new, seen = (d.select("id", "created_utc") for d in new_and_seen(spark, sf))
+    path = scratch_path(spark, "id-bits")
+    for run, rows in (("1", F.col("created_utc") < ING.mark), ("2", F.col("created_utc") >= ING.mark)):
+        D.write_id_bits(seen.filter(rows), path, run)
+    stored = scratch_path(spark, "new-ids")
+    new.select("id").write.parquet(stored)
+    return D.dedup_ids_by_bits(spark.read.parquet(stored), seen, spark.read.parquet(path)).select("id")
+
+
 @query("dedup_content", with_items(
     f"SELECT id, {HASH_SQL} AS content_hash FROM items QUALIFY row_number() OVER "
     f"(PARTITION BY {HASH_SQL} ORDER BY created_utc, id) = 1"))
