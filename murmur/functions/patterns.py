@@ -20,6 +20,8 @@ STRETCH = 512
 PIECE_BYTES = 1 << 20
 #: Bits of the filter that tells which windows can be words.
 FILTER_BITS = 24
+#: Bytes of texts whose windows a task holds at a time, and of the Arrow batches that it gets.
+WINDOW_BYTES, BATCH_BYTES = 1 << 18, 8 << 20
 
 _MASK = np.array([(1 << (8 * k)) - 1 for k in range(8)] + [2**64 - 1], dtype=np.uint64)
 _M1, _M2, _S = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(31)
@@ -121,11 +123,15 @@ def holds_any(text: Column, words: list[str], spark) -> Column:
     return found(text)
 
 
-def _keys(data: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
-    """A 64-bit key of the ``size`` bytes from each place."""
+def _lanes(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place as one number (little-endian), zeros after the end."""
     buf = np.zeros(len(data) + 8, np.uint8)
     buf[:len(data)] = data
-    lanes = np.ndarray(shape=(len(data) + 1,), dtype="<u8", buffer=buf, strides=(1,))
+    return np.ndarray(shape=(len(data) + 1,), dtype="<u8", buffer=buf, strides=(1,))
+
+
+def _keys(lanes: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
+    """A 64-bit key of the ``size`` bytes from each place."""
     key = np.full(len(at), size, np.uint64)
     for k in range(0, size, 8):
         key = (key ^ (lanes[at + k] & _MASK[min(8, size - k)])) * _M1
@@ -139,7 +145,8 @@ def _word_bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         for _, _, offsets, data in text_bytes(b.column(0)):
             size = np.diff(offsets)
-            bits = [_keys(data, offsets[:-1][size == n], int(n)) >> np.uint64(64 - FILTER_BITS) for n in np.unique(size)]
+            lanes = _lanes(data)
+            bits = [_keys(lanes, offsets[:-1][size == n], int(n)) >> np.uint64(64 - FILTER_BITS) for n in np.unique(size)]
             yield pa.RecordBatch.from_arrays([pa.array(np.unique(np.concatenate(bits)).astype(np.int64))], names=["bit"])
 
 
@@ -154,49 +161,99 @@ def window_filter(words: DataFrame) -> tuple[list[int], np.ndarray]:
     return lengths, out
 
 
-def _possible(offsets: np.ndarray, data: np.ndarray, size: int, mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(text, place) of the distinct windows of each text that the bitmap lets through."""
-    room = np.maximum(np.diff(offsets) - size + 1, 0)
-    at = np.arange(room.sum()) + np.repeat(offsets[:-1] - (np.cumsum(room) - room), room)
-    key = _keys(data, at, size)
-    bit = key >> np.uint64(64 - FILTER_BITS)
-    can = np.flatnonzero(mask[bit >> np.uint64(6)] >> (bit & np.uint64(63)) & np.uint64(1))
-    key, at = key[can], at[can]
-    of = np.searchsorted(offsets, at, side="right") - 1
-    order = np.lexsort((key, of))
+def _firsts(row: np.ndarray, at: np.ndarray, lanes: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """(row, place) of the windows that begin at ``at``, each once in a row."""
+    key = _keys(lanes, at, size)
+    order = np.lexsort((key, row))
     new = np.ones(len(order), bool)
-    new[1:] = (key[order][1:] != key[order][:-1]) | (of[order][1:] != of[order][:-1])
-    return of[order[new]], at[order[new]]
+    new[1:] = (key[order][1:] != key[order][:-1]) | (row[order][1:] != row[order][:-1])
+    return row[order[new]], at[order[new]]
 
 
-def words_in(rows: DataFrame, texts: list[Column], words: DataFrame, keep: list[str]) -> DataFrame:
-    """(``keep`` columns, word) for each row of ``rows`` and each of ``words`` (one column of any size, null
-    or empty ones are skipped) that any of its ``texts`` holds: an equi-join on the texts' windows of
-    the words' lengths. A row's windows are filtered and made distinct before they leave the task."""
-    name = words.columns[0]
-    words = words.where(F.octet_length(name) > 0).distinct()
-    lengths, bits = window_filter(words)
-    sent = rows.sparkSession.sparkContext.broadcast(bits)
-    n_texts = len(texts)
+def _distinct(row: np.ndarray, at: np.ndarray, lanes: np.ndarray, data: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """(row, bytes) of the windows that begin at ``at``, each once in a row."""
+    if size <= 5:  # row and bytes are one number
+        shift = np.uint64(8 * size)
+        both = np.unique((row.astype(np.uint64) << shift) | (lanes[at] & _MASK[size]))
+        return (both >> shift).astype(np.int64), both.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :size]
+    row, at = _firsts(row, at, lanes, size)
+    return row, np.lib.stride_tricks.sliding_window_view(data, size)[at] if len(at) else np.zeros((0, size), np.uint8)
+
+
+def _possible(starts: np.ndarray, ends: np.ndarray, row: np.ndarray, data: np.ndarray, lanes: np.ndarray, size: int, mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(row, bytes) of the distinct windows of each row that the bitmap lets through. Its texts are
+    data[starts:ends]; a stretch of places at a time."""
+    upto = np.cumsum(np.maximum(ends - starts - size + 1, 0))
+    total = int(upto[-1]) if len(upto) else 0
+    shift = starts - np.concatenate([[0], upto[:-1]])
+    rows, places = [], []
+    for first in range(0, total, WINDOW_BYTES):
+        place = np.arange(first, min(first + WINDOW_BYTES, total))
+        of = np.searchsorted(upto, place, side="right")
+        place += shift[of]
+        bit = _keys(lanes, place, size) >> np.uint64(64 - FILTER_BITS)
+        can = np.flatnonzero(mask[bit >> np.uint64(6)] >> (bit & np.uint64(63)) & np.uint64(1))
+        rows.append(row[of[can]])
+        places.append(place[can])
+        if len(rows) > 16:  # of a long text, only the distinct ones are kept
+            rows, places = ([x] for x in _firsts(np.concatenate(rows), np.concatenate(places), lanes, size))
+    if not rows:
+        return np.zeros(0, np.int64), np.zeros((0, size), np.uint8)
+    return _distinct(np.concatenate(rows), np.concatenate(places), lanes, data, size)
 
+
+def _row_slices(columns: list[pa.Array]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(first row, starts, ends, rows from it, bytes) of the texts of runs of whole rows with about
+    ``WINDOW_BYTES`` of text, all columns end to end; a null is empty."""
+    parts = []
+    for c in columns:
+        c = pc.fill_null(c, "").cast(pa.large_string())
+        _, off, raw = c.buffers()
+        parts.append((np.frombuffer(off, np.int64)[c.offset:c.offset + len(c) + 1], np.frombuffer(raw, np.uint8) if raw is not None else np.zeros(0, np.uint8)))
+    n, lo = len(columns[0]), 0
+    upto = sum(off for off, _ in parts) if n else np.zeros(1, np.int64)
+    while lo < n:
+        hi = max(lo + 1, int(np.searchsorted(upto, upto[lo] + WINDOW_BYTES, side="right")) - 1)
+        base = np.cumsum([0, *(int(off[hi] - off[lo]) for off, _ in parts)])
+        offsets = [off[lo:hi + 1] - off[lo] + z for (off, _), z in zip(parts, base)]
+        yield (lo, np.concatenate([o[:-1] for o in offsets]), np.concatenate([o[1:] for o in offsets]),
+               np.tile(np.arange(hi - lo), len(parts)), np.concatenate([data[off[lo]:off[hi]] for off, data in parts]))
+        lo = hi
+
+
+def _told(sent, lengths: list[int], n_texts: int, names: list[str]):
+    """mapInArrow body: rows of ``n_texts`` texts and columns to keep -> (kept columns, window)."""
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mask = sent.value
         for b in it:
-            row, window = [], []
-            for c in range(n_texts):
-                for lo, hi, offsets, data in text_bytes(b.column(c)):
-                    raw = data.tobytes()
-                    for size in lengths:
-                        of, at = _possible(offsets, data, size, mask)
-                        row.append(of + lo)
-                        window += [raw[a:a + size] for a in at.tolist()]
-            if window:
-                pairs = pa.table({"row": np.concatenate(row), "word": pa.array(window, pa.binary())})
-                if n_texts > 1:
-                    pairs = pairs.group_by(["row", "word"], use_threads=False).aggregate([])
-                kept = [b.column(n_texts + k).take(pairs["row"].combine_chunks()) for k in range(len(keep))]
-                yield pa.RecordBatch.from_arrays([*kept, pairs["word"].combine_chunks()], names=[*keep, name])
+            for lo, starts, ends, of, data in _row_slices(b.columns[:n_texts]):
+                lanes, row, window = _lanes(data), [], []
+                for size in lengths:
+                    r, w = _possible(starts, ends, of, data, lanes, size, mask)
+                    offsets = np.arange(len(r) + 1, dtype=np.int64) * size
+                    row.append(r + lo)
+                    window.append(pa.Array.from_buffers(pa.large_binary(), len(r), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(w))]))
+                if sum(map(len, row)):
+                    at = pa.array(np.concatenate(row))
+                    yield pa.RecordBatch.from_arrays([*(c.take(at) for c in b.columns[n_texts:]), pa.concat_arrays(window).cast(pa.binary())], names=names)
+    return batches
+
 
+def words_in(rows: DataFrame, texts: list[Column], words: DataFrame, keep: list[str], total: str | None = None) -> DataFrame:
+    """(``keep`` columns, word) for each row of ``rows`` and each of ``words`` (one column of any size, null
+    or empty ones are skipped) that any of its ``texts`` holds: an equi-join on the texts' windows of
+    the words' lengths. A row's windows are filtered and made distinct before they leave the task, which
+    holds those of ``WINDOW_BYTES`` of texts (or of one longer row) at a time. ``total``: the number of
+    rows, in a column of this name, for each (``keep``, word); windows are then counted before they are joined."""
+    name = words.columns[0]
+    words = words.where(F.octet_length(name) > 0).distinct()
+    lengths, bits = window_filter(words)
+    spark = rows.sparkSession
+    sent = spark.sparkContext.broadcast(bits)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", f"{BATCH_BYTES}b")
     fields = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in keep)
-    told = rows.select(*[t.alias(f"_t{k}") for k, t in enumerate(texts)], *keep).mapInArrow(batches, f"{fields}, `{name}` binary")
-    return told.join(words.select(F.col(name).cast("binary").alias(name)), name).select(*keep, F.col(name).cast("string").alias(name))
+    told = rows.select(*[t.alias(f"_t{k}") for k, t in enumerate(texts)], *keep).mapInArrow(_told(sent, lengths, len(texts), [*keep, name]), f"{fields}, `{name}` binary")
+    if total:
+        told = told.groupBy(*keep, name).agg(F.count(F.lit(1)).alias(total))
+    found = told.join(words.select(F.col(name).cast("binary").alias(name)), name)
+    return found.select(*keep, F.col(name).cast("string").alias(name), *[total] * bool(total))

@@ -59,19 +59,20 @@ def ticker_table(tickers: DataFrame) -> DataFrame:
     return tickers.select(F.upper(F.trim("ticker")).alias("ticker")).where(F.octet_length("ticker") > 0).distinct()
 
 
-def join_ticker_table(items: DataFrame, tickers: DataFrame, keep=("id",), columns=("title", "selftext")) -> DataFrame:
+def join_ticker_table(items: DataFrame, tickers: DataFrame, keep=("id",), columns=("title", "selftext"), total: str | None = None) -> DataFrame:
     """(``keep``, ticker) for every ticker of a *table* that the item's text contains (the original's
-    LIKE '%T%'): an equi-join on the texts' windows of the tickers' lengths, no item x ticker loop."""
+    LIKE '%T%'): an equi-join on the texts' windows of the tickers' lengths, no item x ticker loop.
+    ``total``: items counted by (``keep``, ticker), in a column of this name."""
     texts = [F.upper(F.coalesce(F.col(c), F.lit(""))) for c in columns]
-    return words_in(items, texts, ticker_table(tickers), list(keep))
+    return words_in(items, texts, ticker_table(tickers), list(keep), total)
 
 
 def agg_mentions_trend(enriched: DataFrame, tickers) -> DataFrame:
     """(ticker, day, sentiment) -> count over all tickers at once; ``tickers``: a list, or a table."""
     if isinstance(tickers, DataFrame):
-        m = join_ticker_table(enriched.select("title", "selftext", "created_utc", "sentiment"), tickers, ("created_utc", "sentiment"))
-    else:
-        m = join_ticker_mentions(enriched.select("title", "selftext", "created_utc", "sentiment"), tickers)
+        items = enriched.select("title", "selftext", post_date().alias("post_date"), F.col("sentiment.Sentiment").alias("sentiment_type"))
+        return join_ticker_table(items, tickers, ("post_date", "sentiment_type"), total="post_count").select("ticker", "post_date", "sentiment_type", "post_count")
+    m = join_ticker_mentions(enriched.select("title", "selftext", "created_utc", "sentiment"), tickers)
     return m.groupBy("ticker", post_date().alias("post_date"),
                      F.col("sentiment.Sentiment").alias("sentiment_type")).agg(F.count(F.lit(1)).alias("post_count"))
 

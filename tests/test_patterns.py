@@ -75,3 +75,16 @@ def test_keyword_table_by_automaton_and_by_index(spark):
     plain = [i for i, t in enumerate(titles) if any(w.lower() in f"{(t or '').lower()} {'spin' if i == 3 else ''}" for w in words if w and w != " ")]
     assert by_automaton == by_index == plain and len(plain) > 10
     assert flt.flt_keyword_table(df, table.limit(0)).count() == 0 == flt.flt_keyword_table(df, table.limit(0), limit=-1).count()
+
+
+def test_mentions_are_counted_before_the_join(spark):
+    rows = [(1, "ABC abd", "abc", 0.0, "POSITIVE"), (2, "abc", None, 60.0, "POSITIVE"), (2, "abc", None, 60.0, "POSITIVE"),
+            (3, None, "xABDx", 90000.0, None), (4, "", "nothing", None, "NEGATIVE"), (5, "abd", "abd", None, "NEGATIVE")]
+    df = spark.createDataFrame([(i, a, b, t, None if s is None else (s,)) for i, a, b, t, s in rows],
+                               "id bigint, title string, selftext string, created_utc double, sentiment struct<Sentiment:string>")
+    tickers = spark.createDataFrame([("abc",), ("ABD",), ("abd ",), (None,), ("",), ("LONGER THAN ANY",)], "ticker string")
+    found = J.agg_mentions_trend(df, tickers)
+    got = {(r.ticker, str(r.post_date), r.sentiment_type): r.post_count for r in found.collect()}
+    assert got == {("ABC", "1970-01-01", "POSITIVE"): 3, ("ABD", "1970-01-01", "POSITIVE"): 1, ("ABD", "1970-01-02", None): 1, ("ABD", "None", "NEGATIVE"): 1}
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "count(1)" in plan and plan.index("Join") < plan.index("count(1)")
