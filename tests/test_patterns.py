@@ -88,3 +88,27 @@ def test_mentions_are_counted_before_the_join(spark):
     assert got == {("ABC", "1970-01-01", "POSITIVE"): 3, ("ABD", "1970-01-01", "POSITIVE"): 1, ("ABD", "1970-01-02", None): 1, ("ABD", "None", "NEGATIVE"): 1}
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert "count(1)" in plan and plan.index("Join") < plan.index("count(1)")
+
+
+class Sent:
+    def __init__(self, value):
+        self.value = value
+
+
+def told(columns, keep, words, monkeypatch, limit):
+    monkeypatch.setattr(patterns, "WINDOW_BYTES", limit)
+    mask = np.full(1 << (patterns.FILTER_BITS - 6), 2**64 - 1, np.uint64)  # lets all through
+    batch = pa.RecordBatch.from_arrays([*(pa.array(c, pa.string()) for c in columns), pa.array(keep)], names=[*"ab"[:len(columns)], "id"])
+    lengths = sorted({len(w.encode()) for w in words})
+    return list(patterns._told(Sent(mask), lengths, len(columns), ["id", "word"])([batch]))
+
+
+def test_windows_leave_the_task_in_small_batches(monkeypatch):
+    rng = random.Random(3)
+    a, b = ([None if i % 50 == 7 else "".join(rng.choice("abcdeé ") for _ in range(rng.randrange(0, 400))) for i in range(400)] for _ in range(2))
+    b[:200] = a[:200]  # a window of both texts comes once
+    out = told([a, b], list(range(400)), ["abc", "abcdefgh", "z"], monkeypatch, 4000)
+    assert len(out) > 30 and max(x.nbytes for x in out) < 60 * 4000
+    got = sorted((i, w) for x in out for i, w in zip(x["id"].to_pylist(), x["word"].to_pylist()))
+    want = {(i, raw[k:k + n]) for i in range(400) for t in (a[i], b[i]) for raw in [(t or "").encode()] for n in (1, 3, 8) for k in range(len(raw) - n + 1)}
+    assert got == sorted(want)
