@@ -112,3 +112,11 @@ def test_windows_leave_the_task_in_small_batches(monkeypatch):
     got = sorted((i, w) for x in out for i, w in zip(x["id"].to_pylist(), x["word"].to_pylist()))
     want = {(i, raw[k:k + n]) for i in range(400) for t in (a[i], b[i]) for raw in [(t or "").encode()] for n in (1, 3, 8) for k in range(len(raw) - n + 1)}
     assert got == sorted(want)
+
+
+def test_windows_of_a_text_longer_than_a_stretch(monkeypatch):
+    rng = random.Random(5)
+    long = "".join(rng.choice("ab") for _ in range(5000))
+    out = told([[long, "", long[:30]]], [7, 8, 9], ["a" * 12, "ab"], monkeypatch, 64)
+    got = sorted((i, w) for x in out for i, w in zip(x["id"].to_pylist(), x["word"].to_pylist()))
+    assert got == sorted({(i, t[k:k + n].encode()) for i, t in ((7, long), (9, long[:30])) for n in (2, 12) for k in range(len(t) - n + 1)})
