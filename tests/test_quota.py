@@ -87,3 +87,18 @@ def test_stream_late_requests_have_no_verdict_and_idle_clients_expire(spark, tmp
     assert got == {1: True, 2: False, 3: True, 4: True, 6: True}  # 5 came 8838 s after the watermark
     states = spark.read.format("statestore").load(f"{tmp_dir}/ckpt")
     assert states.count() == 0
+
+
+def test_stream_calls_do_not_grow_with_the_clients(spark, tmp_dir):
+    rng = np.random.default_rng(8)
+    rows = [(2**60 + i, 2**60 + int(rng.integers(0, 60)), float(round(t, 3))) for i, t in enumerate(np.sort(rng.uniform(0, 20_000, 700)))]
+    arrives = sorted(rows, key=lambda r: r[2] + rng.uniform(0, 500))
+    parts = [arrives[:350] + [(None, None, 0.0)], arrives[350:], [(None, None, 22_000.0)]]
+    feed(spark, tmp_dir, parts, limit=2, delay_s=600.0, groups=4)
+    assert 0 < spark.read.format("statestore").load(f"{tmp_dir}/ckpt").count() <= 4  # a row for each group
+    feed_last = spark.createDataFrame([(None, None, 90_000.0)], "event_id bigint, user_id bigint, ts_s double").coalesce(1)
+    feed_last.write.parquet(f"{tmp_dir}/in/arrival=9")
+    SJ.stm_quota(spark.readStream.schema(feed_last.schema).parquet(f"{tmp_dir}/in"), f"{tmp_dir}/out", f"{tmp_dir}/ckpt", limit=2, delay_s=600.0, groups=4)
+    got = [(r.event_id, r.user_id, r.ts_s, r.accepted) for r in spark.read.parquet(f"{tmp_dir}/out").collect()]
+    want = WN.quota_reference([(k, t) for _, k, t in rows], 2)
+    assert sorted(got) == [(*r, a) for r, a in zip(rows, want)] and 0 < sum(want) < 700
