@@ -36,19 +36,26 @@ def split_hash(id_col: str, seed: int) -> tuple[Column, Column]:
     return F.conv(F.substring(hexd, 1, 15), 16, 10).cast("bigint"), hexd
 
 
+def store_rows(df: DataFrame) -> DataFrame:
+    """``df`` as a table of its own in the shared scratch folder, read again."""
+    spark = df.sparkSession
+    path = f"{checkpoint_root(spark)}/murmur/split-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def ml_split(df: DataFrame, label: str = LABEL, id_col: str = "id", test_size: float = P.SPLIT_TEST_SIZE,
-             seed: int = P.SPLIT_SEED) -> DataFrame:
+             seed: int = P.SPLIT_SEED, stored: bool = False) -> DataFrame:
     """Exact stratified split: per label, the round(test_size * n) rows with the smallest
     md5(seed || id) go to test. Distributed: counts per (label, hash bucket) find the bucket
     holding each label's cut (a prefix sum over at most 2^16 rows per label); only the rows of that
     bucket are ranked, which gives one threshold per label, and every row is compared with its
     label's threshold in place: whole rows are never shuffled. The rows are read three times, so they
-    are written once to the shared scratch folder first (``df`` may hold joins and text filters)."""
+    are written once to the shared scratch folder first (``df`` may hold joins and text filters), unless
+    they are ``stored`` already."""
     h, hexd = split_hash(id_col, seed)
-    spark = df.sparkSession
-    path = f"{checkpoint_root(spark)}/murmur/split-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    df = spark.read.schema(df.schema).parquet(path)
+    if not stored:
+        df = store_rows(df)
     d = df.withColumn("_h", h).withColumn("_hex", hexd).withColumn(
         "_b", F.shiftright(F.col("_h"), 60 - BUCKET_BITS))
     per_bucket = d.groupBy(label, "_b").agg(F.count(F.lit(1)).alias("_nb"))

@@ -87,7 +87,7 @@ def _train(spark, sf, again=False):
     prediction, evaluation and reports load what it saved. The folder is in the shared scratch root and
     named for the application and a digest of the training rows, so a changed table is trained anew;
     ``again``: train into a folder of its own whatever is there."""
-    rows = labeled_only(spark, sf)
+    rows = ML.store_rows(labeled_only(spark, sf))  # read by the digest and the split
     if again:
         path = scratch_path(spark, "model")
     else:
@@ -96,12 +96,12 @@ def _train(spark, sf, again=False):
         digest = hashlib.md5(f"{P.TrainParams()} {seen['n']} {seen['sum']}".encode()).hexdigest()[:16]
         path = f"{checkpoint_root(spark)}/murmur/model-{spark.sparkContext.applicationId}-{digest}"
     if again or not sinks.path_exists(spark, f"{path}/runs/_SUCCESS"):
-        s = ML.ml_split(rows).persist()  # reused by every pass and the scoring
+        s = ML.ml_split(rows, stored=True)  # compares stored rows with a threshold; read by the features and every pass
         train, test = s.filter(F.col("split") == "train"), s.filter(F.col("split") == "test")
-        test.write.mode("overwrite").parquet(f"{path}/test")
+        test.write.mode("overwrite").option("compression", "zstd").parquet(f"{path}/test")
+        test = spark.read.schema(test.schema).parquet(f"{path}/test")
         _, runs = ML.ml_train(train, test, P.TrainParams(), path)
         runs.write.mode("overwrite").parquet(f"{path}/runs")
-        s.unpersist()
     return path
 
 
