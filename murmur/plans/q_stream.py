@@ -19,7 +19,7 @@ from murmur.plans.q_relational import HASH_SQL, enriched, items
 from murmur.plans.q_windows import QUOTA_LIMIT, QUOTA_SQL, request_log
 from murmur.schema import ENRICHED, RAW_ITEM_FIELDS
 from murmur.session import scratch_path
-from murmur.sources import files
+from murmur.sources import files, sinks
 from murmur.sources.tables import table
 from murmur.streaming import jobs as SJ
 
@@ -30,20 +30,23 @@ N_ARRIVALS = 6
 def arrivals(df: DataFrame, time_col: str, path: str, run_once, fmt: str = "json", n: int = N_ARRIVALS,
              replay_first: bool = False) -> str:
     """Feed ``df`` to a file stream in ``n`` event-time slices: one parallel write stages every
-    slice, then each slice is copied into the watched folder (in parallel) and the stream runs
-    once with availableNow, restarting from its checkpoint, so every slice is one micro-batch in
-    time order (optionally the first slice again at the end, as late data). Slice bounds come
+    slice, then each slice is moved into the watched folder and the stream runs once with
+    availableNow, restarting from its checkpoint, so every slice is one micro-batch in time order
+    (optionally the first slice again at the end, as late data; it is copied first, in parallel). Slice bounds come
     from one min/max aggregate; no slice is funnelled through a single task."""
     lo, hi = df.agg(F.min(time_col), F.max(time_col)).first()
     width = (float(hi) - float(lo)) / n + 1e-6 if hi is not None else 1.0
     sl = F.least(F.floor((F.col(time_col).cast("double") - F.lit(float(lo or 0))) / F.lit(width)), F.lit(n - 1))
-    staging, src = f"{path}/staging", f"{path}/arrivals"
-    df.withColumn("_slice", sl.cast("int")).write.mode("overwrite").partitionBy("_slice").format(fmt).save(staging)
+    staging, src, packed = f"{path}/staging", f"{path}/arrivals", "gzip" if fmt == "json" else "zstd"
+    df.withColumn("_slice", sl.cast("int")).write.mode("overwrite").partitionBy("_slice").option("compression", packed).format(fmt).save(staging)
     spark = df.sparkSession
     order = list(range(n)) + ([0] if replay_first else [])
     for i, s in enumerate(order):
-        part = spark.read.schema(df.schema).format(fmt).load(f"{staging}/_slice={s}")
-        part.write.mode("overwrite").format(fmt).save(f"{src}/arrival={i:04d}")
+        at, to = f"{staging}/_slice={s}", f"{src}/arrival={i:04d}"
+        if s in order[i + 1:] and sinks.path_exists(spark, at):  # comes again
+            spark.read.schema(df.schema).format(fmt).load(at).write.option("compression", packed).format(fmt).save(to)
+        else:
+            sinks.move_folder(spark, at, to)
         run_once(src)
     return src
 

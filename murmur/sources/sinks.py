@@ -38,12 +38,20 @@ def remove_folders(spark: SparkSession, root: str, key: str, before: int) -> Non
             fs.delete(f.getPath(), True)
 
 
+def move_folder(spark: SparkSession, path: str, to: str) -> None:
+    """Move a folder in its store; where there is none, an empty one appears."""
+    (old, fs), (new, _) = _path(spark, path), _path(spark, to)
+    fs.mkdirs(new.getParent() if fs.exists(old) else new)
+    if fs.exists(old) and not fs.rename(old, new):
+        raise OSError(f"cannot move {path} to {to}")
+
+
 def write_raw_batches(items: DataFrame, path: str, timestamp: str, keywords, batch_size: int = 1000,
                       communities: DataFrame | None = None, run: str | None = None) -> int:
     """Items -> batch documents {metadata, data:[...]} of about ``batch_size`` items each, one per
     line, in a folder of the run's own when ``run`` is given (earlier runs stay). Items are spread
     over ceil(n / batch_size) documents by a hash of the id, so no document grows with the data and
-    a hot community is split like any other. Every document's metadata is the run's: all its items
+    a hot community is split like any other; files are gzipped, one for each task. Every document's metadata is the run's: all its items
     and the communities it went through. Returns the number of documents."""
     n = items.count()
     n_batches = max(1, math.ceil(n / batch_size))
@@ -55,7 +63,7 @@ def write_raw_batches(items: DataFrame, path: str, timestamp: str, keywords, bat
     meta = F.struct(F.lit(timestamp).alias("timestamp"), F.lit(n).cast("bigint").alias("total_items"),
                     F.array(*[F.lit(x) for x in names]).cast("array<string>").alias("processed_subreddits"),
                     F.array(*[F.lit(k) for k in keywords]).alias("keywords"))
-    docs.select(meta.alias("metadata"), "data").write.mode("overwrite").json(path if run is None else f"{path}/run={run}")
+    docs.select(meta.alias("metadata"), "data").write.mode("overwrite").option("compression", "gzip").json(path if run is None else f"{path}/run={run}")
     return n_batches
 
 
@@ -105,4 +113,5 @@ def write_enriched_table(df: DataFrame, path: str, run: str) -> None:
     from murmur.functions.text import epoch_to_day
     d = df if "post_date" in df.columns else df.withColumn("post_date", epoch_to_day("created_utc"))
     (d.withColumn("run", F.lit(run)).hint("rebalance", "post_date").sortWithinPartitions("post_date", "created_utc")
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("post_date", "run").parquet(path))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd")
+     .partitionBy("post_date", "run").parquet(path))

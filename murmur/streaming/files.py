@@ -12,7 +12,7 @@ def batch_writer(out_path: str, transform: Callable[[DataFrame], DataFrame] | No
     the same batch after a failure rewrites it instead of appending duplicates."""
     def write(df: DataFrame, batch_id: int) -> None:
         d = transform(df) if transform else df
-        d.write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
+        d.write.mode("overwrite").option("compression", "zstd").parquet(f"{out_path}/batch_id={batch_id}")
     return write
 
 

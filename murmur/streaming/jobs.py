@@ -45,7 +45,7 @@ def hwm_batch_writer(out_path: str, mark_path: str, initial_mark: float | None):
     def write(df: DataFrame, batch_id: int) -> None:
         mark = current_mark(df.sparkSession, batch_id)
         kept = df if mark is None else df.filter(F.col("created_utc") >= F.lit(mark))
-        kept.write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
+        kept.write.mode("overwrite").option("compression", "zstd").parquet(f"{out_path}/batch_id={batch_id}")
         new = df.sparkSession.read.parquet(f"{out_path}/batch_id={batch_id}").agg(F.max("created_utc").alias("mark"))
         new.filter(F.col("mark").isNotNull()).write.mode("overwrite").parquet(f"{mark_path}/batch_id={batch_id}")
     return write

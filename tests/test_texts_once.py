@@ -30,6 +30,19 @@ def tables(spark, tmp_dir):
     return tmp_dir
 
 
+@pytest.mark.parametrize("fmt", ["json", "parquet"])
+def test_slices_are_moved_and_may_be_empty(spark, tmp_dir, fmt):
+    d = spark.createDataFrame([(i, t) for i, t in enumerate([0.0, 1.0, 2.0, 99.0, 100.0])], "id bigint, t double")
+    seen = []
+
+    def run_once(src):
+        seen.append(spark.read.schema("id bigint").format(fmt).option("recursiveFileLookup", True).load(src).count())
+
+    q_stream.arrivals(d, "t", tmp_dir, run_once, fmt=fmt, n=4, replay_first=True)
+    assert seen == [3, 3, 3, 5, 8]  # two slices without rows, then the first again
+    assert not [n for n in os.listdir(f"{tmp_dir}/staging") if n.startswith("_slice=")]
+
+
 def test_split_of_stored_rows(spark):
     d = spark.createDataFrame([(f"p{i}", "informative" if i % 3 else "emotional") for i in range(90)], f"id string, {ML.LABEL} string")
     stored = ML.store_rows(d)
