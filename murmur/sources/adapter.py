@@ -22,17 +22,23 @@ def _ratio(c: Column, m: int = 101) -> Column:
     return (c % m).cast("double") / 100
 
 
+def _post_events(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """The events that are a document's (event_id = 5 * doc_id), by doc_id: documents, labels and comments
+    are joined on the same column, so whole texts are shuffled once, and other events not at all."""
+    e = table(spark, sf_dir, "events")
+    return e.filter(F.col("event_id") % 5 == 0).select(F.expr("event_id div 5").alias("doc_id"), *columns)
+
+
 def posts(spark: SparkSession, sf_dir: str, keep_doc_id: bool = False) -> DataFrame:
     d = table(spark, sf_dir, "documents").select("doc_id", "text", "source", "n_chars")
-    e = table(spark, sf_dir, "events").select("event_id", "ts", "value")
+    e = _post_events(spark, sf_dir, "ts", "value")
     # labels holds one row per document; saying so with a keyed aggregate (a no-op on these values)
     # lets Catalyst drop the whole join from queries that use no label column
     lab = table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.max("quality").alias("quality"),
                                                               F.max("toxic").alias("toxic"))
     us = F.unix_micros(F.col("ts").cast("timestamp"))
     doc = F.col("doc_id").cast("string")
-    j = (d.join(e, e.event_id == d.doc_id * 5, "inner").drop("event_id")
-         .join(lab, "doc_id", "left"))
+    j = d.join(e, "doc_id", "inner").join(lab, "doc_id", "left")
     cols = [
         F.lit("post").alias("type"),
         F.concat(F.lit("p"), doc).alias("id"),
@@ -64,9 +70,9 @@ def post_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     the labels join of ``posts`` is on a key of ``labels`` (one row per document), so leaving it
     out changes no row, and saves a full join at scale."""
     d = table(spark, sf_dir, "documents").select("doc_id", "source")
-    e = table(spark, sf_dir, "events").select("event_id", "ts")
+    e = _post_events(spark, sf_dir, "ts")
     doc = F.col("doc_id").cast("string")
-    return d.join(e, e.event_id == d.doc_id * 5, "inner").select(
+    return d.join(e, "doc_id", "inner").select(
         "doc_id", F.concat(F.lit("p"), doc).alias("id"),
         F.when(F.col("doc_id") % 2 == 0, F.concat(F.lit("https://example.com/"), "source", F.lit("/"), doc))
          .otherwise(F.concat(F.lit("/r/"), "source", F.lit("/"), doc)).alias("url"),

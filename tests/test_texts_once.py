@@ -30,6 +30,21 @@ def tables(spark, tmp_dir):
     return tmp_dir
 
 
+def test_posts_shuffle_texts_once(spark, tables, no_broadcast):
+    posts = adapter.posts(spark, tables)
+    plan = posts._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 3  # documents, events, labels
+    got = sorted(r.id for r in posts.collect())
+    assert got == sorted(["p5", "p5", "p2", *(f"p{i}" for i in range(10) if i != 5)])  # a document and an event that come twice
+
+
+def test_enriched_table_is_compressed_well(spark, tables, tmp_dir):
+    sinks.write_enriched_table(adapter.enriched(spark, tables), f"{tmp_dir}/table", "r1")
+    names = [f for _, _, fs in os.walk(f"{tmp_dir}/table") for f in fs if f.endswith(".parquet")]
+    assert names and all("zstd" in f for f in names)
+    assert files.read_enriched_table(spark, f"{tmp_dir}/table").count() == 18
+
+
 @pytest.mark.parametrize("fmt", ["json", "parquet"])
 def test_slices_are_moved_and_may_be_empty(spark, tmp_dir, fmt):
     d = spark.createDataFrame([(i, t) for i, t in enumerate([0.0, 1.0, 2.0, 99.0, 100.0])], "id bigint, t double")
