@@ -45,6 +45,14 @@ def test_enriched_table_is_compressed_well(spark, tables, tmp_dir):
     assert files.read_enriched_table(spark, f"{tmp_dir}/table").count() == 18
 
 
+def test_raw_batches_are_compressed_and_read_back(spark, tmp_dir):
+    d = spark.createDataFrame([(f"p{i}", "a\nb" * i, "s") for i in range(7)], "id string, title string, subreddit string")
+    sinks.write_raw_batches(d, f"{tmp_dir}/raw", "t", ["k"], batch_size=2)
+    assert all(f.endswith(".json.gz") for f in os.listdir(f"{tmp_dir}/raw") if f.startswith("part-"))
+    back = files.read_raw_batches(spark, f"{tmp_dir}/raw", multi_line=False).select("id", "title", "subreddit")
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, d.collect()))
+
+
 @pytest.mark.parametrize("fmt", ["json", "parquet"])
 def test_slices_are_moved_and_may_be_empty(spark, tmp_dir, fmt):
     d = spark.createDataFrame([(i, t) for i, t in enumerate([0.0, 1.0, 2.0, 99.0, 100.0])], "id bigint, t double")
