@@ -64,6 +64,8 @@ def ingest_candidates(items: DataFrame, p: P.IngestParams = P.IngestParams()):
     """(accepted posts with n_items / num_comments, their comments, the quality predicate)."""
     examined = ingest_examined(items, p)
     accepted = ingest_accepted(examined, p)
+    if p.newest_per_community is not None:  # a bounded listing, joined three times: its posts' texts are read and shuffled once
+        accepted = cut_lineage(accepted)
     linked = J.join_comments_of_accepted(accepted, items.filter(F.col("type") == "comment"))
     quality = flt.comment_quality(p.min_comment_score, p.min_comment_length)
     counts = linked.groupBy(F.col("post_id").alias("_pid")).agg(

@@ -66,6 +66,14 @@ def test_slices_are_moved_and_may_be_empty(spark, tmp_dir, fmt):
     assert not [n for n in os.listdir(f"{tmp_dir}/staging") if n.startswith("_slice=")]
 
 
+def test_bounded_listing_reads_the_texts_once(spark, tables):
+    batch = jobs.job_ingest(adapter.items(spark, tables), X.INGEST).batch
+    assert "selftext" in batch.columns
+    posts_n = jobs.ingest_candidates(adapter.items(spark, tables), X.INGEST)[0]
+    plan = posts_n._jdf.queryExecution().optimizedPlan().toString()
+    assert "replace(text" not in plan  # the accepted posts are there already
+
+
 def test_split_of_stored_rows(spark):
     d = spark.createDataFrame([(f"p{i}", "informative" if i % 3 else "emotional") for i in range(90)], f"id string, {ML.LABEL} string")
     stored = ML.store_rows(d)
