@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -69,6 +70,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/murmur/{name}-{uuid.uuid4().hex[:12]}"
 
 
+@contextmanager
+def batch_bytes(spark: SparkSession, most: int):
+    """Arrow batches of at most ``most`` bytes (or of one longer row) in the jobs run inside."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    old = spark.conf.get(name)
+    spark.conf.set(name, f"{most}b")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, old)
+
+
 def cut_lineage(df):
     """Materialise a *bounded* intermediate that several branches reuse (accepted posts, their
     comments, a confusion table): a reliable checkpoint into the shared checkpoint folder, so the

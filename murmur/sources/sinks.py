@@ -3,15 +3,21 @@ retried task or a replayed run never duplicates rows and never touches another r
 
 from __future__ import annotations
 
-import math
+from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from murmur import params as P
-from murmur.schema import RAW_ITEM_FIELDS
+from murmur.schema import RAW_ITEM
+from murmur.session import batch_bytes
 from murmur.sources.files import NULL_TOKEN
 
+#: Bytes of the Arrow batches of items that a task packs into documents.
+BATCH_BYTES = 8 << 20
+
 
 def _path(spark: SparkSession, path: str):
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -46,25 +52,50 @@ def move_folder(spark: SparkSession, path: str, to: str) -> None:
         raise OSError(f"cannot move {path} to {to}")
 
 
+def _packed(size: int):
+    """mapInArrow body: items (one struct column) -> arrays of ``size`` consecutive items of the task, the
+    last one shorter."""
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows(items: pa.Array, offsets: list[int]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), items)], names=["data"])
+        rest = None
+        for b in batches:
+            items = b.column(0) if rest is None else pa.concat_arrays([rest, b.column(0)])
+            full = len(items) // size * size
+            if full:
+                yield rows(items[:full], [*range(0, full + 1, size)])
+            rest = items[full:]
+        if rest is not None and len(rest):
+            yield rows(rest, [0, len(rest)])
+    return pack
+
+
 def write_raw_batches(items: DataFrame, path: str, timestamp: str, keywords, batch_size: int = 1000,
                       communities: DataFrame | None = None, run: str | None = None) -> int:
-    """Items -> batch documents {metadata, data:[...]} of about ``batch_size`` items each, one per
-    line, in a folder of the run's own when ``run`` is given (earlier runs stay). Items are spread
-    over ceil(n / batch_size) documents by a hash of the id, so no document grows with the data and
-    a hot community is split like any other; files are gzipped, one for each task. Every document's metadata is the run's: all its items
-    and the communities it went through. Returns the number of documents."""
-    n = items.count()
-    n_batches = max(1, math.ceil(n / batch_size))
-    subs = (communities if communities is not None else items).select("subreddit").distinct()
-    names = subs.agg(F.array_sort(F.collect_set("subreddit"))).first()[0]  # a dimension: one name per community
-    cols = [F.col(c) if c in items.columns else F.lit(None).alias(c) for c in RAW_ITEM_FIELDS]
-    keyed = items.select(F.pmod(F.xxhash64("id"), F.lit(n_batches)).alias("batch"), F.struct(*cols).alias("it"))
-    docs = keyed.groupBy("batch").agg(F.collect_list("it").alias("data"))
+    """Items -> batch documents {metadata, data:[...]} of ``batch_size`` items each, one per line, in a
+    folder of the run's own when ``run`` is given (earlier runs stay). Each task packs the items it has,
+    its last document may be shorter: whole texts are not shuffled for it, no document grows with the
+    data and a hot community is split like any other; files are gzipped, one for each task. Every
+    document's metadata is the run's: all its items and the communities it went through. Returns the
+    number of documents."""
+    spark = items.sparkSession
+    names_of = F.array_sort(F.collect_set("subreddit"))  # a dimension: one name per community
+    if communities is None:
+        n, names = items.agg(F.count(F.lit(1)), names_of).first()
+    else:
+        n, names = items.count(), communities.agg(names_of).first()[0]
+    kinds = {f.name: f.dataType for f in items.schema.fields if not isinstance(f.dataType, T.NullType)}
+    cols = [F.col(f.name) if f.name in kinds else F.lit(None).cast(f.dataType).alias(f.name) for f in RAW_ITEM.fields]
+    packed = items.select(F.struct(*cols).alias("it"))
+    docs = packed.mapInArrow(_packed(batch_size), T.StructType([T.StructField("data", T.ArrayType(packed.schema["it"].dataType))]))
     meta = F.struct(F.lit(timestamp).alias("timestamp"), F.lit(n).cast("bigint").alias("total_items"),
                     F.array(*[F.lit(x) for x in names]).cast("array<string>").alias("processed_subreddits"),
                     F.array(*[F.lit(k) for k in keywords]).alias("keywords"))
-    docs.select(meta.alias("metadata"), "data").write.mode("overwrite").option("compression", "gzip").json(path if run is None else f"{path}/run={run}")
-    return n_batches
+    written = Observation()
+    docs = docs.select(meta.alias("metadata"), "data").observe(written, F.count(F.lit(1)).alias("n"))
+    with batch_bytes(spark, BATCH_BYTES):
+        docs.write.mode("overwrite").option("compression", "gzip").json(path if run is None else f"{path}/run={run}")
+    return written.get.get("n", 0)
 
 
 def stored_mark(spark: SparkSession, path: str, before: str) -> float | None:

@@ -2,6 +2,7 @@
 
 import os
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -80,3 +81,25 @@ def test_split_of_stored_rows(spark):
     split = ML.ml_split(stored, stored=True)
     assert sorted(split.inputFiles()) == sorted(stored.inputFiles())
     assert sorted(map(tuple, split.collect())) == sorted(map(tuple, ML.ml_split(d).collect()))
+
+
+def test_raw_batches_are_packed_where_the_items_are(spark, tmp_dir):
+    d = spark.range(0, 23, numPartitions=3).select(F.concat(F.lit("p"), "id").alias("id"), F.lit("t").alias("selftext"), F.concat(F.lit("in"), F.spark_partition_id()).alias("subreddit"))
+    n = sinks.write_raw_batches(d, f"{tmp_dir}/raw", "t", ["k"], batch_size=3)
+    docs = spark.read.json(f"{tmp_dir}/raw").select("metadata.total_items", "metadata.processed_subreddits", F.size("data").alias("n"), F.array_distinct("data.subreddit").alias("of"), F.col("_metadata.file_name")).collect()
+    assert all(len(x.of) == 1 for x in docs) and len({x.file_name for x in docs}) == 3  # no item left its task
+    assert sorted(x.n for x in docs) == [1, 2, 2, *[3] * 6] and n == 9
+    assert {(x.total_items, *x.processed_subreddits) for x in docs} == {(23, "in0", "in1", "in2")}
+    back = files.read_raw_batches(spark, f"{tmp_dir}/raw", multi_line=False)
+    assert sorted(r.id for r in back.collect()) == sorted(f"p{i}" for i in range(23))
+    assert sinks.write_raw_batches(d.limit(0), f"{tmp_dir}/none", "t", ["k"]) == 0 == files.read_raw_batches(spark, f"{tmp_dir}/none", multi_line=False).count()
+
+
+def test_documents_go_on_across_arrow_batches():
+    ids = [str(i) for i in range(20)]
+    batches = [pa.RecordBatch.from_arrays([pa.array([{"id": i, "score": None} for i in ids[a:b]], pa.struct({"id": pa.string(), "score": pa.int64()}))], names=["it"])
+               for a, b in ((0, 2), (2, 2), (2, 13), (13, 20))]
+    got = [doc for b in sinks._packed(5)(batches) for doc in b.column(0).to_pylist()]
+    assert [len(x) for x in got] == [5, 5, 5, 5] and [y["id"] for x in got for y in x] == ids
+    assert [len(x) for b in sinks._packed(7)(batches) for x in b.column(0).to_pylist()] == [7, 7, 6]
+    assert [*sinks._packed(7)([])] == []
