@@ -6,7 +6,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -52,11 +52,12 @@ def move_folder(spark: SparkSession, path: str, to: str) -> None:
         raise OSError(f"cannot move {path} to {to}")
 
 
-def _packed(size: int):
+def _packed(size: int, count=lambda n: None):
     """mapInArrow body: items (one struct column) -> arrays of ``size`` consecutive items of the task, the
-    last one shorter."""
+    last one shorter. ``count`` is told their numbers."""
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows(items: pa.Array, offsets: list[int]) -> pa.RecordBatch:
+            count(len(offsets) - 1)
             return pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), items)], names=["data"])
         rest = None
         for b in batches:
@@ -86,16 +87,16 @@ def write_raw_batches(items: DataFrame, path: str, timestamp: str, keywords, bat
         n, names = items.count(), communities.agg(names_of).first()[0]
     kinds = {f.name: f.dataType for f in items.schema.fields if not isinstance(f.dataType, T.NullType)}
     cols = [F.col(f.name) if f.name in kinds else F.lit(None).cast(f.dataType).alias(f.name) for f in RAW_ITEM.fields]
+    written = spark.sparkContext.accumulator(0)  # an Observation would stay in the session, which ML jobs then cannot serialize
     packed = items.select(F.struct(*cols).alias("it"))
-    docs = packed.mapInArrow(_packed(batch_size), T.StructType([T.StructField("data", T.ArrayType(packed.schema["it"].dataType))]))
+    docs = packed.mapInArrow(_packed(batch_size, written.add), T.StructType([T.StructField("data", T.ArrayType(packed.schema["it"].dataType))]))
     meta = F.struct(F.lit(timestamp).alias("timestamp"), F.lit(n).cast("bigint").alias("total_items"),
                     F.array(*[F.lit(x) for x in names]).cast("array<string>").alias("processed_subreddits"),
                     F.array(*[F.lit(k) for k in keywords]).alias("keywords"))
-    written = Observation()
-    docs = docs.select(meta.alias("metadata"), "data").observe(written, F.count(F.lit(1)).alias("n"))
+    docs = docs.select(meta.alias("metadata"), "data")
     with batch_bytes(spark, BATCH_BYTES):
         docs.write.mode("overwrite").option("compression", "gzip").json(path if run is None else f"{path}/run={run}")
-    return written.get.get("n", 0)
+    return written.value
 
 
 def stored_mark(spark: SparkSession, path: str, before: str) -> float | None:
